@@ -21,7 +21,7 @@ from ..operators import reconcile as rec
 from ..operators import responses as resp
 from ..operators.eligibility import candidates, eligible
 from ..operators.routing import route
-from ..sources import fixtures as fx
+from ..sources.store import Fixtures
 
 AS_OF = DEFAULT_AS_OF
 ONE_LEAD = "lead_40"
@@ -35,42 +35,55 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ------------------------------------------------------------ building blocks
 
+def _fx(s, d) -> Fixtures:
+    return Fixtures(s, d, as_of=AS_OF, batch_size=BATCH_SIZE, n_buckets=N_BUCKETS)
+
+
 def _gold(s, d):
-    return fx.gold(s, d)
+    return _fx(s, d).gold()
+
+
+def _control(s, d):
+    return _fx(s, d).control()
 
 
 def _eligible(s, d, **kw):
-    return eligible(_gold(s, d), fx.control(s, d), AS_OF, **kw)
+    f = _fx(s, d)
+    return eligible(f.gold(), f.control(), AS_OF, **kw)
 
 
 def _routed(s, d):
-    g = _gold(s, d)
-    return route(eligible(g, fx.control(s, d), AS_OF), g)
+    f = _fx(s, d)
+    g = f.gold()
+    return route(eligible(g, f.control(), AS_OF), g)
 
 
 def _appended(s, d):
-    sent = fx.send_results(s, d, AS_OF)
-    listed = sent.select("lead_id", "etapa_funil", "plataforma", "data_hora_conversao",
-                         "identificador_usado", "status_envio", F.lit(1).alias("tentativas"),
-                         F.col("ts_envio").alias("ts_ultimo_envio"), F.col("ts_envio").alias("dt_atualizacao"))
-    return ctl.append(fx.control(s, d), listed)
+    f = _fx(s, d)
+    listed = f.send_results().select(
+        "lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "identificador_usado", "status_envio",
+        F.lit(1).alias("tentativas"), F.col("ts_envio").alias("ts_ultimo_envio"),
+        F.col("ts_envio").alias("dt_atualizacao"))
+    return ctl.append(f.control(), listed)
 
 
 def _upserted(s, d):
-    return ctl.upsert(fx.control(s, d), fx.send_results(s, d, AS_OF), now=AS_OF)
+    f = _fx(s, d)
+    return ctl.upsert(f.control(), f.send_results(), now=AS_OF)
 
 
 def _upserted_twice(s, d):
-    batch = fx.send_results(s, d, AS_OF)
-    return ctl.upsert(ctl.upsert(fx.control(s, d), batch, now=AS_OF), batch, now=AS_OF)
+    f = _fx(s, d)
+    batch = f.send_results()
+    return ctl.upsert(ctl.upsert(f.control(), batch, now=AS_OF), batch, now=AS_OF)
 
 
 def _batched(s, d):
-    return fx.batched_sends(s, d, AS_OF, BATCH_SIZE, N_BUCKETS)
+    return env.assign_batches(_routed(s, d), batch_size=BATCH_SIZE, n_buckets=N_BUCKETS, as_of=AS_OF)
 
 
 def _reconciled(s, d):
-    return rec.reconcile(_upserted(s, d), fx.platform_report(s, d), AS_OF, GRACE_DAYS)
+    return rec.reconcile(_upserted(s, d), _fx(s, d).platform_report(), AS_OF, GRACE_DAYS)
 
 
 # ------------------------------------------------------------------- queries
@@ -78,7 +91,7 @@ def _reconciled(s, d):
 QUERIES: dict[str, Query] = {
     # sources and eligibility
     "gold_conversions": lambda s, d: _gold(s, d),
-    "control_table": lambda s, d: fx.control(s, d),
+    "control_table": _control,
     "candidates_windowed": lambda s, d: candidates(_gold(s, d), AS_OF),
     "candidates_union": lambda s, d: candidates(_gold(s, d), AS_OF, one_scan=False),
     "candidates_unwindowed": lambda s, d: candidates(_gold(s, d), AS_OF, windowed=False),
@@ -93,14 +106,14 @@ QUERIES: dict[str, Query] = {
     "routed": _routed,
     "routed_quality_counts": lambda s, d: qa.routed_quality_counts(_routed(s, d)),
     "routed_duplicate_gold": lambda s, d: route(
-        eligible(fx.gold_with_duplicates(s, d), fx.control(s, d), AS_OF), fx.gold_with_duplicates(s, d)),
-    "gold_key_duplicates": lambda s, d: qa.gold_key_duplicates(fx.gold_with_duplicates(s, d)),
+        eligible(_fx(s, d).gold_with_duplicates(), _control(s, d), AS_OF), _fx(s, d).gold_with_duplicates()),
+    "gold_key_duplicates": lambda s, d: qa.gold_key_duplicates(_fx(s, d).gold_with_duplicates()),
     # identity
-    "email_normalized": lambda s, d: fx.raw(s, d).select(
+    "email_normalized": lambda s, d: _fx(s, d).raw().select(
         "lead_id", "email_raw", normalize_email("email_raw").alias("email_normalizado")),
-    "phone_normalized": lambda s, d: fx.raw(s, d).select(
+    "phone_normalized": lambda s, d: _fx(s, d).raw().select(
         "lead_id", "phone_raw", normalize_phone("phone_raw").alias("phone_normalizado")),
-    "pii_hashes": lambda s, d: fx.raw(s, d).select(
+    "pii_hashes": lambda s, d: _fx(s, d).raw().select(
         "lead_id", hash_email("email_raw").alias("email_hashed"), hash_phone("phone_raw").alias("phone_hashed")),
     # payloads and envelopes
     "payload_meta": lambda s, d: pay.meta_flat(_routed(s, d)),
@@ -125,30 +138,30 @@ QUERIES: dict[str, Query] = {
     "control_append": _appended,
     "control_duplicates": lambda s, d: ctl.duplicates(_appended(s, d)),
     "control_violations": lambda s, d: ctl.violations(_appended(s, d)),
-    "control_delete": lambda s, d: ctl.delete_where(fx.control(s, d), F.col("status_envio") == "dead_letter"),
+    "control_delete": lambda s, d: ctl.delete_where(_control(s, d), F.col("status_envio") == "dead_letter"),
     "control_upsert": _upserted,
     "control_upsert_twice": _upserted_twice,
     "control_summary": lambda s, d: ctl.summary(_upserted_twice(s, d)),
     "control_summary_one_lead": lambda s, d: ctl.summary(_upserted_twice(s, d), ONE_LEAD),
-    "control_changes": lambda s, d: ctl.changes(fx.control(s, d), _upserted(s, d)),
+    "control_changes": lambda s, d: ctl.changes(_control(s, d), _upserted(s, d)),
     "eligible_after_upsert": lambda s, d: eligible(_gold(s, d), _upserted(s, d), AS_OF),
     "retry_state": lambda s, d: ctl.apply_retry_policy(_upserted(s, d), MAX_ATTEMPTS),
     # responses, reconciliation, monitoring
     "responses_classified": lambda s, d: resp.classify(
-        _batched(s, d), fx.responses(s, d, AS_OF, BATCH_SIZE, N_BUCKETS)).drop("mensagem_resposta"),
+        _batched(s, d), _fx(s, d).responses()).drop("mensagem_resposta"),
     "reconciled": _reconciled,
-    "send_latency": lambda s, d: rec.send_latency(fx.control(s, d)),
-    "send_latency_quantiles": lambda s, d: rec.send_latency_quantiles(fx.control(s, d)),
+    "send_latency": lambda s, d: rec.send_latency(_control(s, d)),
+    "send_latency_quantiles": lambda s, d: rec.send_latency_quantiles(_control(s, d)),
     "business_cuts": lambda s, d: rec.business_cuts(_reconciled(s, d), _gold(s, d)),
     # audits
-    "audit_hash": lambda s, d: qa.audit_hash(fx.raw(s, d), _gold(s, d)),
-    "audit_hash_summary": lambda s, d: qa.audit_hash_summary(fx.raw(s, d), _gold(s, d)),
+    "audit_hash": lambda s, d: qa.audit_hash(_fx(s, d).raw(), _gold(s, d)),
+    "audit_hash_summary": lambda s, d: qa.audit_hash_summary(_fx(s, d).raw(), _gold(s, d)),
     "audit_multitouch": lambda s, d: qa.audit_multitouch(_gold(s, d)),
     "audit_paid_no_click": lambda s, d: qa.audit_paid_no_click(_gold(s, d)),
     "audit_no_click_origin": lambda s, d: qa.audit_no_click_origin(_gold(s, d)),
     "audit_future": lambda s, d: qa.audit_future(_gold(s, d), AS_OF),
     "audit_stage_order": lambda s, d: qa.audit_stage_order(_gold(s, d)),
-    "audit_score": lambda s, d: qa.audit_score(fx.raw(s, d), _gold(s, d), fx.manifest(s, d)),
+    "audit_score": lambda s, d: qa.audit_score(_fx(s, d).raw(), _gold(s, d), _fx(s, d).manifest()),
 }
 
 # Queries compared by rows only: JSON text and approximate quantiles differ

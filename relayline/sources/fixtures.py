@@ -39,8 +39,7 @@ def _pick(values, idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
-def _stage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def _stage_lines(li: DataFrame) -> DataFrame:
     return (li.where(F.col("l_linenumber").between(1, len(STAGES)))
               .select(F.concat(F.lit("lead_"), F.col("l_orderkey").cast("string")).alias("lead_id"),
                       _pick(STAGES, F.col("l_linenumber") - 1).alias("etapa_funil"),
@@ -126,30 +125,29 @@ def _gold_columns(df: DataFrame, planted: bool = True) -> DataFrame:
     )
 
 
-def gold(spark: SparkSession, sf_dir: str, planted: bool = True) -> DataFrame:
-    """Gold conversions: one row per (lead_id, etapa_funil)."""
-    g = (_stage_lines(spark, sf_dir)
+def gold(li: DataFrame, planted: bool = True) -> DataFrame:
+    """Gold conversions from ``lineitem``: one row per (lead_id, etapa_funil)."""
+    g = (_stage_lines(li)
          .groupBy("lead_id", "etapa_funil")
          .agg(F.max("k").alias("k"), F.max("d").alias("d"),
               F.min("p").alias("p"), F.sum("v").alias("v")))
     return _gold_columns(g, planted)
 
 
-def gold_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_with_duplicates(li: DataFrame) -> DataFrame:
     """One gold row per lineitem row: repeated (order, line) pairs give repeated keys."""
-    return _gold_columns(_stage_lines(spark, sf_dir))
+    return _gold_columns(_stage_lines(li))
 
 
-def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (table(spark, sf_dir, "lineitem")
-            .where(F.col("l_linenumber").between(1, len(STAGES)))
+def _leads(li: DataFrame) -> DataFrame:
+    return (li.where(F.col("l_linenumber").between(1, len(STAGES)))
             .select(F.col("l_orderkey").alias("k")).distinct())
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw(li: DataFrame) -> DataFrame:
     """Raw CRM staging: one dirty e-mail and phone per lead."""
     k = F.col("k")
-    return _leads(spark, sf_dir).select(
+    return _leads(li).select(
         F.concat(F.lit("lead_"), k.cast("string")).alias("lead_id"),
         raw_email(k).alias("email_raw"),
         raw_phone(k).alias("phone_raw"))
@@ -164,7 +162,7 @@ _DEFECT_TEXT = {
 }
 
 
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def manifest(li: DataFrame) -> DataFrame:
     """Planted-defect labels, several rows per lead."""
     k = F.col("k")
     m = lambda n: F.pmod(k, F.lit(n))
@@ -177,13 +175,13 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     arms = F.array(*[F.when(cond, F.struct(F.lit(t).alias("tipo_defeito"),
                                            F.lit(_DEFECT_TEXT[t]).alias("descricao")))
                      for t, cond in rules])
-    return (_leads(spark, sf_dir)
+    return (_leads(li)
             .select(F.concat(F.lit("lead_"), k.cast("string")).alias("lead_id"),
                     F.explode(F.filter(arms, lambda x: x.isNotNull())).alias("d"))
             .select("lead_id", "d.tipo_defeito", "d.descricao"))
 
 
-def control(spark: SparkSession, sf_dir: str) -> DataFrame:
+def control(g: DataFrame) -> DataFrame:
     """Control table as left by earlier runs, from the unwindowed candidates.
 
     k mod 3 = 0 accepted; k mod 3 = 1 and k mod 17 = 0 error; k mod 3 = 1 and
@@ -192,7 +190,6 @@ def control(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.eligibility import candidates
     from ..operators.routing import identifier_used
 
-    g = gold(spark, sf_dir)
     c = candidates(g, as_of=None, windowed=False, carry=True)
     k = lead_number()
     m = lambda n: F.pmod(k, F.lit(n))
@@ -224,7 +221,7 @@ def control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def send_results(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> DataFrame:
+def send_results(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Outcome of sending everything eligible at ``as_of`` (MERGE source).
 
     k mod 4 = 1 failed with HTTP 400, the rest were accepted; sent at ``as_of``.
@@ -232,8 +229,7 @@ def send_results(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> DataF
     from ..operators.eligibility import eligible
     from ..operators.routing import route
 
-    g = gold(spark, sf_dir)
-    r = route(eligible(g, control(spark, sf_dir), as_of), g)
+    r = route(eligible(g, ctl, as_of), g)
     failed = F.pmod(lead_number(), F.lit(4)) == 1
     return r.select(
         "lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
@@ -246,12 +242,12 @@ def send_results(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> DataF
         ts_lit(as_of).alias("ts_envio"))
 
 
-def platform_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def platform_report(ctl: DataFrame) -> DataFrame:
     """What the platforms report back for accepted sends (reconciliation input).
 
     Rows with k mod 7 = 6 are not reported yet; k mod 5 = 4 are reported unmatched.
     """
-    c = control(spark, sf_dir).where(F.col("status_envio") == "aceito")
+    c = ctl.where(F.col("status_envio") == "aceito")
     k = lead_number()
     return (c.where(F.pmod(k, F.lit(7)) != 6)
              .select("plataforma",
@@ -260,27 +256,24 @@ def platform_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("ts_ultimo_envio") + F.expr("INTERVAL 1 DAYS")).alias("reported_at")))
 
 
-def batched_sends(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF,
+def batched_sends(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF,
                   batch_size: int = 50, n_buckets: int = 16) -> DataFrame:
     """Routed eligible rows cut into request batches (``envelopes.assign_batches``)."""
     from ..operators.eligibility import eligible
     from ..operators.envelopes import assign_batches
     from ..operators.routing import route
 
-    g = gold(spark, sf_dir)
-    r = route(eligible(g, control(spark, sf_dir), as_of), g)
+    r = route(eligible(g, ctl, as_of), g)
     return assign_batches(r, batch_size=batch_size, n_buckets=n_buckets, as_of=as_of)
 
 
-def responses(spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF,
-              batch_size: int = 50, n_buckets: int = 16) -> DataFrame:
+def responses(b: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Mock platform answers, one per batch, in the documented body shapes.
 
     Meta: events_received one short when batch_id mod 5 = 0. Google: HTTP 400
     when batch_id mod 4 = 3. Bing: HTTP 200 with a PartialErrors entry for
     every event whose lead k mod 6 = 0.
     """
-    b = batched_sends(spark, sf_dir, as_of, batch_size, n_buckets)
     k = lead_number()
     bing_err = F.when((F.col("plataforma") == "bing") & (F.pmod(k, F.lit(6)) == 0),
                       F.struct(F.col("position").alias("Index"), F.lit(3601).alias("Code"),
