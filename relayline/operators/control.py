@@ -136,19 +136,28 @@ def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Row-level change feed between two versions of the table.
 
     Rows only in ``after`` are inserts or update post-images (when their key
-    existed before); rows only in ``before`` are deletes or update pre-images.
-    Multiset differences and key semi-joins: no pairing of rows inside a key.
+    existed before); rows only in ``before`` are deletes or update pre-images;
+    repeated rows count with their multiplicity. Two aggregations over the
+    union of both versions (signed row counts by all columns; key presence by
+    key), both combined map-side, and one join on the key (NULL-safe, since
+    a NULL key is still a key here). No pairing of rows inside a key.
     """
-    b, a = conform(before), conform(after)
-    removed = b.exceptAll(a)
-    added = a.exceptAll(b)
-    keys_a = a.select(*KEY).distinct()
-    keys_b = b.select(*KEY).distinct()
-    pre = removed.join(keys_a, KEY, "left_semi").withColumn("_change_type", F.lit("update_preimage"))
-    dele = removed.join(keys_a, KEY, "left_anti").withColumn("_change_type", F.lit("delete"))
-    post = added.join(keys_b, KEY, "left_semi").withColumn("_change_type", F.lit("update_postimage"))
-    ins = added.join(keys_b, KEY, "left_anti").withColumn("_change_type", F.lit("insert"))
-    return pre.unionByName(post).unionByName(dele).unionByName(ins)
+    cols = CONTROL_COLUMNS
+    u = (conform(before).withColumn("_side", F.lit(-1))
+         .unionByName(conform(after).withColumn("_side", F.lit(1))))
+    net = u.groupBy(*cols).agg(F.sum("_side").alias("_net")).where(F.col("_net") != 0)
+    presence = u.groupBy(*KEY).agg(
+        F.max((F.col("_side") < 0).cast("int")).alias("_in_before"),
+        F.max((F.col("_side") > 0).cast("int")).alias("_in_after"))
+    p = presence.select(*[F.col(k).alias(f"_p_{k}") for k in KEY], "_in_before", "_in_after")
+    j = net.join(p, [net[k].eqNullSafe(p[f"_p_{k}"]) for k in KEY], "inner")
+    kind = (F.when((F.col("_net") < 0) & (F.col("_in_after") == 1), F.lit("update_preimage"))
+             .when(F.col("_net") < 0, F.lit("delete"))
+             .when(F.col("_in_before") == 1, F.lit("update_postimage"))
+             .otherwise(F.lit("insert")))
+    return (j.select(*cols, kind.alias("_change_type"),
+                     F.explode(F.array_repeat(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"))
+             .drop("_copy"))
 
 
 def apply_retry_policy(control: DataFrame, max_attempts: int = 3) -> DataFrame:

@@ -25,7 +25,7 @@ from ..session import checkpoint_dir
 from . import fixtures as fx
 
 _LOCK = threading.RLock()  # builders call other accessors
-_WRITTEN: dict[tuple, str] = {}
+_WRITTEN: dict[tuple, DataFrame] = {}  # read-back DataFrames: files are listed and footers read once
 
 
 class Fixtures:
@@ -55,16 +55,16 @@ class Fixtures:
             return build()
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.as_of, self.batch_size, self.n_buckets, name)
         with _LOCK:
-            path = _WRITTEN.get(key)
-            if path is None:
+            written = _WRITTEN.get(key)
+            if written is None:
                 path = f"{self._root()}/{name}"
                 df = build()
                 if cluster:
                     n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                     df = df.repartition(n, *cluster).sortWithinPartitions(*cluster)
                 df.write.mode("overwrite").parquet(path)
-                _WRITTEN[key] = path
-        return self.spark.read.parquet(path)
+                written = _WRITTEN[key] = self.spark.read.parquet(path)
+        return written
 
     def lineitem(self) -> DataFrame:
         return fx.table(self.spark, self.sf_dir, "lineitem")
