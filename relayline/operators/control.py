@@ -50,7 +50,11 @@ def dedupe_batch(batch: DataFrame) -> DataFrame:
     others = [c for c in SEND_RESULT_COLUMNS if c not in KEY and c != "ts_envio"]
     order = F.struct(F.col("ts_envio"), *[F.col(c) for c in others])
     row = F.struct(*[F.col(c) for c in SEND_RESULT_COLUMNS])
-    return batch.groupBy(*KEY).agg(F.max_by(row, order).alias("_r")).select("_r.*")
+    rest = [c for c in SEND_RESULT_COLUMNS if c not in KEY]
+    # keys come from the grouping output, not the struct, so the result keeps
+    # its hash partitioning on KEY and the upsert join does not shuffle it again
+    return (batch.groupBy(*KEY).agg(F.max_by(row, order).alias("_r"))
+                 .select(*KEY, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
 def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> DataFrame:

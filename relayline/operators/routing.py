@@ -47,24 +47,26 @@ def classify(df: DataFrame) -> DataFrame:
     return df.withColumn("identificador_usado", identifier_used()).withColumn("qualidade_match", match_quality())
 
 
-def route(eligible: DataFrame, gold: DataFrame) -> DataFrame:
-    """R2: eligible rows joined back to gold on (lead_id, etapa_funil).
+def route(eligible_carried: DataFrame) -> DataFrame:
+    """R2, one pass: eligible rows that carry their gold columns (built with
+    ``eligibility.eligible(..., carry=True)``) get their identifier and quality.
 
-    The join has no timestamp, so n gold rows per key give n x n routed rows
-    per platform, as in the original. Both sides are derived from gold that is
-    already hash-partitioned on this key, so the join reuses that partitioning.
+    No second join: each gold row yields at most one routed row per platform,
+    so the output is linear in gold even when (lead_id, etapa_funil) repeats.
     """
-    e = eligible.select(*GOLD_KEY, "plataforma", "data_hora_conversao")
-    g = gold.select(*GOLD_KEY, "email_hashed", "phone_hashed", "gclid", "fbclid", "msclkid",
-                    "campaign_id", "vl_faturamento_estimado")
-    return classify(e.join(g, GOLD_KEY, "inner")).select(*ROUTED_COLUMNS)
+    return classify(eligible_carried).select(*ROUTED_COLUMNS)
 
 
-def route_carried(eligible_carried: DataFrame) -> DataFrame:
-    """Routing for candidates built with ``carry=True`` from a gold whose key is unique.
+def route_join(eligible: DataFrame, gold: DataFrame) -> DataFrame:
+    """R2 as the original writes it: eligible joined back to gold on
+    (lead_id, etapa_funil), without the timestamp.
 
-    Same rows as ``route`` when gold has one row per (lead_id, etapa_funil),
-    without the second join. Check uniqueness with
-    ``operators.quality.gold_key_duplicates`` before choosing it.
+    Equal to ``route`` when the gold key is unique. With n gold rows per key
+    it returns n x n rows per platform (the original's behaviour), so it is
+    kept for parity checks only; audit the key first
+    (``quality.gold_key_duplicates``).
     """
-    return classify(eligible_carried).select(*ROUTED_COLUMNS)
+    e = eligible.select(*GOLD_KEY, "plataforma", "data_hora_conversao")
+    g = gold.select(*GOLD_KEY, "email_hashed", "phone_hashed", "gclid", "fbclid", "msclkid",
+                    "campaign_id", "vl_faturamento_estimado")
+    return classify(e.join(g, GOLD_KEY, "inner")).select(*ROUTED_COLUMNS)

@@ -54,8 +54,7 @@ def _eligible(s, d, **kw):
 
 def _routed(s, d):
     f = _fx(s, d)
-    g = f.gold()
-    return route(eligible(g, f.control(), AS_OF), g)
+    return route(eligible(f.gold(), f.control(), AS_OF, carry=True))
 
 
 def _appended(s, d):
@@ -106,7 +105,7 @@ QUERIES: dict[str, Query] = {
     "routed": _routed,
     "routed_quality_counts": lambda s, d: qa.routed_quality_counts(_routed(s, d)),
     "routed_duplicate_gold": lambda s, d: route(
-        eligible(_fx(s, d).gold_with_duplicates(), _control(s, d), AS_OF), _fx(s, d).gold_with_duplicates()),
+        eligible(_fx(s, d).gold_with_duplicates(), _control(s, d), AS_OF, carry=True)),
     "gold_key_duplicates": lambda s, d: qa.gold_key_duplicates(_fx(s, d).gold_with_duplicates()),
     # identity
     "email_normalized": lambda s, d: _fx(s, d).raw().select(

@@ -112,6 +112,13 @@ def _route(eligible: str, gold: str) -> str:
   FROM ({eligible}) e JOIN {gold} g ON e.lead_id = g.lead_id AND e.etapa_funil = g.etapa_funil"""
 
 
+def _route_carried(eligible: str) -> str:
+    return f"""SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, email_hashed, phone_hashed,
+    gclid, fbclid, msclkid, campaign_id, vl_faturamento_estimado,
+    {_ident()} AS identificador_usado, {_quality()} AS qualidade_match
+  FROM ({eligible})"""
+
+
 def _upsert(target: str, source: str) -> str:
     t_first = ["lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id"]
     s_first = ["valor_enviado", "identificador_usado", "status_envio", "http_status", "codigo_erro", "mensagem_resposta"]
@@ -307,7 +314,7 @@ _BODIES = {
     "routed": "SELECT * FROM routed",
     "routed_quality_counts": ("SELECT plataforma, qualidade_match, count(*) AS qtd FROM routed "
                               "GROUP BY plataforma, qualidade_match ORDER BY plataforma, qualidade_match"),
-    "routed_duplicate_gold": _route(_anti(_candidates('gold_dup', True), 'control'), 'gold_dup'),
+    "routed_duplicate_gold": _route_carried(_anti(_candidates('gold_dup', True, cols='*'), 'control')),
     "gold_key_duplicates": ("SELECT lead_id, etapa_funil, count(*) AS qtd FROM gold_dup "
                             "GROUP BY lead_id, etapa_funil HAVING count(*) > 1"),
     "email_normalized": f"SELECT lead_id, email_raw, {_normalize_email('email_raw')} AS email_normalizado FROM raw",

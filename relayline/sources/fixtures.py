@@ -229,7 +229,7 @@ def send_results(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame
     from ..operators.eligibility import eligible
     from ..operators.routing import route
 
-    r = route(eligible(g, ctl, as_of), g)
+    r = route(eligible(g, ctl, as_of, carry=True))
     failed = F.pmod(lead_number(), F.lit(4)) == 1
     return r.select(
         "lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
@@ -263,7 +263,7 @@ def batched_sends(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF,
     from ..operators.envelopes import assign_batches
     from ..operators.routing import route
 
-    r = route(eligible(g, ctl, as_of), g)
+    r = route(eligible(g, ctl, as_of, carry=True))
     return assign_batches(r, batch_size=batch_size, n_buckets=n_buckets, as_of=as_of)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from relayline.operators import control as ctl
 from relayline.operators.eligibility import candidates, eligible
-from relayline.operators.routing import route
+from relayline.operators.routing import route, route_join
 from relayline.sources import fixtures as fx
 from relayline.schemas import SEND_RESULT_COLUMNS
 
@@ -17,7 +17,8 @@ def test_loop_converges(spark):
     li = fx.table(spark, "/root/testdata/sf0.001", "lineitem")
     gold = fx.gold(li).cache()
     empty = ctl.conform(spark.createDataFrame([], "lead_id string"))
-    first = route(eligible(gold, empty, AS_OF), gold)
+    first = route(eligible(gold, empty, AS_OF, carry=True))
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, route_join(eligible(gold, empty, AS_OF), gold).collect()))
     n0 = first.count()
     assert n0 > 0
     sent = first.select("lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
@@ -58,7 +59,8 @@ def test_null_key_stays_eligible_and_drops_in_routing(spark):
                                                 "lead_id string, etapa_funil string, plataforma string, status_envio string"))
     e = eligible(gold, control, AS_OF)
     assert e.count() == 2
-    assert route(e, gold).count() == 1
+    assert route_join(e, gold).count() == 1
+    assert route(eligible(gold, control, AS_OF, carry=True)).count() == 2
 
 
 def test_duplicate_gold_keys_square(spark):
@@ -69,7 +71,8 @@ def test_duplicate_gold_keys_square(spark):
     rows = [("x", None, None, ts, "MQL", None, "g", None, None, "google_ads", None, None, None)] * 3
     gold = spark.createDataFrame(rows, schema)
     empty = ctl.conform(spark.createDataFrame([], "lead_id string"))
-    assert route(eligible(gold, empty, AS_OF), gold).count() == 9
+    assert route_join(eligible(gold, empty, AS_OF), gold).count() == 9  # the original's n x n
+    assert route(eligible(gold, empty, AS_OF, carry=True)).count() == 3  # one per gold row
 
 
 def test_one_scan_equals_union(spark):
