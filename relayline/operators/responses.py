@@ -57,11 +57,15 @@ def bing_record_errors(responses: DataFrame) -> DataFrame:
             .dropDuplicates(["plataforma", "batch_id", "position"]))
 
 
-def classify(batched: DataFrame, responses: DataFrame, sent_at=None) -> DataFrame:
+def classify(batched: DataFrame, responses: DataFrame, sent_at=None, answered_only: bool = False) -> DataFrame:
     """Send results (SEND_RESULT schema) for every batched event.
 
-    ``sent_at`` stamps events whose batch got no response.
+    ``sent_at`` stamps events whose batch got no response. With
+    ``answered_only`` only the batches present in ``responses`` are
+    classified (a streamed micro-batch holds some answers, not all).
     """
+    if answered_only:
+        batched = batched.join(responses.select("plataforma", "batch_id"), ["plataforma", "batch_id"], "left_semi")
     v = batch_verdicts(batched, responses)
     rec = bing_record_errors(responses)
     j = (batched.join(v, ["plataforma", "batch_id"], "left")
