@@ -51,7 +51,8 @@ def window_ok(as_of) -> Column:
 
 def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int = 64,
                    as_of=None, recheck_window: bool = True, future_guard: bool = False) -> DataFrame:
-    """Routed rows plus ``bucket``, ``batch_id`` and 0-based ``position``.
+    """Routed rows plus ``bucket``, ``batch_id``, 0-based ``position`` and
+    ``batch_events`` (the size of the row's batch).
 
     With ``recheck_window`` rows that fell out of their platform window since
     eligibility are dropped before batching (one stale Meta event fails the
@@ -71,12 +72,17 @@ def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int = 64
                         F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("etapa_funil"))).otherwise(F.lit(0))
     df = (df.withColumn("event_id", eid)
             .withColumn("bucket", bucket_of(eid, n_buckets) + F.lit(n_buckets) * stage_slot))
-    w = Window.partitionBy("plataforma", "bucket").orderBy("event_id", "lead_id", "etapa_funil")
-    rn = F.row_number().over(w) - 1
+    part = Window.partitionBy("plataforma", "bucket")
+    rn = F.row_number().over(part.orderBy("event_id", "lead_id", "etapa_funil")) - 1
+    batch_no = F.floor(F.col("_rn") / F.lit(batch_size)).cast("bigint")
+    # events in this row's batch, from the bucket size: same window partition, no extra shuffle
+    in_batch = F.least(F.lit(batch_size).cast("bigint"), F.col("_n") - batch_no * F.lit(batch_size))
     return (df.withColumn("_rn", rn)
-              .withColumn("batch_id", F.col("bucket") * F.lit(BUCKET_SPAN) + F.floor(F.col("_rn") / F.lit(batch_size)).cast("bigint"))
+              .withColumn("_n", F.count(F.lit(1)).over(part))
+              .withColumn("batch_id", F.col("bucket") * F.lit(BUCKET_SPAN) + batch_no)
               .withColumn("position", F.pmod(F.col("_rn"), F.lit(batch_size)).cast("int"))
-              .drop("_rn"))
+              .withColumn("batch_events", in_batch.cast("int"))
+              .drop("_rn", "_n"))
 
 
 def _google_destinations(cfg: EnvelopeConfig, stage: Column) -> Column:
@@ -104,7 +110,8 @@ def envelopes(batched: DataFrame, cfg: EnvelopeConfig | None = None, goal_name:
     """
     cfg = cfg or EnvelopeConfig()
     ev = with_events(batched, goal_name)
-    agg = (ev.groupBy("plataforma", "batch_id")
+    # grouping by the bucket too keeps the window's partitioning: no shuffle here
+    agg = (ev.groupBy("plataforma", "bucket", "batch_id")
              .agg(F.count("*").alias("n_events"),
                   F.min("etapa_funil").alias("first_stage"),
                   _events_of("meta_event").alias("m"),

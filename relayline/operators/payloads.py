@@ -145,7 +145,7 @@ def meta_flat(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("plataforma") == "meta").select(
         "lead_id", "etapa_funil", e.alias("e")).select(
         "lead_id", "etapa_funil", "e.event_name", "e.event_time", "e.action_source", "e.event_id",
-        F.col("e.user_data.em")[0].alias("em"), F.col("e.user_data.ph")[0].alias("ph"),
+        F.get(F.col("e.user_data.em"), 0).alias("em"), F.get(F.col("e.user_data.ph"), 0).alias("ph"),
         F.col("e.user_data.fbc").alias("fbc"), F.col("e.custom_data.value").alias("value"),
         F.col("e.custom_data.currency").alias("currency"))
 

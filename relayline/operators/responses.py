@@ -21,69 +21,58 @@ from ..functions.timefmt import ts_lit
 from ..schemas import BING_RESPONSE, META_RESPONSE, SEND_RESULT
 
 
-def batch_verdicts(batched: DataFrame, responses: DataFrame) -> DataFrame:
-    """One row per answered batch: ok flag, error code and raw body.
-
-    A batch answered more than once keeps its latest response.
+def batch_verdicts(responses: DataFrame) -> DataFrame:
+    """One row per answered batch (the latest answer if there are several):
+    HTTP status, raw body, Meta's ``events_received`` and Bing's per-record
+    errors as an array, bounded by the request size.
     """
-    responses = (responses.groupBy("plataforma", "batch_id")
-                 .agg(F.max_by(F.struct("http_status", "body", "ts_resposta"),
-                               F.struct("ts_resposta", "http_status", "body")).alias("_r"))
-                 .select("plataforma", "batch_id", "_r.*"))
-    sizes = batched.groupBy("plataforma", "batch_id").agg(F.count("*").alias("n_events"))
-    meta = F.from_json("body", META_RESPONSE)
+    latest = (responses.groupBy("plataforma", "batch_id")
+              .agg(F.max_by(F.struct("http_status", "body", "ts_resposta"),
+                            F.struct("ts_resposta", "http_status", "body")).alias("_r"))
+              .select("plataforma", "batch_id", "_r.*"))
     p, http = F.col("plataforma"), F.col("http_status")
-    ok = (F.when(p == "meta", (http == 200) & (meta["events_received"] == F.col("n_events")))
-           .when(p == "bing", http == 200)
-           .when(p == "google", http.between(200, 299))
-           .otherwise(F.lit(False)))
-    code = (F.when((p == "meta") & (http == 200), F.lit("EVENTS_RECEIVED_MISMATCH"))
-             .otherwise(F.concat(F.lit("HTTP_"), F.coalesce(http.cast("string"), F.lit("NULL")))))
-    return (responses.join(sizes, ["plataforma", "batch_id"], "left")
-            .select("plataforma", "batch_id", "http_status", "ts_resposta",
-                    F.coalesce(ok, F.lit(False)).alias("batch_ok"),
-                    code.alias("batch_error"),
-                    F.col("body").alias("raw_body")))
-
-
-def bing_record_errors(responses: DataFrame) -> DataFrame:
-    """Per-record errors inside accepted Bing requests (NULL entries skipped)."""
-    parsed = F.from_json("body", BING_RESPONSE)["PartialErrors"]
-    return (responses.where((F.col("plataforma") == "bing") & (F.col("http_status") == 200))
-            .select("plataforma", "batch_id", F.explode(parsed).alias("pe"))
-            .where(F.col("pe").isNotNull() & F.col("pe.Index").isNotNull())
-            .select("plataforma", "batch_id", F.col("pe.Index").alias("position"),
-                    F.col("pe.ErrorCode").alias("record_error"), F.col("pe.Message").alias("record_message"))
-            .dropDuplicates(["plataforma", "batch_id", "position"]))
+    bing_errors = F.filter(F.from_json("body", BING_RESPONSE)["PartialErrors"],
+                           lambda e: e.isNotNull() & e["Index"].isNotNull())
+    return latest.select(
+        "plataforma", "batch_id", "http_status", "ts_resposta", F.col("body").alias("raw_body"),
+        F.when(p == "meta", F.from_json("body", META_RESPONSE)["events_received"]).alias("events_received"),
+        F.when((p == "bing") & (http == 200), bing_errors).alias("record_errors"))
 
 
 def classify(batched: DataFrame, responses: DataFrame, sent_at=None, answered_only: bool = False) -> DataFrame:
     """Send results (SEND_RESULT schema) for every batched event.
 
-    ``sent_at`` stamps events whose batch got no response. With
-    ``answered_only`` only the batches present in ``responses`` are
-    classified (a streamed micro-batch holds some answers, not all).
+    One join of events with batch verdicts on (plataforma, batch_id); a Bing
+    event's own error is looked up by position in its batch's error array.
+    ``sent_at`` stamps events whose batch got no response; with
+    ``answered_only`` events of unanswered batches are left out (a streamed
+    micro-batch holds some answers, not all).
     """
-    if answered_only:
-        batched = batched.join(responses.select("plataforma", "batch_id"), ["plataforma", "batch_id"], "left_semi")
-    v = batch_verdicts(batched, responses)
-    rec = bing_record_errors(responses)
-    j = (batched.join(v, ["plataforma", "batch_id"], "left")
-                .join(rec, ["plataforma", "batch_id", "position"], "left"))
-    answered = F.col("batch_ok").isNotNull()
-    accepted = answered & F.col("batch_ok") & F.col("record_error").isNull()
-    status = F.when(accepted, F.lit("aceito")).otherwise(F.lit("erro"))
+    v = batch_verdicts(responses)
+    j = batched.join(v, ["plataforma", "batch_id"], "inner" if answered_only else "left")
+    p, http = F.col("plataforma"), F.col("http_status")
+    answered = F.col("ts_resposta").isNotNull() | http.isNotNull() | F.col("raw_body").isNotNull()
+    batch_ok = (F.when(p == "meta", (http == 200) & (F.col("events_received") == F.col("batch_events")))
+                 .when(p == "bing", http == 200)
+                 .when(p == "google", http.between(200, 299))
+                 .otherwise(F.lit(False)))
+    batch_ok = F.coalesce(batch_ok, F.lit(False))
+    own = F.get(F.filter(F.col("record_errors"), lambda e: e["Index"] == F.col("position")), 0)
+    batch_error = (F.when((p == "meta") & (http == 200), F.lit("EVENTS_RECEIVED_MISMATCH"))
+                    .otherwise(F.concat(F.lit("HTTP_"), F.coalesce(http.cast("string"), F.lit("NULL")))))
+    accepted = answered & batch_ok & own.isNull()
     code = (F.when(~answered, F.lit("NO_RESPONSE"))
-             .when(~F.col("batch_ok"), F.col("batch_error"))
-             .when(F.col("record_error").isNotNull(), F.col("record_error")))
-    message = F.when(F.col("record_message").isNotNull(), F.col("record_message")).otherwise(F.col("raw_body"))
+             .when(~batch_ok, batch_error)
+             .when(own.isNotNull(), own["ErrorCode"]))
+    message = F.when(own.isNotNull(), own["Message"]).otherwise(F.col("raw_body"))
+    stamp = ts_lit(sent_at) if sent_at is not None else F.lit(None).cast("timestamp_ntz")
     out = j.select(
         "lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
         F.col("vl_faturamento_estimado").alias("valor_enviado"),
         "identificador_usado",
-        status.alias("status_envio"),
-        F.col("http_status"),
+        F.when(accepted, F.lit("aceito")).otherwise(F.lit("erro")).alias("status_envio"),
+        http.alias("http_status"),
         code.alias("codigo_erro"),
         message.alias("mensagem_resposta"),
-        F.coalesce(F.col("ts_resposta"), ts_lit(sent_at) if sent_at is not None else F.lit(None)).alias("ts_envio"))
+        F.coalesce(F.col("ts_resposta"), stamp).alias("ts_envio"))
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SEND_RESULT.fields])

@@ -279,7 +279,7 @@ def responses(b: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
                       F.struct(F.col("position").alias("Index"), F.lit(3601).alias("Code"),
                                F.lit("InvalidClickId").alias("ErrorCode"),
                                F.lit("click id not found").alias("Message")))
-    per_batch = b.groupBy("plataforma", "batch_id").agg(
+    per_batch = b.groupBy("plataforma", "bucket", "batch_id").agg(
         F.count("*").alias("n"), F.sort_array(F.collect_list(bing_err)).alias("errs"))
     bid, p = F.col("batch_id"), F.col("plataforma")
     meta_body = F.to_json(F.struct(
