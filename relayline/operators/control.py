@@ -3,7 +3,7 @@
 There is no transactional table format on the classpath, so every change is
 a DataFrame that describes the *next* version of the table; the caller
 writes it as a new snapshot (``sources.tables.SnapshotTable``) and swaps the
-view. The upsert is one full outer join on the three-part key.
+view. The upsert joins on the three-part key.
 """
 
 from __future__ import annotations
@@ -67,16 +67,22 @@ def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> Dat
     attempt and both send times equal to ``ts_envio``. Duplicate target keys
     are each updated; duplicate batch keys are reduced to the latest row
     (``dedupe``), NULL batch keys fail the job.
+
+    Plan: the same rows as a full outer join, written as
+    ``target LEFT JOIN batch`` (updates and untouched rows) plus
+    ``batch LEFT ANTI JOIN distinct target keys`` (inserts). Neither join
+    buffers more than one row per key on its build side, so a key repeated
+    millions of times in the target streams through (a full outer sort-merge
+    join would buffer all of them, and AQE cannot split it).
     """
     src = refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS))
     if dedupe:
         src = dedupe_batch(src)
-    t = conform(target).withColumn("_t", F.lit(True)).alias("t")
-    s = src.withColumn("_s", F.lit(True)).alias("s")
-    j = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY], "full_outer")
-    in_t, in_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
-    both, only_s = in_t & in_s, in_s & ~in_t
     now_c = ts_lit(now)
+    t = conform(target).alias("t")
+    s = src.withColumn("_s", F.lit(True)).alias("s")
+    j = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY], "left")
+    hit = F.col("s._s").isNotNull()
 
     def tv(c):
         return F.col(f"t.{c}")
@@ -84,23 +90,24 @@ def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> Dat
     def sv(c):
         return F.col(f"s.{c}")
 
-    cols = {
-        "lead_id": F.when(in_t, tv("lead_id")).otherwise(sv("lead_id")),
-        "etapa_funil": F.when(in_t, tv("etapa_funil")).otherwise(sv("etapa_funil")),
-        "plataforma": F.when(in_t, tv("plataforma")).otherwise(sv("plataforma")),
-        "data_hora_conversao": F.when(in_t, tv("data_hora_conversao")).otherwise(sv("data_hora_conversao")),
-        "campaign_id": F.when(in_t, tv("campaign_id")).otherwise(sv("campaign_id")),
-        "tentativas": F.when(both, tv("tentativas") + 1).when(only_s, F.lit(1)).otherwise(tv("tentativas")),
-        "ts_primeiro_envio": F.when(only_s, sv("ts_envio")).otherwise(tv("ts_primeiro_envio")),
-        "ts_ultimo_envio": F.when(in_s, sv("ts_envio")).otherwise(tv("ts_ultimo_envio")),
-        "status_match": F.when(only_s, F.lit(None)).otherwise(tv("status_match")),
-        "ts_reconciliacao": F.when(only_s, F.lit(None)).otherwise(tv("ts_reconciliacao")),
-        "dt_atualizacao": F.when(in_s, now_c).otherwise(tv("dt_atualizacao")),
-    }
+    upd = {c: tv(c) for c in CONTROL_COLUMNS}
     for c in ["valor_enviado", "identificador_usado", "status_envio", "http_status", "codigo_erro",
               "mensagem_resposta"]:
-        cols[c] = F.when(in_s, sv(c)).otherwise(tv(c))
-    return j.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields])
+        upd[c] = F.when(hit, sv(c)).otherwise(tv(c))
+    upd["tentativas"] = F.when(hit, tv("tentativas") + 1).otherwise(tv("tentativas"))
+    upd["ts_ultimo_envio"] = F.when(hit, sv("ts_envio")).otherwise(tv("ts_ultimo_envio"))
+    upd["dt_atualizacao"] = F.when(hit, now_c).otherwise(tv("dt_atualizacao"))
+    updated = j.select(*[upd[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields])
+
+    existing = conform(target).select(*KEY).distinct()
+    new_rows = src.join(existing, KEY, "left_anti")
+    ins = {c: F.col(c) for c in ["lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
+                                  "valor_enviado", "identificador_usado", "status_envio", "http_status",
+                                  "codigo_erro", "mensagem_resposta"]}
+    ins.update({"tentativas": F.lit(1), "ts_primeiro_envio": F.col("ts_envio"), "ts_ultimo_envio": F.col("ts_envio"),
+                "status_match": F.lit(None), "ts_reconciliacao": F.lit(None), "dt_atualizacao": now_c})
+    inserted = new_rows.select(*[ins[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields])
+    return updated.unionByName(inserted)
 
 
 def key_counts(control: DataFrame) -> DataFrame:

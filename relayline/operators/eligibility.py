@@ -65,7 +65,9 @@ def candidates(gold: DataFrame, as_of=None, windowed: bool = True, future_guard:
 def blocking_keys(control: DataFrame, block_dead_letter: bool = False) -> DataFrame:
     """Keys that must not be sent again: accepted (and optionally dead-lettered)."""
     statuses = ["aceito"] + (["dead_letter"] if block_dead_letter else [])
-    return control.where(F.col("status_envio").isin(*statuses)).select(*KEY)
+    # distinct (combined map-side): a key repeated in control is one row on the
+    # build side of the anti join, never a buffer of all its copies
+    return control.where(F.col("status_envio").isin(*statuses)).select(*KEY).distinct()
 
 
 def eligible(gold: DataFrame, control: DataFrame, as_of=None, windowed: bool = True,

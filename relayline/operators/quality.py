@@ -139,7 +139,30 @@ def audit_future(gold: DataFrame, as_of) -> DataFrame:
 
 
 def audit_stage_order(gold: DataFrame) -> DataFrame:
-    """Q15: a later funnel stage stamped before the previous stage of the same lead."""
+    """Q15: a later funnel stage stamped before the previous stage of the same lead.
+
+    Row-level meaning: order a lead's rows by (stage rank, time) and flag a
+    row earlier than the row before it. Inside one stage rows are in time
+    order, so only the first row of a stage can be flagged, against the last
+    row of the previous stage present. Hence: aggregate (lead, stage) to its
+    first and last time (map-side), then ``lag`` over at most four rows per
+    lead, so a lead with millions of repeated rows is still a tiny window.
+    """
+    rank = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("etapa_funil"))
+    per_stage = (gold.groupBy("lead_id", "etapa_funil")
+                     .agg(F.min("data_hora_conversao").alias("data_hora_conversao"),
+                          F.max("data_hora_conversao").alias("_last"))
+                     .withColumn("_rank", rank))
+    w = Window.partitionBy("lead_id").orderBy("_rank")
+    return (per_stage
+            .withColumn("etapa_anterior", F.lag("etapa_funil").over(w))
+            .withColumn("ts_etapa_anterior", F.lag("_last").over(w))
+            .where(F.col("data_hora_conversao") < F.col("ts_etapa_anterior"))
+            .select("lead_id", "etapa_funil", "data_hora_conversao", "etapa_anterior", "ts_etapa_anterior"))
+
+
+def audit_stage_order_rows(gold: DataFrame) -> DataFrame:
+    """Q15 by a row-level ``lag`` (reference form; one task sorts a whole lead)."""
     rank = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("etapa_funil"))
     w = Window.partitionBy("lead_id").orderBy(rank, F.col("data_hora_conversao"))
     return (gold.select("lead_id", "etapa_funil", "data_hora_conversao")

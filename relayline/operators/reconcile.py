@@ -65,7 +65,10 @@ def business_cuts(control: DataFrame, gold: DataFrame) -> DataFrame:
 
     The business attributes come from gold (J4: left join on lead and stage).
     """
-    g = gold.select(*GOLD_KEY, "produto", "porte_cliente")
+    # one attribute row per key (aggregated map-side), so repeated gold keys
+    # neither multiply the counts nor pile up on one task
+    g = gold.groupBy(*GOLD_KEY).agg(F.max("produto").alias("produto"),
+                                    F.max("porte_cliente").alias("porte_cliente"))
     j = control.join(g, GOLD_KEY, "left")
     acc = F.col("status_envio") == "aceito"
     return j.groupBy("plataforma", "produto", "porte_cliente").agg(

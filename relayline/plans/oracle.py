@@ -394,7 +394,9 @@ _BODIES = {
                count(CASE WHEN c.status_envio = 'aceito' THEN 1 END) AS aceitos,
                count(CASE WHEN c.status_match = 'casado' THEN 1 END) AS casados,
                count(CASE WHEN c.status_match IS NOT NULL THEN 1 END) AS reconciliados
-        FROM reconciled c LEFT JOIN (SELECT lead_id, etapa_funil, produto, porte_cliente FROM gold) g
+        FROM reconciled c LEFT JOIN (SELECT lead_id, etapa_funil, max(produto) AS produto,
+                                            max(porte_cliente) AS porte_cliente
+                                     FROM gold GROUP BY lead_id, etapa_funil) g
           ON c.lead_id = g.lead_id AND c.etapa_funil = g.etapa_funil
         GROUP BY c.plataforma, g.produto, g.porte_cliente)""",
     "audit_hash": "SELECT * FROM hash_audit",

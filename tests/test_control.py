@@ -143,3 +143,17 @@ def test_retry_policy(spark, vectors):
     t2 = t.withColumn("tentativas", F.when(F.col("lead_id") == "a", 3).otherwise(F.col("tentativas")))
     got = {(r["lead_id"], r["status_envio"]) for r in ctl.apply_retry_policy(t2, 3).collect()}
     assert ("a", "dead_letter") in got and ("d", "erro") in got and ("b", "aceito") in got
+
+
+def test_upsert_equals_full_outer_join_semantics(spark, vectors):
+    """The left-join + anti-join plan gives the full outer join's rows, hot keys included."""
+    t, b = vectors
+    hot = t.where("lead_id = 'a'")
+    for _ in range(6):
+        hot = hot.unionByName(hot)
+    big = t.unionByName(hot)  # key a repeated 65 times
+    out = ctl.upsert(big, b, now=D(2024, 2, 1))
+    assert out.count() == big.count() + 1  # one insert (c)
+    a_rows = out.where("lead_id = 'a'").collect()
+    assert len(a_rows) == 65 and {r["tentativas"] for r in a_rows} == {2}
+    assert {r["status_envio"] for r in a_rows} == {"aceito"}

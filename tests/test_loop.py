@@ -82,3 +82,12 @@ def test_one_scan_equals_union(spark):
         a = candidates(gold, AS_OF, windowed=windowed, one_scan=True)
         b = candidates(gold, AS_OF, windowed=windowed, one_scan=False)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stage_order_aggregated_equals_row_level(spark):
+    from relayline.operators.quality import audit_stage_order, audit_stage_order_rows
+    li = fx.table(spark, "/root/testdata/sf0.01", "lineitem")
+    for gold in (fx.gold(li), fx.gold_with_duplicates(li)):
+        a, b = audit_stage_order(gold), audit_stage_order_rows(gold)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
