@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import platform
 import statistics
 import sys
 import tempfile
@@ -74,6 +75,12 @@ def main() -> None:
         "runs": runs,
         "sink": "noop",
         "spark": spark.version,
+        "machine": {"cpus_visible": os.cpu_count(), "platform": platform.platform(),
+                    "python": platform.python_version()},
+        "settings": {k: spark.conf.get(k) for k in (
+            "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
+            "spark.sql.adaptive.skewJoin.enabled", "spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.files.maxPartitionBytes", "spark.driver.memory")},
     }))
     spark.stop()
 
