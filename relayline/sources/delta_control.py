@@ -1,0 +1,52 @@
+"""MERGE into a Delta Lake control table, when Delta Lake is installed.
+
+With a transactional table format the upsert does not need the full-table
+snapshot of ``sources.tables.ControlTable``: Delta's MERGE rewrites only the
+files that hold matched keys and commits atomically. The source is prepared
+exactly as in ``operators.control.upsert`` (NULL keys refused, one row per
+key), because MERGE fails when several source rows match one target row.
+
+Delta Lake is not part of this environment, so this path is not exercised by
+the tests; the DataFrame upsert is the tested reference.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions.timefmt import as_of_text
+from ..operators.control import dedupe_batch, refuse_null_keys
+from ..schemas import KEY, SEND_RESULT_COLUMNS
+
+try:  # optional dependency
+    from delta.tables import DeltaTable
+except ImportError:  # pragma: no cover - depends on the environment
+    DeltaTable = None
+
+_FROM_BATCH = ["valor_enviado", "identificador_usado", "status_envio", "http_status", "codigo_erro",
+               "mensagem_resposta"]
+
+
+def available() -> bool:
+    return DeltaTable is not None
+
+
+def merge_outcomes(spark: SparkSession, path: str, batch: DataFrame, now, dedupe: bool = True) -> None:
+    """M1 as a Delta MERGE on (lead_id, etapa_funil, plataforma)."""
+    if DeltaTable is None:
+        raise RuntimeError("Delta Lake is not installed; use sources.tables.ControlTable")
+    src = refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS))
+    if dedupe:
+        src = dedupe_batch(src)
+    now_sql = f"CAST('{as_of_text(now)}' AS TIMESTAMP_NTZ)"
+    update = {c: f"s.{c}" for c in _FROM_BATCH}
+    update.update({"tentativas": "t.tentativas + 1", "ts_ultimo_envio": "s.ts_envio", "dt_atualizacao": now_sql})
+    insert = {c: f"s.{c}" for c in ["lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
+                                     *_FROM_BATCH]}
+    insert.update({"tentativas": "1", "ts_primeiro_envio": "s.ts_envio", "ts_ultimo_envio": "s.ts_envio",
+                   "status_match": "NULL", "ts_reconciliacao": "NULL", "dt_atualizacao": now_sql})
+    (DeltaTable.forPath(spark, path).alias("t")
+        .merge(src.alias("s"), " AND ".join(f"t.{k} = s.{k}" for k in KEY))
+        .whenMatchedUpdate(set=update)
+        .whenNotMatchedInsert(values=insert)
+        .execute())
