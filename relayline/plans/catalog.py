@@ -148,6 +148,9 @@ QUERIES: dict[str, Query] = {
     # responses, reconciliation, monitoring
     "responses_classified": lambda s, d: resp.classify(
         _batched(s, d), _fx(s, d).responses()).drop("mensagem_resposta"),
+    "control_after_responses": lambda s, d: ctl.apply_retry_policy(ctl.upsert(
+        _control(s, d), resp.classify(_batched(s, d), _fx(s, d).responses()), now=AS_OF),
+        MAX_ATTEMPTS).drop("mensagem_resposta"),
     "reconciled": _reconciled,
     "send_latency": lambda s, d: rec.send_latency(_control(s, d)),
     "send_latency_quantiles": lambda s, d: rec.send_latency_quantiles(_control(s, d)),

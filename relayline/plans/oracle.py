@@ -252,6 +252,16 @@ batched AS (
                      (('0x' || substr(sha256(lead_id || '_' || etapa_funil), 1, 8))::BIGINT % {N_BUCKETS})
                      + {N_BUCKETS} * (CASE WHEN plataforma = 'google' THEN list_position({_lst(STAGES)}, etapa_funil) ELSE 0 END) AS bucket
               FROM routed WHERE {_window_ok}))),
+classified AS (SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, campaign_id,
+    CAST(vl_faturamento_estimado AS DECIMAL(18,2)) AS valor_enviado, identificador_usado,
+    CASE WHEN err IS NULL THEN 'aceito' ELSE 'erro' END AS status_envio,
+    CAST(CASE WHEN plataforma = 'google' AND batch_id % 4 = 3 THEN 400 ELSE 200 END AS INTEGER) AS http_status,
+    err AS codigo_erro, CAST(NULL AS VARCHAR) AS mensagem_resposta,
+    {TS_AS_OF} + INTERVAL 1 MINUTE AS ts_envio
+  FROM (SELECT *, CASE WHEN plataforma = 'meta' AND batch_id % 5 = 0 THEN 'EVENTS_RECEIVED_MISMATCH'
+                       WHEN plataforma = 'google' AND batch_id % 4 = 3 THEN 'HTTP_400'
+                       WHEN plataforma = 'bing' AND {_pm(KK, 6)} = 0 THEN 'InvalidClickId' END AS err
+        FROM batched)),
 hash_audit AS (
   SELECT r.lead_id,
          {_field_status('g.email_hashed', 'sha256(' + _normalize_email('r.email_raw') + ')')} AS email_status,
@@ -374,15 +384,10 @@ _BODIES = {
     "control_changes": _changes("control", "upserted"),
     "eligible_after_upsert": _anti('SELECT * FROM cand_win', 'upserted'),
     "retry_state": _retry("upserted"),
-    "responses_classified": f"""SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, campaign_id,
-    CAST(vl_faturamento_estimado AS DECIMAL(18,2)) AS valor_enviado, identificador_usado,
-    CASE WHEN err IS NULL THEN 'aceito' ELSE 'erro' END AS status_envio,
-    CAST(CASE WHEN plataforma = 'google' AND batch_id % 4 = 3 THEN 400 ELSE 200 END AS INTEGER) AS http_status,
-    err AS codigo_erro, {TS_AS_OF} + INTERVAL 1 MINUTE AS ts_envio
-  FROM (SELECT *, CASE WHEN plataforma = 'meta' AND batch_id % 5 = 0 THEN 'EVENTS_RECEIVED_MISMATCH'
-                       WHEN plataforma = 'google' AND batch_id % 4 = 3 THEN 'HTTP_400'
-                       WHEN plataforma = 'bing' AND {_pm(KK, 6)} = 0 THEN 'InvalidClickId' END AS err
-        FROM batched)""",
+    "responses_classified": "SELECT * EXCLUDE (mensagem_resposta) FROM classified",
+    "control_after_responses": (
+        "SELECT * EXCLUDE (mensagem_resposta) FROM ("
+        + _retry(f"({_upsert('control', 'classified')})") + ")"),
     "reconciled": "SELECT * FROM reconciled",
     "send_latency": """SELECT plataforma, count(lat) AS envios, avg(lat) AS latencia_media_ms,
     min(lat) AS latencia_min_ms, max(lat) AS latencia_max_ms
