@@ -13,17 +13,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import expression_cache
 from ..functions.timefmt import ts_lit
 from ..schemas import (CONTROL, CONTROL_COLUMNS, CONTROL_NOT_NULL, KEY, PLATFORMS, SEND_RESULT_COLUMNS,
                        SEND_STATUSES, STAGES)
 
 
+@expression_cache
+def _conform_exprs(present: frozenset) -> list:
+    return [(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in CONTROL.fields]
+
+
 def conform(df: DataFrame) -> DataFrame:
     """Cast to the control schema; missing columns become NULL."""
-    present = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in CONTROL.fields])
+    return df.select(*_conform_exprs(frozenset(df.columns)))
 
 
 def append(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -36,10 +40,15 @@ def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
     return target.where(~F.coalesce(predicate, F.lit(False)))
 
 
+@expression_cache
+def _key_guard(what: str):
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in KEY])
+    return F.when(null_key, F.raise_error(F.lit(f"NULL key in {what}"))).otherwise(F.lit(True))
+
+
 def refuse_null_keys(df: DataFrame, what: str = "MERGE source") -> DataFrame:
     """Fail the job (at execution, not on the driver) if a key column is NULL."""
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in KEY])
-    return df.where(F.when(null_key, F.raise_error(F.lit(f"NULL key in {what}"))).otherwise(F.lit(True)))
+    return df.where(_key_guard(what))
 
 
 def dedupe_batch(batch: DataFrame) -> DataFrame:
@@ -78,10 +87,23 @@ def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> Dat
     src = refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS))
     if dedupe:
         src = dedupe_batch(src)
-    now_c = ts_lit(now)
     t = conform(target).alias("t")
     s = src.withColumn("_s", F.lit(True)).alias("s")
-    j = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY], "left")
+    j = t.join(s, _join_on_key(), "left")
+    updated = j.select(*_updated_exprs(str(now)))
+    existing = conform(target).select(*KEY).distinct()
+    inserted = src.join(existing, KEY, "left_anti").select(*_inserted_exprs(str(now)))
+    return updated.unionByName(inserted)
+
+
+@expression_cache
+def _join_on_key() -> list:
+    return [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY]
+
+
+@expression_cache
+def _updated_exprs(now: str) -> list:
+    """Target row after a left join with the batch (aliases ``t`` and ``s``)."""
     hit = F.col("s._s").isNotNull()
 
     def tv(c):
@@ -91,23 +113,26 @@ def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> Dat
         return F.col(f"s.{c}")
 
     upd = {c: tv(c) for c in CONTROL_COLUMNS}
-    for c in ["valor_enviado", "identificador_usado", "status_envio", "http_status", "codigo_erro",
-              "mensagem_resposta"]:
+    for c in _FROM_BATCH:
         upd[c] = F.when(hit, sv(c)).otherwise(tv(c))
     upd["tentativas"] = F.when(hit, tv("tentativas") + 1).otherwise(tv("tentativas"))
     upd["ts_ultimo_envio"] = F.when(hit, sv("ts_envio")).otherwise(tv("ts_ultimo_envio"))
-    upd["dt_atualizacao"] = F.when(hit, now_c).otherwise(tv("dt_atualizacao"))
-    updated = j.select(*[upd[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields])
+    upd["dt_atualizacao"] = F.when(hit, ts_lit(now)).otherwise(tv("dt_atualizacao"))
+    return [upd[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields]
 
-    existing = conform(target).select(*KEY).distinct()
-    new_rows = src.join(existing, KEY, "left_anti")
+
+@expression_cache
+def _inserted_exprs(now: str) -> list:
+    """A batch row inserted as a new control row."""
     ins = {c: F.col(c) for c in ["lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
-                                  "valor_enviado", "identificador_usado", "status_envio", "http_status",
-                                  "codigo_erro", "mensagem_resposta"]}
+                                  *_FROM_BATCH]}
     ins.update({"tentativas": F.lit(1), "ts_primeiro_envio": F.col("ts_envio"), "ts_ultimo_envio": F.col("ts_envio"),
-                "status_match": F.lit(None), "ts_reconciliacao": F.lit(None), "dt_atualizacao": now_c})
-    inserted = new_rows.select(*[ins[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields])
-    return updated.unionByName(inserted)
+                "status_match": F.lit(None), "ts_reconciliacao": F.lit(None), "dt_atualizacao": ts_lit(now)})
+    return [ins[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields]
+
+
+_FROM_BATCH = ["valor_enviado", "identificador_usado", "status_envio", "http_status", "codigo_erro",
+               "mensagem_resposta"]
 
 
 def key_counts(control: DataFrame) -> DataFrame:

@@ -19,17 +19,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import expression_cache
 from ..functions.timefmt import days_before, ts_lit
 from ..schemas import KEY, PLATFORM_RULES, PlatformRule
 
 CANDIDATE_COLUMNS = ["lead_id", "etapa_funil", "data_hora_conversao", "plataforma"]
 
 
+@expression_cache
 def platform_signal(rule: PlatformRule) -> Column:
     """the platform's own click ID, or a lead that came from its paid media."""
     return F.col(rule.click_col).isNotNull() | (F.col("origem_midia") == F.lit(rule.paid_origin))
 
 
+@expression_cache
 def platform_predicate(rule: PlatformRule, as_of, windowed: bool = True,
                        future_guard: bool = False) -> Column:
     cond = platform_signal(rule)

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.cache import expression_cache
 from ..functions.timefmt import days_before, ts_lit
 from ..schemas import GOOGLE_ENCODING, GOOGLE_PRODUCT, RULE_BY_PLATFORM, STAGES
 from .payloads import event_id, with_events
@@ -39,6 +40,7 @@ def bucket_of(key: Column, n_buckets: int) -> Column:
     return F.pmod(h, F.lit(n_buckets))
 
 
+@expression_cache
 def window_ok(as_of) -> Column:
     """M7: still inside the platform window when the batch is frozen."""
     p, ts = F.col("plataforma"), F.col("data_hora_conversao")

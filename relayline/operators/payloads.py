@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import expression_cache
 from ..functions.identity import nonblank
 from ..functions.timefmt import iso_z, unix_millis, unix_seconds
 from ..schemas import (CURRENCY, EVENT_NAME_PREFIX, GOOGLE_EVENT_SOURCE, META_ACTION_SOURCE,
@@ -19,19 +20,23 @@ from ..schemas import (CURRENCY, EVENT_NAME_PREFIX, GOOGLE_EVENT_SOURCE, META_AC
 TS = "data_hora_conversao"
 
 
+@expression_cache
 def value_double() -> Column:
     """``float(value or 0)``."""
     return F.coalesce(F.col("vl_faturamento_estimado").cast("double"), F.lit(0.0))
 
 
+@expression_cache
 def event_id() -> Column:
     return F.concat(F.col("lead_id"), F.lit("_"), F.col("etapa_funil"))
 
 
+@expression_cache
 def event_name() -> Column:
     return F.concat(F.lit(EVENT_NAME_PREFIX), F.col("etapa_funil"))
 
 
+@expression_cache
 def meta_event() -> Column:
     """Conversions API event."""
     email, phone, fbclid = nonblank("email_hashed"), nonblank("phone_hashed"), nonblank("fbclid")
@@ -52,6 +57,7 @@ def meta_event() -> Column:
     )
 
 
+@expression_cache
 def google_user_identifiers() -> Column:
     email, phone = nonblank("email_hashed"), nonblank("phone_hashed")
     none = F.lit(None).cast("string")
@@ -62,6 +68,7 @@ def google_user_identifiers() -> Column:
     return F.filter(ids, lambda x: x.isNotNull())
 
 
+@expression_cache
 def google_event() -> Column:
     """Data Manager event; the identifier list may be empty."""
     gclid = nonblank("gclid")
@@ -76,6 +83,7 @@ def google_event() -> Column:
     )
 
 
+@expression_cache
 def bing_event(goal_name: str | None = None) -> Column:
     """Offline conversion; ``goal_name`` overrides the conversion name."""
     name = F.lit(goal_name) if goal_name else event_name()
@@ -93,6 +101,7 @@ def bing_event(goal_name: str | None = None) -> Column:
 EVENT_BUILDERS = {"meta": meta_event, "google": google_event, "bing": bing_event}
 
 
+@expression_cache
 def sendable() -> Column:
     """The payload carries at least one identifier the platform can match on."""
     p = F.col("plataforma")
@@ -113,6 +122,7 @@ def with_events(routed: DataFrame, goal_name: str | None = None) -> DataFrame:
     )
 
 
+@expression_cache
 def payload_json(strict: bool = False, goal_name: str | None = None) -> Column:
     """P4 dispatcher: JSON text of the row's platform payload.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import expression_cache
 from ..schemas import GOLD_KEY, PLATFORM_RULES
 
 ROUTED_COLUMNS = [
@@ -14,6 +15,7 @@ ROUTED_COLUMNS = [
 ]
 
 
+@expression_cache
 def identifier_used(platform: str = "plataforma") -> Column:
     """Own click ID, else e-mail hash, else phone hash, else none.
 
@@ -30,6 +32,7 @@ def identifier_used(platform: str = "plataforma") -> Column:
     return out
 
 
+@expression_cache
 def match_quality(platform: str = "plataforma") -> Column:
     """Deterministic with the platform's own click ID, probabilistic with any hash."""
     p = F.col(platform)
