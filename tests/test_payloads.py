@@ -5,7 +5,6 @@ import json
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from relayline.operators import payloads as pay
 from relayline.operators.routing import ROUTED_COLUMNS

@@ -1,6 +1,5 @@
 """Physical-plan properties: pushdown, pruning, no Python in the hot path."""
 
-from pyspark.sql import functions as F
 
 from relayline.operators.eligibility import candidates, eligible
 from relayline.plans.catalog import QUERIES
