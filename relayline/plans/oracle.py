@@ -353,13 +353,13 @@ _BODIES = {
     "lead_counts": "SELECT count(DISTINCT lead_id) AS leads, count(*) AS linhas FROM gold",
     "multi_stage_top5": ("SELECT lead_id, count(*) AS etapas FROM gold GROUP BY lead_id HAVING count(*) > 1 "
                          "ORDER BY etapas DESC, lead_id LIMIT 5"),
-    "hash_length": "SELECT length(email_hashed) AS tam, count(*) AS qtd FROM gold GROUP BY 1",
+    "hash_length": "SELECT CAST(length(email_hashed) AS INTEGER) AS tam, count(*) AS qtd FROM gold GROUP BY 1",
     "age_regime": f"""SELECT CASE
         WHEN data_hora_conversao >= CAST({TS_AS_OF} AS DATE) - INTERVAL 7 DAY THEN '0-7d (todas)'
         WHEN data_hora_conversao >= CAST({TS_AS_OF} AS DATE) - INTERVAL 63 DAY THEN '8-63d (google/bing)'
         ELSE '64d+ (só bing ou nada)' END AS regime, count(*) AS qtd
   FROM gold GROUP BY 1""",
-    "origin_rollup": ("SELECT origem_midia, count(*) AS qtd, sum(vl_faturamento_estimado) AS valor_estimado "
+    "origin_rollup": ("SELECT origem_midia, count(*) AS qtd, CAST(sum(vl_faturamento_estimado) AS DECIMAL(28,2)) AS valor_estimado "
                       "FROM gold GROUP BY origem_midia ORDER BY qtd DESC, origem_midia"),
     "stage_counts": "SELECT etapa_funil, count(*) AS qtd FROM gold GROUP BY etapa_funil ORDER BY etapa_funil",
     "identifier_coverage": """SELECT count(*) AS total_leads,
