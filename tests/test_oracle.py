@@ -45,10 +45,14 @@ def test_query_matches_oracle(spark, con, name):
     if name not in SQL:
         assert len(s_rows) >= 0
         return
-    cur = con.execute(SQL[name])
-    d_cols = [c[0] for c in cur.description]
+    rel = con.sql(SQL[name])
+    table = rel.to_arrow_table()
+    spark_types = {f.name: str(f.type) for f in df.toArrow().schema}
+    duck_types = {f.name: str(f.type) for f in table.schema}
+    assert spark_types == duck_types
+    d_cols = table.column_names
     a, ac = rows_of(df.columns, s_rows)
-    b, bc = rows_of(d_cols, cur.fetchall())
+    b, bc = rows_of(d_cols, [tuple(r.values()) for r in table.to_pylist()])
     assert ac == bc
     assert len(a) == len(b)
     assert a == b
