@@ -175,14 +175,20 @@ def detections(raw: DataFrame, gold: DataFrame) -> DataFrame:
     """(lead_id, tipo_defeito) flagged by the detectors, one row per pair.
 
     The phone comparison is the exact detector of badly normalised hashes;
-    the e-mail one also flags addresses that were never normalisable.
+    the e-mail one also flags addresses that were never normalisable. The
+    three click-ID detectors come from one aggregation of gold by lead
+    (combined map-side) instead of one scan and shuffle each.
     """
     bad_hash = (audit_hash(raw, gold).where(F.col("phone_status") == "divergente")
                 .select("lead_id", F.lit("hash_mal_normalizado").alias("tipo_defeito")))
-    mt = audit_multitouch(gold).select("lead_id", F.lit("multitouch").alias("tipo_defeito"))
-    paid = audit_paid_no_click(gold).select("lead_id", F.lit("pago_sem_clickid").alias("tipo_defeito"))
-    organic = audit_no_click_origin(gold).select("lead_id", F.lit("sem_click_id").alias("tipo_defeito"))
-    return bad_hash.unionByName(mt).unionByName(paid).unionByName(organic)
+    clicks = _click_count()
+    per_lead = gold.groupBy("lead_id").agg(
+        F.max((clicks > 1).cast("int")).alias("multitouch"),
+        F.max((F.col("origem_midia").isin(*ORIGINS[:3]) & (clicks == 0)).cast("int")).alias("pago_sem_clickid"),
+        F.max(F.col("origem_midia").isin(*ORIGINS[3:]).cast("int")).alias("sem_click_id"))
+    flags = F.array(*[F.when(F.col(t) == 1, F.lit(t)) for t in ("multitouch", "pago_sem_clickid", "sem_click_id")])
+    flagged = per_lead.select("lead_id", F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("tipo_defeito"))
+    return bad_hash.unionByName(flagged)
 
 
 def audit_score(raw: DataFrame, gold: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -93,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "control_table": _control,
     "candidates_windowed": lambda s, d: candidates(_gold(s, d), AS_OF),
     "candidates_union": lambda s, d: candidates(_gold(s, d), AS_OF, one_scan=False),
+    "candidates_one_scan": lambda s, d: candidates(_gold(s, d), AS_OF, one_scan=True),
     "candidates_unwindowed": lambda s, d: candidates(_gold(s, d), AS_OF, windowed=False),
     "eligible": lambda s, d: _eligible(s, d),
     "eligible_future_guard": lambda s, d: _eligible(s, d, future_guard=True),

@@ -313,6 +313,7 @@ _BODIES = {
     "control_table": "SELECT * FROM control",
     "candidates_windowed": "SELECT * FROM cand_win",
     "candidates_union": "SELECT * FROM cand_win",
+    "candidates_one_scan": "SELECT * FROM cand_win",
     "candidates_unwindowed": "SELECT lead_id, etapa_funil, data_hora_conversao, plataforma FROM cand_all",
     "eligible": "SELECT * FROM eligible",
     "eligible_future_guard": _anti(_candidates('gold', True, True), 'control'),
