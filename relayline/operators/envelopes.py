@@ -1,10 +1,12 @@
 """Request envelopes with an exact batch cap.
 
 Batches are cut in parallel: every event gets a bucket from a hash of its
-event id, ``row_number`` runs inside (platform, bucket), and
-``floor((rn - 1) / batch_size)`` numbers the batches. So no window ever spans a
+event id, a running count inside (platform, bucket) ranks it, and
+``floor(rank / batch_size)`` numbers the batches. So no window ever spans a
 whole platform (three tasks), every batch holds at most ``batch_size``
-events, and the only collect is of one batch, bounded by that cap.
+events, and the only collect is of one batch, bounded by that cap. Rows that
+are exact copies are counted once before the window (map-side) and expanded
+afterwards, so a key repeated millions of times is never sorted in one task.
 
 The bucket is the first 32 bits of SHA-256(event id), which any SQL engine
 can recompute, so batch numbers are checkable.
@@ -24,6 +26,7 @@ from ..schemas import GOOGLE_ENCODING, GOOGLE_PRODUCT, RULE_BY_PLATFORM, STAGES
 from .payloads import event_id, with_events
 
 BUCKET_SPAN = 1 << 32  # batch_id = bucket * BUCKET_SPAN + batch number inside the bucket
+EXPAND_CHUNK = 4096  # copies of one collapsed row generated per array
 
 
 @dataclass
@@ -74,17 +77,30 @@ def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int = 64
                         F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("etapa_funil"))).otherwise(F.lit(0))
     df = (df.withColumn("event_id", eid)
             .withColumn("bucket", bucket_of(eid, n_buckets) + F.lit(n_buckets) * stage_slot))
+    cols = df.columns
+    # Identical rows (one key copied a million times) collapse map-side into
+    # one row with a multiplicity, so no task ever sorts a hot group.
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
     part = Window.partitionBy("plataforma", "bucket")
-    rn = F.row_number().over(part.orderBy("event_id", "lead_id", "etapa_funil")) - 1
-    batch_no = F.floor(F.col("_rn") / F.lit(batch_size)).cast("bigint")
-    # events in this row's batch, from the bucket size: same window partition, no extra shuffle
+    first = ["event_id", "lead_id", "etapa_funil"]
+    order = first + [c for c in cols if c not in first + ["plataforma", "bucket"]]  # a total order
+    running = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    distinct = (distinct.withColumn("_end", F.sum("_m").over(running))
+                        .withColumn("_n", F.sum("_m").over(part)))
+    # back to one row per copy, generated in chunks of at most EXPAND_CHUNK
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_m") - 1) / F.lit(EXPAND_CHUNK)).cast("bigint"))
+    copies = F.sequence(F.col("_c") * EXPAND_CHUNK,
+                        F.least(F.col("_m"), (F.col("_c") + 1) * EXPAND_CHUNK) - 1)
+    expanded = (distinct.withColumn("_c", F.explode(chunks))
+                        .withColumn("_i", F.explode(copies)))
+    rn = F.col("_end") - F.col("_m") + F.col("_i")  # 0-based rank inside (plataforma, bucket)
+    batch_no = F.floor(rn / F.lit(batch_size)).cast("bigint")
     in_batch = F.least(F.lit(batch_size).cast("bigint"), F.col("_n") - batch_no * F.lit(batch_size))
-    return (df.withColumn("_rn", rn)
-              .withColumn("_n", F.count(F.lit(1)).over(part))
-              .withColumn("batch_id", F.col("bucket") * F.lit(BUCKET_SPAN) + batch_no)
-              .withColumn("position", F.pmod(F.col("_rn"), F.lit(batch_size)).cast("int"))
-              .withColumn("batch_events", in_batch.cast("int"))
-              .drop("_rn", "_n"))
+    return expanded.select(
+        *cols,
+        (F.col("bucket") * F.lit(BUCKET_SPAN) + batch_no).alias("batch_id"),
+        F.pmod(rn, F.lit(batch_size)).cast("int").alias("position"),
+        in_batch.cast("int").alias("batch_events"))
 
 
 def _google_destinations(cfg: EnvelopeConfig, stage: Column) -> Column:

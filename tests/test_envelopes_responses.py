@@ -103,3 +103,17 @@ def test_classification(spark):
         ("google", ids["google"], 204, "{}", t)], RESPONSE)
     out = resp.classify(b.where("plataforma != 'bing'"), ok).collect()
     assert {r["status_envio"] for r in out} == {"aceito"} and len(out) == 7
+
+
+def test_batches_with_many_identical_rows(spark):
+    hot = routed(spark, 1, platform="bing")
+    hot = hot.select("*", F.explode(F.array_repeat(F.lit(1), 10001)).alias("_x")).drop("_x")
+    data = hot.unionByName(routed(spark, 37, platform="bing"))
+    b = env.assign_batches(data, batch_size=500, n_buckets=4, as_of=AS_OF).cache()
+    assert b.count() == 10038
+    assert b.where("lead_id = 'lead_0'").count() == 10002  # the hot copies plus the distinct lead_0 row
+    slots = b.groupBy("batch_id", "position").count().where("count > 1").count()
+    assert slots == 0
+    sizes = b.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("position").alias("hi"),
+                                      F.first("batch_events").alias("declared")).collect()
+    assert all(r["n"] <= 500 and r["hi"] == r["n"] - 1 and r["declared"] == r["n"] for r in sizes)
