@@ -8,8 +8,9 @@ events, and the only collect is of one batch, bounded by that cap. Rows that
 are exact copies are counted once before the window (map-side) and expanded
 afterwards, so a key repeated millions of times is never sorted in one task.
 
-The bucket is the first 32 bits of SHA-256(event id), which any SQL engine
-can recompute, so batch numbers are checkable.
+The bucket is the first 32 bits of SHA-256(event id | conversion time in
+epoch microseconds), which any SQL engine can recompute, so batch numbers are
+checkable.
 """
 
 from __future__ import annotations
@@ -75,8 +76,11 @@ def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int = 64
     # batches never mix stages: the stage is folded into the bucket number.
     stage_slot = F.when(F.col("plataforma") == "google",
                         F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("etapa_funil"))).otherwise(F.lit(0))
+    # the bucket hashes the event id with its conversion time, so rows that
+    # share an event id but differ in time spread over buckets too
+    spread = F.concat(eid, F.lit("|"), F.unix_micros(F.col("data_hora_conversao").cast("timestamp")).cast("string"))
     df = (df.withColumn("event_id", eid)
-            .withColumn("bucket", bucket_of(eid, n_buckets) + F.lit(n_buckets) * stage_slot))
+            .withColumn("bucket", bucket_of(spread, n_buckets) + F.lit(n_buckets) * stage_slot))
     cols = df.columns
     # Identical rows (one key copied a million times) collapse map-side into
     # one row with a multiplicity, so no task ever sorts a hot group.

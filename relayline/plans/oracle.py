@@ -249,7 +249,7 @@ batched AS (
          CAST(rn % {BATCH_SIZE} AS INTEGER) AS position
   FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, bucket ORDER BY event_id, lead_id, etapa_funil) - 1 AS rn
         FROM (SELECT *, lead_id || '_' || etapa_funil AS event_id,
-                     (('0x' || substr(sha256(lead_id || '_' || etapa_funil), 1, 8))::BIGINT % {N_BUCKETS})
+                     (('0x' || substr(sha256(lead_id || '_' || etapa_funil || '|' || CAST(epoch_us(data_hora_conversao) AS VARCHAR)), 1, 8))::BIGINT % {N_BUCKETS})
                      + {N_BUCKETS} * (CASE WHEN plataforma = 'google' THEN list_position({_lst(STAGES)}, etapa_funil) ELSE 0 END) AS bucket
               FROM routed WHERE {_window_ok}))),
 classified AS (SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, campaign_id,
