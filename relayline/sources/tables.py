@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import control as ctl
-from ..schemas import CONTROL, KEY
+from ..schemas import CONTROL, KEY, SEND_RESULT_COLUMNS
 
 
 class SnapshotTable:
@@ -139,3 +139,59 @@ class ControlTable(SnapshotTable):
     def changes_since(self, version: int) -> DataFrame:
         """Change feed from ``version`` to the latest."""
         return ctl.changes(self.read(version), self.read())
+
+
+class BucketedControlTable:
+    """The control table partitioned by ``bucket = pmod(xxhash64(lead_id), n)``.
+
+    An upsert reads only the buckets its batch touches (partition pruning on
+    the bucket list, at most ``n`` integers) and rewrites only those buckets
+    with Spark's dynamic partition overwrite, so a batch costs O(touched
+    buckets), not O(table). The merged buckets are first written to a staging
+    folder named after the batch ``tag``; a retry of the same tag re-copies
+    the staged result instead of merging again, so a batch is applied once
+    even if the job dies between staging and the final copy. Readers see a
+    bucket either before or after the copy (no cross-bucket snapshot); one
+    writer at a time is assumed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, staging_root: str, n_buckets: int = 64):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.staging_root = staging_root.rstrip("/")
+        self.n_buckets = n_buckets
+        self.schema = T.StructType(CONTROL.fields + [T.StructField("bucket", T.IntegerType(), False)])
+        self._fs = SnapshotTable(spark, root)
+
+    def bucket_of(self, lead_id="lead_id"):
+        return F.pmod(F.xxhash64(F.col(lead_id)), F.lit(self.n_buckets)).cast("int")
+
+    def read(self) -> DataFrame:
+        if not self._fs._exists(f"{self.root}/_SUCCESS") and not self._fs._exists(self.root):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.root)
+
+    def _write(self, df: DataFrame, path: str, dynamic: bool) -> None:
+        # REBALANCE: AQE sizes the write tasks and splits a bucket made big by a hot lead
+        w = (df.withColumn("bucket", self.bucket_of()).hint("rebalance", "bucket")
+               .write.mode("overwrite").partitionBy("bucket"))
+        if dynamic:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.parquet(path)
+
+    def write_all(self, df: DataFrame) -> None:
+        """Replace the whole table."""
+        self._write(ctl.conform(df), self.root, dynamic=False)
+
+    def upsert(self, batch: DataFrame, now, tag: str) -> list[int]:
+        """M1 on the touched buckets only; returns the rewritten bucket numbers."""
+        staged = f"{self.staging_root}/{tag}"
+        if not self._fs._exists(f"{staged}/_SUCCESS"):
+            src = ctl.dedupe_batch(ctl.refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS)))
+            touched = sorted(r[0] for r in src.select(self.bucket_of().alias("b")).distinct().collect())
+            current = self.read().where(F.col("bucket").isin(touched)).drop("bucket")
+            self._write(ctl.upsert(current, src, now), staged, dynamic=False)
+        result = self.spark.read.schema(self.schema).parquet(staged)
+        buckets = sorted(r[0] for r in result.select("bucket").distinct().collect())
+        self._write(result.drop("bucket"), self.root, dynamic=True)
+        return buckets
