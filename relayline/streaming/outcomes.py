@@ -19,26 +19,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.responses import classify
 from ..schemas import RESPONSE
-from ..sources.tables import ControlTable
+from ..sources.tables import BucketedControlTable, ControlTable
 
 
-def apply_outcomes(batched: DataFrame, control: ControlTable, check_unique: bool = True):
+def apply_outcomes(batched: DataFrame, control: ControlTable | BucketedControlTable, check_unique: bool = True):
     """The ``foreachBatch`` function: classify, then upsert once per epoch."""
 
     def run(responses: DataFrame, epoch_id: int) -> None:
         tag = f"epoch-{epoch_id}"
-        if control.tagged(tag) is not None:
+        if isinstance(control, ControlTable) and control.tagged(tag) is not None:
             return
         now = responses.agg(F.max("ts_resposta")).first()[0]
         if now is None:  # empty micro-batch
             return
-        control.upsert(classify(batched, responses, answered_only=True), now=now, check_unique=check_unique, tag=tag)
+        results = classify(batched, responses, answered_only=True)
+        if isinstance(control, BucketedControlTable):
+            control.upsert(results, now=now, tag=tag)  # staged per tag: a retry re-copies, never re-merges
+        else:
+            control.upsert(results, now=now, check_unique=check_unique, tag=tag)
 
     return run
 
 
 def start_outcome_stream(spark: SparkSession, responses_dir: str, batched: DataFrame,
-                         control: ControlTable, checkpoint: str, files_per_trigger: int | None = None,
+                         control: ControlTable | BucketedControlTable, checkpoint: str, files_per_trigger: int | None = None,
                          available_now: bool = True, check_unique: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what is there and stops."""
     reader = spark.readStream.schema(RESPONSE)

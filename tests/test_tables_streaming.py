@@ -106,3 +106,22 @@ def test_bucketed_upsert_rewrites_touched_buckets_once(spark, tmp_path):
     table.upsert(batch, now=AS_OF, tag="b1")
     again = table.read().drop("bucket")
     assert again.exceptAll(expected).count() == 0 and again.count() == expected.count()
+
+
+def test_outcome_stream_into_bucketed_table(spark, tmp_path):
+    from relayline.sources.tables import BucketedControlTable
+    f = Fixtures(spark, SF, as_of=AS_OF, batch_size=BATCH_SIZE, n_buckets=N_BUCKETS)
+    batched, responses = f.batched_sends(), f.responses()
+    rdir = str(tmp_path / "responses")
+    responses.where("plataforma = 'bing'").coalesce(1).write.parquet(rdir + "/part1")
+    responses.where("plataforma != 'bing'").coalesce(1).write.parquet(rdir + "/part2")
+    table = BucketedControlTable(spark, str(tmp_path / "ctl"), str(tmp_path / "staging"), n_buckets=8)
+    table.write_all(f.control())
+    q = start_outcome_stream(spark, rdir + "/*", batched, table, str(tmp_path / "ckpt"), files_per_trigger=1)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    expected = ctl.upsert(f.control(), resp.classify(batched, responses), now=dt.datetime(2024, 4, 9, 0, 1))
+    got = table.read().drop("bucket")
+    assert got.count() == expected.count()
+    assert got.select(*KEY, "status_envio", "tentativas").exceptAll(
+        expected.select(*KEY, "status_envio", "tentativas")).count() == 0
