@@ -178,22 +178,31 @@ def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     key), both combined map-side, and one join on the key (NULL-safe, since
     a NULL key is still a key here). No pairing of rows inside a key.
     """
-    cols = CONTROL_COLUMNS
+    e = _change_exprs()
     u = (conform(before).withColumn("_side", F.lit(-1))
          .unionByName(conform(after).withColumn("_side", F.lit(1))))
-    net = u.groupBy(*cols).agg(F.sum("_side").alias("_net")).where(F.col("_net") != 0)
-    presence = u.groupBy(*KEY).agg(
-        F.max((F.col("_side") < 0).cast("int")).alias("_in_before"),
-        F.max((F.col("_side") > 0).cast("int")).alias("_in_after"))
-    p = presence.select(*[F.col(k).alias(f"_p_{k}") for k in KEY], "_in_before", "_in_after")
-    j = net.join(p, [net[k].eqNullSafe(p[f"_p_{k}"]) for k in KEY], "inner")
-    kind = (F.when((F.col("_net") < 0) & (F.col("_in_after") == 1), F.lit("update_preimage"))
-             .when(F.col("_net") < 0, F.lit("delete"))
-             .when(F.col("_in_before") == 1, F.lit("update_postimage"))
-             .otherwise(F.lit("insert")))
-    return (j.select(*cols, kind.alias("_change_type"),
-                     F.explode(F.array_repeat(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"))
-             .drop("_copy"))
+    net = u.groupBy(*CONTROL_COLUMNS).agg(e["net"]).where(e["changed"])
+    presence = u.groupBy(*KEY).agg(*e["presence"]).select(*e["presence_cols"])
+    j = net.join(presence, e["on"], "inner")
+    return j.select(*CONTROL_COLUMNS, e["kind"], e["copies"]).drop("_copy")
+
+
+@expression_cache
+def _change_exprs() -> dict:
+    side = F.col("_side")
+    return {
+        "net": F.sum(side).alias("_net"),
+        "changed": F.col("_net") != 0,
+        "presence": [F.max((side < 0).cast("int")).alias("_in_before"),
+                     F.max((side > 0).cast("int")).alias("_in_after")],
+        "presence_cols": [*[F.col(k).alias(f"_p_{k}") for k in KEY], "_in_before", "_in_after"],
+        "on": [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in KEY],
+        "kind": (F.when((F.col("_net") < 0) & (F.col("_in_after") == 1), F.lit("update_preimage"))
+                  .when(F.col("_net") < 0, F.lit("delete"))
+                  .when(F.col("_in_before") == 1, F.lit("update_postimage"))
+                  .otherwise(F.lit("insert"))).alias("_change_type"),
+        "copies": F.explode(F.array_repeat(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"),
+    }
 
 
 def apply_retry_policy(control: DataFrame, max_attempts: int = 3) -> DataFrame:
