@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import posixpath
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,13 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the setting must point at shared storage and is only read
     here. Only when it is unset (local tests) a scratch folder is created.
+    Spark checkpoints RDDs in a per-application subfolder; this returns the
+    folder above it, so tables written here can be found by later sessions.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="relayline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return (sc.getCheckpointDir() or configured).rstrip("/")
+    if not sc.getCheckpointDir():
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="relayline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        sc.setCheckpointDir(configured)
+    return posixpath.dirname(sc.getCheckpointDir().rstrip("/"))

@@ -8,8 +8,11 @@ written files, not from ``lineitem``), keeps query plans small, and gives
 later scans one file per shuffle partition, clustered and sorted by lead so
 point lookups prune row groups.
 
-The folder is keyed by application id and input path, so a new session never
-reads another session's files.
+The folder is keyed by the content identity of the inputs (file sizes and
+modification times), the parameters and the package source, so a later
+session reuses finished tables and a change to data or code never reads
+stale ones. A table is published by renaming a finished write, so a
+concurrent reader sees all of it or nothing.
 """
 
 from __future__ import annotations
@@ -25,6 +28,34 @@ from ..session import checkpoint_dir
 from . import fixtures as fx
 
 _LOCK = threading.RLock()  # builders call other accessors
+
+
+def _source_digest() -> str:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()
+
+
+def _fs(spark: SparkSession, p: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(p)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _exists(spark: SparkSession, p: str) -> bool:
+    fs, path = _fs(spark, p)
+    return bool(fs.exists(path))
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, s = _fs(spark, src)
+    _, d = _fs(spark, dst)
+    fs.mkdirs(d.getParent())
+    return bool(fs.rename(s, d))
 _WRITTEN: dict[tuple, DataFrame] = {}  # read-back DataFrames: files are listed and footers read once
 
 
@@ -45,10 +76,22 @@ class Fixtures:
         self.as_of, self.batch_size, self.n_buckets = as_of, batch_size, n_buckets
 
     # -- plumbing
+    def _identity(self) -> str:
+        """Content identity of the derived tables: input files (path, size,
+        modification time), parameters and the package source. Equal identity
+        means equal tables, so any session may reuse them; a change to the
+        data or to the code gives a new folder."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/lineitem.parquet")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files = sorted((st.getPath().toString(), st.getLen(), st.getModificationTime())
+                       for st in fs.listStatus(path))
+        h = hashlib.sha1(repr((files, self.as_of, self.batch_size, self.n_buckets)).encode())
+        h.update(_source_digest().encode())
+        return h.hexdigest()[:16]
+
     def _root(self) -> str:
-        app = self.spark.sparkContext.applicationId
-        tag = hashlib.sha1(f"{self.sf_dir}|{self.as_of}|{self.batch_size}|{self.n_buckets}".encode()).hexdigest()[:12]
-        return f"{checkpoint_dir(self.spark)}/relayline-fixtures/{app}/{tag}"
+        return f"{checkpoint_dir(self.spark)}/relayline-fixtures/{self._identity()}"
 
     def _get(self, name: str, build, cluster: list[str] | None = None) -> DataFrame:
         if not self.materialize:
@@ -58,11 +101,16 @@ class Fixtures:
             written = _WRITTEN.get(key)
             if written is None:
                 path = f"{self._root()}/{name}"
-                df = build()
-                if cluster:
-                    n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                    df = df.repartition(n, *cluster).sortWithinPartitions(*cluster)
-                df.write.mode("overwrite").parquet(path)
+                if not _exists(self.spark, f"{path}/_SUCCESS"):
+                    # write aside, then publish with one rename: readers never see a partial table
+                    tmp = f"{path}.tmp-{self.spark.sparkContext.applicationId}"
+                    df = build()
+                    if cluster:
+                        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                        df = df.repartition(n, *cluster).sortWithinPartitions(*cluster)
+                    df.write.mode("overwrite").parquet(tmp)
+                    if not _rename(self.spark, tmp, path) and not _exists(self.spark, f"{path}/_SUCCESS"):
+                        raise OSError(f"could not publish {path}")
                 written = _WRITTEN[key] = self.spark.read.parquet(path)
         return written
 
