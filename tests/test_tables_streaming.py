@@ -125,3 +125,28 @@ def test_outcome_stream_into_bucketed_table(spark, tmp_path):
     assert got.count() == expected.count()
     assert got.select(*KEY, "status_envio", "tentativas").exceptAll(
         expected.select(*KEY, "status_envio", "tentativas")).count() == 0
+
+
+def test_daily_job_writes_batches_and_envelopes(spark, tmp_path):
+    import json as _json
+
+    from relayline.operators.eligibility import eligible as _eligible
+    from relayline.plans import daily
+
+    f = Fixtures(spark, SF)
+    gold_path = str(tmp_path / "gold")
+    f.gold().write.parquet(gold_path)
+    table = ControlTable(spark, str(tmp_path / "control"))
+    table.write(f.control())
+    out = daily.run(spark, gold_path, table.root, AS_OF, str(tmp_path / "out"), batch_size=40, n_buckets=4)
+    batches = spark.read.parquet(out["batches"])
+    expected = _eligible(f.gold(), f.control(), AS_OF, future_guard=True).count()
+    assert batches.count() == expected > 0
+    bodies = spark.read.text(out["envelopes"]).collect()
+    n_events = 0
+    for r in bodies:
+        body = _json.loads(r["value"])
+        events = body.get("data") or body.get("events") or body.get("OfflineConversions")
+        assert 0 < len(events) <= 40
+        n_events += len(events)
+    assert n_events == expected
