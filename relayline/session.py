@@ -49,7 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at shared storage and is only read
-    here. Only when it is unset (local tests) a scratch folder is created.
+    here (unset on a cluster is an error). Only in local mode with the
+    setting unset (tests) a scratch folder is created.
     Spark checkpoints RDDs in a per-application subfolder; this returns the
     folder above it, so tables written here can be found by later sessions.
     """
@@ -57,6 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder: executors on other "
+                                   "machines cannot read a driver-local scratch folder")
             configured = tempfile.mkdtemp(prefix="relayline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(configured)
     return posixpath.dirname(sc.getCheckpointDir().rstrip("/"))
