@@ -47,7 +47,14 @@ def test_point_lookup_pushed(spark):
     assert "EqualTo(lead_id,lead_40)" in plan
 
 
-def test_no_python_udfs_anywhere(spark):
+def test_no_python_udfs_or_cross_joins_anywhere(spark):
     for name, fn in QUERIES.items():
         plan = _plan(fn(spark, SF))
         assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan, name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_batching_window_never_spans_a_platform(spark):
+    text = _formatted(QUERIES["envelope_batches"](spark, SF))
+    specs = [line for line in text.splitlines() if line.startswith("Arguments:") and "windowspecdefinition" in line]
+    assert specs and all("bucket" in line for line in specs)
