@@ -117,6 +117,7 @@ def _google_destinations(cfg: EnvelopeConfig, stage: Column) -> Column:
         dest.alias("productDestinationId")))
 
 
+@expression_cache
 def _events_of(c: str) -> Column:
     """The batch's events of one platform in position order (NULLs skipped)."""
     return F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("position", F.col(c).alias("e")))))

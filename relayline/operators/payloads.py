@@ -111,15 +111,17 @@ def sendable() -> Column:
     return own.isNotNull() | nonblank("email_hashed").isNotNull() | nonblank("phone_hashed").isNotNull()
 
 
+@expression_cache
+def _event_columns(goal_name: str | None = None) -> list:
+    p = F.col("plataforma")
+    return [F.when(p == "meta", meta_event()).alias("meta_event"),
+            F.when(p == "google", google_event()).alias("google_event"),
+            F.when(p == "bing", bing_event(goal_name)).alias("bing_event")]
+
+
 def with_events(routed: DataFrame, goal_name: str | None = None) -> DataFrame:
     """Routed rows plus one event struct column per platform (NULL for the others)."""
-    p = F.col("plataforma")
-    return routed.select(
-        "*",
-        F.when(p == "meta", meta_event()).alias("meta_event"),
-        F.when(p == "google", google_event()).alias("google_event"),
-        F.when(p == "bing", bing_event(goal_name)).alias("bing_event"),
-    )
+    return routed.select("*", *_event_columns(goal_name))
 
 
 @expression_cache
