@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relayline.llm import bpe, chat, mixing, secret_scan
+from relayline.llm import bpe, chat, mixing, pii, secret_scan, toxicity
 from relayline.llm.common import table
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "\\### Assistant: </turn> ok"
@@ -29,8 +33,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing)}
+    op3_pii, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
 

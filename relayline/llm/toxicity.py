@@ -27,6 +27,7 @@ GRAMS = (3, 4, 5)
 #: The bounded training sample: texts of each class at most, of so many words
 #: at most, by the hash of the id.
 SAMPLE_TEXTS, SAMPLE_WORDS, EPOCHS = 2000, 600, 6
+LEAST_STEPS = 300                    # few texts are gone through more often
 THRESHOLD = 0.3
 CACHED_WORDS = 200_000               # a worker's memory of word inputs; it only saves time
 _WORD = re.compile(r"\w+")
@@ -175,6 +176,7 @@ def train(texts: list[list[str]], labels: list[int], weights: list[float], epoch
     ids = np.zeros((len(spans), WINDOW), np.int64)
     for i, (k, s, e) in enumerate(spans):
         ids[i, :e - s] = rows[k][s:e]
+    epochs = max(epochs, -(-64 * LEAST_STEPS // len(rows)))
     memory = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.p.items()}
     r, step = np.random.default_rng(7), 0
     for epoch in range(epochs):
