@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relayline.llm import bpe, chat, mixing, pii, secret_scan, toxicity
+from relayline.llm import bpe, chat, mixing, near_vectors, pii, secret_scan, toxicity
 from relayline.llm.common import table
 
 
@@ -37,8 +37,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_pii, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity)}
+    op3_pii, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
+    op10_embedding_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
 
