@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,64 @@ def small(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch
         yield batch.slice(at, step)
 
 
+def runs(rows: pa.Table, key: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of equal neighbours in a column."""
+    values = rows.column(key).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    yield from zip(np.r_[0, cuts], np.r_[cuts, len(values)])
+
+
+def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of all rows of one key, from rows sorted by it."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]).combine_chunks() if rest is not None else rows
+        found = list(runs(rows, key))
+        for start, end in found[:-1]:
+            yield rows.slice(start, end - start)
+        rest = rows.slice(*(lambda s, e: (s, e - s))(*found[-1]))
+    if rest is not None:
+        yield rest
+
+
+def grouped(df: DataFrame, key: str, schema: str, make: Callable) -> DataFrame:
+    """``make()``'s function of a key's rows (an Arrow table, all of them) to
+    columns, for keys of bounded size: one shuffle, one Python call per
+    partition instead of one per key."""
+    kind = T._parse_datatype_string(schema)
+    out = arrow_schema(kind)
+
+    def run(batches):
+        step, cols, size = make(), None, 0
+        for rows in by_group(batches, key):
+            got = step(rows)
+            cols = got if cols is None else {k: v + got[k] for k, v in cols.items()} if size else got
+            size = len(next(iter(cols.values())))
+            if size >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+                cols, size = None, 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, kind)
+
+
+def spread(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest id connected with each row by the pairs (a, b) of rows."""
+    label = ids.copy()
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        if (new == label).all():
+            return label
+        label = new
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of undirected edges ``(a, b)`` of longs:
     ``(node, label)`` with the smallest node of each component as label.

@@ -1,0 +1,194 @@
+"""Exact top-k inner products by best-first search in M-trees.
+
+Inner products become distances by one more coordinate: with m the largest
+squared norm, x is stored as (x, sqrt(m - |x|^2)) and q is asked as (q, 0);
+then |q' - x'|^2 = |q|^2 + m - 2 q.x. Rows are dealt into shards, and each
+shard is an M-tree: pages of PAGE entries, an entry of an inner page with its
+covering radius, and every entry with its distance to the page's parent
+pivot. A search takes pages by their best possible score. Before an entry's
+distance is computed, the stored parent distance bounds it by the triangle
+inequality; whole pages go by their radius. Scores are integer products.
+"""
+
+from __future__ import annotations
+
+import heapq
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from relayline.llm.common import arrow_schema, map_rows, materialize, runs
+
+PAGE = 64
+SHARD_ROWS, GROUP_QUERIES = 4096, 16384   # rows of a tree; queries that one task asks it
+LIMIT = 1 << 31                           # components must lie below it
+
+
+def whole(vector, factor: int = 256) -> bytes | None:
+    """Int64 bytes of floor(factor * x); None if the vector takes no part."""
+    if vector is None or any(x is None for x in vector):
+        return None
+    v = np.floor(np.asarray(vector, dtype=np.float64) * factor)
+    return v.astype(np.int64).tobytes() if np.isfinite(v).all() and (np.abs(v) < LIMIT).all() else None
+
+
+class Page:
+    """``rows``: the entries' points (a leaf's rows or a page's pivots);
+    ``above``: their distances to the pivot of this page."""
+    __slots__ = ("rows", "above", "radius", "pages")
+
+    def __init__(self, rows, above, radius=None, pages=None):
+        self.rows, self.above, self.radius, self.pages = rows, above, radius, pages
+
+
+class MTree:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        x = vectors.astype(np.float64)
+        squares = (x * x).sum(axis=1)
+        self.most = float(squares.max(initial=0))
+        self.x = np.hstack([x, np.sqrt(np.maximum(self.most - squares, 0))[:, None]])
+        self.root = self._load(np.arange(len(x)), self.x[0] if len(x) else None, np.random.default_rng(3))
+
+    def _from(self, point: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        gap = self.x[rows] - point
+        return np.sqrt(np.einsum("ij,ij->i", gap, gap))
+
+    def _load(self, rows, pivot, random) -> Page:
+        """A page over ``rows``: each goes to the nearest of PAGE pivots."""
+        if len(rows) <= PAGE:
+            return Page(rows, self._from(pivot, rows) if len(rows) else np.zeros(0))
+        picks = random.choice(rows, PAGE, replace=False)
+        x, p = self.x[rows], self.x[picks]
+        near = ((p * p).sum(axis=1) - 2 * x @ p.T).argmin(axis=1)
+        parts = [rows[near == k] for k in range(PAGE)]
+        if max(map(len, parts)) == len(rows):  # copies of one point
+            parts = np.array_split(rows, PAGE)
+        pairs = [(pick, part) for pick, part in zip(picks, parts) if len(part)]
+        radius = [self._from(self.x[pick], part).max() for pick, part in pairs]
+        pages = [self._load(part, self.x[pick], random) for pick, part in pairs]
+        picks = np.array([pick for pick, _ in pairs])
+        return Page(picks, self._from(pivot, picks), np.array(radius), pages)
+
+    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        """The k best (score, id), ties to the smaller id, without id ``own``."""
+        if not len(self.ids):
+            return []
+        q = np.append(query.astype(np.float64), 0.0)
+        norm = float(q @ q)
+        slack = 1e-9 * (norm + self.most) + 1e-6
+        best: list[tuple[int, int]] = []       # a heap of (score, -id)
+
+        def reach(distance):                   # the highest score at this distance
+            return (norm + self.most - np.square(np.maximum(distance, 0))) / 2 + slack
+
+        gap = q - self.x[0]
+        heap = [(-np.inf, 0, float(np.sqrt(gap @ gap)), self.root)]
+        pushed = 1
+        while heap:
+            bound, _, to_pivot, page = heapq.heappop(heap)
+            least = best[0][0] if len(best) == k else -np.inf
+            if -bound < least:
+                break
+            # |d(q, pivot) - d(entry, pivot)| bounds the entry's distance.
+            near = np.abs(to_pivot - page.above)
+            if page.radius is not None:
+                near = near - page.radius
+            on = np.flatnonzero(reach(near - 1e-9 * to_pivot) >= least)
+            if not len(on):
+                continue
+            rows = page.rows[on]
+            if page.pages is None:
+                scores = self.vectors[rows] @ query
+                for score, at in zip(scores.tolist(), rows.tolist()):
+                    item = score, -int(self.ids[at])
+                    if -item[1] != own:
+                        if len(best) < k:
+                            heapq.heappush(best, item)
+                        elif item > best[0]:
+                            heapq.heapreplace(best, item)
+                continue
+            distance = np.sqrt(np.maximum(norm + self.most - 2 * (self.x[rows] @ q), 0))
+            bounds = reach(distance - page.radius[on] - 1e-9 * distance)
+            for at, d, b in zip(on.tolist(), distance.tolist(), bounds.tolist()):
+                if b >= least:
+                    heapq.heappush(heap, (-b, pushed, d, page.pages[at]))
+                    pushed += 1
+        return [(score, -i) for score, i in sorted(best, reverse=True)]
+
+
+def _search(k: int, schema: T.StructType):
+    out = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by group and kind: a group's vectors (0) come before
+        its queries (1), which are asked as they come."""
+        group, ids, vectors, tree = None, [], [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows, found = pa.Table.from_batches([batch]), []
+            for start, end in runs(rows, "group"):
+                part = rows.slice(start, end - start)
+                if part["group"][0].as_py() != group:
+                    group, ids, vectors, tree = part["group"][0].as_py(), [], [], None
+                kind = part["kind"].to_numpy()
+                own, vec = part["id"].to_pylist(), part["vec"].to_pylist()
+                cut = int(np.searchsorted(kind, 1))
+                ids += own[:cut]
+                vectors += vec[:cut]
+                if cut < len(own) and tree is None:
+                    tree = MTree(np.array(ids, np.int64),
+                                 np.frombuffer(b"".join(vectors), np.int64).reshape(len(ids), -1) if ids
+                                 else np.zeros((0, 1), np.int64))
+                    ids, vectors = [], []
+                for query, v in zip(own[cut:], vec[cut:]):
+                    found += [(query, v, at, score)
+                              for score, at in tree.search(np.frombuffer(v, np.int64), query, k)]
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(zip(*found), out)], schema=out)
+    return run
+
+
+def top_k(rows: DataFrame, queries: Column, k: int = 5) -> DataFrame:
+    """``(vec_id, embedding)`` to ``(query_id, rank, vec_id, score)``: for
+    each row that ``queries`` holds for, the k other ids with the highest
+    inner products of floor(256 x), ties to the smaller id; fewer if there
+    are fewer rows.
+
+    Rows without id, and vectors that are null, empty or hold null or
+    non-finite components, or some of 2^31 and more, take no part. Vectors are
+    compared with those of their length. Repeated rows are candidates as often
+    as they occur, but ask once. Other columns are ignored.
+    """
+    def clean():
+        return lambda cols: {"id": cols["vec_id"], "ask": cols["ask"], "vec": [
+            None if i is None or not v else whole(v) for i, v in zip(cols["vec_id"], cols["embedding"])]}
+
+    asked = rows.select("vec_id", "embedding", F.coalesce(queries, F.lit(False)).alias("ask"))
+    valid = materialize(map_rows(asked, "id long, ask boolean, vec binary", clean).where("vec IS NOT NULL").withColumn(
+        "size", F.octet_length("vec")), "search-vectors")
+    asks = valid.where("ask").select("id", "vec", "size").distinct()
+    counts = valid.groupBy("size").agg(
+        F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"),
+        F.greatest(F.lit(1), F.ceil(F.sum(F.col("ask").cast("int")) / GROUP_QUERIES)).cast("int").alias("parts"))
+    of = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    deal = lambda name, *cols: F.pmod(F.xxhash64(*cols), F.col(name)).cast("int")
+    vectors = valid.withColumn("row", F.monotonically_increasing_id()).join(counts, "size").withColumn(
+        "shard", deal("shards", "id", "row")).withColumn("part", of("parts")).select(
+        "size", "shard", "part", F.lit(0).alias("kind"), "id", "vec")
+    queried = asks.join(counts, "size").withColumn("part", deal("parts", "id")).withColumn("shard", of("shards")).select(
+        "size", "shard", "part", F.lit(1).alias("kind"), "id", "vec")
+    both = vectors.unionByName(queried).withColumn("group", F.concat_ws(":", "size", "shard", "part"))
+    schema = T._parse_datatype_string("query_id long, query binary, vec_id long, score long")
+    found = both.select("group", "kind", "id", "vec").repartition("group").sortWithinPartitions(
+        "group", "kind").mapInArrow(_search(k, schema), schema)
+    place = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score")

@@ -4,15 +4,24 @@ DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from relayline.llm import bpe, chat, mixing, near_vectors, pii, secret_scan, toxicity
+from relayline.llm import bpe, chat, metric_search, mixing, near_vectors, ngram_join, pii, secret_scan, toxicity
 from relayline.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "\\### Assistant: </turn> ok"
@@ -42,7 +51,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_pii, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
+    op1_ngram_jaccard_join, op3_pii, op4_exact_top_k, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
     op10_embedding_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
