@@ -154,3 +154,19 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     return map_rows(docs.select("doc_id", "text"),
                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+
+
+def tokenise(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``(doc_id, text)`` to ``(doc_id, n_tokens, ids, decoded_sha256)``, a row
+    per row; the digest is of the text that the ids decode to."""
+    def make():
+        bpe = load(path or default_path())
+
+        def step(cols):
+            ids = [bpe.encode(x or "") for x in cols["text"]]
+            return {"doc_id": cols["doc_id"], "n_tokens": [len(x) for x in ids], "ids": ids,
+                    "decoded_sha256": [hashlib.sha256(bpe.decode(x).encode("utf-8", "replace")).hexdigest() for x in ids]}
+        return step
+
+    return map_rows(docs.select("doc_id", "text"),
+                    "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string", make)

@@ -77,9 +77,9 @@ class Sketcher:
     def sign(self, h: np.ndarray, band: int):
         """(signatures, sketch, short) in a band; ``short``: too few parts
         hold n-grams for the pigeonhole, and another seed is needed."""
-        bits = 3 + band
-        parts = 5 if band <= 6 else band - 1
-        bits = max(bits, parts)
+        bits, parts = max(8, 3 + band), 5
+        while 1 << parts < 1.3 * self.differ(2 << band, self.largest(2 << band)):
+            parts += 1
         at = (mix(h + self.seed) & np.uint64((1 << bits) - 1)).astype(np.int64)
         order = np.argsort(at >> (bits - parts), kind="stable")
         part = (at >> (bits - parts))[order]
@@ -304,10 +304,16 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id. Rows
-    that repeat an id are one document if their texts are; documents without
-    words or id stay."""
-    own = jaccard_components(docs, size, percent)
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component: that of the smallest id.
+    Rows that repeat an id and text are one document. Documents without words
+    or id link with nothing and stay."""
+    own = materialize(jaccard_components(docs, size, percent), "join-result")
     gone = own.where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0)).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates()
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = own.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():
+        return left
+    alone = left.where("doc_id IS NULL")
+    return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(alone)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayline.llm import bpe, chat, metric_search, mixing, near_vectors, ngram_join, pii, secret_scan, toxicity
+from relayline.llm import bpe, chat, importance, metric_search, mixing, near_vectors, ngram_join, pii, secret_scan, toxicity
 from relayline.llm.common import table
 
 
@@ -14,6 +14,15 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
@@ -51,8 +60,8 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op3_pii, op4_exact_top_k, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
-    op10_embedding_near_dedup)}
+    op1_ngram_jaccard_join, op2_quality_resampling, op3_pii, op4_exact_top_k, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
+    op10_embedding_near_dedup, pipeline)}
 
 ORACLE_SQL: dict[str, str] = {}
 
