@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from relayline.llm import bpe, chat, importance, metric_search, mixing, near_vectors, ngram_join, pii, secret_scan, toxicity
 from relayline.llm.common import table
+from relayline.llm.oracle import ORACLE_SQL
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +64,6 @@ QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_quality_resampling, op3_pii, op4_exact_top_k, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
     op10_embedding_near_dedup, pipeline)}
 
-ORACLE_SQL: dict[str, str] = {}
-
 
 def queries() -> dict:
     return dict(QUERIES)
