@@ -31,6 +31,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list]:
+    """``docs`` with its columns under the names c0, c1, ... beside copies of
+    the ``needed`` ones, so that an operator's own names cannot clash; and the
+    expressions that give the columns back."""
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    return docs.select(*kept, *needed), [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relayline.llm.common import arrow_schema, map_rows, materialize, small
+from relayline.llm.common import arrow_schema, map_rows, materialize, set_aside, small
 
 BUCKETS = 1 << 14
 #: The bounded sample of labelled documents, by the hash of the id.
@@ -185,8 +185,5 @@ def keep(docs: DataFrame, labels: DataFrame, temperature: float = TEMPERATURE, s
     """The rows of ``docs`` that ``resample`` keeps, with their columns. They
     are weighed again as they pass, which no shuffle of the texts matches."""
     _, ratio, least = sample(docs, labels, temperature, seed)
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    place = {c: n for c, n in zip(docs.columns, names)}
-    rows = docs.select(*[F.col(c).alias(n) for c, n in place.items()], F.col("doc_id"), F.col("text"))
-    return weigh(rows, ratio).where(noisy(temperature, seed) >= F.lit(least)).select(
-        *[F.col(n).alias(c) for c, n in place.items()])
+    rows, back = set_aside(docs, "doc_id", "text")
+    return weigh(rows, ratio).where(noisy(temperature, seed) >= F.lit(least)).select(*back)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from relayline.llm.common import WORD, materialize, running
+from relayline.llm.common import WORD, materialize, running, set_aside
 
 #: Weights of the sources by code point, repeating; null comes last.
 WEIGHTS = (5, 2, 1)
@@ -126,5 +126,6 @@ def take(docs: DataFrame, seed: int = 17, budget: float = BUDGET, epochs: int =
                      F.col("size").alias("_size"), "_copies")
     on = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("source").eqNullSafe(F.col("_source")),
           words(F.col("text")) == F.col("_size")]
-    return docs.join(per, on[0] & on[1] & on[2]).withColumn(
-        "_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows, back = set_aside(docs, "doc_id", "source", "text")
+    return rows.join(per, on[0] & on[1] & on[2]).withColumn(
+        "_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*back)
