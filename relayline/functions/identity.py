@@ -6,7 +6,7 @@ All of it stays inside whole-stage codegen: regex, lower, substring and
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_DDI, EMAIL_PATTERN
@@ -60,3 +60,21 @@ def hash_email(c) -> Column:
 def hash_phone(c, ddi: str = DEFAULT_DDI) -> Column:
     """Normalise then hash; NULL when the number is not normalisable."""
     return sha256_hex(normalize_phone(c, ddi))
+
+
+#: What looks like an address or a phone number in running text.
+EMAIL_IN_TEXT = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+PHONE_IN_TEXT = r"\+?[0-9][0-9 ().-]{8,18}[0-9]"
+
+
+def contacts(docs: DataFrame) -> DataFrame:
+    """Every address and phone number in ``text``, normalised and hashed: one
+    row per occurrence, with the text as found."""
+    def found(pattern: str, kind: str) -> Column:
+        return F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)),
+                           lambda x: F.struct(F.lit(kind).alias("tipo"), x.alias("bruto")))
+    rows = docs.select("doc_id", F.explode(F.concat(found(EMAIL_IN_TEXT, "email"), found(PHONE_IN_TEXT, "fone"))).alias("c"))
+    normal = F.when(F.col("c.tipo") == "email", normalize_email(F.col("c.bruto"))).otherwise(
+        normalize_phone(F.col("c.bruto")))
+    return rows.select("doc_id", "c.tipo", "c.bruto", normal.alias("normalizado")).withColumn(
+        "hash", sha256_hex("normalizado"))

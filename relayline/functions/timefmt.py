@@ -12,8 +12,10 @@ DEFAULT_AS_OF = "2024-04-09 00:00:00"
 
 def as_of_text(as_of) -> str:
     if as_of is None:
-        as_of = DEFAULT_AS_OF
+        raise ValueError("as_of is required: pass the reference time of the run")
     if isinstance(as_of, _dt.datetime):
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(_dt.timezone.utc)
         return as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
     if isinstance(as_of, _dt.date):
         return as_of.strftime("%Y-%m-%d 00:00:00")

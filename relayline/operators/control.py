@@ -19,6 +19,9 @@ from ..schemas import (CONTROL, CONTROL_COLUMNS, CONTROL_NOT_NULL, KEY, PLATFORM
                        SEND_STATUSES, STAGES)
 
 
+COPIES = 4096  # copies of one changed row generated per array
+
+
 @expression_cache
 def _conform_exprs(present: frozenset) -> list:
     return [(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -101,7 +104,6 @@ def _join_on_key() -> list:
     return [F.col(f"t.{k}") == F.col(f"s.{k}") for k in KEY]
 
 
-@expression_cache
 def _updated_exprs(now: str) -> list:
     """Target row after a left join with the batch (aliases ``t`` and ``s``)."""
     hit = F.col("s._s").isNotNull()
@@ -121,7 +123,6 @@ def _updated_exprs(now: str) -> list:
     return [upd[f.name].cast(f.dataType).alias(f.name) for f in CONTROL.fields]
 
 
-@expression_cache
 def _inserted_exprs(now: str) -> list:
     """A batch row inserted as a new control row."""
     ins = {c: F.col(c) for c in ["lead_id", "etapa_funil", "plataforma", "data_hora_conversao", "campaign_id",
@@ -145,18 +146,20 @@ def duplicates(control: DataFrame) -> DataFrame:
     return key_counts(control).where(F.col("qtd") > 1)
 
 
+def row_rules() -> dict[str, Column]:
+    """NOT NULL and CHECK rules by name: a predicate that holds for broken rows."""
+    rules = {f"not_null:{c}": F.col(c).isNull() for c in CONTROL_NOT_NULL}
+    for column, domain in (("etapa_funil", STAGES), ("plataforma", PLATFORMS), ("status_envio", SEND_STATUSES)):
+        rules[f"check:{column}"] = F.coalesce(~F.col(column).isin(*domain), F.lit(False))
+    return rules
+
+
 def violations(control: DataFrame) -> DataFrame:
     """One row per broken rule: NOT NULL, CHECK domains, duplicate key.
 
     A NULL passes a CHECK, as in SQL; NOT NULL is its own rule.
     """
-    checks = [(f"not_null:{c}", F.col(c).isNull()) for c in CONTROL_NOT_NULL]
-    checks += [
-        ("check:etapa_funil", ~F.col("etapa_funil").isin(*STAGES)),
-        ("check:plataforma", ~F.col("plataforma").isin(*PLATFORMS)),
-        ("check:status_envio", ~F.col("status_envio").isin(*SEND_STATUSES)),
-    ]
-    rules = F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in checks])
+    rules = F.array(*[F.when(cond, F.lit(name)) for name, cond in row_rules().items()])
     per_row = (control.select(*KEY, F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("regra")))
     dup = duplicates(control).select(*KEY, F.lit("pk_duplicate").alias("regra"))
     return per_row.unionByName(dup)
@@ -184,7 +187,9 @@ def changes(before: DataFrame, after: DataFrame) -> DataFrame:
     net = u.groupBy(*CONTROL_COLUMNS).agg(e["net"]).where(e["changed"])
     presence = u.groupBy(*KEY).agg(*e["presence"]).select(*e["presence_cols"])
     j = net.join(presence, e["on"], "inner")
-    return j.select(*CONTROL_COLUMNS, e["kind"], e["copies"]).drop("_copy")
+    # one row per copy, generated in chunks: no array holds more than COPIES
+    return (j.select(*CONTROL_COLUMNS, e["kind"], e["copies"], e["chunk"])
+             .withColumn("_copy", F.explode(e["in_chunk"])).drop("_copies", "_chunk", "_copy"))
 
 
 @expression_cache
@@ -201,7 +206,10 @@ def _change_exprs() -> dict:
                   .when(F.col("_net") < 0, F.lit("delete"))
                   .when(F.col("_in_before") == 1, F.lit("update_postimage"))
                   .otherwise(F.lit("insert"))).alias("_change_type"),
-        "copies": F.explode(F.array_repeat(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"),
+        "copies": F.abs(F.col("_net")).alias("_copies"),
+        "chunk": F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.abs(F.col("_net")) - 1) / COPIES))).alias("_chunk"),
+        "in_chunk": F.sequence(F.col("_chunk") * COPIES,
+                               F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPIES) - 1),
     }
 
 

@@ -148,12 +148,15 @@ def envelopes(batched: DataFrame, cfg: EnvelopeConfig | None = None, goal_name:
                                                      F.lit(GOOGLE_ENCODING).alias("encoding"),
                                                      events("g").alias("events"))))
              .when(p == "bing", F.to_json(F.struct(events("b").alias("OfflineConversions")))))
+    body = body.otherwise(F.raise_error(F.concat(F.lit("unknown platform: "), F.coalesce(p, F.lit("NULL")))))
     return agg.select("plataforma", "batch_id", "n_events", body.alias("body"))
 
 
 def write_envelopes(env: DataFrame, path: str) -> None:
-    """JSON text files, one folder per platform, one line per request body."""
-    env.select("plataforma", "body").write.mode("overwrite").partitionBy("plataforma").text(path)
+    """JSON text files, one folder per platform, one line per request:
+    ``{"batch_id": ..., "body": "..."}``, so that an answer can name its batch."""
+    line = F.to_json(F.struct("batch_id", "body"))
+    env.select("plataforma", line.alias("value")).write.mode("overwrite").partitionBy("plataforma").text(path)
 
 
 def config_from_json(text: str) -> EnvelopeConfig:

@@ -125,10 +125,10 @@ def with_events(routed: DataFrame, goal_name: str | None = None) -> DataFrame:
 
 
 @expression_cache
-def payload_json(strict: bool = False, goal_name: str | None = None) -> Column:
+def payload_json(strict: bool = True, goal_name: str | None = None) -> Column:
     """P4 dispatcher: JSON text of the row's platform payload.
 
-    An unknown platform gives NULL, or fails the job when ``strict``.
+    An unknown platform fails the job, or gives NULL when not ``strict``.
     """
     p = F.col("plataforma")
     out = (F.when(p == "meta", F.to_json(meta_event()))
@@ -139,7 +139,7 @@ def payload_json(strict: bool = False, goal_name: str | None = None) -> Column:
     return out
 
 
-def build(routed: DataFrame, strict: bool = False, goal_name: str | None = None) -> DataFrame:
+def build(routed: DataFrame, strict: bool = True, goal_name: str | None = None) -> DataFrame:
     """Key, platform, JSON payload and a ``sendable`` flag per routed row."""
     return routed.select(
         "lead_id", "etapa_funil", "plataforma",
@@ -177,3 +177,66 @@ def bing_flat(routed: DataFrame, goal_name: str | None = None) -> DataFrame:
     return routed.where(F.col("plataforma") == "bing").select(
         "lead_id", "etapa_funil", e.alias("e")).select(
         "lead_id", "etapa_funil", "e.*")
+
+
+# The fields of a payload read back from its JSON text, under one set of names.
+
+_META = ("event_name string, event_time bigint, event_id string, custom_data struct<value: double>, "
+         "user_data struct<em: array<string>, ph: array<string>, fbc: string>")
+_GOOGLE = ("transactionId string, eventTimestamp string, conversionValue double, adIdentifiers struct<gclid: string>, "
+           "userData struct<userIdentifiers: array<struct<emailAddress: string, phoneNumber: string>>>")
+_BING = ("ConversionName string, ConversionTime string, ConversionValue double, MicrosoftClickId string, "
+         "HashedEmailAddress string, HashedPhoneNumber string")
+
+
+def _fields(name: Column, when: Column, value: Column, email: Column, phone: Column, click: Column) -> Column:
+    return F.struct(name.alias("nome"), when.cast("string").alias("quando"), value.alias("valor"),
+                    email.alias("email"), phone.alias("fone"), click.alias("clique"))
+
+
+def meta_fields(e: Column) -> Column:
+    user = e["user_data"]
+    return _fields(e["event_name"], e["event_time"], e["custom_data"]["value"],
+                   F.get(user["em"], 0), F.get(user["ph"], 0), user["fbc"])
+
+
+def google_fields(e: Column) -> Column:
+    def of(key: str) -> Column:
+        ids = F.transform(e["userData"]["userIdentifiers"], lambda x: x[key])
+        return F.get(F.filter(ids, lambda x: x.isNotNull()), 0)
+    return _fields(e["transactionId"], e["eventTimestamp"], e["conversionValue"],
+                   of("emailAddress"), of("phoneNumber"), e["adIdentifiers"]["gclid"])
+
+
+def bing_fields(e: Column) -> Column:
+    return _fields(e["ConversionName"], e["ConversionTime"], e["ConversionValue"],
+                   e["HashedEmailAddress"], e["HashedPhoneNumber"], e["MicrosoftClickId"])
+
+
+_READERS = {"meta": (_META, "data", meta_fields), "google": (_GOOGLE, "events", google_fields),
+            "bing": (_BING, "OfflineConversions", bing_fields)}
+
+
+def read_payloads(built: DataFrame) -> DataFrame:
+    """``build`` rows with the fields parsed back from the JSON text."""
+    out = None
+    for platform, (schema, _, fields) in _READERS.items():
+        arm = fields(F.from_json("payload", schema))
+        here = F.col("plataforma") == platform
+        out = F.when(here, arm) if out is None else out.when(here, arm)
+    return built.withColumn("_f", out).select("lead_id", "etapa_funil", "plataforma", "event_id", "sendable", "_f.*")
+
+
+def read_envelopes(env: DataFrame) -> DataFrame:
+    """One row per event parsed back from the request bodies: batch, position,
+    the request's own setting (test code or encoding) and the event's fields."""
+    out = None
+    for platform, (schema, key, fields) in _READERS.items():
+        events = F.from_json("body", f"{key} array<struct<{schema}>>")[key]
+        arm = F.transform(events, fields)
+        here = F.col("plataforma") == platform
+        out = F.when(here, arm) if out is None else out.when(here, arm)
+    setting = F.coalesce(F.get_json_object("body", "$.test_event_code"), F.get_json_object("body", "$.encoding"))
+    return env.select("plataforma", "batch_id", "n_events", setting.alias("ajuste"),
+                      F.posexplode(out).alias("position", "_f")).select(
+        "plataforma", "batch_id", "n_events", "ajuste", "position", "_f.*")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cache import expression_cache
-from ..schemas import GOLD_KEY, PLATFORM_RULES
+from ..schemas import PLATFORM_RULES
 
 ROUTED_COLUMNS = [
     "lead_id", "etapa_funil", "plataforma", "data_hora_conversao",
@@ -56,20 +56,8 @@ def route(eligible_carried: DataFrame) -> DataFrame:
 
     No second join: each gold row yields at most one routed row per platform,
     so the output is linear in gold even when (lead_id, etapa_funil) repeats.
+    Rows without lead or stage match nothing, as in a join on these keys.
     """
-    return classify(eligible_carried).select(*ROUTED_COLUMNS)
+    keyed = eligible_carried.where(F.col("lead_id").isNotNull() & F.col("etapa_funil").isNotNull())
+    return classify(keyed).select(*ROUTED_COLUMNS)
 
-
-def route_join(eligible: DataFrame, gold: DataFrame) -> DataFrame:
-    """R2 as the original writes it: eligible joined back to gold on
-    (lead_id, etapa_funil), without the timestamp.
-
-    Equal to ``route`` when the gold key is unique. With n gold rows per key
-    it returns n x n rows per platform (the original's behaviour), so it is
-    kept for parity checks only; audit the key first
-    (``quality.gold_key_duplicates``).
-    """
-    e = eligible.select(*GOLD_KEY, "plataforma", "data_hora_conversao")
-    g = gold.select(*GOLD_KEY, "email_hashed", "phone_hashed", "gclid", "fbclid", "msclkid",
-                    "campaign_id", "vl_faturamento_estimado")
-    return classify(e.join(g, GOLD_KEY, "inner")).select(*ROUTED_COLUMNS)

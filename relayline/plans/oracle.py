@@ -7,11 +7,15 @@ those CTEs. Column names match the Spark results one for one.
 
 from __future__ import annotations
 
+import re
+
+from ..functions.identity import EMAIL_IN_TEXT, PHONE_IN_TEXT
 from ..schemas import (CAMPAIGNS_BY_ORIGIN, CLIENT_SIZES, CONTROL_COLUMNS, ORIGINS, PLATFORM_RULES,
                        PRODUCTS, STAGES)
-from .catalog import AS_OF, BATCH_SIZE, GRACE_DAYS, MAX_ATTEMPTS, N_BUCKETS, ONE_LEAD, ROWS_ONLY
+from .catalog import AS_OF, BATCH_SIZE, FROZEN_AT, GRACE_DAYS, MAX_ATTEMPTS, N_BUCKETS, ONE_LEAD, ROWS_ONLY
 
 TS_AS_OF = f"TIMESTAMP '{AS_OF}'"
+TS_FROZEN = f"TIMESTAMP '{FROZEN_AT}'"
 
 
 def _lst(values) -> str:
@@ -26,15 +30,14 @@ def _pick(values, idx0: str) -> str:
     return f"({_lst(values)})[{idx0} + 1]"
 
 
-_B = "('contato' || CAST(k AS VARCHAR) || '@gmail.com')"
-RAW_EMAIL = (f"CASE {_pm('k', 9)} % 5 WHEN 0 THEN {_B} WHEN 1 THEN ' ' || {_B} || '  ' "
-             f"WHEN 2 THEN upper({_B}) WHEN 3 THEN replace({_B}, '@', ' @ ') "
-             f"ELSE upper(substr({_B}, 1, 1)) || substr({_B}, 2) END")
-_NUM = "CAST(900000000 + k AS VARCHAR)"
-RAW_PHONE = (f"CASE {_pm('k', 4)} WHEN 0 THEN '(41) ' || substr({_NUM}, 1, 5) || '-' || substr({_NUM}, 6, 4) "
-             f"WHEN 1 THEN '41' || {_NUM} "
-             f"WHEN 2 THEN '+55 41 ' || substr({_NUM}, 1, 5) || ' ' || substr({_NUM}, 6, 4) "
-             f"ELSE '41 ' || {_NUM} END")
+_EMAIL = "('pessoa.' || CAST(k AS VARCHAR) || '@correio.example')"
+RAW_EMAIL = (f"CASE {_pm('k', 8)} WHEN 1 THEN chr(9) || {_EMAIL} || chr(10) "
+             f"WHEN 2 THEN replace({_EMAIL}, 'correio', 'CORREIO') WHEN 3 THEN replace({_EMAIL}, '.example', '') "
+             f"WHEN 4 THEN '' WHEN 5 THEN NULL ELSE {_EMAIL} END")
+_NUM = f"CAST(900000000 + {_pm('k', 100000000)} AS VARCHAR)"
+RAW_PHONE = (f"CASE {_pm('k', 7)} WHEN 0 THEN '0055/41/' || {_NUM} WHEN 1 THEN '+55[41]' || {_NUM} "
+             f"WHEN 2 THEN concat_ws('.', '41', substr({_NUM}, 1, 3), substr({_NUM}, 4, 3), substr({_NUM}, 7, 3)) "
+             f"WHEN 3 THEN '041-' || {_NUM} WHEN 4 THEN '' WHEN 5 THEN NULL ELSE 'cel. 41' || {_NUM} END")
 
 
 def _campaign() -> str:
@@ -46,18 +49,19 @@ def _campaign() -> str:
 
 _DAYS = "date_diff('day', DATE '1995-01-01', CAST(d AS DATE))"
 _MICROS = (f"{_pm(_DAYS, 105)} * 86400000000 "
-           f"+ {_pm('p', 86400)} * 1000000 + {_pm('k * 37', 1000000)}")
+           f"+ {_pm('p', 86400)} * 1000000 + CASE WHEN {_pm('k', 4)} = 0 THEN 0 ELSE {_pm('k * 37', 1000000)} END")
 
 GOLD_SELECT = f"""
   lead_id,
   CASE WHEN {_pm('k', 11)} = 0 THEN NULL WHEN {_pm('k', 10)} = 3 THEN sha256(email_raw)
-       ELSE sha256(lower(trim(email_raw))) END AS email_hashed,
+       ELSE sha256({_EMAIL}) END AS email_hashed,
   CASE WHEN {_pm('k', 11)} = 0 THEN NULL WHEN {_pm('k', 10)} = 3 THEN sha256(phone_raw)
        ELSE sha256('+5541' || {_NUM}) END AS phone_hashed,
   make_timestamp(epoch_us(TIMESTAMP '2024-01-01 00:00:00') + {_MICROS}) AS data_hora_conversao,
   etapa_funil,
   CAST(v AS DECIMAL(18,2)) AS vl_faturamento_estimado,
-  CASE WHEN {_pm('k', 7)} = 0 THEN NULL WHEN {_pm('k', 5)} = 0 THEN 'gclid_' || CAST(k AS VARCHAR)
+  CASE WHEN {_pm('k', 7)} = 0 THEN NULL WHEN {_pm('k', 5)} = 0 AND {_pm('k', 17)} = 0 THEN ''
+       WHEN {_pm('k', 5)} = 0 THEN 'gclid_' || CAST(k AS VARCHAR)
        WHEN {_pm('k', 13)} = 0 AND {_pm('k', 5)} IN (1, 2) THEN 'gclid_mt_' || CAST(k AS VARCHAR) END AS gclid,
   CASE WHEN {_pm('k', 7)} = 0 THEN NULL WHEN {_pm('k', 5)} = 1 THEN 'fbclid_' || CAST(k AS VARCHAR)
        WHEN {_pm('k', 13)} = 0 AND {_pm('k', 5)} = 0 THEN 'fbclid_mt_' || CAST(k AS VARCHAR) END AS fbclid,
@@ -140,7 +144,7 @@ def _upsert(target: str, source: str) -> str:
 
 
 def _normalize_email(c: str) -> str:
-    e = f"lower(trim({c}))"
+    e = f"lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'))"
     return f"CASE WHEN regexp_matches({e}, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') THEN {e} END"
 
 
@@ -161,7 +165,7 @@ def _field_status(gold_col: str, recomputed: str) -> str:
 
 
 _window_ok = " OR ".join(
-    f"(plataforma = '{r.name}' AND data_hora_conversao >= {TS_AS_OF} - INTERVAL {r.window_days} DAY)"
+    f"(plataforma = '{r.name}' AND data_hora_conversao >= {TS_FROZEN} - INTERVAL {r.window_days} DAY)"
     for r in PLATFORM_RULES)
 
 _manifest_rules = [
@@ -174,9 +178,9 @@ _manifest_rules = [
 PREAMBLE = f"""WITH
 stage_lines AS (
   SELECT 'lead_' || CAST(l_orderkey AS VARCHAR) AS lead_id,
-         ({_lst(STAGES)})[l_linenumber] AS etapa_funil,
+         {_pick(STAGES, _pm('l_linenumber - 1', len(STAGES)))} AS etapa_funil,
          l_orderkey AS k, l_shipdate AS d, l_partkey AS p, CAST(l_extendedprice AS DECIMAL(18,2)) AS v
-  FROM lineitem WHERE l_linenumber BETWEEN 1 AND {len(STAGES)}),
+  FROM lineitem),
 gold_agg AS (SELECT lead_id, etapa_funil, max(k) AS k, max(d) AS d, min(p) AS p, sum(v) AS v
              FROM stage_lines GROUP BY lead_id, etapa_funil),
 gold_k AS (SELECT *, {RAW_EMAIL} AS email_raw, {RAW_PHONE} AS phone_raw,
@@ -185,7 +189,7 @@ gold AS (SELECT {GOLD_SELECT} FROM gold_k),
 gold_dup_k AS (SELECT *, {RAW_EMAIL} AS email_raw, {RAW_PHONE} AS phone_raw,
                       {_pick(ORIGINS, _pm('k', 5))} AS origem_midia FROM stage_lines),
 gold_dup AS (SELECT {GOLD_SELECT} FROM gold_dup_k),
-leads AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linenumber BETWEEN 1 AND {len(STAGES)}),
+leads AS (SELECT DISTINCT l_orderkey AS k FROM lineitem),
 raw AS (SELECT 'lead_' || CAST(k AS VARCHAR) AS lead_id, {RAW_EMAIL} AS email_raw, {RAW_PHONE} AS phone_raw FROM leads),
 manifest AS ({" UNION ALL ".join(f"SELECT 'lead_' || CAST(k AS VARCHAR) AS lead_id, '{t}' AS tipo_defeito FROM leads WHERE {c}" for t, c in _manifest_rules)}),
 cand_all AS ({_candidates('gold', False, cols='*')}),
@@ -226,7 +230,8 @@ appended AS (
   SELECT * FROM control
   UNION ALL
   SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, CAST(NULL AS VARCHAR), CAST(NULL AS DECIMAL(18,2)),
-         identificador_usado, status_envio, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+         CASE WHEN {_pm(KK, 9)} <> 1 THEN identificador_usado END,
+         CASE WHEN {_pm(KK, 9)} = 2 THEN 'enviado' ELSE status_envio END, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
          CAST(1 AS INTEGER), CAST(NULL AS TIMESTAMP), ts_envio, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), ts_envio
   FROM send_results),
 report AS (
@@ -255,12 +260,12 @@ batched AS (
 classified AS (SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, campaign_id,
     CAST(vl_faturamento_estimado AS DECIMAL(18,2)) AS valor_enviado, identificador_usado,
     CASE WHEN err IS NULL THEN 'aceito' ELSE 'erro' END AS status_envio,
-    CAST(CASE WHEN plataforma = 'google' AND batch_id % 4 = 3 THEN 400 ELSE 200 END AS INTEGER) AS http_status,
+    CAST(CASE WHEN plataforma = 'google' AND (bucket + batch_id) % 4 = 3 THEN 400 ELSE 200 END AS INTEGER) AS http_status,
     err AS codigo_erro, CAST(NULL AS VARCHAR) AS mensagem_resposta,
     {TS_AS_OF} + INTERVAL 1 MINUTE AS ts_envio
   FROM (SELECT *, CASE WHEN plataforma = 'meta' AND batch_id % 5 = 0 THEN 'EVENTS_RECEIVED_MISMATCH'
-                       WHEN plataforma = 'google' AND batch_id % 4 = 3 THEN 'HTTP_400'
-                       WHEN plataforma = 'bing' AND {_pm(KK, 6)} = 0 THEN 'InvalidClickId' END AS err
+                       WHEN plataforma = 'google' AND (bucket + batch_id) % 4 = 3 THEN 'HTTP_400'
+                       WHEN plataforma = 'bing' AND {_pm(KK, 8)} = 1 THEN 'InvalidClickId' END AS err
         FROM batched)),
 hash_audit AS (
   SELECT r.lead_id,
@@ -307,13 +312,21 @@ def _retry(table: str) -> str:
 
 
 _VALUE = "coalesce(CAST(vl_faturamento_estimado AS DOUBLE), 0.0)"
+_CLICK = ("CASE plataforma WHEN 'meta' THEN nullif(fbclid, '') WHEN 'google' THEN nullif(gclid, '') "
+          "ELSE nullif(msclkid, '') END")
+_SENDABLE = f"({_CLICK} IS NOT NULL OR nullif(email_hashed, '') IS NOT NULL OR nullif(phone_hashed, '') IS NOT NULL)"
+_FIELDS = f"""CASE plataforma WHEN 'google' THEN lead_id || '_' || etapa_funil ELSE 'Lead_' || etapa_funil END AS nome,
+    CASE plataforma WHEN 'meta' THEN CAST(epoch_us(data_hora_conversao) // 1000000 AS VARCHAR)
+         ELSE {_iso_z('data_hora_conversao')} END AS quando,
+    {_VALUE} AS valor, nullif(email_hashed, '') AS email, nullif(phone_hashed, '') AS fone,
+    CASE WHEN plataforma = 'meta' AND nullif(fbclid, '') IS NOT NULL
+         THEN 'fb.1.' || CAST(epoch_us(data_hora_conversao) // 1000 AS VARCHAR) || '.' || fbclid
+         ELSE {_CLICK} END AS clique"""
 
 _BODIES = {
     "gold_conversions": "SELECT * FROM gold",
     "control_table": "SELECT * FROM control",
     "candidates_windowed": "SELECT * FROM cand_win",
-    "candidates_union": "SELECT * FROM cand_win",
-    "candidates_one_scan": "SELECT * FROM cand_win",
     "candidates_unwindowed": "SELECT lead_id, etapa_funil, data_hora_conversao, plataforma FROM cand_all",
     "eligible": "SELECT * FROM eligible",
     "eligible_future_guard": _anti(_candidates('gold', True, True), 'control'),
@@ -349,6 +362,20 @@ _BODIES = {
     nullif(msclkid, '') AS MicrosoftClickId, nullif(email_hashed, '') AS HashedEmailAddress,
     nullif(phone_hashed, '') AS HashedPhoneNumber
   FROM routed WHERE plataforma = 'bing'""",
+    "payload_json": f"SELECT lead_id, etapa_funil, plataforma, lead_id || '_' || etapa_funil AS event_id, {_SENDABLE} AS sendable, {_FIELDS} FROM routed",
+    "envelopes": f"""SELECT plataforma, batch_id, count(*) OVER (PARTITION BY plataforma, batch_id) AS n_events,
+    CASE plataforma WHEN 'meta' THEN 'TEST123' WHEN 'google' THEN 'HEX' END AS ajuste, position, {_FIELDS}
+  FROM batched""",
+    "document_contacts": f"""SELECT doc_id, tipo, bruto, normalizado, sha256(normalizado) AS hash
+  FROM (SELECT *, CASE tipo WHEN 'email' THEN {_normalize_email('bruto')} ELSE {_normalize_phone('bruto')} END AS normalizado
+        FROM (SELECT doc_id, 'email' AS tipo, unnest(regexp_extract_all(text, '{EMAIL_IN_TEXT}')) AS bruto FROM documents
+              UNION ALL SELECT doc_id, 'fone', unnest(regexp_extract_all(text, '{PHONE_IN_TEXT}')) FROM documents))""",
+    "send_latency_quantiles": """SELECT plataforma, min(minuto) FILTER (upto * 100 >= total * 50) AS latencia_p50_min,
+    min(minuto) FILTER (upto * 100 >= total * 95) AS latencia_p95_min
+  FROM (SELECT plataforma, minuto, count(*) OVER (PARTITION BY plataforma) AS total,
+               count(*) OVER (PARTITION BY plataforma ORDER BY minuto) AS upto
+        FROM (SELECT plataforma, CAST(floor(floor((epoch_us(ts_primeiro_envio) - epoch_us(data_hora_conversao)) / 1000) / 60000) AS BIGINT) AS minuto
+              FROM control WHERE ts_primeiro_envio IS NOT NULL)) GROUP BY plataforma""",
     "envelope_batches": "SELECT plataforma, batch_id, position, lead_id, etapa_funil FROM batched",
     "envelope_sizes": "SELECT plataforma, batch_id, count(*) AS n_events FROM batched GROUP BY plataforma, batch_id",
     "lead_counts": "SELECT count(DISTINCT lead_id) AS leads, count(*) AS linhas FROM gold",
@@ -382,7 +409,7 @@ _BODIES = {
     "control_summary": "SELECT count(*) AS total, max(tentativas) AS tentativas_max FROM upserted_twice",
     "control_summary_one_lead": (f"SELECT count(*) AS total, max(tentativas) AS tentativas_max FROM upserted_twice "
                                  f"WHERE lead_id = '{ONE_LEAD}'"),
-    "control_changes": _changes("control", "upserted"),
+    "control_changes": _changes("control", "(SELECT * FROM upserted WHERE status_envio <> 'dead_letter')"),
     "eligible_after_upsert": _anti('SELECT * FROM cand_win', 'upserted'),
     "retry_state": _retry("upserted"),
     "responses_classified": "SELECT * EXCLUDE (mensagem_resposta) FROM classified",
@@ -435,5 +462,20 @@ _BODIES = {
 }
 
 
+_CTES = dict(re.findall(r"^(\w+) AS \((.*?)\)(?:,\n(?=\w+ AS \()|\n\Z)", PREAMBLE.removeprefix("WITH\n"), re.M | re.S))
+
+
+def _with(body: str) -> str:
+    """The CTEs that ``body`` reads, directly or not, each computed once."""
+    needed, todo = set(), [body]
+    while todo:
+        text = todo.pop()
+        found = {name for name in _CTES if re.search(rf"\b{name}\b", text)} - needed
+        needed |= found
+        todo += [_CTES[name] for name in found]
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _CTES.items() if name in needed)
+    return f"WITH {ctes}\n{body}" if ctes else body
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: PREAMBLE + body for name, body in _BODIES.items() if name not in ROWS_ONLY}
+    return {name: _with(body) for name, body in _BODIES.items() if name not in ROWS_ONLY}

@@ -34,12 +34,12 @@ def build_session(master: str | None = None, app: str = "relayline",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    assert_utc(spark)
+    use_utc(spark)
     return spark
 
 
-def assert_utc(spark: SparkSession) -> None:
-    """Payload timestamps are labelled 'Z'; they are only right in UTC."""
+def use_utc(spark: SparkSession) -> None:
+    """Set the session's time zone to UTC: payload timestamps are labelled 'Z'."""
     tz = spark.conf.get("spark.sql.session.timeZone")
     if tz not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")

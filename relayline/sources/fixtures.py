@@ -3,7 +3,8 @@
 The original seeds its world with a driver-side random generator; here every
 table is a DataFrame that Spark derives from ``lineitem``, so its size grows
 with the input and nothing passes through the driver. Let k = l_orderkey and
-s = l_linenumber (1-4): one gold row per (lead 'lead_'||k, stage s).
+s = (l_linenumber - 1) mod 4: one gold row per (lead 'lead_'||k, stage s), so
+every line of the input is part of some gold row.
 
 The gold aggregation groups on (lead_id, etapa_funil) directly, so its output
 is hash-partitioned on the key that eligibility, routing and the control
@@ -15,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.identity import utrim
 from ..functions.timefmt import DEFAULT_AS_OF, ts_lit
 from ..schemas import (CAMPAIGNS_BY_ORIGIN, CLIENT_SIZES, ORIGINS, PRODUCTS, STAGES)
 
@@ -40,37 +40,49 @@ def _pick(values, idx: Column) -> Column:
 
 
 def _stage_lines(li: DataFrame) -> DataFrame:
-    return (li.where(F.col("l_linenumber").between(1, len(STAGES)))
-              .select(F.concat(F.lit("lead_"), F.col("l_orderkey").cast("string")).alias("lead_id"),
-                      _pick(STAGES, F.col("l_linenumber") - 1).alias("etapa_funil"),
-                      F.col("l_orderkey").alias("k"),
-                      F.col("l_shipdate").alias("d"),
-                      F.col("l_partkey").alias("p"),
-                      F.col("l_extendedprice").cast("decimal(18,2)").alias("v")))
+    return li.select(F.concat(F.lit("lead_"), F.col("l_orderkey").cast("string")).alias("lead_id"),
+                     _pick(STAGES, F.pmod(F.col("l_linenumber") - 1, F.lit(len(STAGES)))).alias("etapa_funil"),
+                     F.col("l_orderkey").alias("k"),
+                     F.col("l_shipdate").alias("d"),
+                     F.col("l_partkey").alias("p"),
+                     F.col("l_extendedprice").cast("decimal(18,2)").alias("v"))
+
+
+def clean_email(k: Column) -> Column:
+    return F.concat(F.lit("pessoa."), k.cast("string"), F.lit("@correio.example"))
 
 
 def raw_email(k: Column) -> Column:
-    base = F.concat(F.lit("contato"), k.cast("string"), F.lit("@gmail.com"))
-    style = F.pmod(F.pmod(k, F.lit(9)), F.lit(5))
-    return (F.when(style == 0, base)
-             .when(style == 1, F.concat(F.lit(" "), base, F.lit("  ")))
-             .when(style == 2, F.upper(base))
-             .when(style == 3, F.regexp_replace(base, "@", " @ "))
-             .otherwise(F.concat(F.upper(F.substring(base, 1, 1)), F.substring(base, 2, 1 << 20))))
+    """Forms that normalise (as is, tabs and line ends around, upper-case
+    domain) and forms that do not (no top-level domain, empty, missing)."""
+    address = clean_email(k)
+    style = F.pmod(k, F.lit(8))
+    return (F.when(style == 1, F.concat(F.lit("\t"), address, F.lit("\n")))
+             .when(style == 2, F.replace(address, F.lit("correio"), F.lit("CORREIO")))
+             .when(style == 3, F.replace(address, F.lit(".example"), F.lit("")))
+             .when(style == 4, F.lit(""))
+             .when(style == 5, F.lit(None).cast("string"))
+             .otherwise(address))
 
 
 def _phone_digits(k: Column) -> Column:
-    return (F.lit(900000000) + k).cast("string")
+    """Nine digits for any k."""
+    return (F.lit(900000000) + F.pmod(k, F.lit(100000000))).cast("string")
 
 
 def raw_phone(k: Column) -> Column:
+    """Forms that normalise (00 prefix, country code, dots, a label) and forms
+    that do not (trunk zero, empty, missing)."""
     num = _phone_digits(k)
-    head, tail = F.substring(num, 1, 5), F.substring(num, 6, 4)
-    style = F.pmod(k, F.lit(4))
-    return (F.when(style == 0, F.concat(F.lit("(41) "), head, F.lit("-"), tail))
-             .when(style == 1, F.concat(F.lit("41"), num))
-             .when(style == 2, F.concat(F.lit("+55 41 "), head, F.lit(" "), tail))
-             .otherwise(F.concat(F.lit("41 "), num)))
+    style = F.pmod(k, F.lit(7))
+    dotted = F.concat_ws(".", F.lit("41"), F.substring(num, 1, 3), F.substring(num, 4, 3), F.substring(num, 7, 3))
+    return (F.when(style == 0, F.concat(F.lit("0055/41/"), num))
+             .when(style == 1, F.concat(F.lit("+55[41]"), num))
+             .when(style == 2, dotted)
+             .when(style == 3, F.concat(F.lit("041-"), num))
+             .when(style == 4, F.lit(""))
+             .when(style == 5, F.lit(None).cast("string"))
+             .otherwise(F.concat(F.lit("cel. 41"), num)))
 
 
 def _campaign(origin: Column, k: Column) -> Column:
@@ -88,11 +100,12 @@ def _gold_columns(df: DataFrame, planted: bool = True) -> DataFrame:
     m = lambda n: F.pmod(k, F.lit(n))
     micros = (F.pmod(F.datediff(F.to_date("d"), F.lit(SHIP_EPOCH).cast("date")), F.lit(DAY_SPREAD)).cast("bigint") * 86_400_000_000
               + F.pmod(F.col("p"), F.lit(86400)) * 1_000_000
-              + F.pmod(k * 37, F.lit(1_000_000)))
+              + F.when(m(4) == 0, 0).otherwise(F.pmod(k * 37, F.lit(1_000_000))))
     ts = F.timestamp_add("MICROSECOND", micros, ts_lit(GOLD_EPOCH))
     ks = k.cast("string")
     no_click = m(7) == 0
     gclid = (F.when(no_click, F.lit(None).cast("string"))
+              .when((m(5) == 0) & (m(17) == 0), F.lit(""))
               .when(m(5) == 0, F.concat(F.lit("gclid_"), ks))
               .when((m(13) == 0) & m(5).isin(1, 2), F.concat(F.lit("gclid_mt_"), ks)))
     fbclid = (F.when(no_click, F.lit(None).cast("string"))
@@ -101,12 +114,12 @@ def _gold_columns(df: DataFrame, planted: bool = True) -> DataFrame:
     msclkid = (F.when(no_click, F.lit(None).cast("string"))
                 .when(m(5) == 2, F.concat(F.lit("msclkid_"), ks)))
     email, phone = raw_email(k), raw_phone(k)
-    clean_email = F.sha2(F.lower(utrim(email)), 256)
-    clean_phone = F.sha2(F.concat(F.lit("+5541"), _phone_digits(k)), 256)
+    right_email = F.sha2(clean_email(k), 256)
+    right_phone = F.sha2(F.concat(F.lit("+5541"), _phone_digits(k)), 256)
     no_pii = m(11) == 0
     bad = (m(10) == 3) if planted else F.lit(False)
-    email_h = F.when(no_pii, F.lit(None).cast("string")).when(bad, F.sha2(email, 256)).otherwise(clean_email)
-    phone_h = F.when(no_pii, F.lit(None).cast("string")).when(bad, F.sha2(phone, 256)).otherwise(clean_phone)
+    email_h = F.when(no_pii, F.lit(None).cast("string")).when(bad, F.sha2(email, 256)).otherwise(right_email)
+    phone_h = F.when(no_pii, F.lit(None).cast("string")).when(bad, F.sha2(phone, 256)).otherwise(right_phone)
     origin = _pick(ORIGINS, m(5))
     return df.select(
         "lead_id",
@@ -140,8 +153,7 @@ def gold_with_duplicates(li: DataFrame) -> DataFrame:
 
 
 def _leads(li: DataFrame) -> DataFrame:
-    return (li.where(F.col("l_linenumber").between(1, len(STAGES)))
-            .select(F.col("l_orderkey").alias("k")).distinct())
+    return li.select(F.col("l_orderkey").alias("k")).distinct()
 
 
 def raw(li: DataFrame) -> DataFrame:
@@ -257,25 +269,25 @@ def platform_report(ctl: DataFrame) -> DataFrame:
 
 
 def batched_sends(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF,
-                  batch_size: int = 50, n_buckets: int = 16) -> DataFrame:
-    """Routed eligible rows cut into request batches (``envelopes.assign_batches``)."""
+                  batch_size: int = 50, n_buckets: int = 16, frozen_at=None) -> DataFrame:
+    """Rows eligible at ``as_of`` cut into request batches at ``frozen_at``."""
     from ..operators.eligibility import eligible
     from ..operators.envelopes import assign_batches
     from ..operators.routing import route
 
     r = route(eligible(g, ctl, as_of, carry=True))
-    return assign_batches(r, batch_size=batch_size, n_buckets=n_buckets, as_of=as_of)
+    return assign_batches(r, batch_size=batch_size, n_buckets=n_buckets, as_of=frozen_at or as_of)
 
 
 def responses(b: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Mock platform answers, one per batch, in the documented body shapes.
 
     Meta: events_received one short when batch_id mod 5 = 0. Google: HTTP 400
-    when batch_id mod 4 = 3. Bing: HTTP 200 with a PartialErrors entry for
-    every event whose lead k mod 6 = 0.
+    when bucket + number of the batch mod 4 = 3. Bing: HTTP 200 with a
+    PartialErrors entry for every event whose lead k mod 8 = 1.
     """
     k = lead_number()
-    bing_err = F.when((F.col("plataforma") == "bing") & (F.pmod(k, F.lit(6)) == 0),
+    bing_err = F.when((F.col("plataforma") == "bing") & (F.pmod(k, F.lit(8)) == 1),
                       F.struct(F.col("position").alias("Index"), F.lit(3601).alias("Code"),
                                F.lit("InvalidClickId").alias("ErrorCode"),
                                F.lit("click id not found").alias("Message")))
@@ -286,7 +298,7 @@ def responses(b: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         (F.col("n") - F.when(F.pmod(bid, F.lit(5)) == 0, 1).otherwise(0)).cast("int").alias("events_received"),
         F.array().cast("array<string>").alias("messages"),
         F.concat(F.lit("trace_"), bid.cast("string")).alias("fbtrace_id")))
-    google_400 = F.pmod(bid, F.lit(4)) == 3
+    google_400 = F.pmod(F.shiftright(bid, 32) + bid, F.lit(4)) == 3
     google_body = F.when(google_400, F.lit('{"error":{"code":400,"status":"INVALID_ARGUMENT"}}')).otherwise(F.lit("{}"))
     bing_body = F.to_json(F.struct(F.col("errs").alias("PartialErrors")))
     return per_batch.select(

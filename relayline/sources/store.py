@@ -67,13 +67,14 @@ class Fixtures:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None,
-                 as_of=DEFAULT_AS_OF, batch_size: int = 50, n_buckets: int = 16):
+                 as_of=DEFAULT_AS_OF, batch_size: int = 50, n_buckets: int = 16, frozen_at=None):
         self.spark = spark
         self.sf_dir = os.path.abspath(sf_dir)
         if materialize is None:
             materialize = os.environ.get("RELAYLINE_MATERIALIZE", "1") != "0"
         self.materialize = materialize
         self.as_of, self.batch_size, self.n_buckets = as_of, batch_size, n_buckets
+        self.frozen_at = frozen_at or as_of
 
     # -- plumbing
     def _identity(self) -> str:
@@ -86,7 +87,7 @@ class Fixtures:
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         files = sorted((st.getPath().toString(), st.getLen(), st.getModificationTime())
                        for st in fs.listStatus(path))
-        h = hashlib.sha1(repr((files, self.as_of, self.batch_size, self.n_buckets)).encode())
+        h = hashlib.sha1(repr((files, self.as_of, self.batch_size, self.n_buckets, self.frozen_at)).encode())
         h.update(_source_digest().encode())
         return h.hexdigest()[:16]
 
@@ -96,7 +97,7 @@ class Fixtures:
     def _get(self, name: str, build, cluster: list[str] | None = None) -> DataFrame:
         if not self.materialize:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.as_of, self.batch_size, self.n_buckets, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.as_of, self.batch_size, self.n_buckets, self.frozen_at, name)
         with _LOCK:
             written = _WRITTEN.get(key)
             if written is None:
@@ -106,8 +107,8 @@ class Fixtures:
                     tmp = f"{path}.tmp-{self.spark.sparkContext.applicationId}"
                     df = build()
                     if cluster:
-                        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                        df = df.repartition(n, *cluster).sortWithinPartitions(*cluster)
+                        # REBALANCE: AQE sizes the write tasks and splits a hot key
+                        df = df.hint("rebalance", *cluster).sortWithinPartitions(*cluster)
                     df.write.mode("overwrite").parquet(tmp)
                     if not _rename(self.spark, tmp, path) and not _exists(self.spark, f"{path}/_SUCCESS"):
                         raise OSError(f"could not publish {path}")
@@ -142,7 +143,7 @@ class Fixtures:
 
     def batched_sends(self) -> DataFrame:
         return self._get("batched_sends", lambda: fx.batched_sends(
-            self.gold(), self.control(), self.as_of, self.batch_size, self.n_buckets), ["plataforma", "batch_id"])
+            self.gold(), self.control(), self.as_of, self.batch_size, self.n_buckets, self.frozen_at), ["plataforma", "batch_id"])
 
     def responses(self) -> DataFrame:
         return self._get("responses", lambda: fx.responses(self.batched_sends(), self.as_of), ["plataforma", "batch_id"])

@@ -3,15 +3,15 @@
 Built-in file tables cannot MERGE, DELETE or overwrite a path that the same
 job reads, so a table here is a folder of numbered snapshots
 ``<root>/v=<n>/``. A change reads the latest snapshot, computes the next one
-as a DataFrame and writes it to ``v=<n+1>``; the version becomes visible
-once Spark's job commit has written its ``_SUCCESS`` marker, and a version
-that fails validation gets an ``_INVALID`` marker and is never read. Old
-versions stay readable (time travel) until removed by retention. One writer
-per table at a time is assumed.
+as a DataFrame, writes it aside, checks and tags it there, and publishes it
+as ``v=<n+1>`` by one rename; readers see whole, checked versions only. One
+writer per table at a time is assumed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +42,11 @@ class SnapshotTable:
         fs, path = self._fs_path(p)
         fs.create(path, True).close()
 
+    def _rename(self, a: str, b: str) -> None:
+        fs, src = self._fs_path(a)
+        if fs.exists(self._fs_path(b)[1]) or not fs.rename(src, self._fs_path(b)[1]):
+            raise OSError(f"could not publish {b}: another writer, or no rename")
+
     def versions(self) -> list[int]:
         """Committed, valid versions in ascending order."""
         fs, path = self._fs_path(self.root)
@@ -53,7 +58,7 @@ class SnapshotTable:
             if st.isDirectory() and name.startswith("v="):
                 v = int(name[2:])
                 d = f"{self.root}/{name}"
-                if self._exists(f"{d}/_SUCCESS") and not self._exists(f"{d}/_INVALID"):
+                if self._exists(f"{d}/_SUCCESS"):
                     out.append(v)
         return sorted(out)
 
@@ -85,30 +90,40 @@ class SnapshotTable:
                 return v
         return None
 
-    def write(self, df: DataFrame, unique_key: list[str] | None = None, tag: str | None = None) -> int:
+    def write(self, df: DataFrame, unique_key: list[str] | None = None, tag: str | None = None,
+              rules: dict | None = None) -> int:
         """Write ``df`` as the next version and return its number.
 
-        With ``unique_key`` the written files are checked for repeated keys;
-        a failing version is marked invalid and an error is raised. ``tag``
-        marks the version (e.g. a stream epoch) so a retry can see it is done.
+        With ``unique_key`` the written files are checked for repeated keys,
+        and with ``rules`` (name -> predicate that no row may meet) for broken
+        rows; an error is raised and nothing is published. ``tag`` marks the
+        version (e.g. a stream epoch) so a retry can see it is done.
         """
         latest = self.latest()
         version = 0 if latest is None else latest + 1
         if self.schema is not None:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         if self.cluster:
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            df = df.repartition(n, *self.cluster).sortWithinPartitions(*self.cluster)
-        target = self.path(version)
-        df.write.mode("overwrite").parquet(target)
-        if unique_key:
-            dup = (self.spark.read.parquet(target).groupBy(*unique_key).count()
-                   .where(F.col("count") > 1).limit(1).count())
-            if dup:
-                self._touch(f"{target}/_INVALID")
-                raise ValueError(f"version {version} of {self.root} repeats keys {unique_key}")
+            # REBALANCE: AQE sizes the write tasks and splits a hot lead
+            df = df.hint("rebalance", *self.cluster).sortWithinPartitions(*self.cluster)
+        aside = f"{self.root}/_aside-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        written = self.spark.read.parquet(aside)
+        try:
+            if unique_key and not (written.groupBy(*unique_key).count().where("count > 1").isEmpty()):
+                raise ValueError(f"the next version of {self.root} repeats keys {unique_key}")
+            if rules:
+                broken = written.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in rules.items()]).first().asDict()
+                broken = {n: c for n, c in broken.items() if c}
+                if broken:
+                    raise ValueError(f"the next version of {self.root} breaks {broken}")
+        except ValueError:
+            fs, path = self._fs_path(aside)
+            fs.delete(path, True)
+            raise
         if tag:
-            self._touch(f"{target}/_TAG_{tag}")
+            self._touch(f"{aside}/_TAG_{tag}")
+        self._rename(aside, self.path(version))
         return version
 
     def publish(self, view_name: str, version: int | None = None) -> DataFrame:
@@ -126,11 +141,12 @@ class ControlTable(SnapshotTable):
 
     def upsert(self, batch: DataFrame, now, check_unique: bool = True, tag: str | None = None) -> int:
         """M1 then write: the next version is the merged table."""
-        return self.write(ctl.upsert(self.read(), batch, now), KEY if check_unique else None, tag)
+        return self.write(ctl.upsert(self.read(), batch, now), KEY if check_unique else None, tag,
+                          rules=ctl.row_rules())
 
     def append(self, rows: DataFrame) -> int:
         """S11."""
-        return self.write(ctl.append(self.read(), rows))
+        return self.write(ctl.append(self.read(), rows), rules=ctl.row_rules())
 
     def delete_where(self, predicate) -> int:
         """S12."""
@@ -148,11 +164,12 @@ class BucketedControlTable:
     the bucket list, at most ``n`` integers) and rewrites only those buckets
     with Spark's dynamic partition overwrite, so a batch costs O(touched
     buckets), not O(table). The merged buckets are first written to a staging
-    folder named after the batch ``tag``; a retry of the same tag re-copies
-    the staged result instead of merging again, so a batch is applied once
-    even if the job dies between staging and the final copy. Readers see a
-    bucket either before or after the copy (no cross-bucket snapshot); one
-    writer at a time is assumed.
+    folder named after the batch ``tag``, then copied, then the tag is marked
+    applied. A copy that a lost job left unfinished is finished before the next
+    upsert of any tag, and an applied tag is never copied again, so a batch is
+    applied once and no later one is undone. Readers see a bucket either before
+    or after the copy (no cross-bucket snapshot); one writer at a time is
+    assumed.
     """
 
     def __init__(self, spark: SparkSession, root: str, staging_root: str, n_buckets: int = 64):
@@ -185,13 +202,34 @@ class BucketedControlTable:
 
     def upsert(self, batch: DataFrame, now, tag: str) -> list[int]:
         """M1 on the touched buckets only; returns the rewritten bucket numbers."""
+        self._finish()
+        staged = f"{self.staging_root}/{tag}"
+        if self.tagged(tag) is not None:
+            return []
+        src = ctl.dedupe_batch(ctl.refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS)))
+        touched = sorted(r[0] for r in src.select(self.bucket_of().alias("b")).distinct().collect())
+        current = self.read().where(F.col("bucket").isin(touched)).drop("bucket")
+        self._write(ctl.upsert(current, src, now), staged, dynamic=False)
+        self._fs._touch(f"{self.staging_root}/_pending/{tag}")
+        return self._copy(tag)
+
+    def tagged(self, tag: str) -> str | None:
+        """``tag`` if its batch is applied."""
+        return tag if self._fs._exists(f"{self.staging_root}/{tag}/_APPLIED") else None
+
+    def _copy(self, tag: str) -> list[int]:
         staged = f"{self.staging_root}/{tag}"
-        if not self._fs._exists(f"{staged}/_SUCCESS"):
-            src = ctl.dedupe_batch(ctl.refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS)))
-            touched = sorted(r[0] for r in src.select(self.bucket_of().alias("b")).distinct().collect())
-            current = self.read().where(F.col("bucket").isin(touched)).drop("bucket")
-            self._write(ctl.upsert(current, src, now), staged, dynamic=False)
         result = self.spark.read.schema(self.schema).parquet(staged)
         buckets = sorted(r[0] for r in result.select("bucket").distinct().collect())
         self._write(result.drop("bucket"), self.root, dynamic=True)
+        self._fs._touch(f"{staged}/_APPLIED")
+        fs, path = self._fs._fs_path(f"{self.staging_root}/_pending/{tag}")
+        fs.delete(path, False)
         return buckets
+
+    def _finish(self) -> None:
+        """Finish the copy of a batch whose job was lost on the way."""
+        fs, path = self._fs._fs_path(f"{self.staging_root}/_pending")
+        if fs.exists(path):
+            for tag in sorted(st.getPath().getName() for st in fs.listStatus(path)):
+                self._copy(tag)

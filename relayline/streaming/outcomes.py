@@ -5,14 +5,17 @@ Streaming query picks them up, and ``foreachBatch`` classifies each
 micro-batch against the frozen request batches (``responses.classify``)
 and MERGEs the result into the control table (``ControlTable.upsert``).
 
-Exactly once: every micro-batch writes one control version tagged with its
-epoch id; a retried epoch finds its tag and is skipped, so ``tentativas`` is
-never incremented twice. Source progress lives in the query's checkpoint
+Applied once: every micro-batch writes one control version tagged with its
+stream and epoch; a version appears with its tag by one rename, and a retried
+epoch finds the tag and is skipped, so ``tentativas`` is raised once. Source progress lives in the query's checkpoint
 folder, which must sit on shared storage (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
+import datetime
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,19 +25,28 @@ from ..schemas import RESPONSE
 from ..sources.tables import BucketedControlTable, ControlTable
 
 
-def apply_outcomes(batched: DataFrame, control: ControlTable | BucketedControlTable, check_unique: bool = True):
-    """The ``foreachBatch`` function: classify, then upsert once per epoch."""
+def stream_id(checkpoint: str) -> str:
+    """One name per stream: epochs are numbered anew under each checkpoint."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def apply_outcomes(batched: DataFrame, control: ControlTable | BucketedControlTable, stream: str,
+                   check_unique: bool = True):
+    """The ``foreachBatch`` function: classify, then upsert once per epoch of
+    ``stream``. Answers without a time are stamped with the batch's latest
+    answer time, or the present when no answer has one."""
 
     def run(responses: DataFrame, epoch_id: int) -> None:
-        tag = f"epoch-{epoch_id}"
-        if isinstance(control, ControlTable) and control.tagged(tag) is not None:
+        tag = f"{stream}-epoch-{epoch_id}"
+        if control.tagged(tag) is not None:
             return
-        now = responses.agg(F.max("ts_resposta")).first()[0]
-        if now is None:  # empty micro-batch
+        n, now = responses.agg(F.count(F.lit(1)), F.max("ts_resposta")).first()
+        if n == 0:
             return
-        results = classify(batched, responses, answered_only=True)
+        now = now or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+        results = classify(batched, responses, sent_at=now, answered_only=True)
         if isinstance(control, BucketedControlTable):
-            control.upsert(results, now=now, tag=tag)  # staged per tag: a retry re-copies, never re-merges
+            control.upsert(results, now=now, tag=tag)
         else:
             control.upsert(results, now=now, check_unique=check_unique, tag=tag)
 
@@ -49,7 +61,7 @@ def start_outcome_stream(spark: SparkSession, responses_dir: str, batched: DataF
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     writer = (reader.parquet(responses_dir).writeStream
-              .foreachBatch(apply_outcomes(batched, control, check_unique))
+              .foreachBatch(apply_outcomes(batched, control, stream_id(checkpoint), check_unique))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -76,6 +76,8 @@ def test_write_envelopes(spark, tmp_path):
     env.write_envelopes(env.envelopes(b), out)
     back = spark.read.text(out)
     assert back.count() == 3 and set(back.columns) == {"value", "plataforma"}
+    named = {json.loads(r["value"])["batch_id"] for r in back.collect()}
+    assert named == {r["batch_id"] for r in b.select("batch_id").distinct().collect()}
 
 
 def test_classification(spark):

@@ -44,7 +44,7 @@ def test_accepted_filter_reaches_control_scan(spark):
 
 def test_point_lookup_pushed(spark):
     plan = _plan(QUERIES["eligible_one_lead"](spark, SF))
-    assert "EqualTo(lead_id,lead_40)" in plan
+    assert "EqualTo(lead_id,lead_22)" in plan
 
 
 def test_no_python_udfs_or_cross_joins_anywhere(spark):

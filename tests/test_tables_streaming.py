@@ -26,7 +26,7 @@ def test_snapshot_versions_and_views(spark, tmp_path):
     assert t.read().count() == 3 and t.read(0).count() == 5
     t.publish("snap_view")
     assert spark.sql("select count(*) from snap_view").first()[0] == 3
-    # a half-written version (no _SUCCESS) is invisible
+    # a half-written version (no _SUCCESS) is invisible, and so is one aside
     os.makedirs(tmp_path / "t" / "v=7")
     assert t.latest() == 1
     with pytest.raises(ValueError):
@@ -145,8 +145,93 @@ def test_daily_job_writes_batches_and_envelopes(spark, tmp_path):
     bodies = spark.read.text(out["envelopes"]).collect()
     n_events = 0
     for r in bodies:
-        body = _json.loads(r["value"])
+        body = _json.loads(_json.loads(r["value"])["body"])
         events = body.get("data") or body.get("events") or body.get("OfflineConversions")
         assert 0 < len(events) <= 40
         n_events += len(events)
     assert n_events == expected
+
+
+def _stream(spark, tmp_path, table, batched, responses, name):
+    folder = str(tmp_path / f"responses-{name}")
+    responses.coalesce(1).write.parquet(folder)
+    q = start_outcome_stream(spark, folder, batched, table, str(tmp_path / f"ckpt-{name}"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+
+
+def _tables(spark, tmp_path, control):
+    from relayline.sources.tables import BucketedControlTable
+    one = ControlTable(spark, str(tmp_path / "snapshots"))
+    one.write(control)
+    two = BucketedControlTable(spark, str(tmp_path / "buckets"), str(tmp_path / "staging"), n_buckets=8)
+    two.write_all(control)
+    return [one, two]
+
+
+def _state(table):
+    return sorted((r.lead_id, r.etapa_funil, r.plataforma, r.status_envio, r.tentativas) for r in table.read().collect())
+
+
+def test_two_streams_on_one_table_both_apply(spark, tmp_path):
+    f = Fixtures(spark, SF, as_of=AS_OF, batch_size=BATCH_SIZE, n_buckets=N_BUCKETS)
+    batched, responses, control = f.batched_sends(), f.responses(), f.control()
+    for k, table in enumerate(_tables(spark, tmp_path, control)):
+        for platform in ("bing", "meta"):  # each stream numbers its epochs from 0
+            part = responses.where(F.col("plataforma") == platform)
+            _stream(spark, tmp_path, table, batched, part, f"{platform}-{k}")
+        both = responses.where("plataforma IN ('bing', 'meta')")
+        expected = ctl.upsert(control, resp.classify(batched, both, answered_only=True), now=AS_OF)
+        assert _state(table) == sorted((r.lead_id, r.etapa_funil, r.plataforma, r.status_envio, r.tentativas)
+                                       for r in expected.collect())
+
+
+def test_answers_without_a_time_are_applied(spark, tmp_path):
+    f = Fixtures(spark, SF, as_of=AS_OF, batch_size=BATCH_SIZE, n_buckets=N_BUCKETS)
+    late = f.responses().withColumn("ts_resposta", F.lit(None).cast("timestamp_ntz"))
+    for k, table in enumerate(_tables(spark, tmp_path, f.control())):
+        n = table.read().count()
+        _stream(spark, tmp_path, table, f.batched_sends(), late, f"untimed-{k}")
+        assert table.read().count() > n
+        assert table.read().where("ts_ultimo_envio IS NULL").isEmpty()
+
+
+def test_killed_write_applies_once(spark, tmp_path, monkeypatch):
+    """A job lost before the rename (snapshots) or in the copy (buckets) leaves
+    no half-applied batch; its retry raises the attempts once."""
+    from relayline.sources.tables import BucketedControlTable
+    f = Fixtures(spark, SF)
+    batch, later = f.send_results().where("plataforma = 'bing'"), f.send_results().where("plataforma = 'meta'")
+    one, two = _tables(spark, tmp_path, f.control())
+    expected = ctl.upsert(ctl.upsert(f.control(), batch, AS_OF), later, AS_OF)
+    expected = sorted((r.lead_id, r.etapa_funil, r.plataforma, r.status_envio, r.tentativas) for r in expected.collect())
+
+    def lost(*_):
+        raise RuntimeError("lost")
+    before = _state(one)
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotTable, "_rename", lost)
+        with pytest.raises(RuntimeError):
+            one.upsert(batch, now=AS_OF, tag="a")
+    assert _state(one) == before and one.tagged("a") is None
+    one.upsert(batch, now=AS_OF, tag="a")
+    assert one.tagged("a") is not None
+    one.upsert(later, now=AS_OF, tag="b")
+    assert _state(one) == expected
+    with monkeypatch.context() as m:
+        m.setattr(BucketedControlTable, "_copy", lost)
+        with pytest.raises(RuntimeError):
+            two.upsert(batch, now=AS_OF, tag="a")
+    two.upsert(later, now=AS_OF, tag="b")  # finishes the copy of a first
+    assert two.upsert(batch, now=AS_OF, tag="a") == []  # an applied tag is not copied again
+    assert _state(two) == expected
+
+
+def test_broken_rows_are_not_published(spark, tmp_path):
+    f = Fixtures(spark, SF)
+    table = ControlTable(spark, str(tmp_path / "control"))
+    table.write(f.control())
+    bad = f.send_results().withColumn("status_envio", F.lit("enviado"))
+    with pytest.raises(ValueError, match="check:status_envio"):
+        table.upsert(bad, now=AS_OF)
+    assert table.versions() == [0]
