@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +24,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder of ``spark.checkpoint.dir`` and
     read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators with large tables on the way and a small result: the
+    result is written, and the tables that made it are deleted."""
+    @functools.wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        token = _made.set([])
+        try:
+            result, made = operator(*args, **kwargs), _made.get()
+        finally:
+            _made.reset(token)
+        result = materialize(result, operator.__name__)
+        spark = result.sparkSession
+        for place in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return result
+    return run
+
+
 def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list]:
     """``docs`` with its columns under the names c0, c1, ... beside copies of
     the ``needed`` ones, so that an operator's own names cannot clash; and the

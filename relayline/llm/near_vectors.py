@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relayline.llm.common import components, grouped, map_rows, materialize, spread
+from relayline.llm.common import components, grouped, map_rows, materialize, spread, tidy
 
 COSINE = 0.95
 SAMPLE = 4000      # distinct vectors that the rotations are learned on
@@ -101,6 +101,7 @@ def _compare():
     return step
 
 
+@tidy
 def near_vectors(rows: DataFrame) -> DataFrame:
     """``(vec_id, embedding)`` to ``(vec_id, n_links, component_id, kept)``,
     one row per row.

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relayline.llm.common import components, grouped, map_rows, materialize
+from relayline.llm.common import components, grouped, map_rows, materialize, tidy
 
 BLOCK = 1024          # documents of a bucket that meet another block at once
 HOT = 64              # in the first round, larger buckets are taken by one in SHARE
@@ -254,6 +254,7 @@ def _sets(docs: DataFrame, keys: DataFrame, classes: DataFrame, size: int) -> Da
     return materialize(map_rows(rows.select("key", "text"), "key long, set binary", make), "join-sets")
 
 
+@tidy
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, text)`` to ``(doc_id, n_shingles, component_id)``, one row
     per row; documents link at 100 * intersection >= percent * union.
@@ -308,7 +309,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id.
     Rows that repeat an id and text are one document. Documents without words
     or id link with nothing and stay."""
-    own = materialize(jaccard_components(docs, size, percent), "join-result")
+    own = jaccard_components(docs, size, percent)
     gone = own.where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0)).select("doc_id").distinct()
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
