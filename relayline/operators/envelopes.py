@@ -1,15 +1,18 @@
 """Request envelopes with an exact batch cap.
 
-Batches are cut in parallel: every event gets a bucket from a hash of its
-event id, a running count inside (platform, bucket) ranks it, and
-``floor(rank / batch_size)`` numbers the batches. So no window ever spans a
-whole platform (three tasks), every batch holds at most ``batch_size``
-events, and the only collect is of one batch, bounded by that cap. Rows that
-are exact copies are counted once before the window (map-side) and expanded
-afterwards, so a key repeated millions of times is never sorted in one task.
-
-The bucket is the first 32 bits of SHA-256(event id | conversion time in
-epoch microseconds), which any SQL engine can recompute, so batch numbers are
+Batches are cut in parallel. The events of a platform are ranked by a hash of
+event id and conversion time, and ``floor(rank / batch_size)`` numbers the
+batches. No task ranks a platform: events are counted per slice of the hash
+range, the counts of the slices before are added up, and rows are ranked
+inside their slice only. The number of slices is the caller's and changes no
+batch. Every batch holds ``batch_size`` events but the last of its platform
+(for Google, of its stage); the only collect is of one batch, bounded by that
+cap. Rows that are exact copies are counted once before ranking (map-side) and
+expanded afterwards, so a key repeated millions of times is never sorted in one
+task.
+
+The hash is the first 32 bits of SHA-256(event id | conversion time in epoch
+microseconds), which any SQL engine can recompute, so batch numbers are
 checkable.
 """
 
@@ -27,6 +30,7 @@ from ..schemas import GOOGLE_ENCODING, GOOGLE_PRODUCT, RULE_BY_PLATFORM, STAGES
 from .payloads import event_id, with_events
 
 BUCKET_SPAN = 1 << 32  # batch_id = bucket * BUCKET_SPAN + batch number inside the bucket
+SLICES_PER_PARTITION = 8  # default slices of the hash range per shuffle partition
 EXPAND_CHUNK = 4096  # copies of one collapsed row generated per array
 
 
@@ -39,9 +43,8 @@ class EnvelopeConfig:
     google_default_destination: str = ""
 
 
-def bucket_of(key: Column, n_buckets: int) -> Column:
-    h = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, F.lit(n_buckets))
+def hash32(key: Column) -> Column:
+    return F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint")
 
 
 @expression_cache
@@ -55,15 +58,19 @@ def window_ok(as_of) -> Column:
     return cond
 
 
-def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int = 64,
+def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int | None = None,
                    as_of=None, recheck_window: bool = True, future_guard: bool = False) -> DataFrame:
-    """Routed rows plus ``bucket``, ``batch_id``, 0-based ``position`` and
-    ``batch_events`` (the size of the row's batch).
+    """Routed rows plus ``bucket`` (Google's stage, else 0), ``batch_id``,
+    0-based ``position`` and ``batch_events`` (the size of the row's batch).
 
     With ``recheck_window`` rows that fell out of their platform window since
     eligibility are dropped before batching (one stale Meta event fails the
     whole request); ``future_guard`` drops events after ``as_of``.
+    ``n_buckets`` is the number of slices that are ranked apart, by default
+    SLICES_PER_PARTITION times the session's shuffle partitions.
     """
+    if n_buckets is None:
+        n_buckets = SLICES_PER_PARTITION * int(routed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if batch_size < 1 or n_buckets < 1:
         raise ValueError("batch_size and n_buckets must be positive")
     df = routed
@@ -73,24 +80,31 @@ def assign_batches(routed: DataFrame, batch_size: int = 500, n_buckets: int = 64
         df = df.where(F.col("data_hora_conversao") <= ts_lit(as_of))
     eid = event_id()
     # Google takes one destination (conversion action) per stage, so its
-    # batches never mix stages: the stage is folded into the bucket number.
+    # batches never mix stages: the stage is the bucket number.
     stage_slot = F.when(F.col("plataforma") == "google",
                         F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("etapa_funil"))).otherwise(F.lit(0))
-    # the bucket hashes the event id with its conversion time, so rows that
-    # share an event id but differ in time spread over buckets too
+    # with the conversion time, rows that share an event id spread too
     spread = F.concat(eid, F.lit("|"), F.unix_micros(F.col("data_hora_conversao").cast("timestamp")).cast("string"))
-    df = (df.withColumn("event_id", eid)
-            .withColumn("bucket", bucket_of(spread, n_buckets) + F.lit(n_buckets) * stage_slot))
+    df = df.withColumn("event_id", eid).withColumn("bucket", stage_slot.cast("bigint"))
     cols = df.columns
     # Identical rows (one key copied a million times) collapse map-side into
     # one row with a multiplicity, so no task ever sorts a hot group.
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    distinct = (df.groupBy(*cols, hash32(spread).alias("_h")).agg(F.count(F.lit(1)).alias("_m"))
+                  .withColumn("_slice", F.shiftright(F.col("_h") * F.lit(n_buckets), 32)))
     part = Window.partitionBy("plataforma", "bucket")
-    first = ["event_id", "lead_id", "etapa_funil"]
+    before = part.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (distinct.groupBy("plataforma", "bucket", "_slice").agg(F.sum("_m").alias("_sum"))
+              .select(F.col("plataforma").alias("_p"), F.col("bucket").alias("_b"), F.col("_slice").alias("_s"),
+                      F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
+                      F.sum("_sum").over(part).alias("_n")))
+    first = ["_h", "event_id", "lead_id", "etapa_funil"]
     order = first + [c for c in cols if c not in first + ["plataforma", "bucket"]]  # a total order
-    running = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    distinct = (distinct.withColumn("_end", F.sum("_m").over(running))
-                        .withColumn("_n", F.sum("_m").over(part)))
+    running = (Window.partitionBy("plataforma", "bucket", "_slice").orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    here = (F.col("plataforma").eqNullSafe(F.col("_p")) & F.col("bucket").eqNullSafe(F.col("_b"))
+            & F.col("_slice").eqNullSafe(F.col("_s")))
+    distinct = (distinct.withColumn("_in_slice", F.sum("_m").over(running)).join(slices, here)
+                        .withColumn("_end", F.col("_start") + F.col("_in_slice")))
     # back to one row per copy, generated in chunks of at most EXPAND_CHUNK
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_m") - 1) / F.lit(EXPAND_CHUNK)).cast("bigint"))
     copies = F.sequence(F.col("_c") * EXPAND_CHUNK,
@@ -133,7 +147,6 @@ def envelopes(batched: DataFrame, cfg: EnvelopeConfig | None = None, goal_name:
     """
     cfg = cfg or EnvelopeConfig()
     ev = with_events(batched, goal_name)
-    # grouping by the bucket too keeps the window's partitioning: no shuffle here
     agg = (ev.groupBy("plataforma", "bucket", "batch_id")
              .agg(F.count("*").alias("n_events"),
                   F.min("etapa_funil").alias("first_stage"),

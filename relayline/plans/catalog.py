@@ -28,7 +28,7 @@ AS_OF = DEFAULT_AS_OF
 FROZEN_AT = "2024-04-10 00:00:00"  # a day later: rows on the edge of a window fall out
 ONE_LEAD = "lead_22"  # present at every scale
 BATCH_SIZE = 50
-N_BUCKETS = 16
+N_BUCKETS = None  # slices follow the session; they change no batch
 MAX_ATTEMPTS = 3
 GRACE_DAYS = 3
 

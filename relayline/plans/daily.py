@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +23,7 @@ from ..operators.routing import route
 from ..sources.tables import ControlTable
 
 
-def prepare(gold: DataFrame, control: DataFrame, as_of, batch_size: int = 500, n_buckets: int = 256,
+def prepare(gold: DataFrame, control: DataFrame, as_of, batch_size: int = 500, n_buckets: int | None = None,
             future_guard: bool = True, block_dead_letter: bool = False) -> DataFrame:
     """Batched, routed events ready to send (``future_guard`` drops events after ``as_of``)."""
     routed = route(eligible(gold, control, as_of, future_guard=future_guard,
@@ -32,15 +33,21 @@ def prepare(gold: DataFrame, control: DataFrame, as_of, batch_size: int = 500, n
 
 
 def run(spark: SparkSession, gold_path: str, control_root: str, as_of, out_dir: str,
-        cfg: EnvelopeConfig | None = None, batch_size: int = 500, n_buckets: int = 256) -> dict:
-    """Write ``out_dir/batches`` (Parquet) and ``out_dir/envelopes`` (JSON text)."""
+        cfg: EnvelopeConfig | None = None, batch_size: int = 500, n_buckets: int | None = None,
+        run_id: str | None = None) -> dict:
+    """Write ``batches`` (Parquet) and ``envelopes`` (JSON text) under
+    ``out_dir/run=<run_id>``. Batch numbers start anew in every run, so answers
+    belong to a run's folder; a run that exists already is refused. ``run_id``
+    is the reference time by default."""
+    run_id = run_id or re.sub("[^0-9A-Za-z]+", "-", str(as_of))
+    out_dir = f"{out_dir}/run={run_id}"
     gold = spark.read.parquet(gold_path)
     control = ControlTable(spark, control_root).read()
     batches = prepare(gold, control, as_of, batch_size, n_buckets)
-    batches.write.mode("overwrite").parquet(f"{out_dir}/batches")
+    batches.write.mode("errorifexists").parquet(f"{out_dir}/batches")
     frozen = spark.read.parquet(f"{out_dir}/batches")  # envelopes come from exactly what was written
     write_envelopes(envelopes(frozen, cfg), f"{out_dir}/envelopes")
-    return {"batches": f"{out_dir}/batches", "envelopes": f"{out_dir}/envelopes"}
+    return {"run_id": run_id, "batches": f"{out_dir}/batches", "envelopes": f"{out_dir}/envelopes"}
 
 
 def main(argv=None) -> None:
@@ -50,13 +57,14 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--batch-size", type=int, default=500)
-    ap.add_argument("--buckets", type=int, default=256)
+    ap.add_argument("--buckets", type=int, default=None, help="slices ranked apart; changes no batch")
+    ap.add_argument("--run-id", default=None)
     ap.add_argument("--config", default=None, help="JSON with EnvelopeConfig fields (no secrets)")
     a = ap.parse_args(argv)
     from ..session import build_session
     spark = build_session(app="relayline-daily")
     cfg = EnvelopeConfig(**json.loads(open(a.config).read())) if a.config else None
-    print(json.dumps(run(spark, a.gold, a.control, a.as_of, a.out, cfg, a.batch_size, a.buckets)))
+    print(json.dumps(run(spark, a.gold, a.control, a.as_of, a.out, cfg, a.batch_size, a.buckets, a.run_id)))
 
 
 if __name__ == "__main__":

@@ -12,7 +12,7 @@ import re
 from ..functions.identity import EMAIL_IN_TEXT, PHONE_IN_TEXT
 from ..schemas import (CAMPAIGNS_BY_ORIGIN, CLIENT_SIZES, CONTROL_COLUMNS, ORIGINS, PLATFORM_RULES,
                        PRODUCTS, STAGES)
-from .catalog import AS_OF, BATCH_SIZE, FROZEN_AT, GRACE_DAYS, MAX_ATTEMPTS, N_BUCKETS, ONE_LEAD, ROWS_ONLY
+from .catalog import AS_OF, BATCH_SIZE, FROZEN_AT, GRACE_DAYS, MAX_ATTEMPTS, ONE_LEAD, ROWS_ONLY
 
 TS_AS_OF = f"TIMESTAMP '{AS_OF}'"
 TS_FROZEN = f"TIMESTAMP '{FROZEN_AT}'"
@@ -252,10 +252,10 @@ reconciled AS (
 batched AS (
   SELECT *, bucket * 4294967296 + CAST(floor(rn / {BATCH_SIZE}) AS BIGINT) AS batch_id,
          CAST(rn % {BATCH_SIZE} AS INTEGER) AS position
-  FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, bucket ORDER BY event_id, lead_id, etapa_funil) - 1 AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, bucket ORDER BY h, event_id, lead_id, etapa_funil) - 1 AS rn
         FROM (SELECT *, lead_id || '_' || etapa_funil AS event_id,
-                     (('0x' || substr(sha256(lead_id || '_' || etapa_funil || '|' || CAST(epoch_us(data_hora_conversao) AS VARCHAR)), 1, 8))::BIGINT % {N_BUCKETS})
-                     + {N_BUCKETS} * (CASE WHEN plataforma = 'google' THEN list_position({_lst(STAGES)}, etapa_funil) ELSE 0 END) AS bucket
+                     ('0x' || substr(sha256(lead_id || '_' || etapa_funil || '|' || CAST(epoch_us(data_hora_conversao) AS VARCHAR)), 1, 8))::BIGINT AS h,
+                     CASE WHEN plataforma = 'google' THEN list_position({_lst(STAGES)}, etapa_funil) ELSE 0 END AS bucket
               FROM routed WHERE {_window_ok}))),
 classified AS (SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, campaign_id,
     CAST(vl_faturamento_estimado AS DECIMAL(18,2)) AS valor_enviado, identificador_usado,

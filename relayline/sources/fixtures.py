@@ -269,7 +269,7 @@ def platform_report(ctl: DataFrame) -> DataFrame:
 
 
 def batched_sends(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF,
-                  batch_size: int = 50, n_buckets: int = 16, frozen_at=None) -> DataFrame:
+                  batch_size: int = 50, n_buckets: int | None = None, frozen_at=None) -> DataFrame:
     """Rows eligible at ``as_of`` cut into request batches at ``frozen_at``."""
     from ..operators.eligibility import eligible
     from ..operators.envelopes import assign_batches

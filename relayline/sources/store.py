@@ -67,7 +67,7 @@ class Fixtures:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None,
-                 as_of=DEFAULT_AS_OF, batch_size: int = 50, n_buckets: int = 16, frozen_at=None):
+                 as_of=DEFAULT_AS_OF, batch_size: int = 50, n_buckets: int | None = None, frozen_at=None):
         self.spark = spark
         self.sf_dir = os.path.abspath(sf_dir)
         if materialize is None:

@@ -66,8 +66,8 @@ def test_envelope_bodies(spark):
     assert g["destinations"] == [{"operatingAccount": {"product": "GOOGLE_ADS", "accountId": "123"},
                                   "productDestinationId": "999"}]
     [(n, bing)] = by["bing"]
-    assert [e["MicrosoftClickId"] for e in bing["OfflineConversions"]] == sorted(
-        [e["MicrosoftClickId"] for e in bing["OfflineConversions"]], key=lambda m: f"lead_{m[1:]}_")  # position order
+    order = [r["msclkid"] for r in b.where("plataforma = 'bing'").orderBy("position").collect()]
+    assert [e["MicrosoftClickId"] for e in bing["OfflineConversions"]] == order
 
 
 def test_write_envelopes(spark, tmp_path):

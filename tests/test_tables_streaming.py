@@ -235,3 +235,46 @@ def test_broken_rows_are_not_published(spark, tmp_path):
     with pytest.raises(ValueError, match="check:status_envio"):
         table.upsert(bad, now=AS_OF)
     assert table.versions() == [0]
+
+
+def test_outcome_job_closes_the_loop(spark, tmp_path):
+    from relayline.operators.reconcile import reconcile
+    from relayline.plans import daily, outcome
+    f = Fixtures(spark, SF, as_of=AS_OF)
+    f.gold().write.parquet(str(tmp_path / "gold"))
+    table = ControlTable(spark, str(tmp_path / "control"))
+    table.write(f.control())
+    made = daily.run(spark, str(tmp_path / "gold"), table.root, AS_OF, str(tmp_path / "out"), batch_size=40)
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):  # a run is written once
+        daily.run(spark, str(tmp_path / "gold"), table.root, AS_OF, str(tmp_path / "out"), batch_size=40)
+    batches = spark.read.parquet(made["batches"])
+    answers = batches.groupBy("plataforma", "batch_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "plataforma", "batch_id", F.when(F.col("plataforma") == "google", 500).otherwise(200).alias("http_status"),
+        F.when(F.col("plataforma") == "meta", F.to_json(F.struct(F.col("n").cast("int").alias("events_received"))))
+         .otherwise(F.lit('{"PartialErrors": []}')).alias("body"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("ts_resposta"))
+    answers.write.parquet(str(tmp_path / "answers"))
+    f.platform_report().write.parquet(str(tmp_path / "report"))
+    run_dir = made["batches"].rpartition("/")[0]
+    args = (spark, run_dir, str(tmp_path / "answers"), table.root, AS_OF, str(tmp_path / "report"))
+    version = outcome.run(*args)
+    after = table.read().cache()
+    assert outcome.run(*args) == version and table.versions() == [0, version]  # applied once
+    sent = batches.select(*KEY)
+    now = after.join(sent, KEY)
+    assert now.count() == sent.count()
+    assert now.where("plataforma = 'google' AND status_envio = 'aceito'").isEmpty()
+    assert now.where("plataforma <> 'google' AND status_envio <> 'aceito'").isEmpty()
+    assert after.where("status_envio = 'erro' AND tentativas >= 3").isEmpty()  # M5
+    assert not after.where("status_match = 'casado'").isEmpty()                # M6
+    assert after.where("status_envio = 'aceito' AND ts_reconciliacao IS NULL").isEmpty()
+    assert reconcile(after, f.platform_report(), AS_OF, 3).exceptAll(after).isEmpty()
+
+
+def test_slices_change_no_batch(spark):
+    from relayline.operators.envelopes import assign_batches
+    from relayline.plans.catalog import QUERIES
+    routed = QUERIES["routed"](spark, SF)
+    a, b = (assign_batches(routed, batch_size=7, n_buckets=n).select("plataforma", "batch_id", "position", *KEY[:2])
+            for n in (1, 333))
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count() > 0
