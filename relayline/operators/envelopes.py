@@ -18,7 +18,6 @@ checkable.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -170,7 +169,3 @@ def write_envelopes(env: DataFrame, path: str) -> None:
     ``{"batch_id": ..., "body": "..."}``, so that an answer can name its batch."""
     line = F.to_json(F.struct("batch_id", "body"))
     env.select("plataforma", line.alias("value")).write.mode("overwrite").partitionBy("plataforma").text(path)
-
-
-def config_from_json(text: str) -> EnvelopeConfig:
-    return EnvelopeConfig(**json.loads(text))

@@ -18,20 +18,7 @@ from pyspark.sql import types as T
 STAGES = ["MQL", "SQL", "Proposta", "Venda"]
 PLATFORMS = ["google", "meta", "bing"]
 SEND_STATUSES = ["aceito", "erro", "dead_letter"]
-IDENTIFIERS = ["gclid", "fbclid", "msclkid", "email_hash", "phone_hash", "sem_identificador"]
-MATCH_QUALITIES = ["deterministico", "probabilistico", "sem_identificador"]
-MATCH_STATUSES = ["casado", "nao_casado", "pendente"]
 ORIGINS = ["google_ads", "meta_ads", "bing_ads", "organico", "crm_import"]
-PRODUCTS = ["CRM", "ERP", "BI"]
-CLIENT_SIZES = ["pequeno", "medio", "grande", "enterprise"]
-DEFECT_TYPES = ["pago_sem_clickid", "hash_mal_normalizado", "multitouch", "sem_click_id"]
-CAMPAIGNS_BY_ORIGIN = {
-    "google_ads": ["gads_search_b2b", "gads_pmax", "gads_brand"],
-    "meta_ads": ["meta_leads", "meta_remarketing", "meta_video"],
-    "bing_ads": ["bing_search", "bing_b2b", "bing_competitor"],
-    "organico": ["organic_direct", "organic_referral"],
-    "crm_import": ["crm_manual"],
-}
 # platform -> (own click-ID column, paid origin, window in days)
 PLATFORM_RULES_FIXED = {
     "google": ("gclid", "google_ads", 63),
@@ -50,9 +37,13 @@ GOOGLE_EVENT_SOURCE = "OTHER"
 GOOGLE_ENCODING = "HEX"
 GOOGLE_PRODUCT = "GOOGLE_ADS"
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
-SHA256_HEX_LENGTH = 64
 # ---------------------------------------------------------------------------
 
+# Names of the test tables' own making; they need not match anything.
+PRODUCTS = ["agenda", "cofre", "planilha"]
+CLIENT_SIZES = ["ate_9", "10_a_99", "100_a_999", "1000_ou_mais"]
+CAMPAIGNS_BY_ORIGIN = {origin: [f"{origin}_{theme}" for theme in ("aurora", "brisa", "cedro")] for origin in ORIGINS}
+
 KEY = ["lead_id", "etapa_funil", "plataforma"]
 GOLD_KEY = ["lead_id", "etapa_funil"]
 

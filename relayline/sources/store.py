@@ -22,8 +22,10 @@ import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.timefmt import DEFAULT_AS_OF
+from ..schemas import CONTROL, GOLD, MANIFEST, PLATFORM_REPORT, RAW, RESPONSE, SEND_RESULT
 from ..session import checkpoint_dir
 from . import fixtures as fx
 
@@ -59,6 +61,10 @@ def _rename(spark: SparkSession, src: str, dst: str) -> bool:
 _WRITTEN: dict[tuple, DataFrame] = {}  # read-back DataFrames: files are listed and footers read once
 
 
+def _typed(df: DataFrame, schema) -> DataFrame:
+    return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 class Fixtures:
     """Accessors for every fixture table of one input folder.
 
@@ -94,9 +100,11 @@ class Fixtures:
     def _root(self) -> str:
         return f"{checkpoint_dir(self.spark)}/relayline-fixtures/{self._identity()}"
 
-    def _get(self, name: str, build, cluster: list[str] | None = None) -> DataFrame:
+    def _get(self, name: str, build, cluster: list[str] | None = None, schema=None) -> DataFrame:
+        """The table, written once; with ``schema`` its columns are cast to it
+        and it is read with it (S8)."""
         if not self.materialize:
-            return build()
+            return _typed(build(), schema)
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.as_of, self.batch_size, self.n_buckets, self.frozen_at, name)
         with _LOCK:
             written = _WRITTEN.get(key)
@@ -105,14 +113,15 @@ class Fixtures:
                 if not _exists(self.spark, f"{path}/_SUCCESS"):
                     # write aside, then publish with one rename: readers never see a partial table
                     tmp = f"{path}.tmp-{self.spark.sparkContext.applicationId}"
-                    df = build()
+                    df = _typed(build(), schema)
                     if cluster:
                         # REBALANCE: AQE sizes the write tasks and splits a hot key
                         df = df.hint("rebalance", *cluster).sortWithinPartitions(*cluster)
                     df.write.mode("overwrite").parquet(tmp)
                     if not _rename(self.spark, tmp, path) and not _exists(self.spark, f"{path}/_SUCCESS"):
                         raise OSError(f"could not publish {path}")
-                written = _WRITTEN[key] = self.spark.read.parquet(path)
+                reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+                written = _WRITTEN[key] = reader.parquet(path)
         return written
 
     def lineitem(self) -> DataFrame:
@@ -120,30 +129,32 @@ class Fixtures:
 
     # -- tables
     def gold(self) -> DataFrame:
-        return self._get("gold", lambda: fx.gold(self.lineitem()), ["lead_id", "etapa_funil"])
+        return self._get("gold", lambda: fx.gold(self.lineitem()), ["lead_id", "etapa_funil"], GOLD)
 
     def gold_with_duplicates(self) -> DataFrame:
-        return self._get("gold_dup", lambda: fx.gold_with_duplicates(self.lineitem()), ["lead_id", "etapa_funil"])
+        return self._get("gold_dup", lambda: fx.gold_with_duplicates(self.lineitem()), ["lead_id", "etapa_funil"],
+                         GOLD)
 
     def raw(self) -> DataFrame:
-        return self._get("raw", lambda: fx.raw(self.lineitem()), ["lead_id"])
+        return self._get("raw", lambda: fx.raw(self.lineitem()), ["lead_id"], RAW)
 
     def manifest(self) -> DataFrame:
-        return self._get("manifest", lambda: fx.manifest(self.lineitem()), ["lead_id"])
+        return self._get("manifest", lambda: fx.manifest(self.lineitem()), ["lead_id"], MANIFEST)
 
     def control(self) -> DataFrame:
-        return self._get("control", lambda: fx.control(self.gold()), ["lead_id", "etapa_funil"])
+        return self._get("control", lambda: fx.control(self.gold()), ["lead_id", "etapa_funil"], CONTROL)
 
     def send_results(self) -> DataFrame:
         return self._get("send_results", lambda: fx.send_results(self.gold(), self.control(), self.as_of),
-                         ["lead_id", "etapa_funil"])
+                         ["lead_id", "etapa_funil"], SEND_RESULT)
 
     def platform_report(self) -> DataFrame:
-        return self._get("platform_report", lambda: fx.platform_report(self.control()), ["event_id"])
+        return self._get("platform_report", lambda: fx.platform_report(self.control()), ["event_id"], PLATFORM_REPORT)
 
     def batched_sends(self) -> DataFrame:
         return self._get("batched_sends", lambda: fx.batched_sends(
             self.gold(), self.control(), self.as_of, self.batch_size, self.n_buckets, self.frozen_at), ["plataforma", "batch_id"])
 
     def responses(self) -> DataFrame:
-        return self._get("responses", lambda: fx.responses(self.batched_sends(), self.as_of), ["plataforma", "batch_id"])
+        return self._get("responses", lambda: fx.responses(self.batched_sends(), self.as_of), ["plataforma", "batch_id"],
+                         RESPONSE)

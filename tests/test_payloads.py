@@ -14,6 +14,8 @@ SCHEMA = ("lead_id string, etapa_funil string, plataforma string, data_hora_conv
           "campaign_id string, vl_faturamento_estimado decimal(18,2), identificador_usado string, "
           "qualidade_match string")
 
+# ---- Fixed values that must equal the original's for right results: hashes,
+# and below the golden request payloads they occur in.
 E120 = "4c50a8a0738447d24c017ba029d94a27065e9102ddd4f0e099d3b6e53534681e"
 P120 = "eea5d6b55d7bd09d498f9b8221340c403bfac4d29459e4d07f7cd166ca4910a1"
 E24 = "36fbdcb2d50a9084edb42189e7fb793a7c24b062f65b825b0cc531d06af1cfd0"
