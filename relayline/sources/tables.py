@@ -132,6 +132,17 @@ class SnapshotTable:
         df.createOrReplaceTempView(view_name)
         return df
 
+    def publish_table(self, namespace: str, name: str, version: int | None = None) -> DataFrame:
+        """Point ``namespace.name`` in the catalog at a version (the
+        latest by default); the namespace is made if it is missing. The table
+        is external, so pointing it elsewhere deletes no data."""
+        version = self.latest() if version is None else version
+        if version is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
+        self.spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
+        return self.spark.catalog.createTable(f"`{namespace}`.`{name}`", path=self.path(version), source="parquet")
+
 
 class ControlTable(SnapshotTable):
     """The control table: clustered by lead so a snapshot's files group a lead's rows."""

@@ -34,6 +34,21 @@ def test_snapshot_versions_and_views(spark, tmp_path):
     assert t.latest() == 1
 
 
+def test_namespaced_table_moves_between_versions(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    t.write(spark.range(5))
+    t.write(spark.range(2))
+    t.publish_table("relayline_ns", "ids")
+    assert spark.table("relayline_ns.ids").count() == 2
+    t.publish_table("relayline_ns", "ids", 0)
+    spark.sql("USE relayline_ns")
+    try:
+        assert spark.table("ids").count() == 5
+    finally:
+        spark.sql("USE default")
+    assert t.read().count() == 2
+
+
 def test_control_table_round_trip(spark, tmp_path):
     f = Fixtures(spark, SF)
     table = ControlTable(spark, str(tmp_path / "control"))
