@@ -69,7 +69,7 @@ def dedupe_batch(batch: DataFrame) -> DataFrame:
                  .select(*KEY, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
-def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, now) -> DataFrame:
     """M1: MERGE the send results into the control table.
 
     Matched rows take status, HTTP code, error, message, value and identifier
@@ -77,25 +77,28 @@ def upsert(target: DataFrame, batch: DataFrame, now, dedupe: bool = True) -> Dat
     ``dt_atualizacao = now``; they keep conversion time, campaign, first send
     and reconciliation columns. Unmatched batch rows are inserted with one
     attempt and both send times equal to ``ts_envio``. Duplicate target keys
-    are each updated; duplicate batch keys are reduced to the latest row
-    (``dedupe``), NULL batch keys fail the job.
-
-    Plan: the same rows as a full outer join, written as
-    ``target LEFT JOIN batch`` (updates and untouched rows) plus
-    ``batch LEFT ANTI JOIN distinct target keys`` (inserts). Neither join
-    buffers more than one row per key on its build side, so a key repeated
+    are each updated; duplicate batch keys are reduced to the latest row, NULL
+    batch keys fail the job.
+
+    Plan: batch rows and target keys are aggregated together by key (partial
+    aggregates first), which reduces the batch to one row per key and says
+    which keys the target has; the target then takes its updates from that
+    table in a left join, and its other rows are the inserts. Two shuffles.
+    The join buffers one row per key on its build side, so a key repeated
     millions of times in the target streams through (a full outer sort-merge
     join would buffer all of them, and AQE cannot split it).
     """
     src = refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS))
-    if dedupe:
-        src = dedupe_batch(src)
-    t = conform(target).alias("t")
-    s = src.withColumn("_s", F.lit(True)).alias("s")
-    j = t.join(s, _join_on_key(), "left")
-    updated = j.select(*_updated_exprs(str(now)))
-    existing = conform(target).select(*KEY).distinct()
-    inserted = src.join(existing, KEY, "left_anti").select(*_inserted_exprs(str(now)))
+    rest = [c for c in SEND_RESULT_COLUMNS if c not in KEY]
+    rows = src.select(*KEY, F.struct(*rest).alias("_row"),
+                      F.struct("ts_envio", *[c for c in rest if c != "ts_envio"]).alias("_order"))
+    keys = conform(target).select(*KEY, F.lit(True).alias("_in"))
+    per_key = (rows.unionByName(keys, allowMissingColumns=True).groupBy(*KEY)
+                   .agg(F.max_by("_row", "_order").alias("_r"), F.max("_in").alias("_in"))
+                   .where(F.col("_r").isNotNull()))
+    s = per_key.select(*KEY, *[F.col(f"_r.{c}").alias(c) for c in rest], "_in", F.lit(True).alias("_s"))
+    updated = conform(target).alias("t").join(s.alias("s"), _join_on_key(), "left").select(*_updated_exprs(str(now)))
+    inserted = s.where(F.col("_in").isNull()).select(*_inserted_exprs(str(now)))
     return updated.unionByName(inserted)
 
 

@@ -1,6 +1,7 @@
 """Physical-plan properties: pushdown, pruning, no Python in the hot path."""
 
 
+from relayline.operators.control import upsert
 from relayline.operators.eligibility import candidates, eligible
 from relayline.plans.catalog import QUERIES
 from relayline.sources.store import Fixtures
@@ -58,3 +59,20 @@ def test_batching_window_never_spans_a_platform(spark):
     text = _formatted(QUERIES["envelope_batches"](spark, SF))
     specs = [line for line in text.splitlines() if line.startswith("Arguments:") and "windowspecdefinition" in line]
     assert specs and all("bucket" in line for line in specs)
+
+
+def test_upsert_shuffles_twice(spark):
+    """One shuffle of batch rows and target keys together, one of the target;
+    the second use of the first is a reused exchange."""
+    f = Fixtures(spark, SF)
+    target, batch = f.control(), f.send_results()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(upsert(target, batch, AS_OF))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    lines = plan.splitlines()
+    assert len([x for x in lines if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]) <= 3
