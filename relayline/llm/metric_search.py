@@ -24,8 +24,9 @@ from pyspark.sql.window import Window
 
 from relayline.llm.common import arrow_schema, map_rows, materialize, runs
 
-PAGE = 64
-SHARD_ROWS, GROUP_QUERIES = 4096, 16384   # rows of a tree; queries that one task asks it
+PAGE = 256                                    # rows of a leaf, and pivots of a page, at most
+SHARD_VALUES, GROUP_QUERIES = 1 << 20, 16384  # components in a tree; queries that one task asks it
+EXACT = float(1 << 52)                        # integer products below it are exact in float64
 LIMIT = 1 << 31                           # components must lie below it
 
 
@@ -38,56 +39,66 @@ def whole(vector, factor: int = 256) -> bytes | None:
 
 
 class Page:
-    """``rows``: the entries' points (a leaf's rows or a page's pivots);
-    ``above``: their distances to the pivot of this page."""
-    __slots__ = ("rows", "above", "radius", "pages")
-
-    def __init__(self, rows, above, radius=None, pages=None):
-        self.rows, self.above, self.radius, self.pages = rows, above, radius, pages
+    """An inner page has the points of its pivots, their covering radii and
+    pages; a leaf the range ``start`` to ``end`` of the tree's rows. ``above``:
+    the entries' distances to the pivot of this page."""
+    __slots__ = ("above", "points", "radius", "pages", "start", "end")
 
 
 class MTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
         x = vectors.astype(np.float64)
         squares = (x * x).sum(axis=1)
         self.most = float(squares.max(initial=0))
         self.x = np.hstack([x, np.sqrt(np.maximum(self.most - squares, 0))[:, None]])
-        self.root = self._load(np.arange(len(x)), self.x[0] if len(x) else None, np.random.default_rng(3))
+        self.first = self.x[0].copy() if len(x) else None
+        self.order: list[np.ndarray] = []
+        self.placed = 0
+        self.root = self._load(np.arange(len(x)), self.first, np.random.default_rng(3))
+        order = np.concatenate(self.order) if self.order else np.arange(0)
+        self.ids, self.x, self.vectors = ids[order], self.x[order], vectors[order]  # leaves lie together
 
     def _from(self, point: np.ndarray, rows: np.ndarray) -> np.ndarray:
         gap = self.x[rows] - point
         return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
     def _load(self, rows, pivot, random) -> Page:
-        """A page over ``rows``: each goes to the nearest of PAGE pivots."""
+        """A page over ``rows``: each goes to the nearest of the pivots."""
+        page = Page()
         if len(rows) <= PAGE:
-            return Page(rows, self._from(pivot, rows) if len(rows) else np.zeros(0))
-        picks = random.choice(rows, PAGE, replace=False)
+            page.above = self._from(pivot, rows) if len(rows) else np.zeros(0)
+            page.pages, page.start, page.end = None, self.placed, self.placed + len(rows)
+            self.order.append(rows)
+            self.placed += len(rows)
+            return page
+        fan = min(PAGE, -(-len(rows) // PAGE) + 1)
+        picks = random.choice(rows, fan, replace=False)
         x, p = self.x[rows], self.x[picks]
         near = ((p * p).sum(axis=1) - 2 * x @ p.T).argmin(axis=1)
-        parts = [rows[near == k] for k in range(PAGE)]
+        parts = [rows[near == k] for k in range(fan)]
         if max(map(len, parts)) == len(rows):  # copies of one point
-            parts = np.array_split(rows, PAGE)
+            parts = np.array_split(rows, fan)
         pairs = [(pick, part) for pick, part in zip(picks, parts) if len(part)]
-        radius = [self._from(self.x[pick], part).max() for pick, part in pairs]
-        pages = [self._load(part, self.x[pick], random) for pick, part in pairs]
         picks = np.array([pick for pick, _ in pairs])
-        return Page(picks, self._from(pivot, picks), np.array(radius), pages)
+        page.points, page.above = self.x[picks], self._from(pivot, picks)
+        page.radius = np.array([self._from(self.x[pick], part).max() for pick, part in pairs])
+        page.pages = [self._load(part, self.x[pick], random) for pick, part in pairs]
+        return page
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """The k best (score, id), ties to the smaller id, without id ``own``."""
         if not len(self.ids):
             return []
-        q = np.append(query.astype(np.float64), 0.0)
-        norm = float(q @ q)
+        asked = query.astype(np.float64)
+        norm = float(asked @ asked)
+        exact = norm < EXACT and self.most < EXACT
         slack = 1e-9 * (norm + self.most) + 1e-6
         best: list[tuple[int, int]] = []       # a heap of (score, -id)
 
         def reach(distance):                   # the highest score at this distance
             return (norm + self.most - np.square(np.maximum(distance, 0))) / 2 + slack
 
-        gap = q - self.x[0]
+        gap = np.append(asked, 0.0) - self.first
         heap = [(-np.inf, 0, float(np.sqrt(gap @ gap)), self.root)]
         pushed = 1
         while heap:
@@ -97,23 +108,28 @@ class MTree:
                 break
             # |d(q, pivot) - d(entry, pivot)| bounds the entry's distance.
             near = np.abs(to_pivot - page.above)
-            if page.radius is not None:
-                near = near - page.radius
+            if page.pages is not None:
+                near -= page.radius
             on = np.flatnonzero(reach(near - 1e-9 * to_pivot) >= least)
             if not len(on):
                 continue
-            rows = page.rows[on]
             if page.pages is None:
-                scores = self.vectors[rows] @ query
-                for score, at in zip(scores.tolist(), rows.tolist()):
-                    item = score, -int(self.ids[at])
+                few = 2 * len(on) < len(page.above)
+                rows = on + page.start if few else slice(page.start, page.end)
+                scores = self.x[rows, :-1] @ asked if exact else self.vectors[rows] @ query
+                ids = self.ids[rows]
+                if len(scores) > k + 1:        # of a page the k best but own, and their ties
+                    least = max(least, np.partition(scores, -k - 1)[-k - 1])
+                for at in np.flatnonzero(scores >= least).tolist():
+                    item = int(scores[at]), -int(ids[at])
                     if -item[1] != own:
                         if len(best) < k:
                             heapq.heappush(best, item)
                         elif item > best[0]:
                             heapq.heapreplace(best, item)
                 continue
-            distance = np.sqrt(np.maximum(norm + self.most - 2 * (self.x[rows] @ q), 0))
+            points = page.points[on]
+            distance = np.sqrt(np.maximum(norm + self.most - 2 * (points[:, :-1] @ asked), 0))
             bounds = reach(distance - page.radius[on] - 1e-9 * distance)
             for at, d, b in zip(on.tolist(), distance.tolist(), bounds.tolist()):
                 if b >= least:
@@ -176,7 +192,7 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5) -> DataFrame:
         "size", F.octet_length("vec")), "search-vectors")
     asks = valid.where("ask").select("id", "vec", "size").distinct()
     counts = valid.groupBy("size").agg(
-        F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"),
+        F.ceil(F.count(F.lit(1)) * (F.first("size") / 8) / SHARD_VALUES).cast("int").alias("shards"),
         F.greatest(F.lit(1), F.ceil(F.sum(F.col("ask").cast("int")) / GROUP_QUERIES)).cast("int").alias("parts"))
     of = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     deal = lambda name, *cols: F.pmod(F.xxhash64(*cols), F.col(name)).cast("int")

@@ -169,8 +169,8 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
             best = sorted((-int(x @ y), j) for j, y in valid if j != i and len(x) == len(y))[:5]
             want |= {(i, k + 1, j, -s) for k, (s, j) in enumerate(best)}
     from pyspark.sql import functions as F
-    for shard, group in ((4096, 16384), (128, 5)):
-        monkeypatch.setattr(metric_search, "SHARD_ROWS", shard)
+    for shard, group in ((1 << 20, 16384), (2048, 5)):
+        monkeypatch.setattr(metric_search, "SHARD_VALUES", shard)
         monkeypatch.setattr(metric_search, "GROUP_QUERIES", group)
         got = metric_search.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect()
         assert {(x.query_id, x.rank, x.vec_id, x.score) for x in got} == want and len(got) == len(want)
@@ -180,16 +180,17 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
 def test_tree_prunes_on_clustered_rows():
     r = np.random.default_rng(7)
     centres = r.integers(-4000, 4000, (40, 8))
-    rows = np.repeat(centres, 100, axis=0) + r.integers(-20, 20, (4000, 8))
-    tree = metric_search.MTree(np.arange(4000), rows)
-    seen = []
-    plain = np.flatnonzero
-    try:
-        metric_search.np.flatnonzero = lambda x: (seen.append(x.sum()), plain(x))[1]
-        got = tree.search(rows[17], 17, 5)
-    finally:
-        metric_search.np.flatnonzero = plain
+    rows = np.repeat(centres, 500, axis=0) + r.integers(-20, 20, (20_000, 8))
+    tree = metric_search.MTree(np.arange(20_000), rows)
+    taken = []
+
+    class Seen(np.ndarray):
+        def __getitem__(self, key):
+            taken.append(len(np.arange(20_000)[key]))
+            return np.asarray(super().__getitem__(key))
+    tree.ids = tree.ids.view(Seen)
+    got = tree.search(rows[17], 17, 5)
     scores = rows @ rows[17]
     want = sorted(((-int(s), i) for i, s in enumerate(scores) if i != 17))[:5]
     assert got == [(-s, i) for s, i in want]
-    assert sum(seen) < 2000
+    assert sum(x for x in taken if x) < 10_000
