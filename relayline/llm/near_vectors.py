@@ -22,8 +22,9 @@ from relayline.llm.common import components, grouped, map_rows, materialize, spr
 
 COSINE = 0.95
 SAMPLE = 4000      # distinct vectors that the rotations are learned on
-MISS = 0.002       # planned share of pairs at COSINE exactly that no table finds
+MISS = 0.002       # share of pairs at COSINE exactly that no table finds
 BLOCK = 512
+LEAST, MOST = 6, 24  # bits of a key
 
 
 def normal(vector) -> bytes | None:
@@ -53,27 +54,93 @@ def itq(x: np.ndarray, seed: int, rounds: int = 25) -> tuple[np.ndarray, np.ndar
     return turn, np.zeros(d)
 
 
+def moved(x: np.ndarray, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The unit vectors of x, and the same turned to cosine COSINE exactly: towards random
+    directions, and towards other vectors of x."""
+    r = np.random.default_rng(seed)
+    out = []
+    for to in (r.standard_normal(x.shape), x[r.permutation(len(x))]):
+        for _ in range(2):  # twice, as the first leaves rounding errors
+            to = to - (to * x).sum(axis=1)[:, None] * x
+        size = np.sqrt((to * to).sum(axis=1))
+        on = size > 1e-6    # others are copies or opposites
+        out.append((x[on], COSINE * x[on] + math.sqrt(1 - COSINE ** 2) * to[on] / size[on, None]))
+    return [(a, b) for a, b in out if len(a)]
+
+
+class Plan:
+    """Bits and tables for vectors of length d. Where the rotations are
+    learned, cuts lie off the origin and the chance that keys agree depends
+    on the data: it is measured on sampled vectors moved to COSINE, and the
+    cheapest bits whose tables miss at most MISS of them are taken. Where no
+    tables are cheaper than all pairs, bits 0 and one table compare these."""
+
+    def __init__(self, d: int, n: int, x: np.ndarray):
+        self.d, self.x, self.turns = d, x, []
+        top = min(MOST, max(LEAST, round(math.log2(max(n, 1) / 8 + 1))))
+        if d < 2 or len(x) < 2 * d:
+            # Random cuts through the origin: a bit differs with chance angle / pi.
+            same = (1 - math.acos(COSINE) / math.pi) ** top
+            self.bits, self.tables = top, math.ceil(math.log(MISS) / math.log(1 - same))
+            self._learn(self.bits * self.tables)
+        else:
+            self._measure(n, top)
+        del self.x
+
+    def _learn(self, bits: int) -> None:
+        while len(self.turns) * self.d < bits:
+            self.turns.append(itq(self.x, len(self.turns)))
+
+    def _cost(self, n: int, bits: int, tables: int) -> float:
+        """Seconds per vector, about: rows that are shuffled, pairs compared.
+        Small tables are planned as larger ones."""
+        meet = max(n, 1 << 15) / 2 ** bits
+        return tables * (max(1.0, meet / BLOCK) * (5e-6 + 4e-8 * (self.d + tables)) + meet * (1 + self.d / 8) * 1e-9)
+
+    def _measure(self, n: int, top: int) -> None:
+        pairs, same = moved(self.x), []
+        self.bits, self.tables, best = 0, 1, self._cost(n, 0, 1)
+        for bits in range(LEAST, top + 1):
+            tables = 8
+            while True:
+                self._learn(bits * tables)
+                for turn, at in self.turns[len(same):]:
+                    same.append([(a @ turn > at) == (b @ turn > at) for a, b in pairs])
+                need, least = 0, 0
+                for k in range(len(pairs)):
+                    agree = np.hstack([s[k] for s in same])[:, :bits * tables]
+                    agree = agree.reshape(len(agree), tables, bits).all(axis=2)
+                    # The first table that finds each pair, in order.
+                    first = np.sort(np.where(agree.any(axis=1), agree.argmax(axis=1), tables))
+                    need = max(need, int(first[math.ceil((1 - MISS) * len(first)) - 1]) + 1)
+                    # Every further table finds a smaller share of the rest.
+                    share = (first == tables).mean()
+                    least = max(least, tables * math.log(MISS) / math.log(share) if 0 < share < 1 else share * 2 ** bits)
+                if need <= tables or least >= 2 ** bits or self._cost(n, bits, least) >= best:
+                    break
+                tables = min(max(tables + 8, math.ceil(1.1 * least)), 2 ** bits)
+            if need <= tables and need < 2 ** bits and self._cost(n, bits, need) < best:
+                self.bits, self.tables, best = bits, need, self._cost(n, bits, need)
+        self.turns = self.turns[:math.ceil(self.bits * self.tables / self.d)]
+
+
 class Coder:
     """``keys(x)``: one key per table for each row of x."""
 
     def __init__(self, n: int, samples: dict[int, np.ndarray]):
-        self.bits = min(24, max(6, round(math.log2(max(n, 1) / 8 + 1))))
-        # Two unit vectors at this angle differ in a bit with chance angle / pi.
-        same = (1 - math.acos(COSINE) / math.pi) ** self.bits
-        self.tables = math.ceil(math.log(MISS) / math.log(1 - same))
-        self.turns = {d: self._turns(d, x) for d, x in samples.items()}
-
-    def _turns(self, d: int, x: np.ndarray):
-        need = math.ceil(self.tables * self.bits / d)
-        return [itq(x, seed) for seed in range(need)]
+        self.n = n
+        self.plans = {d: Plan(d, n, x) for d, x in samples.items()}
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         d = x.shape[1]
-        if d not in self.turns:  # a length outside the sample
-            self.turns[d] = self._turns(d, np.zeros((0, d)))
-        bits = np.hstack([x @ turn > at for turn, at in self.turns[d]])[:, :self.tables * self.bits]
-        place = (1 << np.arange(self.bits, dtype=np.int64))
-        return (bits.reshape(len(x), self.tables, self.bits) * place).sum(axis=2) + (d << 32)
+        if d not in self.plans:  # a length outside the sample
+            self.plans[d] = Plan(d, self.n, np.zeros((0, d)))
+        plan = self.plans[d]
+        if not plan.bits:
+            return np.full((len(x), 1), d << 32)
+        bits = np.hstack([x @ turn > at for turn, at in plan.turns])[:, :plan.tables * plan.bits]
+        place = (1 << np.arange(plan.bits, dtype=np.int64))
+        return (bits.reshape(len(x), plan.tables, plan.bits) * place).sum(axis=2) + (d << 32)
 
 
 def _compare():
@@ -109,8 +176,8 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     Vectors that are null, empty, zero, or hold null or non-finite components,
     and rows without id, link with nothing; so do vectors of different
     lengths. Repeated rows count as so many vectors. Links below COSINE are
-    never made; above it the tables are planned to miss MISS of the pairs at
-    exactly COSINE and fewer beyond. Other columns are ignored.
+    never made; above it the tables miss about MISS of the pairs at exactly
+    COSINE, as measured on the sample, and fewer beyond. Other columns are ignored.
     """
     def clean():
         return lambda cols: {"vec_id": cols["vec_id"], "vec": [

@@ -157,6 +157,36 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert near_vectors.near_vectors(vectors(spark, [])).collect() == []
 
 
+def shifted(d=64, n=1500, seed=8):
+    """Unit vectors with a large common mean (cosine about 0.87), and partners
+    at cosines 0.95 to 0.97."""
+    r = np.random.default_rng(seed)
+    x = r.standard_normal((n, d)) + 2.6 * np.sqrt(d) * np.eye(d)[0]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = r.standard_normal((n, d))
+    y -= (y * x).sum(axis=1)[:, None] * x
+    cosine = r.uniform(0.95001, 0.97, (n, 1))
+    return x, cosine * x + np.sqrt(1 - cosine ** 2) * y / np.linalg.norm(y, axis=1)[:, None]
+
+
+def test_tables_find_pairs_with_a_common_mean():
+    x, y = shifted(n=4000)
+    for n in (10_000, 1_000_000):
+        coder = near_vectors.Coder(n, {64: np.vstack([x[:2000], y[2000:]])})
+        assert (coder.keys(x) == coder.keys(y)).any(axis=1).mean() >= 0.99
+
+
+def test_near_vectors_with_a_common_mean(spark):
+    x, y = shifted()
+    both = np.vstack([x, y]).astype(np.float32)
+    unit = both.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    got = near_vectors.near_vectors(vectors(spark, [(i, v.tolist()) for i, v in enumerate(both)])).collect()
+    assert all(r.n_links <= want[r.vec_id] for r in got)
+    assert sum(r.n_links for r in got) >= 0.99 * want.sum() > 0
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     r = np.random.default_rng(6)
     rows = [(k, r.standard_normal(16).round(1).tolist()) for k in range(700)]
