@@ -118,15 +118,16 @@ class MTree:
                 rows = on + page.start if few else slice(page.start, page.end)
                 scores = self.x[rows, :-1] @ asked if exact else self.vectors[rows] @ query
                 ids = self.ids[rows]
-                if len(scores) > k + 1:        # of a page the k best but own, and their ties
-                    least = max(least, np.partition(scores, -k - 1)[-k - 1])
+                others = ids != own            # the query's own row may be repeated
+                scores, ids = scores[others], ids[others]
+                if len(scores) > k:            # of a page the k best, and their ties
+                    least = max(least, np.partition(scores, -k)[-k])
                 for at in np.flatnonzero(scores >= least).tolist():
                     item = int(scores[at]), -int(ids[at])
-                    if -item[1] != own:
-                        if len(best) < k:
-                            heapq.heappush(best, item)
-                        elif item > best[0]:
-                            heapq.heapreplace(best, item)
+                    if len(best) < k:
+                        heapq.heappush(best, item)
+                    elif item > best[0]:
+                        heapq.heapreplace(best, item)
                 continue
             points = page.points[on]
             distance = np.sqrt(np.maximum(norm + self.most - 2 * (points[:, :-1] @ asked), 0))

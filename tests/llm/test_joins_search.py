@@ -207,6 +207,17 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert metric_search.top_k(vectors(spark, []), F.lit(True)).collect() == []
 
 
+def test_repeated_query_rows_take_no_place():
+    r = np.random.default_rng(9)
+    rows = r.integers(-50, 50, (200, 8))
+    rows[20:60] = rows[17] = 60               # the highest scores are the query's own
+    ids = np.arange(200)
+    ids[20:60] = 17
+    got = metric_search.MTree(ids, rows).search(rows[17], 17, 5)
+    scores = rows @ rows[17]
+    assert got == [(-s, i) for s, i in sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != 17)[:5]]
+
+
 def test_tree_prunes_on_clustered_rows():
     r = np.random.default_rng(7)
     centres = r.integers(-4000, 4000, (40, 8))
