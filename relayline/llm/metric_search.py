@@ -7,7 +7,8 @@ shard is an M-tree: pages of PAGE entries, an entry of an inner page with its
 covering radius, and every entry with its distance to the page's parent
 pivot. A search takes pages by their best possible score. Before an entry's
 distance is computed, the stored parent distance bounds it by the triangle
-inequality; whole pages go by their radius. Scores are integer products.
+inequality; whole pages go by their radius. Scores are integer products; where
+norms allow scores beyond a long, products of Python integers.
 """
 
 from __future__ import annotations
@@ -27,15 +28,20 @@ from relayline.llm.common import arrow_schema, map_rows, materialize, runs
 PAGE = 256                                    # rows of a leaf, and pivots of a page, at most
 SHARD_VALUES, GROUP_QUERIES = 1 << 20, 16384  # components in a tree; queries that one task asks it
 EXACT = float(1 << 52)                        # integer products below it are exact in float64
-LIMIT = 1 << 31                           # components must lie below it
+LONG = float(1 << 62)                         # products and scaled components below it fit a long
 
 
 def whole(vector, factor: int = 256) -> bytes | None:
-    """Int64 bytes of floor(factor * x); None if the vector takes no part."""
+    """Int64 bytes of floor(factor * x); None if the vector takes no part. One
+    that a long cannot hold fails."""
     if vector is None or any(x is None for x in vector):
         return None
     v = np.floor(np.asarray(vector, dtype=np.float64) * factor)
-    return v.astype(np.int64).tobytes() if np.isfinite(v).all() and (np.abs(v) < LIMIT).all() else None
+    if not np.isfinite(v).all():
+        return None
+    if (np.abs(v) >= LONG).any():
+        raise OverflowError("a vector's component is 2^62 or more after scaling")
+    return v.astype(np.int64).tobytes()
 
 
 class Page:
@@ -92,6 +98,7 @@ class MTree:
         asked = query.astype(np.float64)
         norm = float(asked @ asked)
         exact = norm < EXACT and self.most < EXACT
+        long = np.sqrt(norm) * np.sqrt(self.most) < LONG
         slack = 1e-9 * (norm + self.most) + 1e-6
         best: list[tuple[int, int]] = []       # a heap of (score, -id)
 
@@ -116,7 +123,12 @@ class MTree:
             if page.pages is None:
                 few = 2 * len(on) < len(page.above)
                 rows = on + page.start if few else slice(page.start, page.end)
-                scores = self.x[rows, :-1] @ asked if exact else self.vectors[rows] @ query
+                if exact:
+                    scores = self.x[rows, :-1] @ asked
+                elif long:
+                    scores = self.vectors[rows] @ query
+                else:                          # Python integers
+                    scores = self.vectors[rows].astype(object) @ query.astype(object)
                 ids = self.ids[rows]
                 others = ids != own            # the query's own row may be repeated
                 scores, ids = scores[others], ids[others]
@@ -180,7 +192,8 @@ def top_k(rows: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     are fewer rows.
 
     Rows without id, and vectors that are null, empty or hold null or
-    non-finite components, or some of 2^31 and more, take no part. Vectors are
+    non-finite components, take no part. A component of 2^54 or more, or a
+    score in the result that a long cannot hold, fails. Vectors are
     compared with those of their length. Repeated rows are candidates as often
     as they occur, but ask once. Other columns are ignored.
     """

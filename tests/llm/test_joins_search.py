@@ -218,6 +218,27 @@ def test_repeated_query_rows_take_no_place():
     assert got == [(-s, i) for s, i in sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != 17)[:5]]
 
 
+def test_top_k_of_unscaled_vectors(spark):
+    from pyspark.sql import functions as F
+    r = np.random.default_rng(10)
+    rows = [(k, (r.standard_normal(4) * 10.0 ** (k % 8)).astype(np.float32).tolist()) for k in range(600)]
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    want = set()
+    for i, x in whole[:600:50]:
+        best = sorted((-sum(a * b for a, b in zip(x, y)), j) for j, y in whole if j != i)[:5]
+        want |= {(i, k + 1, j, -s) for k, (s, j) in enumerate(best) if abs(s) < 1 << 63}
+    asks = [i for i, _ in rows[:600:50] if len([1 for q in want if q[0] == i]) == 5]
+    assert any(abs(a) >= 1 << 31 for _, v in whole for a in v) and len(asks) > 2
+    got = metric_search.top_k(vectors(spark, rows), F.col("vec_id").isin(asks)).collect()
+    assert {(x.query_id, x.rank, x.vec_id, x.score) for x in got} == {q for q in want if q[0] in asks}
+
+
+def test_scores_beyond_a_long_are_python_integers():
+    rows = np.array([[1 << 61, 5], [1 << 61, 7], [-(1 << 61), 0], [3, 1]])
+    got = metric_search.MTree(np.arange(4), rows).search(rows[0], 0, 3)
+    assert got == [((1 << 122) + 35, 1), (3 * (1 << 61) + 5, 3), (-(1 << 122), 2)]
+
+
 def test_tree_prunes_on_clustered_rows():
     r = np.random.default_rng(7)
     centres = r.integers(-4000, 4000, (40, 8))
