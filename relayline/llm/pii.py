@@ -19,6 +19,11 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_left, bisect_right
+from collections import deque
+from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,6 +33,7 @@ from relayline.llm.common import map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, MAX_CHARS = 24, 64
+CHUNK = 4096  # segments that are scored at once
 FEATURES = 1 << 12
 #: The sample that the weights are fitted on: so many documents, and so many
 #: places in them, by the hash of the id.
@@ -88,6 +94,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # -- the field -----------------------------------------------------------------
 _SEED = re.compile(r"[0-9@]\S*")
+_MARK = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s|.", re.DOTALL)
 _SHAPE = [(re.compile(r"[0-9]+"), "9"), (re.compile(r"[A-Za-z]+"), "a")]
 
@@ -125,23 +132,72 @@ def features(text: str, start: int, end: int) -> list[int]:
     return [zlib.crc32(x.encode()) % FEATURES for x in on]
 
 
+def segments(text: str, start: int, end: int, edges: array) -> Iterator[tuple[int, int, int, int]]:
+    """The candidate segments of a place as (first token, token after, start,
+    end), by first token and then by length. ``edges`` takes the tokens' ends;
+    tokens lie side by side from ``start`` on."""
+    tokens, ahead, i = _TOKEN.finditer(text, start, end), deque(), 0
+    while True:
+        for m in islice(tokens, MAX_TOKENS - len(ahead)):
+            ahead.append(m.end())
+            edges.append(m.end())
+        if not ahead:
+            return
+        if not text[start].isspace():
+            for k, e in enumerate(ahead, 1):
+                if e - start > MAX_CHARS:
+                    break
+                if not text[e - 1].isspace() and _MARK.search(text, start, e):
+                    yield i, i + k, start, e
+        start = ahead.popleft()
+        i += 1
+
+
+def decode(text: str, start: int, end: int, weights: np.ndarray) -> list[tuple[int, int, int]]:
+    """The best path's segments of a place: (kind index, start, end). The
+    forward pass holds MAX_TOKENS positions and scores CHUNK segments at a
+    time; of each token stay its end, and the length and kind of the segment
+    that the best path to it ends with."""
+    edges, back, kinds = array("q", [start]), bytearray(1), bytearray(1)
+    value, ahead = 0.0, deque([(-np.inf, 0, 0)] * MAX_TOKENS)  # of the positions after the last
+
+    def move(to: int) -> None:
+        nonlocal value
+        while len(back) <= to:
+            score, length, kind = ahead.popleft()
+            ahead.append((-np.inf, 0, 0))
+            if score > value:
+                value = score
+            else:
+                length = kind = 0
+            back.append(length)
+            kinds.append(kind)
+
+    found = segments(text, start, end, edges)
+    while part := list(islice(found, CHUNK)):
+        scores = weights[:, np.array([features(text, s, e) for _, _, s, e in part])].sum(axis=2)
+        for (i, j, _, _), kind, top in zip(part, scores.argmax(axis=0).tolist(), scores.max(axis=0).tolist()):
+            move(i)
+            if value + top > ahead[j - i - 1][0]:
+                ahead[j - i - 1] = value + top, j - i, kind
+    j = len(edges) - 1
+    move(j)
+    path = []
+    while j > 0:
+        if back[j]:
+            path.append((kinds[j], edges[j - back[j]], edges[j]))
+        j -= back[j] or 1
+    return path[::-1]
+
+
 class Lattice:
-    """The candidate segments of one place: token bounds and features."""
+    """The candidate segments of one short place: token bounds and features."""
 
     def __init__(self, text: str, start: int, end: int):
-        tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
-        self.n = len(tokens)
-        self.bounds, rows = [], []
-        for i, (s, _) in enumerate(tokens):
-            if text[s].isspace():
-                continue
-            for j in range(i, min(self.n, i + MAX_TOKENS)):
-                e = tokens[j][1]
-                if e - s > MAX_CHARS:
-                    break
-                if not text[e - 1].isspace() and re.search(r"[0-9@]", text[s:e]):
-                    self.bounds.append((i, j + 1, s, e))
-                    rows.append(features(text, s, e))
+        edges = array("q")
+        self.bounds = list(segments(text, start, end, edges))
+        self.n = len(edges)
+        rows = [features(text, s, e) for _, _, s, e in self.bounds]
         self.features = np.array(rows, dtype=np.int64).reshape(len(rows), -1)
         self.ending: list[list[int]] = [[] for _ in range(self.n + 1)]
         for k, (_, j, _, _) in enumerate(self.bounds):
@@ -249,13 +305,16 @@ def find(text: str, weights: np.ndarray) -> list[tuple[int, int, int]]:
     order of the kinds, then of starts."""
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
+    starts, ends = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
     found = list(base)
     for start, end in places(text):
-        near = [(s, e) for s, e in taken if s < end and e > start]
-        if any(s <= start and e >= end for s, e in near):
+        at = bisect_right(starts, start)
+        if at and ends[at - 1] >= end:
             continue  # nothing is left to add
-        found += [x for x in Lattice(text, start, end).decode(weights)
-                  if not any(x[1] < e and s < x[2] for s, e in near)]
+        for kind, s, e in decode(text, start, end, weights):
+            at = bisect_left(starts, e)  # spans that start before e; the last end of theirs
+            if not at or ends[at - 1] <= s:
+                found.append((kind, s, e))
     return sorted(found)
 
 

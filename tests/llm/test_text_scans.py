@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -120,6 +121,26 @@ def test_field_learns_the_spans_and_decodes_the_best_path():
         assert sorted(got) == sorted(want), text
 
 
+def test_long_places_decode_in_bounded_memory(monkeypatch):
+    r = random.Random(6)
+    weights = np.random.default_rng(2).standard_normal((4, pii.FEATURES)) - 0.3
+    text = " ".join(r.choice(["7", "4.5", "a1@b.c", "+1 (2", "no", "\n12-3", "9" * 30]) for _ in range(100))
+    for chunk in (4096, 7):
+        monkeypatch.setattr(pii, "CHUNK", chunk, raising=False)
+        for s, e in pii.places(text):
+            assert pii.decode(text, s, e, weights) == pii.Lattice(text, s, e).decode(weights)
+    table = "\n".join(str(r.randrange(10, 1000)) for _ in range(6000))
+    assert len(pii.places(table)) == 1
+    monkeypatch.setattr(pii, "CHUNK", 4096, raising=False)
+    peaks = []
+    for size in (len(table) // 2, len(table)):
+        tracemalloc.start()
+        pii.find(table[:size], weights)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0] and peaks[1] < 400 * len(table)
+
+
 def test_decoding_and_marginals_equal_enumeration():
     weights = np.random.default_rng(1).standard_normal((4, pii.FEATURES))
     lattice = pii.Lattice("a1.2", 0, 4)
