@@ -254,7 +254,6 @@ def _sets(docs: DataFrame, keys: DataFrame, classes: DataFrame, size: int) -> Da
     return materialize(map_rows(rows.select("key", "text"), "key long, set binary", make), "join-sets")
 
 
-@tidy
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, text)`` to ``(doc_id, n_shingles, component_id)``, one row
     per row; documents link at 100 * intersection >= percent * union.
@@ -264,6 +263,12 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     its component; so is a row without id, whose component is null. Repeated
     rows are copies. Other columns are ignored.
     """
+    return keyed_components(docs, size, percent).drop("key")
+
+
+@tidy
+def keyed_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``jaccard_components`` with the ``key`` of each row's set of n-grams."""
     docs = docs.select("doc_id", "text")
     seed = 0
     while True:
@@ -302,19 +307,42 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     lowest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     ids = labelled.join(lowest, "label").select("key", "component_id")
     return members.join(ids, "key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "key")
+
+
+def _texts(docs: DataFrame, gone: DataFrame, size: int) -> DataFrame:
+    """``(_id, _sha)`` of the documents with the ids and keys in ``gone``."""
+    def make():
+        def step(cols):
+            sets = [shingles(x, size) for x in cols["text"]]
+            return {"doc_id": cols["doc_id"], "key": [class_key(h) if len(h) else None for h in sets], "_sha": cols["_sha"]}
+        return step
+
+    rows = docs.select("doc_id", "text").join(gone.select("doc_id").distinct(), "doc_id", "left_semi").withColumn(
+        "_sha", F.sha2("text", 256))
+    found = map_rows(rows, "doc_id long, key long, _sha string", make).join(gone, ["doc_id", "key"], "left_semi")
+    return materialize(found.select(F.col("doc_id").alias("_id"), "_sha").distinct(), "join-gone")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id.
     Rows that repeat an id and text are one document. Documents without words
     or id link with nothing and stay."""
-    own = jaccard_components(docs, size, percent)
-    gone = own.where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0)).select("doc_id").distinct()
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    again = own.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    own = keyed_components(docs, size, percent)
+    gone = own.where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0)).select(
+        "doc_id", "key").distinct()
+    again = own.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
-        return left
+        return _without(docs, gone.select("doc_id"), lambda left, right: "doc_id")
+    left = _without(docs, gone.select("doc_id").join(again, "doc_id", "left_anti"), lambda left, right: "doc_id")
+    # An id with several texts: those go that are in another's component.
+    texts = _texts(docs, gone.join(again, "doc_id", "left_semi"), size)
+    left = _without(left, texts, lambda left, right: (left["doc_id"] == right["_id"]) & (
+        F.sha2(left["text"], 256) == right["_sha"]))
     alone = left.where("doc_id IS NULL")
     return left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(alone)
+
+
+def _without(docs: DataFrame, gone: DataFrame, on) -> DataFrame:
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, on(docs, gone), "left_anti").select(*docs.columns)

@@ -89,6 +89,14 @@ def test_join_of_messy_rows(docs):
     assert ids == sorted(map(str, [1, 2, 3, 4, 5, None, None, 7, 8, 9]))
 
 
+def test_an_id_with_two_texts_loses_only_the_duplicate(docs):
+    same, other = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(1, same), (2, same + " end"), (2, other), (2, other), (3, same), (3, "alone here"), (4, other + " end"), (None, same)]
+    got = ngram_join.one_of_each(docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted(
+        [("1", same), ("2", other), ("3", "alone here"), ("None", same)])
+
+
 def test_sketch_bound_holds():
     r = np.random.default_rng(2)
     sketcher = ngram_join.Sketcher(85, 0)
