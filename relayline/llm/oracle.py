@@ -81,9 +81,76 @@ SELECT vec_id, (SELECT count(*) FROM both_ways WHERE a = vec_id) AS n_links,
 FROM embeddings
 """
 
+OP11 = rf"""
+WITH pieces AS (
+    SELECT lang, unnest(string_split_regex(body, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS body
+          FROM documents)),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+    SELECT lang, array_to_string(p, ' ') AS phrase, len(p) AS k, count(*) AS f FROM (
+        SELECT lang, unnest([w[i:i + 0] for i in range(1, len(w) + 1)] || [w[i:i + 1] for i in range(1, len(w))]
+                            || [w[i:i + 2] for i in range(1, len(w) - 1)]) AS p FROM words)
+    GROUP BY ALL HAVING k = 1 OR f >= 10),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, string_split(phrase, ' ') AS p, f AS a FROM phrases WHERE k >= 2),
+halves AS (
+    SELECT *, array_to_string(p[1:cut], ' ') AS first, array_to_string(p[cut + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, len(p))) AS cut FROM candidates)),
+cuts AS (
+    SELECT h.lang, h.phrase, h.p, a, x.f AS l, y.f AS r, cut,
+           (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM halves h JOIN phrases x ON x.lang = h.lang AND x.phrase = h.first
+    JOIN phrases y ON y.lang = h.lang AND y.phrase = h.rest),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+around AS (
+    SELECT lang, part, max(a) AS longer FROM (
+        SELECT lang, a, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS part FROM candidates WHERE len(p) = 3)
+    GROUP BY lang, part)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM weakest w JOIN totals t ON t.lang = w.lang LEFT JOIN around o ON o.lang = w.lang AND o.part = w.phrase
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+OP12 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+terms AS (SELECT doc, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS whole FROM terms GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS size, sum(whole) AS words FROM kept GROUP BY lang),
+groups AS (
+    SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts USING (lang, source) GROUP BY g.lang, g.source),
+dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+           (1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (total + size))::BIGINT AS p,
+           (1 + 1000000000::HUGEINT * (whole + 1) // (words + size))::BIGINT AS q
+    FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (
+    SELECT x.lang, x.source, y.source AS item, coalesce(v.value, 0)::BIGINT AS value
+    FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+               FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL) v
+    ON v.lang = x.lang AND v.source = x.source AND v.item = y.source),
+parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM dense WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": OP1,
     "op4_exact_top_k": OP4,
     "op5_chat_formatting": OP5,
     "op10_embedding_near_dedup": OP10,
+    "op11_phrase_collocations": OP11,
+    "op12_source_divergence": OP12,
 }

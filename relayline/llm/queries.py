@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayline.llm import bpe, chat, importance, metric_search, mixing, near_vectors, ngram_join, pii, secret_scan, toxicity
+from relayline.llm import (bpe, chat, collocations, divergence, importance, metric_search, mixing, near_vectors,
+                           ngram_join, phrase_names, pii, secret_scan, toxicity)
 from relayline.llm.common import table
 from relayline.llm.oracle import ORACLE_SQL
 
@@ -60,9 +61,22 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, inside=50, first=2000)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), least=3, first=200)
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_names.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_quality_resampling, op3_pii, op4_exact_top_k, op5_chat_formatting, op6_bpe, op7_secret_scans, op8_mixing, op9_toxicity,
-    op10_embedding_near_dedup, pipeline)}
+    op10_embedding_near_dedup, op11_phrase_collocations, op12_source_divergence,
+    op13_document_fingerprints, pipeline)}
 
 
 def queries() -> dict:

@@ -21,7 +21,7 @@ TABLES = ("documents", "embeddings", "conversations", "labels", "benchmark", "pa
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if re.match(r"op\d+_", n)}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if re.match(r"op\d+_", n)}
     assert "pipeline" in names and set(ORACLE_SQL) <= set(entry.oracle_sql())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
