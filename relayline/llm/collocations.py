@@ -7,36 +7,38 @@ first, a prefix of more than ``BUDGET`` suffixes is extended by a word (as in
 ERA's vertical partitioning), and the prefixes that result are packed into
 groups of about ``BUDGET`` suffixes. A task builds the subtrees of a group
 from its suffixes alone: it sorts them, finds with how many words neighbours
-agree, and adds up leaves and then inner nodes.
+agree, and adds up leaves and then inner nodes. A suffix ends before a word
+that occurs less often than a phrase has to, as no such phrase holds it.
 
 Which group a suffix belongs to is a function of its words and of a plan of
-fixed size: 2^16 slices of a hash with their groups, and two bitmaps of the
-prefixes that are extended. A prefix that shares a hot one's bit is extended
-too, which changes no count.
+fixed size: 2^16 slices of a hash with their groups, and bitmaps of the words
+that are frequent and of the prefixes that are extended. A word or prefix that
+shares another's bit is kept or extended too, which changes no count.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from relayline.llm.common import grouped, materialize, small, tidy
+from relayline.llm.common import arrow_schema, grouped, materialize, small, tidy
 
 #: A-Z in lower case, ends of pieces as line feeds, tabs as blanks.
 WORDS = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-BUDGET = 1 << 19      # suffixes of a group, as counted
-FLUSH = 1 << 18       # distinct phrases that a task adds up before it hands them over
+BUDGET = 1 << 20      # suffixes of a group, as counted
+FLUSH = 1 << 20       # words that a task codes before it hands their phrases over
 SLICES = 1 << 16
-BITS = 1 << 20
+BITS = 1 << 23        # of a bitmap
 SALT = 64
 PARTS = 1_000_000     # of a score
 
@@ -47,84 +49,87 @@ def pieces(text: bytes | None) -> Iterator[list[bytes]]:
             yield words
 
 
-def key(lang: bytes, *words: bytes) -> int:
-    return zlib.crc32(b"\n".join((lang, *words)))
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """(language, words, pieces one after another as numbers of the words,
+    each closed by two -1) for FLUSH words or the end of the task. A longer
+    piece comes in parts; the two words behind a part follow it as -3 - number."""
+    state: dict[str, tuple[dict, array]] = {}
+    held = 0
+
+    def out():
+        for lang, (number, ids) in state.items():
+            yield lang, list(number), np.frombuffer(ids, np.int32)
+
+    for batch in batches:
+        for part in small(batch, 1 << 20):
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                for words in pieces(text):
+                    for at in range(0, len(words), FLUSH):
+                        if lang not in state:
+                            number: dict = defaultdict()
+                            number.default_factory = number.__len__
+                            state[lang] = number, array("i")
+                        number, ids = state[lang]
+                        ids.extend(map(number.__getitem__, words[at:at + FLUSH]))
+                        # Words behind a part are there to end its suffixes, and start none.
+                        ids.extend(-3 - number[w] for w in words[at + FLUSH:at + FLUSH + 2])
+                        ids.extend((-1, -1))
+                        held += len(words[at:at + FLUSH])
+                        if held >= FLUSH:
+                            yield from out()
+                            state, held = {}, 0
+    yield from out()
+
+
+def _tally(rows: DataFrame, schema: str, make) -> DataFrame:
+    """``make()``'s Arrow columns of every coded stretch of a task."""
+    out = arrow_schema(T._parse_datatype_string(schema))
 
+    def run(batches):
+        step = make()
+        for lang, words, ids in _coded(batches):
+            cols = step(lang, words, ids)
+            if len(cols[-1]):
+                cols = [pa.array([lang]).take(pa.array(np.zeros(len(cols[-1]), np.int32))), *cols]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, out)], schema=out)
 
-def _key(*columns: str) -> Column:
-    """``key`` of columns."""
-    return F.crc32(F.concat_ws("\n", *columns).cast("binary"))
+    return rows.mapInArrow(run, schema)
 
 
-def _tally(rows: DataFrame, width: int, phrases, place=None) -> DataFrame:
-    """Counts per task of the phrases that ``phrases()``, made once per task,
-    gives for a language and a piece's words, as ``(lang, w1 .. w<width>, n)``;
-    ``place`` adds columns to a phrase."""
-    names = ["lang", *[f"w{i + 1}" for i in range(width)], "n"]
-    more = place()[0] if place else []
-    schema = ", ".join(f"{c} {'long' if c == 'n' else 'string'}" for c in names) + "".join(f", {c} int" for c in more)
-    kinds = [pa.string()] + [pa.binary()] * width + [pa.int64()]
+def _strings(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.binary()).cast(pa.string())
 
-    def run(batches):
-        find, at = phrases(), place()[1] if place else None
-        tally: dict[str, Counter] = {}
-
-        def out():
-            cols = [[] for _ in names]
-            extra = [[] for _ in more]
-            for lang, counter in tally.items():
-                cols[0] += [lang] * len(counter)
-                for c, values in zip(cols[1:], zip(*counter)):
-                    c.extend(values)
-                cols[-1].extend(counter.values())
-                if at:
-                    code = lang.encode()
-                    for c, values in zip(extra, zip(*[at(code, *p) for p in counter])):
-                        c.extend(values)
-            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
-            arrays = [a.cast(pa.string()) if a.type == pa.binary() else a for a in arrays]
-            return pa.RecordBatch.from_arrays(arrays + [pa.array(c, pa.int32()) for c in extra], names=[*names, *more])
-
-        size = 0
-        for batch in batches:
-            for part in small(batch, 1 << 20):
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    code = lang.encode()
-                    for words in pieces(text):
-                        found = iter(find(code, words))
-                        while some := list(islice(found, FLUSH)):
-                            counter = tally.setdefault(lang, Counter())
-                            size -= len(counter)
-                            counter.update(some)
-                            size += len(counter)
-                            if size >= FLUSH:
-                                yield out()
-                                tally, size = {}, 0
-        if size:
-            yield out()
 
-    return rows.mapInArrow(run, schema)
+def keys_of(lang: str, phrases) -> np.ndarray:
+    """A number of 32 bits per phrase, given as words."""
+    head = lang.encode()
+    return np.array([zlib.crc32(b"\n".join((head, *p))) for p in phrases], np.int64)
 
 
-def _added(tally: DataFrame) -> DataFrame:
-    by = [c for c in tally.columns if c != "n"]
-    return tally.groupBy(*by).agg(F.sum("n").alias("f"))
+def _key(*columns: str) -> Column:
+    """``keys_of`` of columns."""
+    return F.crc32(F.concat_ws("\n", "lang", *columns).cast("binary"))
 
 
 def _bit(*columns: str) -> Column:
-    return F.pmod(_key("lang", *columns), F.lit(BITS)).alias("bit")
+    return F.pmod(_key(*columns), F.lit(BITS)).alias("bit")
 
 
-def _bitmap(bits: DataFrame) -> bytes:
-    """BITS numbers at most reach the driver."""
-    out = np.zeros(BITS, bool)
-    out[[r.bit for r in bits.collect()]] = True
-    return np.packbits(out, bitorder="little").tobytes()
+def _bitmap(bits: DataFrame) -> np.ndarray:
+    """The bitmap of a column ``bit``; BITS bits reach the driver."""
+    out = np.zeros(BITS // 8, np.uint8)
+    place = F.col("bit") + 1
+    for r in bits.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect():
+        part = np.frombuffer(r.bits, np.uint8)
+        at = (r.bucket - 1) * len(part)
+        out[at:at + len(part)] = part[:len(out) - at]
+    return out
 
 
-def _is_set(bitmap: bytes, k: int) -> int:
-    k %= BITS
-    return bitmap[k >> 3] >> (k & 7) & 1
+def _is_set(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    keys = keys % BITS
+    return (bitmap[keys >> 3] >> (keys & 7) & 1).astype(bool)
 
 
 def packed(totals: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,21 +154,27 @@ def _subtrees(least: int):
     suffixes of a group."""
     def make():
         def step(rows: pa.Table) -> dict:
-            columns = [rows[c].combine_chunks() for c in ("w1", "w2", "w3")]
-            coded = pa.concat_arrays(columns).dictionary_encode()
+            tails = pc.split_pattern(rows["tails"].combine_chunks(), "\n")
+            held = pc.list_value_length(tails).to_numpy()
+            tail = pc.split_pattern(tails.flatten(), " ")
+            at, length = tail.offsets.to_numpy()[:-1], pc.list_value_length(tail).to_numpy()
+            coded = pa.concat_arrays([rows["w1"].combine_chunks(), tail.flatten()]).dictionary_encode()
             words, size = coded.dictionary, len(coded.dictionary) + 1
-            a, b, c = coded.indices.fill_null(-1).to_numpy().astype(np.int64).reshape(3, -1)
+            code = coded.indices.to_numpy().astype(np.int64)
+            a, rest = np.repeat(code[:len(held)], held), code[len(held):]
+            b, c = rest[at], np.where(length > 1, rest[np.minimum(at + 1, len(rest) - 1)], -1)
             lang = rows["lang"].combine_chunks().dictionary_encode()
-            top = lang.indices.to_numpy().astype(np.int64) * size + a
+            top = np.repeat(lang.indices.to_numpy().astype(np.int64), held) * size + a
             order = np.lexsort((b * size + c, top))
             top, b, c = top[order], b[order], c[order]
-            n, whole = rows["n"].to_numpy()[order], rows["depth"].to_numpy()[order] < 3
+            n = rows["n"].combine_chunks().flatten().to_numpy()[order].astype(np.int64)
+            whole = np.repeat(rows["whole"].to_numpy(), held)[order]
             new = np.r_[True, (top[1:] != top[:-1]) | (b[1:] != b[:-1])]
             leaf = np.flatnonzero(np.r_[True, new[1:] | (c[1:] != c[:-1])])
             totals = np.add.reduceat(n, leaf)
             inner = np.flatnonzero(new[leaf])
             found = np.add.reduceat(totals, inner)
-            two = (found >= least) & whole[leaf[inner]]  # with three words to the prefix, others hold the rest
+            two = (found >= least) & whole[leaf[inner]]  # else other groups hold more of it
             three = (totals >= least) & (c[leaf] >= 0)
             at = np.r_[leaf[inner][two], leaf[three]]
 
@@ -190,58 +201,87 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
 
     def words():
-        return lambda lang, piece: zip(piece)
-    one = materialize(_added(_tally(rows, 1, words)), "phrases-one")
+        return lambda lang, words, ids: [_strings(words), pa.array(np.bincount(ids[ids >= 0], minlength=len(words)))]
+    one = _tally(rows, "lang string, w1 string, n long", words)
+    one = materialize(one.groupBy("lang", "w1").agg(F.sum("n").alias("f")), "phrases-one")
+    frequent = _bitmap(one.where(F.col("f") >= least).select(_bit("w1")))
 
     # Vertical partitioning: extend prefixes until each fits the budget.
     hot_bits = one.where(F.col("f") > BUDGET).select(_bit("w1")).distinct()
-    hot, hotter = _bitmap(hot_bits), bytes(BITS // 8)
-    units = one.join(hot_bits, _bit("w1") == hot_bits["bit"], "left_anti").select(
-        _key("lang", "w1").alias("key"), "f")
-    rest, extended, two = 0, None, None
-    if any(hot):
+    hot, hotter = _bitmap(hot_bits), np.zeros(BITS // 8, np.uint8)
+    units = one.where(F.col("f") >= least).join(hot_bits, _bit("w1") == hot_bits["bit"], "left_anti").select(
+        _key("w1").alias("key"), "f")
+    rest, extended = 0, None
+    if hot.any():
         def heads():
-            @lru_cache(FLUSH)
-            def is_hot(lang, w):
-                return _is_set(hot, key(lang, w))
-            return lambda lang, piece: [(v, w) for v, w in zip(piece, piece[1:]) if is_hot(lang, v)]
-        two = materialize(_added(_tally(rows, 2, heads)), "phrases-two")
+            def step(lang, words, ids):
+                keys = keys_of(lang, zip(words))
+                pair, n = _phrases(ids, _is_set(frequent, keys), 2, starts=_is_set(hot, keys))
+                text = _strings(words)
+                return [text.take(pa.array(pair[0])), text.take(pa.array(pair[1])), pa.array(n)]
+            return step
+        two = _tally(rows, "lang string, w1 string, w2 string, n long", heads)
+        two = materialize(two.groupBy("lang", "w1", "w2").agg(F.sum("n").alias("f")), "phrases-two")
         bits = two.where(F.col("f") > BUDGET).select(_bit("w1", "w2")).distinct()
-        hotter = _bitmap(bits)
-        on = _bit("w1", "w2") == bits["bit"]
-        units = units.unionByName(two.join(bits, on, "left_anti").select(_key("lang", "w1", "w2").alias("key"), "f"))
+        hotter, on = _bitmap(bits), _bit("w1", "w2") == bits["bit"]
+        units = units.unionByName(two.join(bits, on, "left_anti").select(_key("w1", "w2").alias("key"), "f"))
         extended = two.join(bits, on, "left_semi")
         rest = extended.agg(F.sum("f")).first()[0] or 0
-    slices = units.select(F.shiftright("key", 16).cast("int").alias("slice"), "f")
     totals = np.full(SLICES, rest // SLICES, np.int64)
-    for r in slices.groupBy("slice").agg(F.sum("f").alias("f")).collect():  # SLICES rows at most
-        totals[r.slice] += r.f
+    for r in units.groupBy(F.shiftright("key", 16).cast("int").alias("slice")).agg(F.sum("f").alias("f")).collect():
+        totals[r.slice] += r.f  # SLICES rows at most
     first, parts = packed(totals, BUDGET)
 
     def suffixes():
-        def find(lang, piece):
-            yield from zip(piece, piece[1:], piece[2:])
-            if len(piece) > 1:
-                yield piece[-2], piece[-1], None
-        return find
-
-    def place():
-        def at(lang, *suffix):
-            k, depth = key(lang, suffix[0]), 1
-            if _is_set(hot, k):
-                k, depth = key(lang, *suffix[:2]), 2
-                if _is_set(hotter, k):
-                    k, depth = key(lang, *suffix[:2], suffix[2] or b""), 3
-            return int(first[k >> 16] + (k & 0xFFFF) % parts[k >> 16]), depth
-        return ["grp", "depth"], at
-
-    nodes = grouped(_tally(rows, 3, suffixes, place), "grp",
-                    "lang string, w1 string, w2 string, w3 string, f long", _subtrees(least))
-    if any(hotter):
+        def step(lang, words, ids):
+            keys = keys_of(lang, zip(words))
+            (a, b, c), n = _phrases(ids, _is_set(frequent, keys), 3)
+            unit, whole = keys[a], np.ones(len(a), bool)
+            more = np.flatnonzero(_is_set(hot, unit)) if len(a) else np.zeros(0, int)
+            if len(more):
+                unit[more] = keys_of(lang, ((words[x], words[y]) for x, y in zip(a[more], b[more])))
+                more = more[_is_set(hotter, unit[more])]
+                whole[more] = False
+                unit[more] = keys_of(lang, ((words[x], words[y], words[z] if z >= 0 else b"")
+                                            for x, y, z in zip(a[more], b[more], c[more])))
+            group = first[unit >> 16] + (unit & 0xFFFF) % parts[unit >> 16]
+            # One row per first word and group; suffixes come sorted by word.
+            order = np.lexsort((group, whole, a))
+            a, b, c, n, group, whole = (x[order] for x in (a, b, c, n, group, whole))
+            start = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (group[1:] != group[:-1]) | (whole[1:] != whole[:-1])][:len(a)])
+            cuts = pa.array(np.r_[start, len(a)].astype(np.int32))
+            text = _strings(words)
+            tails = pc.binary_join_element_wise(text.take(pa.array(b)), text.take(pa.array(c, mask=c < 0)), " ",
+                                                null_handling="skip")
+            tails = pc.binary_join(pa.ListArray.from_arrays(cuts, tails), "\n")
+            return [text.take(pa.array(a[start])), tails, pa.array(whole[start]), pa.array(group[start]),
+                    pa.ListArray.from_arrays(cuts, pa.array(n))]
+        return step
+
+    dealt = _tally(rows, "lang string, w1 string, tails string, whole boolean, grp int, n array<int>", suffixes)
+    nodes = grouped(dealt, "grp", "lang string, w1 string, w2 string, w3 string, f long", _subtrees(least))
+    if extended is not None:
         nodes = nodes.unionByName(extended.where(F.col("f") >= least).withColumn("w3", F.lit(None).cast("string")))
     return one, materialize(nodes, "phrases-nodes")
 
 
+def _phrases(ids: np.ndarray, frequent: np.ndarray, size: int, starts: np.ndarray | None = None):
+    """The distinct phrases of two words or suffixes of two or three (the
+    third -1 if there is none) of frequent words in coded pieces, as arrays of
+    word numbers, and their counts; ``starts`` restricts first words."""
+    word = np.where(ids < -2, -3 - ids, ids)  # of a word that starts no suffix too
+    word = np.where((word >= 0) & np.r_[frequent, False][word], word, -1)
+    a = np.where(ids >= 0, word, -1)[:-2]
+    b, c = word[1:-1], word[2:]
+    on = (a >= 0) & (b >= 0)
+    if starts is not None:
+        on &= np.r_[starts, False][a]
+    a, b, c = a[on].astype(np.int64), b[on].astype(np.int64), c[on].astype(np.int64)
+    code = a << 42 | b << 21 | (c + 1 if size == 3 else 0)  # FLUSH words and a few have numbers below 2^21
+    code, n = np.unique(code, return_counts=True)
+    return (code >> 42, code >> 21 & 0x1FFFFF, (code & 0x1FFFFF) - 1)[:size], n
+
+
 @tidy
 def collocations(docs: DataFrame, least: int = 10, inside: int = 50, first: int = 2000) -> DataFrame:
     """``(lang, text)`` to ``(lang, rank, phrase, a, l, r, n, score)``: the

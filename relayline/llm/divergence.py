@@ -53,11 +53,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         cols = [[], [], [], [], []]
         for (lang, source), (n, docs) in tally.items():
-            cols[0] += [lang] * (len(n) + 1)
-            cols[1] += [source] * (len(n) + 1)
-            cols[2] += [None, *n]  # a row without term: the group occurs
-            cols[3] += [0, *n.values()]
-            cols[4] += [0, *docs.values()]
+            for c, values in zip(cols, ([lang] * len(n), [source] * len(n), n, n.values(), docs.values())):
+                c.extend(values)
         kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
         cols = [pa.array(c, k) for c, k in zip(cols, kinds)]
         cols[2] = cols[2].cast(pa.string())
@@ -77,17 +74,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if size >= FLUSH:
                     yield rows()
                     tally, size = {}, 0
-    if tally:
+    if size:
         yield rows()
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """``(lang, source, term, n, docs)``: occurrences of a term in a group and
-    the documents that have it; and one row with a null term for each group."""
-    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
-                       F.col("text").cast("binary").alias("text"))
-    rows = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def kept_terms(docs: DataFrame, least: int) -> DataFrame:
+    """``(lang, source, term, n, whole)``: occurrences in a group and in its
+    lang of terms that ``least`` documents of the lang have. One shuffle, by
+    lang and term; a term has a row per group and task before it, and per
+    group after it."""
+    rows = docs.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    rows = rows.repartition("lang", "term").groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    over = Window.partitionBy("lang", "term")
+    rows = rows.withColumns({"whole": F.sum("n").over(over), "docs": F.sum("docs").over(over)})
+    return rows.where(F.col("docs") >= least).drop("docs")
 
 
 def _share(n: str, total: str, size: str):
@@ -154,19 +155,16 @@ def _excess():
     return step
 
 
-def _pairs(rows: DataFrame, groups: DataFrame, langs: DataFrame) -> DataFrame:
+def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``(lang, source, item, value)`` for all ordered pairs of a lang's
-    sources. ``rows``: (lang, source, term, p) of the terms that a group has."""
-    cells = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    plan = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(cells, "lang", "left").select(
-        "lang", F.ceil(F.col("sources") / SOURCES).cast("int").alias("blocks"),
-        F.ceil((F.coalesce("rows", F.lit(0)) + 1) / ROWS).cast("int").alias("buckets"))
-    block = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")
-    has = rows.select("lang", "source", "term", "p").join(plan, "lang").withColumns({
-        "block": block, "bucket": F.pmod(F.xxhash64("term"), F.col("buckets")).cast("int")})
-    roster = groups.where("size > 0").select("lang", "source", F.lit(None).cast("string").alias("term"),
-                                             _share("0", "total", "size").alias("p")).join(plan, "lang").withColumns({
-        "block": block, "bucket": F.explode(F.sequence(F.lit(0), F.col("buckets") - 1))})
+    sources. ``rows``: (lang, source, term, p, blocks, buckets) of the terms
+    that a group has."""
+    block = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int").alias("block")
+    has = rows.select("lang", "source", "term", "p", "blocks", block,
+                      F.pmod(F.xxhash64("term"), F.col("buckets")).cast("int").alias("bucket"))
+    roster = groups.where("size > 0").select(
+        "lang", "source", F.lit(None).cast("string").alias("term"), _share("0", "total", "size").alias("p"), "blocks",
+        block, F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket"))
     # A block meets every block from either side; with one block, a row goes to one cell.
     meets = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.array(
         F.struct(F.col("block").alias("low"), o.alias("high")), F.struct(o.alias("low"), F.col("block").alias("high"))))))
@@ -195,19 +193,21 @@ def divergence(docs: DataFrame, least: int = 3, first: int = 200) -> DataFrame:
     of value 0 where its lang keeps no term. Other columns are ignored; no
     rows give no rows.
     """
-    counts = materialize(term_counts(docs.select("lang", "source", "text")), "divergence-counts")
-    kept = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(
-        F.sum("n").alias("whole"), F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs")
-    rows = materialize(counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "divergence-kept")
-    by_term = rows.groupBy("lang", "term").agg(F.first("whole").alias("whole"))
-    langs = by_term.groupBy("lang").agg(F.count(F.lit(1)).alias("size"), F.sum("whole").alias("words"))
-    sums = rows.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counts.where("term IS NULL").select("lang", "source").join(sums, ["lang", "source"], "left").join(
-        langs, "lang", "left").select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "size", "words")])
+    docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
+                       F.col("text").cast("binary").alias("text"))
+    rows = materialize(kept_terms(docs, least), "divergence-kept")
+    langs = rows.groupBy("lang", "term").agg(F.first("whole").alias("whole")).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("whole").alias("words"))
+    sums = rows.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"))
+    groups = docs.select("lang", "source").distinct().join(sums, ["lang", "source"], "left")
+    sizes = groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / SOURCES).cast("int").alias("blocks"),
+                                       F.ceil((F.coalesce(F.sum("rows"), F.lit(0)) + 1) / ROWS).cast("int").alias("buckets"))
+    groups = groups.join(langs, "lang", "left").join(sizes, "lang").select(
+        "lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "size", "words")], "blocks", "buckets")
     groups = materialize(groups, "divergence-groups")
     rows = rows.join(groups, ["lang", "source"]).withColumns({
         "p": _share("n", "total", "size"), "q": _share("whole", "words", "size")})
-    pairs = _pairs(rows, groups, langs).withColumn("part", F.lit("pair"))
+    pairs = _pairs(rows, groups).withColumn("part", F.lit("pair"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pairs.withColumn("rank", F.row_number().over(order))
     single = rows.where("p > q").select("lang", "source", F.col("term").alias("item"), _part("p", "q").alias("value"))

@@ -67,7 +67,7 @@ def plain_collocations(rows, least, inside, first):
     return sorted(out)
 
 
-@pytest.mark.parametrize("budget", [1 << 19, 700, 40])
+@pytest.mark.parametrize("budget", [1 << 20, 700, 40])
 def test_collocations_equal_plain_counts(spark, monkeypatch, budget):
     """At any memory budget: with no extended prefix, with some words, and
     with pairs of words extended too."""
@@ -86,6 +86,25 @@ def test_collocations_of_nothing(spark):
     assert list(map(tuple, got)) == [("en", 1, "one two", 1, 2, 1, 3, 500_000)]
 
 
+def test_long_pieces_are_coded_in_parts(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(collocations, "FLUSH", 7)
+    r = random.Random(5)
+    texts = [" ".join(r.choice("abcd") for _ in range(n)) + "." for n in (30, 1, 7, 8, 9, 2, 100)]
+    batch = pa.record_batch({"lang": ["en"] * len(texts), "text": [t.encode() for t in texts]})
+    for size in (2, 3):
+        got = Counter()
+        for _, words, ids in collocations._coded(iter([batch])):
+            found, n = collocations._phrases(ids, np.ones(len(words), bool), size)
+            for *p, k in zip(*found, n):
+                got[tuple(words[x].decode() for x in p if x >= 0)] += k
+        want = Counter()
+        for t in texts:
+            w = t[:-1].split()
+            want.update(tuple(w[i:i + size]) for i in range(len(w) - 1))
+        assert got == want
+
+
 def test_groups_hold_the_budget():
     totals = np.array([3, 4, 2, 0, 25, 1, 9, 10])
     first, parts = collocations.packed(totals, 10)
@@ -141,6 +160,13 @@ def test_divergence_equals_plain_sums(spark, monkeypatch, blocks):
     assert sorted(map(tuple, got)) == plain_divergence(rows, 3, 15)
 
 
+def test_terms_of_pieces(monkeypatch):
+    monkeypatch.setattr(divergence, "PIECE", 5)
+    assert [t for p in divergence.terms("Ab, cdÉfgh 1x\nyz Ab".encode()) for t in p] == [
+        b"ab", "cdÉfgh".encode(), b"x", b"yz", b"ab"]
+    assert list(divergence.terms(None)) == []
+
+
 def test_divergence_without_kept_terms(spark):
     assert divergence.divergence(table(spark, [])).collect() == []
     rows = [(1, "one two", "en", "a"), (2, None, "en", "b"), (2, "one", "en", None), (3, "x", None, None)]
