@@ -34,24 +34,30 @@ def platform_signal(rule: PlatformRule) -> Column:
 
 @expression_cache
 def platform_predicate(rule: PlatformRule, as_of, windowed: bool = True,
-                       future_guard: bool = False) -> Column:
+                       future_guard: bool = False, day: str | None = None) -> Column:
+    """``day`` names a column with the conversion's day: bounds on it too, so
+    that a table partitioned by it opens the folders of the window only."""
     cond = platform_signal(rule)
     ts = F.col("data_hora_conversao")
     if windowed:  # inclusive lower bound, no upper bound
         cond = cond & (ts >= days_before(as_of, rule.window_days))
+        if day:
+            cond = cond & (F.col(day) >= F.to_date(days_before(as_of, rule.window_days)))
+    if day and future_guard:
+        cond = cond & (F.col(day) <= F.to_date(ts_lit(as_of)))
     if future_guard:  # F3
         cond = cond & (ts <= ts_lit(as_of))
     return cond
 
 
 def candidates(gold: DataFrame, as_of=None, windowed: bool = True, future_guard: bool = False,
-               one_scan: bool = True, carry: bool = False, rules=PLATFORM_RULES) -> DataFrame:
+               one_scan: bool = True, carry: bool = False, rules=PLATFORM_RULES, day: str | None = None) -> DataFrame:
     """Gold fanned out to (lead, stage, platform) candidates.
 
     ``carry=True`` keeps every gold column next to ``plataforma`` (used when the
     gold key is known unique, so routing needs no second join).
     """
-    preds = [(r.name, platform_predicate(r, as_of, windowed, future_guard)) for r in rules]
+    preds = [(r.name, platform_predicate(r, as_of, windowed, future_guard, day)) for r in rules]
     if one_scan:
         any_platform = reduce(lambda a, b: a | b, [p for _, p in preds])
         platforms = F.filter(F.array(*[F.when(p, F.lit(name)) for name, p in preds]),
@@ -75,11 +81,11 @@ def blocking_keys(control: DataFrame, block_dead_letter: bool = False) -> DataFr
 
 def eligible(gold: DataFrame, control: DataFrame, as_of=None, windowed: bool = True,
              future_guard: bool = False, block_dead_letter: bool = False,
-             one_scan: bool = True, carry: bool = False) -> DataFrame:
+             one_scan: bool = True, carry: bool = False, day: str | None = None) -> DataFrame:
     """Candidates minus what the control table already holds as accepted.
 
     Only ``aceito`` blocks by default, so ``erro`` and ``dead_letter`` rows are
     offered again; NULL keys never match and stay eligible.
     """
-    cand = candidates(gold, as_of, windowed, future_guard, one_scan, carry)
+    cand = candidates(gold, as_of, windowed, future_guard, one_scan, carry, day=day)
     return cand.join(blocking_keys(control, block_dead_letter), KEY, "left_anti")

@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import contacts, hash_email, hash_phone, normalize_email, normalize_phone
 from ..functions.timefmt import DEFAULT_AS_OF
+from ..operators import colocated
+from ..operators import compaction
 from ..operators import control as ctl
+from ..operators import distincts
 from ..operators import envelopes as env
+from ..operators import feed
 from ..operators import payloads as pay
 from ..operators import quality as qa
 from ..operators import reconcile as rec
@@ -22,6 +26,7 @@ from ..operators import responses as resp
 from ..operators.eligibility import candidates, eligible
 from ..operators.routing import route
 from ..sources.fixtures import lead_number, table
+from ..sources.layout import DAY
 from ..sources.store import Fixtures
 
 AS_OF = DEFAULT_AS_OF
@@ -31,6 +36,9 @@ BATCH_SIZE = 50
 N_BUCKETS = None  # slices follow the session; they change no batch
 MAX_ATTEMPTS = 3
 GRACE_DAYS = 3
+NEXT_RUN = "2024-04-11 00:00:00"  # some reports were corrected by then
+COMPACT_ROWS = 500  # fragments of fewer rows are grouped
+LEAD_ROLLUPS = [["plataforma", "etapa_funil"], ["plataforma"], ["etapa_funil"], ["dia"], []]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +99,38 @@ def _reconciled(s, d):
     return rec.reconcile(_upserted(s, d), _fx(s, d).platform_report(), AS_OF, GRACE_DAYS)
 
 
+def _after_cleaning(s, d):
+    """The upserted table without its dead letters."""
+    return ctl.delete_where(_upserted(s, d), F.col("status_envio") == "dead_letter")
+
+
+def _composed(s, d):
+    a, b = _control(s, d), _upserted(s, d)
+    c = ctl.delete_where(_upserted_twice(s, d), F.col("status_envio") == "dead_letter")
+    return feed.compose(ctl.changes(a, b), ctl.changes(b, c))
+
+
+def _fragments(s, d):
+    """Rows that each day's sends appended per platform, as one file each."""
+    return _control(s, d).groupBy("plataforma", F.to_date("ts_ultimo_envio").alias("fragmento")).agg(
+        F.count(F.lit(1)).alias("linhas"))
+
+
+def _moments(s, d):
+    return _control(s, d).where("status_envio = 'aceito'").select(
+        "plataforma", F.concat_ws("_", "lead_id", "etapa_funil").alias("event_id"),
+        (F.col("ts_ultimo_envio") + F.expr(f"INTERVAL {GRACE_DAYS} DAYS")).alias("ts"))
+
+
+def _two_runs(s, d):
+    reports, control, out = _fx(s, d).report_history(), _upserted(s, d), None
+    for number, as_of in enumerate((AS_OF, NEXT_RUN), 1):
+        control = rec.reconcile(control, rec.valid_reports(reports, as_of), as_of, GRACE_DAYS)
+        rows = control.select("lead_id", "etapa_funil", "plataforma", F.lit(number).alias("rodada"), "status_match")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ------------------------------------------------------------------- queries
 
 QUERIES: dict[str, Query] = {
@@ -106,6 +146,9 @@ QUERIES: dict[str, Query] = {
     "eligible_by_platform": lambda s, d: qa.by_platform(_eligible(s, d)),
     "eligible_one_lead": lambda s, d: (_eligible(s, d, windowed=False)
                                        .where(F.col("lead_id") == ONE_LEAD).select("lead_id", "plataforma")),
+    "eligible_by_day": lambda s, d: eligible(_fx(s, d).gold_by_day(), _control(s, d), AS_OF, day=DAY),
+    "eligible_colocated": lambda s, d: colocated.eligible(
+        _fx(s, d).gold_colocated(), _fx(s, d).control_colocated(), AS_OF),
     # routing
     "routed": _routed,
     "routed_quality_counts": lambda s, d: qa.routed_quality_counts(_routed(s, d)),
@@ -139,6 +182,8 @@ QUERIES: dict[str, Query] = {
     "origin_rollup": lambda s, d: qa.origin_rollup(_gold(s, d)),
     "stage_counts": lambda s, d: qa.stage_counts(_gold(s, d)),
     "identifier_coverage": lambda s, d: qa.identifier_coverage(_gold(s, d)),
+    "lead_distincts": lambda s, d: distincts.distinct_leads(
+        distincts.lead_bitmaps(candidates(_gold(s, d), windowed=False)), LEAD_ROLLUPS),
     # control table
     "control_append": _appended,
     "control_duplicates": lambda s, d: ctl.duplicates(_appended(s, d)),
@@ -150,6 +195,15 @@ QUERIES: dict[str, Query] = {
     "control_summary_one_lead": lambda s, d: ctl.summary(_upserted_twice(s, d), ONE_LEAD),
     "control_changes": lambda s, d: ctl.changes(_control(s, d), ctl.delete_where(
         _upserted(s, d), F.col("status_envio") == "dead_letter")),
+    "control_upsert_colocated": lambda s, d: colocated.upsert(
+        _fx(s, d).control_colocated(), _fx(s, d).send_results(), now=AS_OF),
+    "control_merge_feed": lambda s, d: feed.merge_feed(_control(s, d), _fx(s, d).send_results(), AS_OF),
+    "control_feed_applied": lambda s, d: feed.apply(_control(s, d), ctl.changes(_control(s, d), _after_cleaning(s, d))),
+    "control_feed_reverted": lambda s, d: feed.apply(
+        _after_cleaning(s, d), feed.invert(ctl.changes(_control(s, d), _after_cleaning(s, d)))),
+    "control_feed_composed": _composed,
+    "compaction_groups": lambda s, d: compaction.file_groups(
+        _fragments(s, d), ["plataforma"], "fragmento", "linhas", COMPACT_ROWS),
     "eligible_after_upsert": lambda s, d: eligible(_gold(s, d), _upserted(s, d), AS_OF),
     "retry_state": lambda s, d: ctl.apply_retry_policy(_upserted(s, d), MAX_ATTEMPTS),
     # responses, reconciliation, monitoring
@@ -161,6 +215,12 @@ QUERIES: dict[str, Query] = {
     "reconciled": _reconciled,
     "send_latency": lambda s, d: rec.send_latency(_control(s, d)),
     "send_latency_quantiles": lambda s, d: rec.send_latency_quantiles(_control(s, d)),
+    "send_latency_sketched": lambda s, d: rec.sketch_check(
+        _control(s, d), rec.sketched_latency(rec.latency_sketches(_control(s, d)))),
+    "open_sends": lambda s, d: rec.open_sends(_control(s, d), _fx(s, d).gold_by_day(), AS_OF, GRACE_DAYS, DAY),
+    "reports_as_of": lambda s, d: rec.reports_as_of(_moments(s, d), _fx(s, d).report_history()),
+    "reconciled_corrected": _two_runs,
+    "business_totals": lambda s, d: rec.business_totals(_reconciled(s, d), _gold(s, d)),
     "business_cuts": lambda s, d: rec.business_cuts(_reconciled(s, d), _gold(s, d)),
     # audits
     "audit_hash": lambda s, d: qa.audit_hash(_fx(s, d).raw(), _gold(s, d)),

@@ -12,7 +12,8 @@ import re
 from ..functions.identity import EMAIL_IN_TEXT, PHONE_IN_TEXT
 from ..schemas import (CAMPAIGNS_BY_ORIGIN, CLIENT_SIZES, CONTROL_COLUMNS, ORIGINS, PLATFORM_RULES,
                        PRODUCTS, STAGES)
-from .catalog import AS_OF, BATCH_SIZE, FROZEN_AT, GRACE_DAYS, MAX_ATTEMPTS, ONE_LEAD, ROWS_ONLY
+from .catalog import (AS_OF, BATCH_SIZE, COMPACT_ROWS, FROZEN_AT, GRACE_DAYS, LEAD_ROLLUPS, MAX_ATTEMPTS, NEXT_RUN,
+                      ONE_LEAD, ROWS_ONLY)
 
 TS_AS_OF = f"TIMESTAMP '{AS_OF}'"
 TS_FROZEN = f"TIMESTAMP '{FROZEN_AT}'"
@@ -238,6 +239,12 @@ report AS (
   SELECT plataforma, lead_id || '_' || etapa_funil AS event_id, {_pm(KK, 5)} <> 4 AS matched,
          ts_ultimo_envio + INTERVAL 1 DAY AS reported_at
   FROM control WHERE status_envio = 'aceito' AND {_pm(KK, 7)} <> 6),
+report_history AS (
+  SELECT plataforma, event_id, matched, reported_at FROM report
+  UNION ALL SELECT plataforma, event_id, NOT matched, reported_at + INTERVAL 2 DAY FROM report
+  WHERE CAST(regexp_extract(event_id, '^lead_([0-9]+)_', 1) AS BIGINT) % 4 = 2
+  UNION ALL SELECT plataforma, event_id, matched, reported_at + INTERVAL 3 DAY FROM report
+  WHERE CAST(regexp_extract(event_id, '^lead_([0-9]+)_', 1) AS BIGINT) % 8 = 2),
 rep AS (SELECT plataforma, event_id, max(CAST(matched AS INTEGER)) AS _matched FROM report GROUP BY plataforma, event_id),
 reconciled AS (
   SELECT {", ".join(
@@ -311,6 +318,21 @@ def _retry(table: str) -> str:
     return f"SELECT {', '.join(cols)} FROM {table}"
 
 
+def _run(number: int, as_of: str) -> str:
+    return f"""SELECT c.lead_id, c.etapa_funil, c.plataforma, CAST({number} AS INTEGER) AS rodada,
+    CASE WHEN c.status_envio <> 'aceito' THEN c.status_match WHEN r.matched THEN 'casado'
+         WHEN r.matched IS NOT NULL OR c.ts_ultimo_envio < TIMESTAMP '{as_of}' - INTERVAL {GRACE_DAYS} DAY
+         THEN 'nao_casado' ELSE 'pendente' END AS status_match
+  FROM upserted c LEFT JOIN (
+    SELECT plataforma, event_id, arg_max(matched, reported_at) AS matched FROM report_history
+    WHERE reported_at <= TIMESTAMP '{as_of}' GROUP BY plataforma, event_id) r
+  ON r.plataforma = c.plataforma AND r.event_id = c.lead_id || '_' || c.etapa_funil"""
+
+
+_CUT = """FROM (SELECT c.*, g.produto, g.porte_cliente FROM reconciled c
+        LEFT JOIN (SELECT lead_id, etapa_funil, max(produto) AS produto, max(porte_cliente) AS porte_cliente
+                   FROM gold GROUP BY lead_id, etapa_funil) g USING (lead_id, etapa_funil))"""
+
 _VALUE = "coalesce(CAST(vl_faturamento_estimado AS DOUBLE), 0.0)"
 _CLICK = ("CASE plataforma WHEN 'meta' THEN nullif(fbclid, '') WHEN 'google' THEN nullif(gclid, '') "
           "ELSE nullif(msclkid, '') END")
@@ -410,7 +432,43 @@ _BODIES = {
     "control_summary_one_lead": (f"SELECT count(*) AS total, max(tentativas) AS tentativas_max FROM upserted_twice "
                                  f"WHERE lead_id = '{ONE_LEAD}'"),
     "control_changes": _changes("control", "(SELECT * FROM upserted WHERE status_envio <> 'dead_letter')"),
-    "eligible_after_upsert": _anti('SELECT * FROM cand_win', 'upserted'),
+    # What is eligible is not accepted yet, so only this batch's acceptances block it.
+    "eligible_after_upsert": _anti('SELECT * FROM eligible', 'send_results'),
+    "eligible_by_day": "SELECT * FROM eligible",
+    "eligible_colocated": "SELECT * FROM eligible",
+    "control_upsert_colocated": "SELECT * FROM upserted",
+    "control_merge_feed": _changes("control", "upserted"),
+    "control_feed_applied": "SELECT * FROM upserted WHERE status_envio <> 'dead_letter'",
+    "control_feed_reverted": "SELECT * FROM control",
+    "control_feed_composed": _changes("control", "(SELECT * FROM upserted_twice WHERE status_envio <> 'dead_letter')"),
+    "compaction_groups": f"""SELECT *, count(*) OVER (PARTITION BY plataforma, grupo) AS arquivos,
+    CAST(sum(linhas) OVER (PARTITION BY plataforma, grupo) AS BIGINT) AS total
+  FROM (SELECT *, CAST(coalesce(sum(linhas) OVER (PARTITION BY plataforma ORDER BY linhas, fragmento
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {COMPACT_ROWS} AS BIGINT) AS grupo
+        FROM (SELECT plataforma, CAST(ts_ultimo_envio AS DATE) AS fragmento, count(*) AS linhas
+              FROM control GROUP BY ALL) WHERE linhas < {COMPACT_ROWS})""",
+    "lead_distincts": f"""SELECT plataforma, etapa_funil, dia, CAST(GROUPING(plataforma, etapa_funil, dia) AS INTEGER) AS nivel,
+    count(DISTINCT lead_id) AS leads
+  FROM (SELECT *, CAST(data_hora_conversao AS DATE) AS dia FROM cand_all)
+  GROUP BY GROUPING SETS ({", ".join("(" + ", ".join(x) + ")" for x in LEAD_ROLLUPS)})""",
+    "send_latency_sketched": """SELECT plataforma, count(*) AS envios, true AS p50_no_limite, true AS p95_no_limite
+  FROM control WHERE ts_primeiro_envio IS NOT NULL GROUP BY plataforma""",
+    "open_sends": f"""SELECT c.lead_id, c.etapa_funil, plataforma, ts_ultimo_envio, g.produto, g.porte_cliente
+  FROM control c LEFT JOIN gold g ON g.lead_id = c.lead_id AND g.etapa_funil = c.etapa_funil
+  WHERE status_envio = 'aceito' AND ts_ultimo_envio >= {TS_AS_OF} - INTERVAL {GRACE_DAYS} DAY""",
+    "reports_as_of": f"""SELECT m.plataforma, m.event_id, m.ts, r.matched, r.reported_at
+  FROM (SELECT plataforma, lead_id || '_' || etapa_funil AS event_id, ts_ultimo_envio + INTERVAL {GRACE_DAYS} DAY AS ts
+        FROM control WHERE status_envio = 'aceito') m
+  ASOF LEFT JOIN report_history r
+  ON r.plataforma = m.plataforma AND r.event_id = m.event_id AND m.ts >= r.reported_at""",
+    "reconciled_corrected": f"{_run(1, AS_OF)} UNION ALL {_run(2, NEXT_RUN)}",
+    "business_totals": f"""SELECT plataforma, produto, porte_cliente,
+    CAST(GROUPING(plataforma, produto, porte_cliente) AS INTEGER) AS nivel, count(*) AS envios,
+    count(CASE WHEN status_envio = 'aceito' THEN 1 END) AS aceitos,
+    count(CASE WHEN status_match = 'casado' THEN 1 END) AS casados,
+    count(status_match) AS reconciliados,
+    CAST(sum(CASE WHEN status_envio = 'aceito' THEN valor_enviado END) AS DECIMAL(28,2)) AS valor_aceito
+  {_CUT} GROUP BY GROUPING SETS ((plataforma, produto, porte_cliente), (plataforma, produto), (plataforma), ())""",
     "retry_state": _retry("upserted"),
     "responses_classified": "SELECT * EXCLUDE (mensagem_resposta) FROM classified",
     "control_after_responses": (
@@ -466,14 +524,18 @@ _CTES = dict(re.findall(r"^(\w+) AS \((.*?)\)(?:,\n(?=\w+ AS \()|\n\Z)", PREAMBL
 
 
 def _with(body: str) -> str:
-    """The CTEs that ``body`` reads, directly or not, each computed once."""
+    """The CTEs that ``body`` reads, directly or not, each computed at most once."""
     needed, todo = set(), [body]
     while todo:
         text = todo.pop()
         found = {name for name in _CTES if re.search(rf"\b{name}\b", text)} - needed
         needed |= found
         todo += [_CTES[name] for name in found]
-    ctes = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _CTES.items() if name in needed)
+    texts = [body, *(_CTES[name] for name in needed)]
+
+    def kept(name):  # what is read once need not be kept
+        return "MATERIALIZED " if sum(len(re.findall(rf"\b{name}\b", t)) for t in texts) > 1 else ""
+    ctes = ",\n".join(f"{name} AS {kept(name)}({sql})" for name, sql in _CTES.items() if name in needed)
     return f"WITH {ctes}\n{body}" if ctes else body
 
 

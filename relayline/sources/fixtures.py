@@ -268,6 +268,21 @@ def platform_report(ctl: DataFrame) -> DataFrame:
                      (F.col("ts_ultimo_envio") + F.expr("INTERVAL 1 DAYS")).alias("reported_at")))
 
 
+def report_history(rep: DataFrame) -> DataFrame:
+    """Reports as they arrive: each one, for k mod 4 = 2 a correction to the
+    opposite two days later, and for k mod 8 = 2 the first finding again a day
+    after that."""
+    k = F.regexp_extract("event_id", "^lead_([0-9]+)_", 1).cast("bigint")
+    later = F.filter(F.array(
+        F.struct(F.col("matched").alias("m"), F.lit(0).alias("d")),
+        F.when(F.pmod(k, F.lit(4)) == 2, F.struct((~F.col("matched")).alias("m"), F.lit(2).alias("d"))),
+        F.when(F.pmod(k, F.lit(8)) == 2, F.struct(F.col("matched").alias("m"), F.lit(3).alias("d")))),
+        lambda x: x.isNotNull())
+    return rep.withColumn("_r", F.explode(later)).select(
+        "plataforma", "event_id", F.col("_r.m").alias("matched"),
+        (F.col("reported_at") + F.make_dt_interval(days=F.col("_r.d"))).alias("reported_at"))
+
+
 def batched_sends(g: DataFrame, ctl: DataFrame, as_of=DEFAULT_AS_OF,
                   batch_size: int = 50, n_buckets: int | None = None, frozen_at=None) -> DataFrame:
     """Rows eligible at ``as_of`` cut into request batches at ``frozen_at``."""

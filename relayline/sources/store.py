@@ -28,6 +28,7 @@ from ..functions.timefmt import DEFAULT_AS_OF
 from ..schemas import CONTROL, GOLD, MANIFEST, PLATFORM_REPORT, RAW, RESPONSE, SEND_RESULT
 from ..session import checkpoint_dir
 from . import fixtures as fx
+from .layout import Colocated, read_by_day, write_by_day
 
 _LOCK = threading.RLock()  # builders call other accessors
 
@@ -58,6 +59,15 @@ def _rename(spark: SparkSession, src: str, dst: str) -> bool:
     _, d = _fs(spark, dst)
     fs.mkdirs(d.getParent())
     return bool(fs.rename(s, d))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark's readers resolve it: a URI keeps its file system, a
+    plain path gets the default one."""
+    fs, p = _fs(spark, path.rstrip("/"))
+    return fs.makeQualified(p).toString()
+
+
 _WRITTEN: dict[tuple, DataFrame] = {}  # read-back DataFrames: files are listed and footers read once
 
 
@@ -75,7 +85,7 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None,
                  as_of=DEFAULT_AS_OF, batch_size: int = 50, n_buckets: int | None = None, frozen_at=None):
         self.spark = spark
-        self.sf_dir = os.path.abspath(sf_dir)
+        self.sf_dir = qualified(spark, sf_dir)
         if materialize is None:
             materialize = os.environ.get("RELAYLINE_MATERIALIZE", "1") != "0"
         self.materialize = materialize
@@ -158,3 +168,38 @@ class Fixtures:
     def responses(self) -> DataFrame:
         return self._get("responses", lambda: fx.responses(self.batched_sends(), self.as_of), ["plataforma", "batch_id"],
                          RESPONSE)
+
+    def report_history(self) -> DataFrame:
+        return self._get("report_history", lambda: fx.report_history(self.platform_report()), ["event_id"], PLATFORM_REPORT)
+
+    # -- other layouts of the same tables
+    def gold_by_day(self) -> DataFrame:
+        """Gold in one folder per conversion day."""
+        path = f"{self._root()}/gold_by_day"
+        with _LOCK:
+            if not _exists(self.spark, f"{path}/_SUCCESS"):
+                tmp = f"{path}.tmp-{self.spark.sparkContext.applicationId}"
+                write_by_day(self.gold(), tmp, "overwrite")
+                if not _rename(self.spark, tmp, path) and not _exists(self.spark, f"{path}/_SUCCESS"):
+                    raise OSError(f"could not publish {path}")
+        return read_by_day(self.spark, path, GOLD)
+
+    def _colocated(self, name: str, rows: DataFrame, schema, buckets: int = 16) -> Colocated:
+        path = f"{self._root()}/{name}"
+        table = Colocated(self.spark, f"relayline_{name}_{self._identity()}", path, schema, buckets)
+        with _LOCK:
+            if not _exists(self.spark, f"{path}/_SUCCESS"):
+                tmp = Colocated(self.spark, f"{table.name}_tmp", f"{path}.tmp-{self.spark.sparkContext.applicationId}",
+                                schema, buckets)
+                tmp.write(rows)
+                self.spark.sql(f"DROP TABLE {tmp.name}")
+                if not _rename(self.spark, tmp.path, path) and not _exists(self.spark, f"{path}/_SUCCESS"):
+                    raise OSError(f"could not publish {path}")
+            table.register()
+        return table
+
+    def gold_colocated(self) -> DataFrame:
+        return self._colocated("gold_colocated", self.gold(), GOLD).read()
+
+    def control_colocated(self) -> DataFrame:
+        return self._colocated("control_colocated", self.control(), CONTROL).read()
