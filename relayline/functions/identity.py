@@ -64,6 +64,9 @@ def hash_phone(c, ddi: str = DEFAULT_DDI) -> Column:
 
 #: What looks like an address or a phone number in running text.
 EMAIL_IN_TEXT = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: The same matches in one pass over the text: an address starts where a run of
+#: its characters starts, or where the last address ended, and gives nothing back.
+EMAIL_SCAN = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 PHONE_IN_TEXT = r"\+?[0-9][0-9 ().-]{8,18}[0-9]"
 
 
@@ -73,7 +76,7 @@ def contacts(docs: DataFrame) -> DataFrame:
     def found(pattern: str, kind: str) -> Column:
         return F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)),
                            lambda x: F.struct(F.lit(kind).alias("tipo"), x.alias("bruto")))
-    rows = docs.select("doc_id", F.explode(F.concat(found(EMAIL_IN_TEXT, "email"), found(PHONE_IN_TEXT, "fone"))).alias("c"))
+    rows = docs.select("doc_id", F.explode(F.concat(found(EMAIL_SCAN, "email"), found(PHONE_IN_TEXT, "fone"))).alias("c"))
     normal = F.when(F.col("c.tipo") == "email", normalize_email(F.col("c.bruto"))).otherwise(
         normalize_phone(F.col("c.bruto")))
     return rows.select("doc_id", "c.tipo", "c.bruto", normal.alias("normalizado")).withColumn(

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cache import expression_cache
@@ -169,3 +169,10 @@ def write_envelopes(env: DataFrame, path: str) -> None:
     ``{"batch_id": ..., "body": "..."}``, so that an answer can name its batch."""
     line = F.to_json(F.struct("batch_id", "body"))
     env.select("plataforma", line.alias("value")).write.mode("overwrite").partitionBy("plataforma").text(path)
+
+
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """The requests of ``write_envelopes`` read back: ``(plataforma, batch_id, body)``."""
+    lines = spark.read.schema("value string, plataforma string").text(path)
+    line = F.from_json("value", "batch_id long, body string")
+    return lines.select("plataforma", line.alias("l")).select("plataforma", "l.batch_id", "l.body")

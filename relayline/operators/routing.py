@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cache import expression_cache
-from ..schemas import PLATFORM_RULES
+from ..schemas import GOLD_KEY, PLATFORM_RULES
 
 ROUTED_COLUMNS = [
     "lead_id", "etapa_funil", "plataforma", "data_hora_conversao",
@@ -61,3 +61,10 @@ def route(eligible_carried: DataFrame) -> DataFrame:
     keyed = eligible_carried.where(F.col("lead_id").isNotNull() & F.col("etapa_funil").isNotNull())
     return classify(keyed).select(*ROUTED_COLUMNS)
 
+
+def route_by_join(eligible: DataFrame, gold: DataFrame) -> DataFrame:
+    """R2 as a join of the eligible keys with gold on (lead, stage), without
+    the time: a gold key that occurs n times gives n x n routed rows (trap 7),
+    as the original does. For parity checks; ``route`` is linear."""
+    fields = gold.drop("data_hora_conversao")
+    return classify(eligible.join(fields, GOLD_KEY)).select(*ROUTED_COLUMNS)

@@ -24,10 +24,12 @@ from ..operators import quality as qa
 from ..operators import reconcile as rec
 from ..operators import responses as resp
 from ..operators.eligibility import candidates, eligible
-from ..operators.routing import route
+from ..operators.routing import route, route_by_join
+from ..schemas import CONTROL
 from ..sources.fixtures import lead_number, table
 from ..sources.layout import DAY
 from ..sources.store import Fixtures
+from ..sources.tables import SnapshotTable
 
 AS_OF = DEFAULT_AS_OF
 FROZEN_AT = "2024-04-10 00:00:00"  # a day later: rows on the edge of a window fall out
@@ -122,6 +124,31 @@ def _moments(s, d):
         (F.col("ts_ultimo_envio") + F.expr(f"INTERVAL {GRACE_DAYS} DAYS")).alias("ts"))
 
 
+def _envelopes(s, d):
+    return env.envelopes(_batched(s, d), env.EnvelopeConfig(
+        meta_test_event_code="TEST123", google_operating_account="1234567890", google_default_destination="0"))
+
+
+def _envelope_files(s, d):
+    """Requests written as text (S16), read back and parsed."""
+    path = _fx(s, d).folder("envelope_files", lambda p: env.write_envelopes(_envelopes(s, d), p))
+    read = env.read_written(s, path).withColumn("n_events", F.lit(0).cast("long"))
+    return pay.read_envelopes(read).drop("n_events")
+
+
+def _published(s, d):
+    """Two full versions written one after the other, the second one
+    published under a name in a namespace, and the name read."""
+    f = _fx(s, d)
+    table = SnapshotTable(s, f"{f._root()}/published", CONTROL, ["lead_id"])
+    for tag, rows in (("first", f.control()), ("second", _after_cleaning(s, d))):
+        if table.tagged(tag) is None:
+            table.write(rows, tag=tag)
+    name = f"control_{f._identity()}"
+    table.publish_table("relayline", name)
+    return s.table(f"relayline.{name}")
+
+
 def _two_runs(s, d):
     reports, control, out = _fx(s, d).report_history(), _upserted(s, d), None
     for number, as_of in enumerate((AS_OF, NEXT_RUN), 1):
@@ -154,6 +181,8 @@ QUERIES: dict[str, Query] = {
     "routed_quality_counts": lambda s, d: qa.routed_quality_counts(_routed(s, d)),
     "routed_duplicate_gold": lambda s, d: route(
         eligible(_fx(s, d).gold_with_duplicates(), _control(s, d), AS_OF, carry=True)),
+    "routed_by_join": lambda s, d: route_by_join(
+        eligible(_fx(s, d).gold_with_duplicates(), _control(s, d), AS_OF), _fx(s, d).gold_with_duplicates()),
     "gold_key_duplicates": lambda s, d: qa.gold_key_duplicates(_fx(s, d).gold_with_duplicates()),
     # identity
     "email_normalized": lambda s, d: _fx(s, d).raw().select(
@@ -171,9 +200,8 @@ QUERIES: dict[str, Query] = {
     "envelope_batches": lambda s, d: _batched(s, d).select(
         "plataforma", "batch_id", "position", "lead_id", "etapa_funil"),
     "envelope_sizes": lambda s, d: env.envelopes(_batched(s, d)).select("plataforma", "batch_id", "n_events"),
-    "envelopes": lambda s, d: pay.read_envelopes(env.envelopes(_batched(s, d), env.EnvelopeConfig(
-        meta_test_event_code="TEST123", google_operating_account="1234567890",
-        google_default_destination="0"))),
+    "envelopes": lambda s, d: pay.read_envelopes(_envelopes(s, d)),
+    "envelope_files": _envelope_files,
     # QA aggregates
     "lead_counts": lambda s, d: qa.lead_counts(_gold(s, d)),
     "multi_stage_top5": lambda s, d: qa.multi_stage_top(_gold(s, d), 5),
@@ -185,6 +213,7 @@ QUERIES: dict[str, Query] = {
     "lead_distincts": lambda s, d: distincts.distinct_leads(
         distincts.lead_bitmaps(candidates(_gold(s, d), windowed=False)), LEAD_ROLLUPS),
     # control table
+    "control_published": _published,
     "control_append": _appended,
     "control_duplicates": lambda s, d: ctl.duplicates(_appended(s, d)),
     "control_violations": lambda s, d: ctl.violations(_appended(s, d)),

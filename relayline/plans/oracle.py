@@ -361,6 +361,7 @@ _BODIES = {
     "routed_quality_counts": ("SELECT plataforma, qualidade_match, count(*) AS qtd FROM routed "
                               "GROUP BY plataforma, qualidade_match ORDER BY plataforma, qualidade_match"),
     "routed_duplicate_gold": _route_carried(_anti(_candidates('gold_dup', True, cols='*'), 'control')),
+    "routed_by_join": _route(_anti(_candidates('gold_dup', True), 'control'), 'gold_dup'),
     "gold_key_duplicates": ("SELECT lead_id, etapa_funil, count(*) AS qtd FROM gold_dup "
                             "GROUP BY lead_id, etapa_funil HAVING count(*) > 1"),
     "email_normalized": f"SELECT lead_id, email_raw, {_normalize_email('email_raw')} AS email_normalizado FROM raw",
@@ -387,6 +388,9 @@ _BODIES = {
     "payload_json": f"SELECT lead_id, etapa_funil, plataforma, lead_id || '_' || etapa_funil AS event_id, {_SENDABLE} AS sendable, {_FIELDS} FROM routed",
     "envelopes": f"""SELECT plataforma, batch_id, count(*) OVER (PARTITION BY plataforma, batch_id) AS n_events,
     CASE plataforma WHEN 'meta' THEN 'TEST123' WHEN 'google' THEN 'HEX' END AS ajuste, position, {_FIELDS}
+  FROM batched""",
+    "envelope_files": f"""SELECT plataforma, batch_id,
+    CASE plataforma WHEN 'meta' THEN 'TEST123' WHEN 'google' THEN 'HEX' END AS ajuste, position, {_FIELDS}
   FROM batched""",
     "document_contacts": f"""SELECT doc_id, tipo, bruto, normalizado, sha256(normalizado) AS hash
   FROM (SELECT *, CASE tipo WHEN 'email' THEN {_normalize_email('bruto')} ELSE {_normalize_phone('bruto')} END AS normalizado
@@ -421,6 +425,7 @@ _BODIES = {
     count(CASE WHEN gclid IS NULL AND fbclid IS NULL AND msclkid IS NULL
                 AND email_hashed IS NULL AND phone_hashed IS NULL THEN 1 END) AS sem_identificador
   FROM gold""",
+    "control_published": "SELECT * FROM upserted WHERE status_envio <> 'dead_letter'",
     "control_append": "SELECT * FROM appended",
     "control_duplicates": ("SELECT lead_id, etapa_funil, plataforma, count(*) AS qtd FROM appended "
                            "GROUP BY lead_id, etapa_funil, plataforma HAVING count(*) > 1"),

@@ -15,18 +15,25 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import control as ctl
-from ..operators.reconcile import reconcile
+from ..operators.reconcile import reconcile, valid_reports
 from ..operators.responses import classify
 from ..schemas import KEY, RESPONSE
 from ..sources.tables import ControlTable
 
 
+def settle(merged: DataFrame, as_of, report: DataFrame | None = None, max_attempts: int = 3,
+           grace_days: int = 3) -> DataFrame:
+    """What follows a merge on every path, job or stream: retry policy (M5),
+    then reconciliation with the reports that hold at ``as_of`` (M6)."""
+    merged = ctl.apply_retry_policy(merged, max_attempts)
+    return merged if report is None else reconcile(merged, valid_reports(report, as_of), as_of, grace_days)
+
+
 def next_control(control: DataFrame, batched: DataFrame, responses: DataFrame, as_of,
                  report: DataFrame | None = None, max_attempts: int = 3, grace_days: int = 3) -> DataFrame:
     """The control table after a run's answers, as a DataFrame."""
     merged = ctl.upsert(control, classify(batched, responses, sent_at=as_of), now=as_of)
-    merged = ctl.apply_retry_policy(merged, max_attempts)
-    return merged if report is None else reconcile(merged, report, as_of, grace_days)
+    return settle(merged, as_of, report, max_attempts, grace_days)
 
 
 def run(spark: SparkSession, run_dir: str, responses_path: str, control_root: str, as_of,

@@ -173,16 +173,20 @@ class Fixtures:
         return self._get("report_history", lambda: fx.report_history(self.platform_report()), ["event_id"], PLATFORM_REPORT)
 
     # -- other layouts of the same tables
-    def gold_by_day(self) -> DataFrame:
-        """Gold in one folder per conversion day."""
-        path = f"{self._root()}/gold_by_day"
+    def folder(self, name: str, write) -> str:
+        """The folder that ``write(path)`` fills, filled once and published by a rename."""
+        path = f"{self._root()}/{name}"
         with _LOCK:
             if not _exists(self.spark, f"{path}/_SUCCESS"):
                 tmp = f"{path}.tmp-{self.spark.sparkContext.applicationId}"
-                write_by_day(self.gold(), tmp, "overwrite")
+                write(tmp)
                 if not _rename(self.spark, tmp, path) and not _exists(self.spark, f"{path}/_SUCCESS"):
                     raise OSError(f"could not publish {path}")
-        return read_by_day(self.spark, path, GOLD)
+        return path
+
+    def gold_by_day(self) -> DataFrame:
+        """Gold in one folder per conversion day."""
+        return read_by_day(self.spark, self.folder("gold_by_day", lambda p: write_by_day(self.gold(), p, "overwrite")), GOLD)
 
     def _colocated(self, name: str, rows: DataFrame, schema, buckets: int = 16) -> Colocated:
         path = f"{self._root()}/{name}"

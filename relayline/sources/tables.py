@@ -150,10 +150,11 @@ class ControlTable(SnapshotTable):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark, root, CONTROL, cluster=["lead_id", "etapa_funil"])
 
-    def upsert(self, batch: DataFrame, now, check_unique: bool = True, tag: str | None = None) -> int:
-        """M1 then write: the next version is the merged table."""
-        return self.write(ctl.upsert(self.read(), batch, now), KEY if check_unique else None, tag,
-                          rules=ctl.row_rules())
+    def upsert(self, batch: DataFrame, now, check_unique: bool = True, tag: str | None = None, then=None) -> int:
+        """M1 then write: the next version is the merged table, passed through
+        ``then`` (table -> table) if given."""
+        merged = ctl.upsert(self.read(), batch, now)
+        return self.write(then(merged) if then else merged, KEY if check_unique else None, tag, rules=ctl.row_rules())
 
     def append(self, rows: DataFrame) -> int:
         """S11."""
@@ -211,16 +212,21 @@ class BucketedControlTable:
         """Replace the whole table."""
         self._write(ctl.conform(df), self.root, dynamic=False)
 
-    def upsert(self, batch: DataFrame, now, tag: str) -> list[int]:
-        """M1 on the touched buckets only; returns the rewritten bucket numbers."""
+    def upsert(self, batch: DataFrame, now, tag: str, then=None, everywhere: bool = False) -> list[int]:
+        """M1 on the touched buckets only; returns the rewritten bucket numbers.
+        ``then`` (table -> table) is applied to their merged rows; with
+        ``everywhere`` all buckets are touched."""
         self._finish()
         staged = f"{self.staging_root}/{tag}"
         if self.tagged(tag) is not None:
             return []
         src = ctl.dedupe_batch(ctl.refuse_null_keys(batch.select(*SEND_RESULT_COLUMNS)))
-        touched = sorted(r[0] for r in src.select(self.bucket_of().alias("b")).distinct().collect())
-        current = self.read().where(F.col("bucket").isin(touched)).drop("bucket")
-        self._write(ctl.upsert(current, src, now), staged, dynamic=False)
+        current = self.read()
+        if not everywhere:
+            touched = sorted(r[0] for r in src.select(self.bucket_of().alias("b")).distinct().collect())
+            current = current.where(F.col("bucket").isin(touched))
+        merged = ctl.upsert(current.drop("bucket"), src, now)
+        self._write(then(merged) if then else merged, staged, dynamic=False)
         self._fs._touch(f"{self.staging_root}/_pending/{tag}")
         return self._copy(tag)
 

@@ -79,8 +79,8 @@ def test_outcome_stream_exactly_once(spark, tmp_path):
     q.awaitTermination(300)
     assert q.exception() is None
     assert len(table.versions()) == 3  # base + one per epoch
-    expected = ctl.upsert(f.control(), resp.classify(batched, responses),
-                          now=dt.datetime(2024, 4, 9, 0, 1))
+    expected = ctl.apply_retry_policy(ctl.upsert(f.control(), resp.classify(batched, responses),
+                                                 now=dt.datetime(2024, 4, 9, 0, 1)))
     got = table.read()
     assert got.count() == expected.count()
     assert got.select(*KEY, "status_envio", "tentativas").exceptAll(
@@ -135,7 +135,8 @@ def test_outcome_stream_into_bucketed_table(spark, tmp_path):
     q = start_outcome_stream(spark, rdir + "/*", batched, table, str(tmp_path / "ckpt"), files_per_trigger=1)
     q.awaitTermination(300)
     assert q.exception() is None
-    expected = ctl.upsert(f.control(), resp.classify(batched, responses), now=dt.datetime(2024, 4, 9, 0, 1))
+    expected = ctl.apply_retry_policy(ctl.upsert(f.control(), resp.classify(batched, responses),
+                                                 now=dt.datetime(2024, 4, 9, 0, 1)))
     got = table.read().drop("bucket")
     assert got.count() == expected.count()
     assert got.select(*KEY, "status_envio", "tentativas").exceptAll(
@@ -196,7 +197,7 @@ def test_two_streams_on_one_table_both_apply(spark, tmp_path):
             part = responses.where(F.col("plataforma") == platform)
             _stream(spark, tmp_path, table, batched, part, f"{platform}-{k}")
         both = responses.where("plataforma IN ('bing', 'meta')")
-        expected = ctl.upsert(control, resp.classify(batched, both, answered_only=True), now=AS_OF)
+        expected = ctl.apply_retry_policy(ctl.upsert(control, resp.classify(batched, both, answered_only=True), now=AS_OF))
         assert _state(table) == sorted((r.lead_id, r.etapa_funil, r.plataforma, r.status_envio, r.tentativas)
                                        for r in expected.collect())
 
@@ -253,7 +254,7 @@ def test_broken_rows_are_not_published(spark, tmp_path):
 
 
 def test_outcome_job_closes_the_loop(spark, tmp_path):
-    from relayline.operators.reconcile import reconcile
+    from relayline.operators.reconcile import reconcile, valid_reports
     from relayline.plans import daily, outcome
     f = Fixtures(spark, SF, as_of=AS_OF)
     f.gold().write.parquet(str(tmp_path / "gold"))
@@ -283,7 +284,7 @@ def test_outcome_job_closes_the_loop(spark, tmp_path):
     assert after.where("status_envio = 'erro' AND tentativas >= 3").isEmpty()  # M5
     assert not after.where("status_match = 'casado'").isEmpty()                # M6
     assert after.where("status_envio = 'aceito' AND ts_reconciliacao IS NULL").isEmpty()
-    assert reconcile(after, f.platform_report(), AS_OF, 3).exceptAll(after).isEmpty()
+    assert reconcile(after, valid_reports(f.platform_report(), AS_OF), AS_OF, 3).exceptAll(after).isEmpty()
 
 
 def test_slices_change_no_batch(spark):
@@ -293,3 +294,34 @@ def test_slices_change_no_batch(spark):
     a, b = (assign_batches(routed, batch_size=7, n_buckets=n).select("plataforma", "batch_id", "position", *KEY[:2])
             for n in (1, 333))
     assert a.exceptAll(b).isEmpty() and a.count() == b.count() > 0
+
+
+def test_job_and_stream_leave_equal_tables(spark, tmp_path):
+    """The same answers and reports, by the outcome job, into snapshots and
+    into buckets; the stream settles as the job does."""
+    from relayline.plans import outcome
+    f = Fixtures(spark, SF, as_of=AS_OF, batch_size=BATCH_SIZE, n_buckets=N_BUCKETS)
+    batched, responses, control, report = f.batched_sends(), f.responses(), f.control(), f.report_history()
+    now = responses.agg(F.max("ts_resposta")).first()[0]
+    want = outcome.next_control(control, batched, responses, now, report)
+
+    def whole(df):
+        return sorted(map(str, df.select(*control.columns).collect()))
+    want = whole(want)
+    assert any("dead_letter" in r for r in want) and any("nao_casado" in r for r in want)
+    folder = str(tmp_path / "answers")
+    responses.coalesce(1).write.parquet(folder)
+    for k, table in enumerate(_tables(spark, tmp_path, control)):
+        q = start_outcome_stream(spark, folder, batched, table, str(tmp_path / f"ckpt-{k}"), report=report)
+        q.awaitTermination(300)
+        assert q.exception() is None
+        assert whole(table.read()) == want
+
+
+def test_stream_scans_the_answered_batches_only(spark):
+    from relayline.streaming.outcomes import answered
+    f = Fixtures(spark, SF, as_of=AS_OF, batch_size=BATCH_SIZE, n_buckets=N_BUCKETS)
+    some = f.responses().where("plataforma = 'meta'").limit(1)
+    plan = answered(f.batched_sends(), some)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(batch_id" in plan and "EqualTo(plataforma,meta)" in plan
+    assert answered(f.batched_sends(), some.limit(0)).count() == 0
