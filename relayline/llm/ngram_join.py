@@ -9,13 +9,17 @@ d <= (1 - J) / (1 + J) * (a + b) n-grams, so at most d parts differ, and with
 more than d parts that hold n-grams some part is equal (pigeonhole). By the
 prefix argument it is enough to sign, in one order for all, the first d + 1
 of a document's parts that hold n-grams; parts that hold many come first, as
-few other documents share them. Documents that share a signature are compared
+few other documents share them. A small document whose n-grams fall in too
+few parts is short: it is signed by single n-grams as well (each its own
+part, so that enough are there), and one more pass signs the documents that
+share them the same way. Documents that share a signature are compared
 by sketch, in blocks, and what the bound leaves is verified on the n-grams.
 
 The result is exact but for collisions of 64-bit hashes. Copies are one class
-before signing. Groups of near copies are not expanded into all pairs: a
-first round verifies spanning forests of the buckets, closest pairs first,
-and a second round every pair left between different components.
+before signing. Groups of near copies are not expanded into all pairs: two
+rounds verify spanning forests of the buckets, closest pairs first, and a
+last round compares what is left between components inside its blocks, n-grams
+at hand, and hands over a forest of links.
 """
 
 from __future__ import annotations
@@ -30,8 +34,12 @@ from relayline.llm.common import components, grouped, map_rows, materialize, tid
 BLOCK = 1024          # documents of a bucket that meet another block at once
 HOT = 64              # in the first round, larger buckets are taken by one in SHARE
 SHARE = 4
+WINDOW = 1 << 20      # signatures of a task that are matched before any is sent
+GRAMS = 1 << 22       # n-grams of a block's documents in the last round, about
+SHORT_BITS = 1 << 23
 BROADCAST_IDS = 500_000
 _MASK = np.uint64(31)
+_ALONE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,10 +65,10 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 class Sketcher:
-    """Similarity ``percent`` / 100 or more; ``seed`` moves the bits."""
+    """Similarity ``percent`` / 100 or more."""
 
-    def __init__(self, percent: int, seed: int):
-        self.percent, self.seed = percent, np.uint64(seed)
+    def __init__(self, percent: int):
+        self.percent = percent
 
     def differ(self, a, b):
         """The most n-grams that sets of a and b may differ by."""
@@ -76,20 +84,30 @@ class Sketcher:
 
     def sign(self, h: np.ndarray, band: int):
         """(signatures, sketch, short) in a band; ``short``: too few parts
-        hold n-grams for the pigeonhole, and another seed is needed."""
+        hold n-grams for the pigeonhole."""
         bits, parts = max(8, 3 + band), 5
         while 1 << parts < 1.3 * self.differ(2 << band, self.largest(2 << band)):
             parts += 1
-        at = (mix(h + self.seed) & np.uint64((1 << bits) - 1)).astype(np.int64)
+        at = (mix(h) & np.uint64((1 << bits) - 1)).astype(np.int64)
         order = np.argsort(at >> (bits - parts), kind="stable")
         part = (at >> (bits - parts))[order]
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         held = np.diff(np.r_[starts, len(part)])
         value = mix(np.bitwise_xor.reduceat(h[order], starts) + part[starts].astype(np.uint64))
-        need = int(self.differ(len(h), self.largest(len(h)))) + 1
+        need = self.need(h)
         first = np.lexsort((value, -held))[:need]
         sketch = np.packbits((np.bincount(at, minlength=1 << bits) & 1).astype(np.uint8)).tobytes()
-        return ((value[first] & ~_MASK) | np.uint64(band)).view(np.int64), sketch, len(first) < need
+        return self._in_band(value[first], band), sketch, len(first) < need
+
+    def need(self, h: np.ndarray) -> int:
+        return int(self.differ(len(h), self.largest(len(h)))) + 1
+
+    def sign_grams(self, h: np.ndarray, band: int) -> np.ndarray:
+        """Signatures with a part for every n-gram: always as many as needed."""
+        return self._in_band(np.sort(mix(h ^ _ALONE))[:self.need(h)], band)
+
+    def _in_band(self, value: np.ndarray, band: int) -> np.ndarray:
+        return ((value & ~_MASK) | np.uint64(band)).view(np.int64)
 
 
 def class_key(h: np.ndarray) -> int:
@@ -99,11 +117,11 @@ def class_key(h: np.ndarray) -> int:
     return int(key[0] >> np.uint64(1))
 
 
-def _sketches(docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
+def _sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """A row per document (``own``), and one per further band. A class is
     signed at its first document in a task only."""
     def make():
-        sketcher, seen = Sketcher(percent, seed), set()
+        sketcher, seen = Sketcher(percent), set()
 
         def step(cols):
             out = {c: [] for c in ("doc_id", "n", "key", "own", "band", "sigs", "sketch", "short")}
@@ -125,7 +143,10 @@ def _sketches(docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
                     seen.clear()
                 seen.add(key)
                 for i, band in enumerate(sketcher.bands(len(h))):
-                    add(doc_id, len(h), key, i == 0, band, *sketcher.sign(h, band))
+                    sigs, sketch, short = sketcher.sign(h, band)
+                    if short:
+                        sigs = np.r_[sigs, sketcher.sign_grams(h, band)]
+                    add(doc_id, len(h), key, i == 0, band, sigs, sketch, short)
             return out
         return step
 
@@ -133,12 +154,160 @@ def _sketches(docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
                                                    "sigs array<long>, sketch binary, short boolean", make)
 
 
-def _pairs_in_block(percent: int, forest: bool):
+def _sign_short(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """``(key, sigs)``: the signatures by single n-grams that documents have in
+    common with short ones, as a bitmap of a fixed size tells; None without
+    short ones. One pass, whatever their number."""
+    short = rows.where("short").select(F.explode("sigs").alias("sig"))
+    if short.isEmpty():
+        return None
+    place = F.pmod(F.xxhash64("sig"), F.lit(SHORT_BITS)) + 1
+    bits = np.zeros(SHORT_BITS // 8, np.uint8)
+    for r in short.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect():
+        part = np.frombuffer(r.bits, np.uint8)
+        bits[(r.bucket - 1) * len(part):r.bucket * len(part)] = part
+    bits = bits.tobytes()
+
+    def make():
+        sketcher = Sketcher(percent)
+
+        def step(cols):
+            out = {"key": [], "sigs": []}
+            for text in cols["text"]:
+                h = shingles(text, size)
+                for band in sketcher.bands(len(h)) if len(h) else ():
+                    out["key"].append(class_key(h))
+                    out["sigs"].append(sketcher.sign_grams(h, band))
+            return out
+        return step
+
+    signed = map_rows(docs.where("doc_id IS NOT NULL").select("text"), "key long, sigs array<long>", make)
+    signed = signed.select("key", F.explode("sigs").alias("sig"))
+    place = F.pmod(F.xxhash64("sig"), F.lit(SHORT_BITS))
+    byte = F.conv(F.hex(F.substring(F.lit(bits), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    hit = F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1
+    return materialize(signed.where(hit).groupBy("key").agg(F.collect_set("sig").alias("sigs")), "join-short")
+
+
+def _deal(batches):
+    """Of (key, sigs) rows, (sig, key, shared, done): signatures that two
+    classes of a WINDOW share are done but for one, which goes to meet
+    other tasks' like those not shared yet. So a signature that very many
+    documents have comes to its meeting once per window."""
+    def window(keys, sigs):
+        key, sig = np.concatenate(keys), np.concatenate(sigs)
+        order = np.lexsort((key, sig))
+        key, sig = key[order], sig[order]
+        new = np.r_[True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])]
+        key, sig = key[new], sig[new]  # a class once
+        first = np.r_[True, sig[1:] != sig[:-1]]
+        at = np.flatnonzero(first)
+        shared = np.repeat(np.diff(np.r_[at, len(sig)]) > 1, np.diff(np.r_[at, len(sig)]))
+        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(key), pa.array(shared), pa.array(~first)],
+                                          names=["sig", "key", "shared", "done"])
+
+    keys, sigs, held = [], [], 0
+    for batch in batches:
+        lists = batch.column("sigs")
+        sigs.append(lists.flatten().to_numpy())
+        keys.append(np.repeat(batch.column("key").to_numpy(), lists.value_lengths().to_numpy()))
+        held += len(sigs[-1])
+        if held >= WINDOW:
+            yield window(keys, sigs)
+            keys, sigs, held = [], [], 0
+    if held:
+        yield window(keys, sigs)
+
+
+def _met(batches):
+    """Of rows sorted by signature, those whose signature two classes have."""
+    rest = None
+    for batch in _and_end(batches):
+        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "key", "shared", "done")} if batch else None
+        if rest is not None:
+            rows = {c: np.r_[rest[c], rows[c]] for c in rest} if rows else rest
+        if rows is None or not len(rows["sig"]):
+            continue
+        start = np.flatnonzero(np.r_[True, rows["sig"][1:] != rows["sig"][:-1]])
+        if batch:  # the last signature may go on
+            rest, rows, start = {c: v[start[-1]:] for c, v in rows.items()}, {c: v[:start[-1]] for c, v in rows.items()}, start[:-1]
+            if not len(start):
+                continue
+        size = np.diff(np.r_[start, len(rows["sig"])])
+        met = np.logical_or.reduceat(rows["shared"], start)
+        met |= np.minimum.reduceat(rows["key"], start) != np.maximum.reduceat(rows["key"], start)
+        keep = np.repeat(met, size) | rows["done"]
+        yield pa.RecordBatch.from_arrays([pa.array(rows["sig"][keep]), pa.array(rows["key"][keep])], names=["sig", "key"])
+
+
+def _and_end(batches):
+    yield from (b for b in batches if b.num_rows)
+    yield None
+
+
+def _buckets(signed: DataFrame) -> DataFrame:
+    """``(sig, key)`` of the signatures that two classes share, in one shuffle."""
+    dealt = signed.mapInArrow(_deal, "sig long, key long, shared boolean, done boolean")
+    place = F.when(F.col("done"), F.xxhash64("sig", "key")).otherwise(F.col("sig"))
+    met = dealt.repartition(place).sortWithinPartitions("sig").mapInArrow(_met, "sig long, key long")
+    return materialize(met, "join-met").distinct()
+
+
+def _left_in_block(percent: int):
+    """Keys of the documents that sketches leave a pair of."""
+    def make():
+        inside = _pairs_in_block(percent, None)()
+
+        def step(rows):
+            found = inside(rows)
+            key = sorted({*found["a"], *found["b"]})
+            return {"sig": [rows["sig"][0].as_py()] * len(key), "key": key}
+        return step
+    return make
+
+
+def _links_in_block(percent: int):
+    """A forest of links between components of a group's rows (two blocks of a
+    bucket), verified on their n-grams as it grows: pairs inside a component
+    need no verification any more."""
+    def make():
+        inside = _pairs_in_block(percent, None)()
+
+        def step(rows: pa.Table) -> dict:
+            found = inside(rows)
+            keys = rows["key"].to_pylist()
+            label = dict(zip(keys, rows["label"].to_pylist()))
+            held = {k: np.frombuffer(x, np.uint64) for k, x in zip(keys, rows["set"].to_pylist())}
+            up: dict = {}
+
+            def top(x):
+                while x in up:
+                    x = up[x]
+                return x
+            links = [], []
+            for a, b in zip(found["a"], found["b"]):
+                x, y = top(label[a]), top(label[b])
+                if x != y and _similar(held[a], held[b], percent):
+                    up[max(x, y)] = min(x, y)
+                    links[0].append(a)
+                    links[1].append(b)
+            return {"a": links[0], "b": links[1]}
+        return step
+    return make
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    same = len(np.intersect1d(x, y, True))
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
+def _pairs_in_block(percent: int, forest: bool | None):
     """Of a group's rows (two blocks of a bucket), pairs of different
     components that the sketches leave: all, or a spanning forest that takes
     the closest first."""
     def make():
-        sketcher = Sketcher(percent, 0)
+        sketcher = Sketcher(percent)
 
         def step(rows: pa.Table) -> dict:
             key, n = rows["key"].to_numpy(), rows["n"].to_numpy().astype(np.int64)
@@ -197,9 +366,9 @@ def _forest(a, b, far, group):
             group = to[group]
 
 
-def _candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int, forest: bool,
-                name: str) -> DataFrame:
-    """Distinct pairs of classes to verify from ``(sig, key)``."""
+def _groups(members: DataFrame, sketches: DataFrame, labels: DataFrame, first: bool = False) -> DataFrame:
+    """Rows of ``(sig, key)`` whose buckets hold two labels, dealt to groups of
+    two blocks of a bucket, with label, size and sketch."""
     rows = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     sizes = rows.groupBy("sig").agg(
         F.count(F.lit(1)).alias("count"), F.min("label").alias("first"), F.max("label").alias("last"),
@@ -207,17 +376,27 @@ def _candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, perc
     # Buckets of the same members need comparing once.
     sizes = sizes.groupBy("count", "first", "last", "sum", F.col("sig").bitwiseAND(31).alias("band")).agg(
         F.min("sig").alias("sig"))
-    if forest:
+    if first:
         sizes = sizes.where((F.col("count") <= HOT) | (F.pmod(F.xxhash64("sig"), F.lit(SHARE)) == 0))
+    # In the last round, fewer long documents to a block: their n-grams come along.
+    block = F.lit(BLOCK) if "set" not in sketches.columns else F.least(F.lit(BLOCK), F.greatest(F.lit(2), F.lit(
+        GRAMS) / F.pow(F.lit(2), F.col("sig").bitwiseAND(31) + 1)))
     rows = rows.join(sizes.select("sig", "count"), "sig").withColumn(
-        "blocks", F.ceil(F.col("count") / BLOCK).cast("int")).withColumn(
+        "blocks", F.ceil(F.col("count") / block).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", "label", "block", F.least("block", "other").alias("low"),
                        F.greatest("block", "other").alias("high"), "sig",
                        F.col("sig").bitwiseAND(31).cast("int").alias("band"))
-    rows = rows.withColumn("group", F.concat_ws(":", "sig", "low", "high")).drop("sig")
-    found = grouped(rows.join(sketches, ["key", "band"]), "group", "a long, b long", _pairs_in_block(percent, forest))
+    rows = rows.withColumn("group", F.concat_ws(":", "sig", "low", "high"))
+    return rows.join(sketches, ["key", "band"])
+
+
+def _candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int, first: bool,
+                name: str) -> DataFrame:
+    """Distinct pairs of classes to verify: spanning forests of the buckets."""
+    found = grouped(_groups(members, sketches, labels, first).drop("sig"), "group", "a long, b long",
+                    _pairs_in_block(percent, True))
     return materialize(found.distinct(), name)
 
 
@@ -227,11 +406,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataF
 
     def make():
         def step(cols):
-            linked = []
-            for x, y in zip(cols["x"], cols["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                same = len(x) + len(y) - len(np.union1d(x, y))
-                linked.append(100 * same >= percent * (len(x) + len(y) - same))
+            linked = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                      for x, y in zip(cols["x"], cols["y"])]
             return {"a": cols["a"], "b": cols["b"], "linked": linked}
         return step
 
@@ -270,19 +446,14 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
 def keyed_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``jaccard_components`` with the ``key`` of each row's set of n-grams."""
     docs = docs.select("doc_id", "text")
-    seed = 0
-    while True:
-        rows = materialize(_sketches(docs, size, percent, seed), "join-sketches")
-        if rows.where("short").isEmpty():
-            break
-        seed += 1
+    rows = materialize(_sketches(docs, size, percent), "join-sketches")
     members = rows.where("own").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "key")
     classes = materialize(members.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first_id")),
                           "join-classes")
-    signed = rows.where("sigs IS NOT NULL").select("key", F.explode("sigs").alias("sig"))
-    shared = signed.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high")).where(
-        "low <> high").select("sig")
-    buckets = materialize(signed.join(shared, "sig").distinct(), "join-buckets")
+    signed = rows.where("sigs IS NOT NULL").select("key", "sigs")
+    if (more := _sign_short(docs, rows, size, percent)) is not None:
+        signed = signed.unionByName(more)
+    buckets = materialize(_buckets(signed), "join-buckets")
     sketches = rows.where("sketch IS NOT NULL").select("key", "n", "band", "sketch").join(
         buckets.select("key").distinct(), "key", "left_semi").groupBy("key", "band").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -295,14 +466,21 @@ def keyed_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     links = checked.where("linked").select("a", "b")
     labels = components(links, "join-components").withColumnRenamed("node", "key")
     labels = materialize(labels, "join-labels")
-    more = _candidates(buckets, sketches, labels, percent, False, "join-rest").join(
-        checked.select("a", "b"), ["a", "b"], "left_anti")
-    more = materialize(more, "join-more")
+    more = materialize(_candidates(buckets, sketches, labels, percent, False, "join-again").join(
+        checked.select("a", "b"), ["a", "b"], "left_anti"), "join-more")
     if not more.isEmpty():
         new = more.select(F.col("a").alias("key")).union(more.select("b")).distinct().join(keys, "key", "left_anti")
         sets = sets if new.isEmpty() else sets.unionByName(_sets(docs, new, classes, size))
         links = links.unionByName(_verify(more, sets, percent, "join-second").where("linked").select("a", "b"))
-        labels = components(links, "join-components").withColumnRenamed("node", "key")
+        labels = materialize(components(links, "join-components").withColumnRenamed("node", "key"), "join-labels")
+        # What two forests left: no pair is written but links.
+        left = materialize(grouped(_groups(buckets, sketches, labels), "group", "sig long, key long",
+                                   _left_in_block(percent)).distinct(), "join-left")
+        if not left.isEmpty():
+            whole = sketches.join(_sets(docs, left.select("key").distinct(), classes, size), "key")
+            found = grouped(_groups(left, whole, labels).drop("sig"), "group", "a long, b long", _links_in_block(percent))
+            links = links.unionByName(materialize(found.distinct(), "join-last"))
+            labels = components(links, "join-components").withColumnRenamed("node", "key")
     labelled = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     lowest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     ids = labelled.join(lowest, "label").select("key", "component_id")

@@ -97,9 +97,85 @@ def test_an_id_with_two_texts_loses_only_the_duplicate(docs):
         [("1", same), ("2", other), ("3", "alone here"), ("None", same)])
 
 
+def test_short_documents_end_in_one_pass(spark, docs, monkeypatch):
+    """Texts whose n-grams fall in too few parts keep their links."""
+    sketcher = ngram_join.Sketcher(80)
+    r, rows, planted = random.Random(5), [], 0
+    while planted < 3:
+        w = [f"x{r.randrange(10**6)}" for _ in range(8)]
+        h = ngram_join.shingles(" ".join(w), 5)
+        if any(sketcher.sign(h, b)[2] for b in sketcher.bands(len(h))):
+            rows += [(len(rows) + k, t) for k, t in enumerate((" ".join(w), " ".join(w + ["more"]), " ".join(["some"] + w)))]
+            planted += 1
+    rows += [(1000 + k, " ".join(f"y{r.randrange(10**6)}" for _ in range(8))) for k in range(200)]
+    check(docs(rows), rows, 5, 80)
+    want = brute(rows, 5, 80)
+    assert sum(c != i for i, (_, c) in want.items()) == 6
+    # texts with all parts in one place, whatever the number of n-grams
+    monkeypatch.setattr(ngram_join.Sketcher, "sign", lambda self, h, band: (
+        self._in_band(np.array([7], np.uint64), band), b"\0" * (1 << max(0, band)), True))
+    h = ngram_join.shingles(" ".join(f"z{k}" for k in range(40)), 5)
+    assert len(sketcher.sign_grams(h, 5)) == sketcher.need(h) <= len(h)
+
+
+def test_near_copy_groups_write_linear_pairs(spark, docs, monkeypatch):
+    """Groups of texts that differ in the last word: pairs grow with the
+    group, in all rounds together."""
+    r = random.Random(2)
+    for size in (100, 400):
+        rows = []
+        for g in range(6):
+            base = [f"g{g}w{r.randrange(10**6)}" for _ in range(15)]
+            rows += [(g * 10_000 + k, " ".join(base + [f"end{k}"])) for k in range(size)]
+        pairs = []
+        real = ngram_join.materialize
+
+        def spy(df, name):
+            out = real(df, name)
+            if name in ("join-forest", "join-again", "join-more", "join-last"):
+                pairs.append(out.count())
+            return out
+        monkeypatch.setattr(ngram_join, "materialize", spy)
+        got = ngram_join.jaccard_components(docs(rows), 4, 85).collect()
+        monkeypatch.setattr(ngram_join, "materialize", real)
+        assert {x.doc_id: x.component_id for x in got} == {i: i // 10_000 * 10_000 for i, _ in rows}
+        assert sum(pairs) < 8 * len(rows)
+
+
+def test_chains_of_near_copies(docs, monkeypatch):
+    """Prefixes of one text with a changing end, over several blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 32)
+    r = random.Random(8)
+    base = [f"b{k}" for k in range(30)]
+    rows = [(k, " ".join([*base[:r.randrange(18, 30)], *(f"t{r.randrange(4)}" for _ in range(6))])) for k in range(120)]
+    check(docs(rows), rows, 4, 85)
+    check(docs(rows), rows, 4, 60)
+
+
+def test_deal_and_meeting_find_what_is_shared(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(ngram_join, "WINDOW", 40)
+    r = random.Random(6)
+    rows = [(k, [r.randrange(60) for _ in range(r.randrange(6))] + ([7] if k % 2 else [])) for k in range(100)]
+    rows += rows[:10]
+    batches = [pa.RecordBatch.from_pylist([{"key": k, "sigs": s} for k, s in rows[i:i + 9]],
+                                          schema=pa.schema([("key", pa.int64()), ("sigs", pa.list_(pa.int64()))]))
+               for i in range(0, len(rows), 9)]
+    dealt = pa.Table.from_batches(ngram_join._deal(iter(batches)))
+    assert sum(1 for x in dealt.to_pylist() if x["sig"] == 7 and not x["done"]) <= 12  # once a window
+    done = {(x["sig"], x["key"]) for x in dealt.to_pylist() if x["done"]}
+    meet = dealt.filter(pa.compute.invert(dealt["done"])).sort_by("sig").to_batches(max_chunksize=5)
+    met = {(x["sig"], x["key"]) for b in ngram_join._met(iter(meet)) for x in b.to_pylist()}
+    holders = {}
+    for k, s in rows:
+        for g in s:
+            holders.setdefault(g, set()).add(k)
+    assert done | met == {(g, k) for g, h in holders.items() if len(h) > 1 for k in h}
+
+
 def test_sketch_bound_holds():
     r = np.random.default_rng(2)
-    sketcher = ngram_join.Sketcher(85, 0)
+    sketcher = ngram_join.Sketcher(85)
     for n in (1, 5, 40, 300, 3000):
         a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
         b = np.union1d(a[: n - n // 10], r.integers(0, 1 << 63, n // 10).astype(np.uint64))
