@@ -34,7 +34,7 @@ from relayline.llm.common import components, grouped, map_rows, materialize, tid
 BLOCK = 1024          # documents of a bucket that meet another block at once
 HOT = 64              # in the first round, larger buckets are taken by one in SHARE
 SHARE = 4
-WINDOW = 1 << 20      # signatures of a task that are matched before any is sent
+WINDOW = 1 << 18      # signatures of a task that are matched before any is sent
 GRAMS = 1 << 22       # n-grams of a block's documents in the last round, about
 SHORT_BITS = 1 << 23
 BROADCAST_IDS = 500_000
@@ -191,7 +191,7 @@ def _sign_short(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> Da
 
 
 def _deal(batches):
-    """Of (key, sigs) rows, (sig, key, shared, done): signatures that two
+    """Of (key, sig) rows, (sig, key, shared, done): signatures that two
     classes of a WINDOW share are done but for one, which goes to meet
     other tasks' like those not shared yet. So a signature that very many
     documents have comes to its meeting once per window."""
@@ -204,20 +204,21 @@ def _deal(batches):
         first = np.r_[True, sig[1:] != sig[:-1]]
         at = np.flatnonzero(first)
         shared = np.repeat(np.diff(np.r_[at, len(sig)]) > 1, np.diff(np.r_[at, len(sig)]))
-        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(key), pa.array(shared), pa.array(~first)],
+        rows = pa.RecordBatch.from_arrays([pa.array(sig), pa.array(key), pa.array(shared), pa.array(~first)],
                                           names=["sig", "key", "shared", "done"])
+        for at in range(0, len(sig), 1 << 14):  # small batches keep the JVM's buffers small
+            yield rows.slice(at, 1 << 14)
 
     keys, sigs, held = [], [], 0
     for batch in batches:
-        lists = batch.column("sigs")
-        sigs.append(lists.flatten().to_numpy())
-        keys.append(np.repeat(batch.column("key").to_numpy(), lists.value_lengths().to_numpy()))
-        held += len(sigs[-1])
+        sigs.append(batch.column("sig").to_numpy().copy())
+        keys.append(batch.column("key").to_numpy().copy())
+        held += batch.num_rows
         if held >= WINDOW:
-            yield window(keys, sigs)
+            yield from window(keys, sigs)
             keys, sigs, held = [], [], 0
     if held:
-        yield window(keys, sigs)
+        yield from window(keys, sigs)
 
 
 def _met(batches):
@@ -248,7 +249,7 @@ def _and_end(batches):
 
 def _buckets(signed: DataFrame) -> DataFrame:
     """``(sig, key)`` of the signatures that two classes share, in one shuffle."""
-    dealt = signed.mapInArrow(_deal, "sig long, key long, shared boolean, done boolean")
+    dealt = signed.select("key", F.explode("sigs").alias("sig")).mapInArrow(_deal, "sig long, key long, shared boolean, done boolean")
     place = F.when(F.col("done"), F.xxhash64("sig", "key")).otherwise(F.col("sig"))
     met = dealt.repartition(place).sortWithinPartitions("sig").mapInArrow(_met, "sig long, key long")
     return materialize(met, "join-met").distinct()

@@ -158,8 +158,8 @@ def test_deal_and_meeting_find_what_is_shared(monkeypatch):
     r = random.Random(6)
     rows = [(k, [r.randrange(60) for _ in range(r.randrange(6))] + ([7] if k % 2 else [])) for k in range(100)]
     rows += rows[:10]
-    batches = [pa.RecordBatch.from_pylist([{"key": k, "sigs": s} for k, s in rows[i:i + 9]],
-                                          schema=pa.schema([("key", pa.int64()), ("sigs", pa.list_(pa.int64()))]))
+    batches = [pa.RecordBatch.from_pylist([{"key": k, "sig": s} for k, sigs in rows[i:i + 9] for s in sigs],
+                                          schema=pa.schema([("key", pa.int64()), ("sig", pa.int64())]))
                for i in range(0, len(rows), 9)]
     dealt = pa.Table.from_batches(ngram_join._deal(iter(batches)))
     assert sum(1 for x in dealt.to_pylist() if x["sig"] == 7 and not x["done"]) <= 12  # once a window
