@@ -29,6 +29,7 @@ GRAMS = (3, 4, 5)
 SAMPLE_TEXTS, SAMPLE_WORDS, EPOCHS = 2000, 600, 6
 LEAST_STEPS = 300                    # few texts are gone through more often
 THRESHOLD = 0.3
+AT_ONCE = 512                        # windows scored together
 CACHED_WORDS = 200_000               # a worker's memory of word inputs; it only saves time
 _WORD = re.compile(r"\w+")
 
@@ -119,6 +120,50 @@ class Model:
         logits = (share * value).sum(axis=1) + self.p["c"][0]
         return (logits, share, value, kept) if keep else logits
 
+    def score(self, gates: np.ndarray, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """``run``'s logits for scoring: both directions at once, one row per
+        unit and one column per window, in place. Steps behind a window's end
+        count for nothing: the backward state starts at its last word."""
+        n, steps = ids.shape
+        half = np.ones((6 * HIDDEN, 1), np.float32)  # a sigmoid is a tanh of half its argument
+        half[:2 * HIDDEN] = half[3 * HIDDEN:5 * HIDDEN] = 0.5
+        x = np.ascontiguousarray(gates[ids].transpose(1, 2, 0)) * half
+        U = np.ascontiguousarray(self.p["U"].transpose(0, 2, 1)) * half[None, :3 * HIDDEN]
+        a, o = self.p["a"], self.p["o"]
+        h = np.zeros((2, HIDDEN, n), np.float32)
+        hu, new = np.empty((2, 3 * HIDDEN, n), np.float32), np.empty((2, HIDDEN, n), np.float32)
+        heat, value = np.zeros((steps, n), np.float32), np.zeros((steps, n), np.float32)
+        full = bool((length == steps).all())
+        for t in range(steps):
+            u = steps - 1 - t
+            np.matmul(U, h, out=hu)
+            zr = hu[:, :2 * HIDDEN]
+            zr[0] += x[t, :2 * HIDDEN]
+            zr[1] += x[u, 3 * HIDDEN:5 * HIDDEN]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            np.multiply(zr[:, HIDDEN:], hu[:, 2 * HIDDEN:], out=new)
+            new[0] += x[t, 2 * HIDDEN:3 * HIDDEN]
+            new[1] += x[u, 5 * HIDDEN:]
+            np.tanh(new, out=new)
+            h -= new
+            h *= zr[:, :HIDDEN]
+            h += new
+            if not full:
+                h[1] *= u < length
+            heat[t] += a[0] @ h[0]
+            heat[u] += a[1] @ h[1]
+            value[t] += o[0] @ h[0]
+            value[u] += o[1] @ h[1]
+        if not full:
+            heat[np.arange(steps)[:, None] >= length] = -1e9
+        share = np.exp(heat - heat.max(axis=0))
+        share /= share.sum(axis=0)
+        if not full:
+            share[np.arange(steps)[:, None] >= length] = 0
+        return (share * value).sum(axis=0) + self.p["c"][0]
+
     def back(self, push: np.ndarray, ids, length, share, value, kept, gates_rows: int):
         """Gradients from ``push`` (of the logits); also that of the gates' rows."""
         p, g = self.p, {k: np.zeros_like(self.p[k]) for k in ("U", "a", "o", "c")}
@@ -245,21 +290,19 @@ class Scorer:
         rows = [self._ids(split(x)) for x in texts]
         top = np.full(len(rows), -np.inf)
         whole = [(k, s) for k, row in enumerate(rows) if len(row) >= WINDOW for s, _ in windows(len(row))]
-        for i in range(0, len(whole), 4096):
-            part = whole[i:i + 4096]
+        for i in range(0, len(whole), AT_ONCE):
+            part = whole[i:i + AT_ONCE]
             ids = np.stack([rows[k][s:s + WINDOW] for k, s in part])
-            logits = self.model.run(self.table, ids, np.full(len(part), WINDOW))
+            logits = self.model.score(self.table, ids, np.full(len(part), WINDOW))
             np.maximum.at(top, [k for k, _ in part], logits)
-        short = [k for k, row in enumerate(rows) if len(row) < WINDOW]
-        for i in range(0, len(short), 4096):
-            part = short[i:i + 4096]
+        short = sorted((k for k, row in enumerate(rows) if len(row) < WINDOW), key=lambda k: len(rows[k]))
+        for i in range(0, len(short), AT_ONCE):  # of about one length, so few steps are idle
+            part = short[i:i + AT_ONCE]
             length = np.array([len(rows[k]) for k in part])
-            ids = np.zeros((len(part), WINDOW), np.int64)
+            ids = np.zeros((len(part), max(1, length[-1])), np.int64)
             for at, k in enumerate(part):
                 ids[at, :length[at]] = rows[k]
-            if not len(self.place):
-                ids, length = ids[:, :1], np.zeros(len(part), np.int64)
-            top[part] = self.model.run(self.table, ids, length)
+            top[part] = self.model.score(self.table, ids, length)
         return _sigmoid(top).tolist()
 
 

@@ -149,3 +149,53 @@ def test_gradients_equal_differences():
     up = loss()
     gates[2, 7] -= 2e-3
     assert dg[2, 7] == pytest.approx((up - loss()) / 2e-3, rel=0.05, abs=2e-3)
+
+
+def plain_score(model, words):
+    """A text's score, window by window and step by step."""
+    def sigmoid(v):
+        return 1 / (1 + np.exp(-v))
+    p, H = {k: v.astype(np.float64) for k, v in model.p.items()}, toxicity.HIDDEN
+    x = model.inputs(words).astype(np.float64)
+    best = -np.inf
+    for start, end in toxicity.windows(len(words)):
+        heat, value = np.zeros(end - start), np.zeros(end - start)
+        for d in (0, 1):
+            h = np.zeros(H)
+            for t in range(end - start) if d == 0 else reversed(range(end - start)):
+                g, u = x[start + t] @ p["W"][d] + p["b"][d], h @ p["U"][d]
+                z, r = sigmoid(g[:H] + u[:H]), sigmoid(g[H:2 * H] + u[H:2 * H])
+                new = np.tanh(g[2 * H:] + r * u[2 * H:])
+                h = (1 - z) * new + z * h
+                heat[t] += h @ p["a"][d]
+                value[t] += h @ p["o"][d]
+        share = np.exp(heat - heat.max()) if len(heat) else heat
+        best = max(best, (share / max(share.sum(), 1e-30) * value).sum() + p["c"][0])
+    return sigmoid(best)
+
+
+def test_scores_equal_a_plain_loop():
+    """Long texts, texts of every length below a window, and none."""
+    r = np.random.default_rng(3)
+    model = toxicity.Model()
+    model.p = {k: (v + 0.3 * r.standard_normal(v.shape)).astype(np.float32) for k, v in model.p.items()}
+    words = [f"w{k}" for k in range(300)]
+    texts = [" ".join(r.choice(words, n)) for n in [*range(0, 52), 84, 85, 400]] + [None, ""]
+    got = toxicity.Scorer(model.p).scores(texts)
+    want = [plain_score(model, toxicity.split(t)) for t in texts]
+    assert got == pytest.approx(want, abs=2e-5)
+    assert toxicity.Scorer(model.p).scores([""]) == pytest.approx([want[0]])
+
+
+def test_the_recurrent_part_learns_order():
+    """Both classes have the same words; only their order tells them apart."""
+    r = np.random.default_rng(4)
+    texts, marks = [], []
+    for k in range(400):
+        fill = [f"f{x}" for x in r.integers(0, 30, 8)]
+        at, pair = int(r.integers(0, 7)), ["alpha", "beta"] if k % 2 else ["beta", "alpha"]
+        texts.append(fill[:at] + pair + fill[at:])
+        marks.append(k % 2)
+    model = toxicity.train(texts[:300], marks[:300], [1.0] * 300, epochs=60)
+    got = np.array(toxicity.Scorer(model.p).scores([" ".join(t) for t in texts[300:]]))
+    assert np.mean((got >= 0.5) == (np.array(marks[300:]) == 1)) > 0.9
