@@ -34,7 +34,7 @@ from relayline.llm.common import components, grouped, map_rows, materialize, tid
 BLOCK = 1024          # documents of a bucket that meet another block at once
 HOT = 64              # in the first round, larger buckets are taken by one in SHARE
 SHARE = 4
-WINDOW = 1 << 18      # signatures of a task that are matched before any is sent
+WINDOW = 1 << 16      # signatures of a task that are matched before any is sent
 GRAMS = 1 << 22       # n-grams of a block's documents in the last round, about
 SHORT_BITS = 1 << 23
 BROADCAST_IDS = 500_000
@@ -219,6 +219,7 @@ def _deal(batches):
             keys, sigs, held = [], [], 0
     if held:
         yield from window(keys, sigs)
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def _met(batches):
