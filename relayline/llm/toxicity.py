@@ -51,10 +51,29 @@ def _hash(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "replace"))
 
 
-def buckets(word: str) -> tuple[int, list[int]]:
-    marked = f"<{word}>"
-    grams = [_hash(marked[i:i + n]) % GRAM_BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]
-    return _hash(word) % WORD_BUCKETS, grams or [_hash(marked) % GRAM_BUCKETS]
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93],
+                    np.uint64)
+
+
+def buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words: each one's bucket, the buckets of all character n-grams of
+    ``<word>`` one word after another, and how many each word has."""
+    code = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    length = np.array([len(w) + 2 for w in words], np.int64)
+    word = np.repeat(np.arange(len(words)), length)
+    left = np.repeat(np.cumsum(length), length) - np.arange(len(code))  # characters up to the word's end
+    of, gram = [], []
+    for n in GRAMS:
+        at = np.flatnonzero(left >= n)
+        h = np.full(len(at), np.uint64(n))
+        for k in range(n):
+            h += code[at + k] * _FACTORS[k]
+        of.append(word[at])
+        gram.append((((h ^ (h >> np.uint64(32))) * _FACTORS[0]) >> np.uint64(20)) % np.uint64(GRAM_BUCKETS))
+    of = np.concatenate(of)
+    order = np.argsort(of, kind="stable")
+    return (np.array([_hash(w) % WORD_BUCKETS for w in words], np.int64),
+            np.concatenate(gram)[order].astype(np.int64), np.bincount(of, minlength=len(words)))
 
 
 def _sigmoid(x):
@@ -77,12 +96,9 @@ class Model:
         """The input vectors of words, one row each."""
         if not words:
             return np.zeros((0, 2 * DIM), np.float32)
-        found = [buckets(w) for w in words]
-        counts = np.array([len(g) for _, g in found])
-        flat = np.fromiter((x for _, g in found for x in g), np.int64, counts.sum())
+        word, flat, counts = buckets(words)
         sums = np.add.reduceat(self.p["gram"][flat], np.r_[0, counts.cumsum()[:-1]], axis=0)
-        return np.hstack([self.p["word"][[w for w, _ in found]],
-                          sums / np.sqrt(counts)[:, None].astype(np.float32)])
+        return np.hstack([self.p["word"][word], sums / np.sqrt(counts)[:, None].astype(np.float32)])
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """What the inputs add to the gates: rows of both directions."""
@@ -190,8 +206,8 @@ class Model:
 
 
 def train(texts: list[list[str]], labels: list[int], weights: list[float], epochs: int = EPOCHS) -> Model:
-    """A model from tokenised texts. Without both classes it is untrained and
-    scores every text by the share of toxic weight."""
+    """A model from tokenised texts. Without both classes, or without words, it
+    is untrained and scores every text by the share of toxic weight."""
     model, labels, weights = Model(), np.array(labels, np.float32), np.array(weights, np.float32)
     total = max(float(weights.sum()), 1e-9)
     rate = min(max(float((weights * labels).sum()) / total, 0.01), 0.99)
@@ -201,17 +217,20 @@ def train(texts: list[list[str]], labels: list[int], weights: list[float], epoch
         return model
     vocabulary: dict[str, int] = {}
     rows = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in t], np.int64) for t in texts]
-    known = [buckets(w) for w in vocabulary]
-    for name, size, of in (("word", WORD_BUCKETS, lambda k: [known[k][0]]), ("gram", GRAM_BUCKETS, lambda k: known[k][1])):
+    if not vocabulary:
+        model.p["o"][:] = 0
+        return model
+    word_of, flat, counts = buckets(list(vocabulary))
+    starts = np.r_[0, counts.cumsum()[:-1]]
+    scale = np.sqrt(counts)[:, None].astype(np.float32)
+    for name, size, of in (("word", WORD_BUCKETS, lambda k: word_of[k:k + 1]),
+                           ("gram", GRAM_BUCKETS, lambda k: flat[starts[k]:starts[k] + counts[k]])):
         seen = np.ones((2, size))
         for row, label in zip(rows, labels):
-            seen[int(label), list({x for k in set(row.tolist()) for x in of(k)})] += 1
+            if len(row):
+                seen[int(label), np.unique(np.concatenate([of(k) for k in set(row.tolist())]))] += 1
         odds = np.log(seen[1] / (labels.sum() + 2)) - np.log(seen[0] / (len(labels) - labels.sum() + 2))
         model.p[name][:, 0] = np.clip(odds, -4, 4) / 2
-    counts = np.array([len(g) for _, g in known])
-    flat, starts = np.array([x for _, g in known for x in g]), np.r_[0, counts.cumsum()[:-1]]
-    scale = np.sqrt(counts)[:, None].astype(np.float32)
-    word_of = np.array([w for w, _ in known])
 
     def embed() -> np.ndarray:
         return np.hstack([model.p["word"][word_of], np.add.reduceat(model.p["gram"][flat], starts, axis=0) / scale])
