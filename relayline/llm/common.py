@@ -89,7 +89,7 @@ def map_rows(df: DataFrame, schema: str | T.StructType,
     return df.mapInArrow(run, schema)
 
 
-def small(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def small(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``most`` bytes each, one row at least, so a
     task's Python memory does not follow the length of the texts."""
     rows = batch.num_rows
