@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 OPEN, SEP, NEXT, CLOSE = "### ", ": ", "<next>", "</turn>"
 _PAIRS = [("\\", "\\b"), ("<", "\\l"), ("#", "\\h"), (":", "\\c")]
 LOSS_ROLE = "assistant"
+RUN = 128  # elements of a run of a running sum
 
 
 def escape(text: Column) -> Column:
@@ -34,6 +35,33 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it
+    inside a lambda (a plain column may be computed again per element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums_before(values: Column) -> Column:
+    """For every element of an array of longs the sum of those before it, in
+    runs of RUN elements: no accumulator grows with the array's square."""
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<bigint>")
+    kind = "struct<sum:bigint,all:array<bigint>>"
+
+    def scan(xs: Column) -> Column:
+        return F.aggregate(xs, F.struct(zero.alias("sum"), none.alias("all")).cast(kind), lambda acc, x: F.struct(
+            (acc["sum"] + x).alias("sum"), F.concat(acc["all"], F.array(acc["sum"])).alias("all")).cast(kind))
+
+    def join(xs: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / F.lit(RUN)).cast("int")),
+                          lambda k: scan(F.slice(xs, k * RUN + 1, F.lit(RUN))))
+        return _let(cut, lambda cs: _let(
+            scan(F.transform(cs, lambda c: c["sum"]))["all"],
+            lambda starts: F.flatten(F.transform(cs, lambda c, k: F.transform(
+                c["all"], lambda s: s + F.get(starts, k))))))
+
+    return F.when(F.size(values) == 0, none).otherwise(_let(values, join))
+
+
 def format_chats(rows: DataFrame) -> DataFrame:
     """``(conv_id, turn, role, text)`` to ``(conv_id, formatted, loss)``, one
     row per conversation.
@@ -61,23 +89,19 @@ def format_chats(rows: DataFrame) -> DataFrame:
         F.get(b, F.lit(0))["role"].alias("role"), F.transform(b, lambda t: t["text"]).alias("texts"))))
     formatted = F.array_join(F.transform("blocks", lambda b: F.concat(
         F.lit(OPEN), b["role"], F.lit(SEP), F.array_join(b["texts"], NEXT), F.lit(CLOSE))), "")
-    # Lengths of text and of marks before it, in turn order; the running sum
-    # of both is kept for the assistant's turns.
+    # Lengths of every text and of the marks before and after it, in turn order.
     parts = F.flatten(F.transform("blocks", lambda b: F.transform(b["texts"], lambda t, i: F.struct(
         F.when(i == 0, F.length(b["role"]) + len(OPEN + SEP)).otherwise(len(NEXT)).cast("long").alias("mark"),
         F.length(t).cast("long").alias("chars"),
         F.when(i == F.size(b["texts"]) - 1, len(CLOSE)).otherwise(0).cast("long").alias("end"),
         (b["role"] == LOSS_ROLE).alias("loss")))))
-    kind = "struct<at:bigint,spans:array<struct<start:bigint,chars:bigint>>>"
-    loss = F.aggregate(
-        parts, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(
-            "array<struct<start:bigint,chars:bigint>>").alias("spans")).cast(kind),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["mark"] + p["chars"] + p["end"]).alias("at"),
-            F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct(
-                (acc["at"] + p["mark"]).alias("start"), p["chars"].alias("chars"))))).otherwise(
-                acc["spans"]).alias("spans")).cast(kind),
-        lambda acc: acc["spans"])
+    loss = _let(parts, lambda ps: _let(
+        _sums_before(F.transform(ps, lambda p: p["mark"] + p["chars"] + p["end"])),
+        lambda at: F.transform(
+            F.filter(F.transform(ps, lambda p, i: F.struct(
+                (F.get(at, i) + p["mark"]).alias("start"), p["chars"].alias("chars"), p["loss"].alias("loss"))),
+                lambda p: p["loss"]),
+            lambda p: F.struct(p["start"].alias("start"), p["chars"].alias("chars")))))
     return got.select("conv_id", formatted.alias("formatted"), loss.alias("loss"))
 
 
@@ -91,9 +115,10 @@ def read_turns(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, loss: Column) -> Column:
-    """The text under the loss mask, unescaped, nothing between."""
-    return unescape(F.array_join(F.transform(loss, lambda s: F.substr(
-        formatted, (s["start"] + 1).cast("int"), s["chars"].cast("int"))), ""))
+    """The text under the loss mask, unescaped, nothing between. Spans are cut
+    from the text at four bytes a character, so a span is found at once."""
+    return unescape(F.array_join(_let(F.encode(formatted, "UTF-32"), lambda wide: F.transform(loss, lambda s: F.decode(
+        F.substr(wide, (s["start"] * 4 + 1).cast("int"), (s["chars"] * 4).cast("int")), "UTF-32"))), ""))
 
 
 def digests(rows: DataFrame) -> DataFrame:

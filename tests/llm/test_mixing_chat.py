@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,33 @@ def test_mix_of_messy_rows(docs):
     assert {r.target for r in mixing.mix(docs([(1, None), (2, " ")])).collect()} == {0.0}
 
 
+def test_take_keeps_every_row_the_mix_takes(docs):
+    """Null ids, repeated rows and one id with two texts: words as in the mix."""
+    same = "p q r s"
+    rows = ([(None, f"w{i} x y", "a") for i in range(120)] + [(7, same, "a")] * 60 + [(None, same, None)] * 41
+            + [(8, "a b c", "b"), (8, "d e f", "b"), (9, None, "b"), (None, "", None)] + [(9, "one two", "c")] * 9)
+    df = docs(rows)
+    plan = {}
+    for r in mixing._copies(df, 17, 1.5, 2).collect():
+        plan[r.key] = plan.get(r.key, 0) + r.copies
+    mixed = mixing.take(df)
+    assert mixed.columns == df.columns
+    keyed = mixed.withColumn("key", mixing.key(17, F.col("doc_id"), F.col("source"), F.col("text")))
+    got = {r.key: r["count"] for r in keyed.groupBy("key").count().collect()}
+    assert got == {k: c for k, c in plan.items() if c}
+    per_row = {}
+    for r in mixed.collect():
+        per_row[(r.doc_id, r.source, r.text)] = per_row.get((r.doc_id, r.source, r.text), 0) + 1
+    assert all(c <= 2 * rows.count(k and (k[0], k[2], k[1])) for k, c in per_row.items())
+    assert len({t for i, s, t in per_row if i is None and s == "a"}) > 60
+    assert mixing.take(docs([])).collect() == []
+
+
+def test_groups_cut_by_the_budget_are_split(docs):
+    rows = [(1, "a b c", "s")] * 101
+    assert mixing.take(docs(rows)).count() == sum(r.copies for r in mixing.mix(docs(rows)).collect()) == 151
+
+
 def test_mix_has_no_python_in_its_plan(docs):
     plan = mixing.mix(docs([(1, "a b")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -115,6 +143,34 @@ def test_turns_merge_by_role_and_sort(spark):
     assert chat.digests(chats(spark, [])).collect() == []
 
 
+def test_conversation_of_many_turns(spark):
+    """Offsets over several runs of the running sum; text read by the mask."""
+    who = ["user", "assistant", "assistant", "tool"]
+    rows = [(5, n, who[n * n % 4], f"é\U0001f642:{n}" * (n % 5)) for n in range(3 * chat.RUN + 7)]
+    rows += [(6, n, "assistant", str(n)) for n in range(chat.RUN)] + [(7, 0, "user", "x")]
+    got = {r.conv_id: r for r in chat.format_chats(chats(spark, rows)).collect()}
+    for c in (5, 6, 7):
+        want = [t for k, _, r, t in rows if k == c and r == "assistant"]
+        spans = [got[c].formatted[s.start:s.start + s.chars] for s in got[c].loss]
+        assert [s.replace("\\c", ":") for s in spans] == want
+    digests = {r.conv_id: r for r in chat.digests(chats(spark, rows)).collect()}
+    masked = "".join(t for k, _, r, t in rows if k == 5 and r == "assistant")
+    assert digests[5].loss_sha256 == hashlib.sha256(masked.encode()).hexdigest()
+
+
+def test_time_follows_the_number_of_turns(spark):
+    def seconds(n):
+        rows = spark.range(n).select(
+            F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+            F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+            F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+        start = time.perf_counter()
+        assert chat.digests(rows).first().n_turns == n
+        return time.perf_counter() - start
+    seconds(4_000)
+    assert seconds(64_000) < 16 * max(seconds(4_000), 0.5)
+
+
 def test_chat_plan_has_no_python(spark):
     plan = chat.digests(chats(spark, [(1, 0, "user", "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
