@@ -58,6 +58,15 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, epochs: i
         .select("source", "source_size", "source_rows", "weight", "target")
 
 
+def key(seed: int, doc_id: Column, source: Column, text: Column) -> Column:
+    """SHA-256, in hex, of a document's id, source and text with ``seed``: the
+    place in the shuffle. Only rows equal in all three share it."""
+    return F.sha2(F.concat(
+        F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("|"),
+        F.coalesce(F.length(source).cast("string"), F.lit("-")), F.lit("|"), F.coalesce(source, F.lit("")),
+        F.when(text.isNull(), F.lit("|-")).otherwise(F.concat(F.lit("|+"), text))), 256)
+
+
 def _range_of(share: Column, ranges: Column) -> Column:
     """Which of ``ranges`` equal parts of [0, 1) ``share`` lies in."""
     return F.least(F.floor(share * ranges), ranges - 1).cast("long")
@@ -73,18 +82,19 @@ def queue(docs: DataFrame, seed: int = 17, budget: float = BUDGET, epochs: int =
     """One row per document with its source's figures and, in ``through``, the
     words of its source up to and with it in shuffled order.
 
-    The shuffle is a hash of the row's id, source and size with ``seed``, so
-    reruns agree; ``row`` tells equal rows apart."""
-    sized = materialize(docs.select("doc_id", "source", words(F.col("text")).alias("size")).withColumn(
+    Documents are shuffled by ``key``, so reruns agree; ``row`` tells equal
+    rows apart."""
+    sized = materialize(docs.select(
+        "doc_id", "source", words(F.col("text")).alias("size"),
+        key(seed, F.col("doc_id"), F.col("source"), F.col("text")).alias("key")).withColumn(
         "row", F.monotonically_increasing_id()), "mix-sizes")
     goals = materialize(targets(sized, budget=budget, epochs=epochs), "mix-targets")
     goal = goals.select(F.col("source").alias("of"), "source_size", "source_rows", "target")
     goal = F.broadcast(goal) if _few(goals) else goal
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumn("mark", F.xxhash64(F.lit(seed), "doc_id", "source", "size"))
-    share = (F.shiftright(F.col("mark"), 11) + F.lit(1 << 52)) / F.lit(float(1 << 53))
+    share = F.conv(F.substring("key", 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
     rows = rows.withColumn("bucket", _range_of(share, _ranges(F.col("source_rows")))).drop("source_rows")
-    return running(rows, ["source"], ["mark", "doc_id", "size", "row"], "size", "bucket", "through").drop("bucket")
+    return running(rows, ["source"], ["key", "row"], "size", "bucket", "through").drop("bucket")
 
 
 def _few(goals: DataFrame, most: int = 1_000) -> bool:
@@ -92,15 +102,7 @@ def _few(goals: DataFrame, most: int = 1_000) -> bool:
     return goals.limit(most + 1).count() <= most
 
 
-def mix(docs: DataFrame, seed: int = 17, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` for every
-    row of ``docs``: ``copies`` is how often the mix takes it (0 to
-    ``epochs``) and ``taken`` the words that makes.
-
-    Null text counts 0 words, and documents without words are not taken. Null
-    sources form one source, in last place. Repeated rows count as so many
-    documents. An empty table takes nothing.
-    """
+def _copies(docs: DataFrame, seed: int, budget: float, epochs: int) -> DataFrame:
     queued = materialize(queue(docs, seed, budget, epochs), "mix-queue")
     rows, total = queued.agg(F.count(F.lit(1)), F.sum("size")).first()
     runs = queued.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn(
@@ -108,24 +110,47 @@ def mix(docs: DataFrame, seed: int = 17, budget: float = BUDGET, epochs: int = E
     # The budget ends near time 1; f / (1 + f) spreads all times over [0, 1).
     runs = runs.withColumn("bucket", _range_of(F.col("finish") / (1 + F.col("finish")),
                                                _ranges(F.lit(float(rows * epochs))))).withColumn("all", F.lit(0))
-    spent = running(runs, ["all"], ["finish", "source", "mark", "doc_id", "row", "epoch"], "size", "bucket", "spent")
+    spent = running(runs, ["all"], ["finish", "source", "key", "row", "epoch"], "size", "bucket", "spent")
     taken = spent.where(F.col("spent") <= F.lit(int((total or 0) * budget))).groupBy("row").agg(
         F.count(F.lit(1)).alias("copies"))
-    return queued.join(taken, "row", "left").select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies")).withColumn(
+    return queued.join(taken, "row", "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
+
+
+def mix(docs: DataFrame, seed: int = 17, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` for every
+    row of ``docs``: ``copies`` is how often the mix takes it (0 to
+    ``epochs``) and ``taken`` the words that makes.
+
+    Null text counts 0 words, and documents without words are not taken. Null
+    sources form one source, in last place. Repeated rows count as so many
+    documents. An empty table takes nothing.
+    """
+    return _copies(docs, seed, budget, epochs).select(
+        "doc_id", "source", "size", "source_size", "target", "copies").withColumn(
         "taken", F.col("copies") * F.col("size"))
 
 
 def take(docs: DataFrame, seed: int = 17, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
-    """The mixed documents: rows of ``docs``, each as often as the mix takes
-    it. Rows that share id, source and size each come as often as the mean of
-    their copies, rounded."""
-    per = mix(docs, seed, budget, epochs).groupBy("doc_id", "source", "size").agg(
-        F.round(F.avg("copies")).cast("int").alias("_copies")).where("_copies > 0")
-    per = per.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                     F.col("size").alias("_size"), "_copies")
-    on = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("source").eqNullSafe(F.col("_source")),
-          words(F.col("text")) == F.col("_size")]
+    """The mixed documents: rows of ``docs``, each as often as ``mix`` takes
+    it, null ids and repeated rows included.
+
+    Rows equal in id, source and text are neighbours in their source's queue,
+    so they differ in copies only where the budget ends: in at most one such
+    group per source and epoch. The rows of those groups are numbered (by
+    their other columns) and the first ones get a copy more. An empty table
+    gives none.
+    """
+    per = materialize(_copies(docs, seed, budget, epochs).groupBy("key").agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0").select(
+        F.col("key").alias("_key"), F.expr("cast(_copies div _rows as int)").alias("_each"),
+        F.expr("cast(_copies % _rows as int)").alias("_more")), "mix-copies")
     rows, back = set_aside(docs, "doc_id", "source", "text")
-    return rows.join(per, on[0] & on[1] & on[2]).withColumn(
-        "_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*back)
+    rows = rows.withColumn("_key", key(seed, F.col("doc_id"), F.col("source"), F.col("text"))).drop(
+        "doc_id", "source", "text")
+    every = rows.join(per.where("_more = 0"), "_key")
+    others = F.to_json(F.struct(*[c for c in rows.columns if c != "_key"]))
+    some = rows.join(per.where("_more > 0"), "_key").withColumn(
+        "_nth", F.row_number().over(Window.partitionBy("_key").orderBy(others))).withColumn(
+        "_each", F.col("_each") + (F.col("_nth") <= F.col("_more")).cast("int")).drop("_nth")
+    return every.unionByName(some).where("_each > 0").withColumn(
+        "_n", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*back)

@@ -146,10 +146,49 @@ SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DES
 FROM parts QUALIFY part = 'pair' OR rank <= 200
 """
 
+# Every document is queued twice by its key; a target is the level at which
+# the sources that stop are a prefix in the order of size / weight.
+OP8 = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           sha256('17|' || coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(length(source)::VARCHAR, '-') || '|'
+                  || coalesce(source, '') || CASE WHEN text IS NULL THEN '|-' ELSE '|+' || text END) AS key,
+           row_number() OVER () AS nth
+    FROM documents),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight,
+           sum(size)::DOUBLE * 2 AS cap
+    FROM sized GROUP BY source),
+levels AS (
+    SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(cap) OVER before, 0))
+              / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    FROM sources
+    WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+    SELECT source, source_size, least(cap, coalesce(final * weight, cap)) AS target
+    FROM levels, (SELECT arg_min(level, cap / weight) AS final FROM levels WHERE level * weight <= cap)),
+queued AS (
+    SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY key, nth) AS through
+    FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+runs AS (
+    SELECT *, (epoch * source_size + through)::DOUBLE / target AS finish
+    FROM queued, (SELECT unnest([0, 1]) AS epoch) WHERE size > 0),
+spent AS (
+    SELECT nth, sum(size) OVER (ORDER BY finish, source NULLS FIRST, key, nth, epoch) AS spent FROM runs),
+taken AS (
+    SELECT nth, count(*) AS copies FROM spent
+    WHERE spent <= (SELECT floor(sum(size) * 1.5) FROM sized) GROUP BY nth)
+SELECT doc_id, size, source_size, target, (coalesce(copies, 0) * size)::BIGINT AS taken,
+       coalesce(copies, 0)::BIGINT AS copies
+FROM queued LEFT JOIN taken USING (nth)
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": OP1,
     "op4_exact_top_k": OP4,
     "op5_chat_formatting": OP5,
+    "op8_mixing": OP8,
     "op10_embedding_near_dedup": OP10,
     "op11_phrase_collocations": OP11,
     "op12_source_divergence": OP12,
