@@ -253,7 +253,15 @@ def _buckets(signed: DataFrame) -> DataFrame:
     dealt = signed.select("key", F.explode("sigs").alias("sig")).mapInArrow(_deal, "sig long, key long, shared boolean, done boolean")
     place = F.when(F.col("done"), F.xxhash64("sig", "key")).otherwise(F.col("sig"))
     met = dealt.repartition(place).sortWithinPartitions("sig").mapInArrow(_met, "sig long, key long")
-    return materialize(met, "join-met").distinct()
+    return _once(materialize(met, "join-met").distinct())
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """``members`` with one of the buckets of a band that have the same keys."""
+    sizes = members.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("count"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"))
+    chosen = sizes.groupBy("count", "sum", F.col("sig").bitwiseAND(31).alias("band")).agg(F.min("sig").alias("sig"))
+    return members.join(chosen.select("sig"), "sig", "left_semi").select("sig", "key")
 
 
 def _left_in_block(percent: int):
@@ -331,12 +339,13 @@ def _pairs_in_block(percent: int, forest: bool | None):
                     b.append(to[on])
                     far.append(d[on])
             if not a:
-                return {"a": [], "b": []}
+                return {"sig": [], "a": [], "b": []}
             a, b, far = map(np.concatenate, (a, b, far))
             if forest:
                 a, b = _forest(a, b, far, np.unique(label, return_inverse=True)[1])
             x, y = key[a], key[b]
-            return {"a": np.minimum(x, y).tolist(), "b": np.maximum(x, y).tolist()}
+            return {"sig": [rows["sig"][0].as_py()] * len(x), "a": np.minimum(x, y).tolist(),
+                    "b": np.maximum(x, y).tolist()}
         return step
     return make
 
@@ -368,18 +377,19 @@ def _forest(a, b, far, group):
             group = to[group]
 
 
+def _in_first_round():
+    return (F.col("count") <= HOT) | (F.pmod(F.xxhash64("sig"), F.lit(SHARE)) == 0)
+
+
 def _groups(members: DataFrame, sketches: DataFrame, labels: DataFrame, first: bool = False) -> DataFrame:
     """Rows of ``(sig, key)`` whose buckets hold two labels, dealt to groups of
     two blocks of a bucket, with label, size and sketch."""
     rows = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     sizes = rows.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("count"), F.min("label").alias("first"), F.max("label").alias("last"),
-        F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum")).where("first <> last")
-    # Buckets of the same members need comparing once.
-    sizes = sizes.groupBy("count", "first", "last", "sum", F.col("sig").bitwiseAND(31).alias("band")).agg(
-        F.min("sig").alias("sig"))
+        F.count(F.lit(1)).alias("count"), F.min("label").alias("first"),
+        F.max("label").alias("last")).where("first <> last")
     if first:
-        sizes = sizes.where((F.col("count") <= HOT) | (F.pmod(F.xxhash64("sig"), F.lit(SHARE)) == 0))
+        sizes = sizes.where(_in_first_round())
     # In the last round, fewer long documents to a block: their n-grams come along.
     block = F.lit(BLOCK) if "set" not in sketches.columns else F.least(F.lit(BLOCK), F.greatest(F.lit(2), F.lit(
         GRAMS) / F.pow(F.lit(2), F.col("sig").bitwiseAND(31) + 1)))
@@ -396,10 +406,22 @@ def _groups(members: DataFrame, sketches: DataFrame, labels: DataFrame, first: b
 
 def _candidates(members: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int, first: bool,
                 name: str) -> DataFrame:
-    """Distinct pairs of classes to verify: spanning forests of the buckets."""
-    found = grouped(_groups(members, sketches, labels, first).drop("sig"), "group", "a long, b long",
+    """``(sig, a, b)``: pairs of classes to verify, spanning forests of the buckets."""
+    found = grouped(_groups(members, sketches, labels, first), "group", "sig long, a long, b long",
                     _pairs_in_block(percent, True))
-    return materialize(found.distinct(), name)
+    return materialize(found, name)
+
+
+def _open(members: DataFrame, found: DataFrame, checked: DataFrame, name: str, skipped: bool = False) -> DataFrame:
+    """The ``members`` of buckets that may hold links still unseen. A bucket
+    whose forest was verified in full is done: what its sketches left is in
+    one component. So those stay with a pair that failed, and those that the
+    first round ``skipped``."""
+    sigs = found.join(checked.where("NOT linked").select("a", "b"), ["a", "b"], "left_semi").select("sig")
+    if skipped:
+        sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("count"))
+        sigs = sigs.unionByName(sizes.where(~_in_first_round()).select("sig"))
+    return materialize(members.join(sigs.distinct(), "sig", "left_semi").select("sig", "key"), name)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
@@ -461,27 +483,35 @@ def keyed_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sketches = materialize(sketches, "join-bands")
     none = classes.select("key", F.col("key").alias("label")).limit(0)
-    pairs = _candidates(buckets, sketches, none, percent, True, "join-forest")
+    found = _candidates(buckets, sketches, none, percent, True, "join-forest")
+    pairs = materialize(found.select("a", "b").distinct(), "join-pairs")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     sets = _sets(docs, keys, classes, size)
     checked = _verify(pairs, sets, percent, "join-first")
     links = checked.where("linked").select("a", "b")
     labels = components(links, "join-components").withColumnRenamed("node", "key")
     labels = materialize(labels, "join-labels")
-    more = materialize(_candidates(buckets, sketches, labels, percent, False, "join-again").join(
-        checked.select("a", "b"), ["a", "b"], "left_anti"), "join-more")
+    buckets = _open(buckets, found, checked, "join-open", skipped=True)
+    found = _candidates(buckets, sketches, labels, percent, False, "join-again")
+    more = materialize(found.select("a", "b").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"),
+                       "join-more")
     if not more.isEmpty():
         new = more.select(F.col("a").alias("key")).union(more.select("b")).distinct().join(keys, "key", "left_anti")
         sets = sets if new.isEmpty() else sets.unionByName(_sets(docs, new, classes, size))
-        links = links.unionByName(_verify(more, sets, percent, "join-second").where("linked").select("a", "b"))
+        again = _verify(more, sets, percent, "join-second")
+        checked = checked.unionByName(again)
+        links = links.unionByName(again.where("linked").select("a", "b"))
         labels = materialize(components(links, "join-components").withColumnRenamed("node", "key"), "join-labels")
+    buckets = _open(buckets, found, checked, "join-open")
+    if not buckets.isEmpty():
         # What two forests left: no pair is written but links.
         left = materialize(grouped(_groups(buckets, sketches, labels), "group", "sig long, key long",
                                    _left_in_block(percent)).distinct(), "join-left")
         if not left.isEmpty():
             whole = sketches.join(_sets(docs, left.select("key").distinct(), classes, size), "key")
-            found = grouped(_groups(left, whole, labels).drop("sig"), "group", "a long, b long", _links_in_block(percent))
-            links = links.unionByName(materialize(found.distinct(), "join-last"))
+            linked = grouped(_groups(_once(left), whole, labels), "group", "a long, b long",
+                             _links_in_block(percent))
+            links = links.unionByName(materialize(linked.distinct(), "join-last"))
             labels = components(links, "join-components").withColumnRenamed("node", "key")
     labelled = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     lowest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
