@@ -136,6 +136,18 @@ def _events_of(c: str) -> Column:
     return F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("position", F.col(c).alias("e")))))
 
 
+def request_body(cfg: EnvelopeConfig, stage: Column, meta: Column, google: Column, bing: Column) -> Column:
+    """JSON text of one request from the platform's array of events."""
+    p = F.col("plataforma")
+    test_code = F.lit(cfg.meta_test_event_code).cast("string")
+    body = (F.when(p == "meta", F.to_json(F.struct(meta.alias("data"), test_code.alias("test_event_code"))))
+             .when(p == "google", F.to_json(F.struct(_google_destinations(cfg, stage).alias("destinations"),
+                                                     F.lit(GOOGLE_ENCODING).alias("encoding"),
+                                                     google.alias("events"))))
+             .when(p == "bing", F.to_json(F.struct(bing.alias("OfflineConversions")))))
+    return body.otherwise(F.raise_error(F.concat(F.lit("unknown platform: "), F.coalesce(p, F.lit("NULL")))))
+
+
 def envelopes(batched: DataFrame, cfg: EnvelopeConfig | None = None, goal_name: str | None = None) -> DataFrame:
     """One request body per (plataforma, batch_id).
 
@@ -153,14 +165,7 @@ def envelopes(batched: DataFrame, cfg: EnvelopeConfig | None = None, goal_name:
                   _events_of("google_event").alias("g"),
                   _events_of("bing_event").alias("b")))
     events = lambda c: F.transform(F.col(c), lambda x: x["e"])
-    p = F.col("plataforma")
-    test_code = F.lit(cfg.meta_test_event_code).cast("string")
-    body = (F.when(p == "meta", F.to_json(F.struct(events("m").alias("data"), test_code.alias("test_event_code"))))
-             .when(p == "google", F.to_json(F.struct(_google_destinations(cfg, F.col("first_stage")).alias("destinations"),
-                                                     F.lit(GOOGLE_ENCODING).alias("encoding"),
-                                                     events("g").alias("events"))))
-             .when(p == "bing", F.to_json(F.struct(events("b").alias("OfflineConversions")))))
-    body = body.otherwise(F.raise_error(F.concat(F.lit("unknown platform: "), F.coalesce(p, F.lit("NULL")))))
+    body = request_body(cfg, F.col("first_stage"), events("m"), events("g"), events("b"))
     return agg.select("plataforma", "batch_id", "n_events", body.alias("body"))
 
 

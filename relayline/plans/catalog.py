@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import contacts, hash_email, hash_phone, normalize_email, normalize_phone
 from ..functions.timefmt import DEFAULT_AS_OF
+from ..operators import answers as ans
+from ..operators import byte_bodies as bb
 from ..operators import colocated
 from ..operators import compaction
 from ..operators import control as ctl
@@ -26,7 +28,7 @@ from ..operators import responses as resp
 from ..operators.eligibility import candidates, eligible
 from ..operators.routing import route, route_by_join
 from ..schemas import CONTROL
-from ..sources.fixtures import lead_number, table
+from ..sources.fixtures import lead_number, odd_answers, table
 from ..sources.layout import DAY
 from ..sources.store import Fixtures
 from ..sources.tables import SnapshotTable
@@ -40,6 +42,7 @@ MAX_ATTEMPTS = 3
 GRACE_DAYS = 3
 NEXT_RUN = "2024-04-11 00:00:00"  # some reports were corrected by then
 COMPACT_ROWS = 500  # fragments of fewer rows are grouped
+BODY_BYTES = 4000
 LEAD_ROLLUPS = [["plataforma", "etapa_funil"], ["plataforma"], ["etapa_funil"], ["dia"], []]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +152,16 @@ def _published(s, d):
     return s.table(f"relayline.{name}")
 
 
+def _event_bytes():
+    """Bytes of an event's texts and a fixed part, as any SQL engine counts them."""
+    texts = ["lead_id", "etapa_funil", "email_hashed", "phone_hashed", "gclid", "fbclid", "msclkid"]
+    return F.octet_length(F.concat(*[F.coalesce(F.col(c), F.lit("")) for c in texts])) + 60
+
+
+def _read_answers(s, d):
+    return ans.read(odd_answers(_fx(s, d).responses(), _fx(s, d).batched_sends()))
+
+
 def _two_runs(s, d):
     reports, control, out = _fx(s, d).report_history(), _upserted(s, d), None
     for number, as_of in enumerate((AS_OF, NEXT_RUN), 1):
@@ -202,6 +215,8 @@ QUERIES: dict[str, Query] = {
     "envelope_sizes": lambda s, d: env.envelopes(_batched(s, d)).select("plataforma", "batch_id", "n_events"),
     "envelopes": lambda s, d: pay.read_envelopes(_envelopes(s, d)),
     "envelope_files": _envelope_files,
+    "envelope_byte_bodies": lambda s, d: bb.pack(_batched(s, d), _event_bytes(), BODY_BYTES).select(
+        "plataforma", "bucket", "batch_id", "position", "size", "corpo"),
     # QA aggregates
     "lead_counts": lambda s, d: qa.lead_counts(_gold(s, d)),
     "multi_stage_top5": lambda s, d: qa.multi_stage_top(_gold(s, d), 5),
@@ -238,6 +253,10 @@ QUERIES: dict[str, Query] = {
     # responses, reconciliation, monitoring
     "responses_classified": lambda s, d: resp.classify(
         _batched(s, d), _fx(s, d).responses()).drop("mensagem_resposta"),
+    "answers_quarantined": lambda s, d: ans.quarantine(_read_answers(s, d)).select(
+        "plataforma", "batch_id", "http_status", "motivo"),
+    "answers_record_errors": lambda s, d: ans.record_errors(_read_answers(s, d)),
+    "answers_classified": lambda s, d: ans.classify(_batched(s, d), _read_answers(s, d)).drop("mensagem_resposta"),
     "control_after_responses": lambda s, d: ctl.apply_retry_policy(ctl.upsert(
         _control(s, d), resp.classify(_batched(s, d), _fx(s, d).responses()), now=AS_OF),
         MAX_ATTEMPTS).drop("mensagem_resposta"),

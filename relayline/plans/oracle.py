@@ -12,7 +12,7 @@ import re
 from ..functions.identity import EMAIL_IN_TEXT, PHONE_IN_TEXT
 from ..schemas import (CAMPAIGNS_BY_ORIGIN, CLIENT_SIZES, CONTROL_COLUMNS, ORIGINS, PLATFORM_RULES,
                        PRODUCTS, STAGES)
-from .catalog import (AS_OF, BATCH_SIZE, COMPACT_ROWS, FROZEN_AT, GRACE_DAYS, LEAD_ROLLUPS, MAX_ATTEMPTS, NEXT_RUN,
+from .catalog import (AS_OF, BATCH_SIZE, BODY_BYTES, COMPACT_ROWS, FROZEN_AT, GRACE_DAYS, LEAD_ROLLUPS, MAX_ATTEMPTS, NEXT_RUN,
                       ONE_LEAD, ROWS_ONLY)
 
 TS_AS_OF = f"TIMESTAMP '{AS_OF}'"
@@ -274,6 +274,10 @@ classified AS (SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, cam
                        WHEN plataforma = 'google' AND (bucket + batch_id) % 4 = 3 THEN 'HTTP_400'
                        WHEN plataforma = 'bing' AND {_pm(KK, 8)} = 1 THEN 'InvalidClickId' END AS err
         FROM batched)),
+odd AS (SELECT *, n % 6 AS kind, CASE WHEN plataforma = 'google' AND (n % 6 IN (1, 3) OR (bucket + batch_id) % 4 = 3)
+                                      THEN 400 ELSE 200 END AS status,
+    CASE n % 6 WHEN 0 THEN 'nao_json' WHEN 1 THEN 'campo' WHEN 2 THEN 'vazio' END AS motivo
+  FROM (SELECT *, batch_id % 4294967296 AS n FROM batched)),
 hash_audit AS (
   SELECT r.lead_id,
          {_field_status('g.email_hashed', 'sha256(' + _normalize_email('r.email_raw') + ')')} AS email_status,
@@ -476,6 +480,35 @@ _BODIES = {
   {_CUT} GROUP BY GROUPING SETS ((plataforma, produto, porte_cliente), (plataforma, produto), (plataforma), ())""",
     "retry_state": _retry("upserted"),
     "responses_classified": "SELECT * EXCLUDE (mensagem_resposta) FROM classified",
+    "answers_quarantined": ("SELECT DISTINCT plataforma, batch_id, CAST(status AS INTEGER) AS http_status, motivo FROM odd "
+                            "WHERE motivo IS NOT NULL"),
+    "answers_record_errors": f"""SELECT plataforma, batch_id, position AS posicao,
+    CASE plataforma WHEN 'google' THEN 'INVALID_FIELD' ELSE 'InvalidClickId' END AS codigo_erro,
+    CASE plataforma WHEN 'google' THEN 'timestamp out of range' ELSE 'click id not found' END AS mensagem
+  FROM odd WHERE motivo IS NULL AND ((plataforma = 'bing' AND {_pm(KK, 8)} = 1)
+                                     OR (plataforma = 'google' AND kind = 3 AND position % 8 = 1))""",
+    "answers_classified": f"""SELECT lead_id, etapa_funil, plataforma, data_hora_conversao, campaign_id,
+    CAST(vl_faturamento_estimado AS DECIMAL(18,2)) AS valor_enviado, identificador_usado,
+    CASE WHEN err IS NULL THEN 'aceito' ELSE 'erro' END AS status_envio,
+    CAST(status AS INTEGER) AS http_status, err AS codigo_erro, {TS_AS_OF} + INTERVAL 1 MINUTE AS ts_envio
+  FROM (SELECT *, CASE WHEN plataforma = 'google' AND kind = 3 AND position % 8 = 1 THEN 'INVALID_FIELD'
+                       WHEN status = 400 THEN 'HTTP_400' WHEN motivo IS NOT NULL THEN 'BODY_' || upper(motivo)
+                       WHEN plataforma = 'meta' AND batch_id % 5 = 0 THEN 'EVENTS_RECEIVED_MISMATCH'
+                       WHEN plataforma = 'bing' AND {_pm(KK, 8)} = 1 THEN 'InvalidClickId' END AS err FROM odd)""",
+    "envelope_byte_bodies": f"""SELECT * FROM (WITH RECURSIVE sized AS (
+    SELECT plataforma, bucket, batch_id, position, size, rn,
+           sum(size) OVER (PARTITION BY plataforma, bucket ORDER BY rn) AS upto
+    FROM (SELECT *, octet_length(encode(concat(lead_id, etapa_funil, email_hashed, phone_hashed, gclid, fbclid, msclkid)))
+                    + 60 AS size FROM batched)),
+  bodies AS (
+    SELECT plataforma, bucket, 0 AS corpo, min(rn) AS starts, CAST(0 AS HUGEINT) AS before FROM sized GROUP BY ALL
+    UNION ALL
+    SELECT b.plataforma, b.bucket, b.corpo + 1, min(s.rn), min(s.upto - s.size)
+    FROM bodies b JOIN sized s ON s.plataforma = b.plataforma AND s.bucket = b.bucket AND s.upto - b.before > {BODY_BYTES}
+    GROUP BY b.plataforma, b.bucket, b.corpo)
+  SELECT s.plataforma, CAST(s.bucket AS BIGINT) AS bucket, batch_id, position, CAST(size AS BIGINT) AS size,
+    CAST(b.corpo AS BIGINT) AS corpo
+  FROM sized s ASOF JOIN bodies b ON s.plataforma = b.plataforma AND s.bucket = b.bucket AND s.rn >= b.starts)""",
     "control_after_responses": (
         "SELECT * EXCLUDE (mensagem_resposta) FROM ("
         + _retry(f"({_upsert('control', 'classified')})") + ")"),

@@ -321,3 +321,26 @@ def responses(b: DataFrame, as_of=DEFAULT_AS_OF) -> DataFrame:
         F.when((p == "google") & google_400, 400).otherwise(200).cast("int").alias("http_status"),
         F.when(p == "meta", meta_body).when(p == "google", google_body).otherwise(bing_body).alias("body"),
         (ts_lit(as_of) + F.expr("INTERVAL 1 MINUTES")).alias("ts_resposta"))
+
+
+def odd_answers(answers: DataFrame, b: DataFrame) -> DataFrame:
+    """``responses`` with bodies of other shapes, by the batch's number n:
+    n mod 6 = 0 cut off, 1 of the wrong type, 2 absent, 3 (Google) refused with
+    the events at positions 1, 9, 17, ... named as the cause."""
+    n = F.pmod(F.col("batch_id"), F.lit(1 << 32))
+    kind, p = F.pmod(n, F.lit(6)), F.col("plataforma")
+    sizes = b.groupBy("plataforma", "batch_id").agg(F.count(F.lit(1)).alias("_n"))
+    places = F.filter(F.sequence(F.lit(1).cast("long"), F.greatest("_n", F.lit(1).cast("long")), F.lit(8).cast("long")),
+                      lambda i: i < F.col("_n"))
+    violations = F.transform(places, lambda i: F.struct(
+        F.concat(F.lit("events.events["), i.cast("string"), F.lit("].event_timestamp")).alias("field"),
+        F.lit("timestamp out of range").alias("description"), F.lit("INVALID_FIELD").alias("reason")))
+    refused = F.to_json(F.struct(F.struct(
+        F.lit(400).alias("code"), F.lit("INVALID_ARGUMENT").alias("status"),
+        F.array(F.struct(violations.alias("fieldViolations"))).alias("details")).alias("error")))
+    wrong = F.when(p == "meta", '{"events_received":"many"}').when(p == "bing", '{"PartialErrors":{}}').otherwise('{"error":"quota"}')
+    body = (F.when(kind == 0, F.expr("left(body, length(body) - 1)")).when(kind == 1, wrong)
+             .when(kind == 2, F.lit(None)).when((kind == 3) & (p == "google"), refused).otherwise(F.col("body")))
+    status = F.when((p == "google") & kind.isin(1, 3), 400).otherwise(F.col("http_status"))
+    return answers.join(sizes, ["plataforma", "batch_id"]).select(
+        "plataforma", "batch_id", status.cast("int").alias("http_status"), body.alias("body"), "ts_resposta")
