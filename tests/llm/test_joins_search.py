@@ -241,11 +241,11 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert near_vectors.near_vectors(vectors(spark, [])).collect() == []
 
 
-def shifted(d=64, n=1500, seed=8):
-    """Unit vectors with a large common mean (cosine about 0.87), and partners
-    at cosines 0.95 to 0.97."""
+def shifted(d=64, n=1500, seed=8, mean=2.6):
+    """Unit vectors with a common mean (2.6: their cosine is about 0.87), and
+    partners at cosines 0.95 to 0.97."""
     r = np.random.default_rng(seed)
-    x = r.standard_normal((n, d)) + 2.6 * np.sqrt(d) * np.eye(d)[0]
+    x = r.standard_normal((n, d)) + mean * np.sqrt(d) * np.eye(d)[0]
     x /= np.linalg.norm(x, axis=1)[:, None]
     y = r.standard_normal((n, d))
     y -= (y * x).sum(axis=1)[:, None] * x
@@ -253,11 +253,27 @@ def shifted(d=64, n=1500, seed=8):
     return x, cosine * x + np.sqrt(1 - cosine ** 2) * y / np.linalg.norm(y, axis=1)[:, None]
 
 
-def test_tables_find_pairs_with_a_common_mean():
-    x, y = shifted(n=4000)
-    for n in (10_000, 1_000_000):
+@pytest.mark.parametrize("mean, cosine", [(0.0, 0.0), (1.83, 0.77), (2.6, 0.87), (6.0, 0.97)])
+def test_tables_find_pairs_with_a_common_mean(mean, cosine):
+    x, y = shifted(n=4000, mean=mean)
+    assert abs((x[:2000] @ x[2000:].T).mean() - cosine) < 0.01
+    for n in (10_000, 1_000_000, 100_000_000):
         coder = near_vectors.Coder(n, {64: np.vstack([x[:2000], y[2000:]])})
-        assert (coder.keys(x) == coder.keys(y)).any(axis=1).mean() >= 0.99
+        plan = coder.plans[64]
+        assert plan.bits >= 1 and plan.bits * plan.tables <= near_vectors.BITS
+        found = (coder.keys(x) == coder.keys(y)).any(axis=1)
+        told = (coder.bits(x) != coder.bits(y))[:, :plan.near].sum(axis=1) <= plan.apart
+        assert (found & told).mean() >= 0.99
+
+
+def test_components_are_kept_exactly():
+    r = np.random.default_rng(2)
+    for v in (r.standard_normal(9).astype(np.float32).tolist(), r.standard_normal(9).tolist(), [1e300, -1e-300, 0.0], [3e38, 1.0]):
+        data = near_vectors.raw(v)
+        kind = np.float32 if data[:1] == b"f" else np.float64
+        assert np.frombuffer(data, kind, offset=1).astype(float).tolist() == v
+        assert near_vectors.unit(data).tobytes() == near_vectors.normal(v)
+    assert len(near_vectors.raw(np.ones(64))) == 257
 
 
 def test_near_vectors_with_a_common_mean(spark):
