@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from relayline.llm import metric_search, near_vectors, ngram_join
 from relayline.llm.common import components
