@@ -1,7 +1,11 @@
 """Quality resampling and the toxicity network: held-out accuracy, gradients,
 and defined results on messy rows."""
 
+import math
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,6 +71,81 @@ def test_weights_are_the_ratio_of_the_models():
     assert len(grams("")) == len(grams(None)) == 0
 
 
+def plain_grams(text):
+    """Counts of hashed grams, one at a time."""
+    found, before = Counter(), None
+    for w in re.findall(r"\w+|[^\w\s]+", text or ""):
+        h = zlib.crc32(w.encode("utf-8", "replace"))
+        found[h % importance.BUCKETS] += 1
+        if before is not None:
+            found[(before * 31 + h) % importance.BUCKETS] += 1
+            found[zlib.crc32(b"<repeat>") % importance.BUCKETS] += h == before
+        before = h
+    return found
+
+
+def plain_resample(rows, known, noise):
+    """(n_grams, log weight, kept) per row, with dictionaries and a full sort."""
+    good = {}
+    for i, q, _ in known:
+        if i is not None and q in (0, 1):
+            good.setdefault(i, set()).add(q)
+    good = {i: q.pop() for i, q in good.items() if len(q) == 1}
+    grams = [plain_grams(t) for _, t in rows]
+    every, target = Counter(), Counter()
+    for (i, _), g in zip(rows, grams):
+        every.update(g)
+        if good.get(i) == 1:
+            target.update(g)
+    n = [sum(c.values()) + importance.BUCKETS for c in (every, target)]
+
+    def ratio(b):
+        return math.log((target[b] + 1) / n[1]) - math.log((every[b] + 1) / n[0])
+    weights = [math.fsum(c * ratio(b) for b, c in g.items()) if target else 0.0 for g in grams]
+    scored = {}
+    for (i, _), w in zip(rows, weights):
+        if i in good:
+            scored.setdefault(i, []).append(w)
+    marks = sorted((sum(w) / len(w), good[i]) for i, w in scored.items())
+    border, cost = -math.inf, None
+    if len({m for _, m in marks}) == 2:
+        places = []
+        for at in range(len(marks) + 1):  # what is below the cut goes
+            lost = sum(m for _, m in marks[:at]) * importance.LOST + sum(1 - m for _, m in marks[at:])
+            gap = marks[at][0] - marks[at - 1][0] if 0 < at < len(marks) else 0.0
+            places.append((lost, -gap, at))
+        cost, _, at = min(places)
+        border = -math.inf if at == 0 else marks[-1][0] + 1 if at == len(marks) else (marks[at - 1][0] + marks[at][0]) / 2
+    k = sum(w >= border for w in weights)
+    noisy = [w / importance.TEMPERATURE + noise[i] for (i, _), w in zip(rows, weights)]
+    least = sorted(noisy, reverse=True)[k - 1] if k else math.inf
+    return [(sum(g.values()), w, x >= least - 1e-6) for g, w, x in zip(grams, weights, noisy)]
+
+
+@pytest.mark.parametrize("labelled", [400, 0])
+def test_resampling_equals_plain_counting(spark, docs, labelled):
+    """Weights, the number taken and the kept rows of a whole table."""
+    rows, quality, _ = made(500, 9)
+    rows = rows + [rows[3], (900, None), (901, ""), (902, "é日本 \U0001f642 ß"), (903, "x " * 30_000)]
+    known = [(i, quality[i], 0) for i in range(labelled)] + [(450, 1, 0), (450, 0, 0), (None, 1, 0), (451, None, 0)][:labelled]
+    ids = spark.createDataFrame([(i,) for i in {i for i, _ in rows}], "i long")
+    noise = {r.i: r.g for r in ids.select("i", importance.gumbel(F.col("i"), 11).alias("g")).collect()}
+    want = sorted((i, *w) for (i, _), w in zip(rows, plain_resample(rows, known, noise)))
+    got = sorted((r.doc_id, r.n_grams, r.log_weight, r.kept) for r in importance.resample(docs(rows), labels(spark, known)).collect())
+    assert [(a[0], a[1], a[3]) for a in got] == [(b[0], b[1], b[3]) for b in want]
+    assert [a[2] for a in got] == pytest.approx([b[2] for b in want], abs=1e-6)
+    assert labelled == 0 or 0 < sum(not a[3] for a in got) < len(got)
+
+
+def test_keep_of_messy_rows_and_empty_tables(spark, docs):
+    rows = messy()
+    left = importance.keep(docs(rows), labels(spark, []))
+    assert left.columns == docs(rows).columns
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=key) == sorted(((r[0], r[1]) for r in rows), key=key)
+    assert importance.keep(docs([]), labels(spark, [(1, 1, 0), (2, 0, 0)])).collect() == []
+
+
 def test_cut_and_kth_largest(spark):
     assert importance.cut([(-5, 0), (-4, 0), (1, 1), (2, 1)]) == -1.5
     assert importance.cut([(1, 1)]) == importance.cut([]) == -np.inf

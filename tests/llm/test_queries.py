@@ -81,3 +81,9 @@ def test_pipeline_stages(spark):
         assert r.ids == want and r.n_tokens == len(want)
         back = library.decode(want, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

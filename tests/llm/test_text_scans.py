@@ -208,3 +208,23 @@ def test_bpe_query_on_messy_rows(docs, library):
     encoded = bpe.encode_documents(docs(rows))
     back = {r.doc_id: r.text for r in bpe.decode_documents(encoded).collect()}
     assert back[8] == library.decode(library.encode("word", add_special_tokens=False).ids)
+
+
+def test_tokenise_messy_rows_and_an_empty_table(docs, library):
+    rows = messy()
+    got = sorted(((r.doc_id or -1, r.n_tokens, tuple(r.ids)) for r in bpe.tokenise(docs(rows)).collect()))
+    want = sorted((i or -1, len(x), tuple(x)) for i, x in (
+        (r[0], library.encode(r[1] or "", add_special_tokens=False).ids) for r in rows))
+    assert got == want
+    assert bpe.tokenise(docs([])).collect() == []
+
+
+def test_redact_of_overlaps_long_texts_and_an_empty_table(docs):
+    secret = "AKIA" + "B" * 20
+    rows = [(1, f"token={secret} end"), (2, ("plain words " * 20_000) + secret + " z"), (3, secret + secret.lower() + " " + "0f" * 20)]
+    got = {r.doc_id: r for r in secret_scan.redact(docs(rows)).collect()}
+    assert secret not in "".join(r.text for r in got.values())
+    assert got[1].text.endswith(" end") and got[1].text.count("[") == 1      # overlapping spans are one mark
+    assert got[2].text == ("plain words " * 20_000) + "[access] z" and got[2].n_chars == len(got[2].text)
+    assert "0f0f" not in got[3].text
+    assert secret_scan.redact(docs([])).collect() == []
