@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from relayline.session import checkpoint_dir
+from relayline.session import bound_arrow_batches, checkpoint_dir
 
 #: A word of the contracts: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -70,6 +70,12 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with batches of a bounded size in bytes."""
+    bound_arrow_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, schema: str | T.StructType,
              make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """``mapInArrow`` over columns: ``make`` runs once per task and returns
@@ -85,8 +91,9 @@ def map_rows(df: DataFrame, schema: str | T.StructType,
                 cols = step({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def small(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
@@ -106,19 +113,24 @@ def runs(rows: pa.Table, key: str) -> Iterator[tuple[int, int]]:
 
 
 def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables of all rows of one key, from rows sorted by it."""
-    rest: pa.Table | None = None
+    """Tables of all rows of one key, from rows sorted by it. A key's pieces
+    are joined once, however many batches they come in."""
+    held: list[pa.Table] = []
+
+    def whole() -> pa.Table:
+        return held[0] if len(held) == 1 else pa.concat_tables(held).combine_chunks()
+
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = pa.Table.from_batches([batch])
-        rows = pa.concat_tables([rest, rows]).combine_chunks() if rest is not None else rows
-        found = list(runs(rows, key))
-        for start, end in found[:-1]:
-            yield rows.slice(start, end - start)
-        rest = rows.slice(*(lambda s, e: (s, e - s))(*found[-1]))
-    if rest is not None:
-        yield rest
+        for start, end in runs(rows, key):
+            if held and held[-1][key][0] != rows[key][start]:
+                yield whole()
+                held.clear()
+            held.append(rows.slice(start, end - start))
+    if held:
+        yield whole()
 
 
 def grouped(df: DataFrame, key: str, schema: str, make: Callable) -> DataFrame:
@@ -140,7 +152,7 @@ def grouped(df: DataFrame, key: str, schema: str, make: Callable) -> DataFrame:
         if size:
             yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in out], schema=out)
 
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, kind)
+    return map_arrow(df.repartition(key).sortWithinPartitions(key), run, kind)
 
 
 def spread(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relayline.llm.common import arrow_schema, map_rows, materialize, set_aside, small
+from relayline.llm.common import arrow_schema, map_arrow, map_rows, materialize, set_aside, small
 
 BUCKETS = 1 << 14
 #: The bounded sample of labelled documents, by the hash of the id.
@@ -32,7 +32,8 @@ SAMPLE_LABELS = 20_000
 TEMPERATURE = 0.1
 #: A good document lost counts as so many bad ones kept when the cut is set.
 LOST = 3
-CACHED_WORDS = 300_000
+#: Words whose hash a task keeps; beyond it the memory starts anew. It only saves time.
+CACHED_WORDS = 50_000
 _GRAM = re.compile(r"\w+|[^\w\s]+")
 _REPEAT = zlib.crc32(b"<repeat>") % BUCKETS
 
@@ -84,7 +85,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:
             (on, counts[0][on], counts[1][on]), out)], schema=out)
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("text", "good")
-    total = rows.mapInArrow(run, schema).groupBy("bucket").agg(F.sum("every"), F.sum("target")).collect()
+    total = map_arrow(rows, run, schema).groupBy("bucket").agg(F.sum("every"), F.sum("target")).collect()
     counts = np.ones((2, BUCKETS))
     for bucket, every, target in total:
         counts[:, bucket] += every, target

@@ -4,14 +4,16 @@ and defined results on messy rows."""
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from relayline.llm import importance, toxicity
+from relayline.llm import common, importance, toxicity
 from tests_llm_data import messy
 
 LABELS = "doc_id long, quality int, toxic int, text string, score double"
@@ -278,3 +280,60 @@ def test_the_recurrent_part_learns_order():
     model = toxicity.train(texts[:300], marks[:300], [1.0] * 300, epochs=60)
     got = np.array(toxicity.Scorer(model.p).scores([" ".join(t) for t in texts[300:]]))
     assert np.mean((got >= 0.5) == (np.array(marks[300:]) == 1)) > 0.9
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_batches_to_workers_follow_bytes_not_rows(spark, docs):
+    """Long texts reach Python in batches of about 2 MB, not 10,000 rows."""
+    rows, quality, _ = made(60, 4)
+    long = docs([(i, f"{i} " + "longer " * 4000) for i in range(600)], extra=False).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "rows"])
+
+    try:
+        spark.conf.unset(BATCH_BYTES)
+        kept = importance.keep(docs(rows), labels(spark, [(i, quality[i], 0) for i in range(60)]))
+        found = long.mapInArrow(sizes, "bytes long, rows long").collect()
+        assert sum(r.rows for r in found) == 600 and max(r.bytes for r in found) < 3 << 20
+        assert 0 < kept.count() <= 60
+        spark.conf.set(BATCH_BYTES, "512k")  # a smaller bound of the user's stays
+        importance.keep(docs(rows), labels(spark, []))
+        assert spark.conf.get(BATCH_BYTES).rstrip("b") in ("512k", str(512 << 10))
+    finally:
+        spark.conf.unset(BATCH_BYTES)
+
+
+def test_words_kept_by_a_task_are_few():
+    text = " ".join(f"word{i}" for i in range(200_000))
+    plain = importance.Grams()(text)
+    tracemalloc.start()
+    try:
+        grams = importance.Grams()
+        for at in range(0, 200_000, 1000):
+            grams(" ".join(f"word{i}" for i in range(at, at + 1000)))
+        assert tracemalloc.get_traced_memory()[0] < 16 << 20
+    finally:
+        tracemalloc.stop()
+    assert (grams(text) == plain).all()
+
+
+def test_a_key_in_many_batches_is_joined_once(monkeypatch):
+    r = random.Random(5)
+    keys = sorted(r.choice(["a", "b", "c", "dd", "e"]) for _ in range(3000))
+    rows = pa.table({"key": keys, "x": list(range(3000))})
+    batches = [b for b in rows.to_batches(max_chunksize=7)] + rows.slice(0, 0).to_batches()
+    joined, concat = [], pa.concat_tables
+
+    def counted(tables, *args, **kwargs):
+        joined.append(sum(t.num_rows for t in tables))
+        return concat(tables, *args, **kwargs)
+
+    monkeypatch.setattr(common.pa, "concat_tables", counted)
+    got = [(t["key"].to_pylist(), t["x"].to_pylist(), t["x"].num_chunks) for t in common.by_group(iter(batches), "key")]
+    assert [(set(k), len(x), n) for k, x, n in got] == [({k}, keys.count(k), 1) for k in sorted(set(keys))]
+    assert [v for _, x, _ in got for v in x] == list(range(3000))
+    assert sum(joined) <= 3000  # a row is copied once at most
