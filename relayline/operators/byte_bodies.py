@@ -56,11 +56,18 @@ def _offsets(sized: DataFrame) -> DataFrame:
         "e.*", (F.col("s._batch_at") + F.col("e._here")).alias("_at"))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` made once: an expression that a lambda
+    names several times is evaluated each time."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _value(total: Column, steps: Column, fill: Column, cap: Column) -> Column:
     """The function at ``fill``: ``(bodies, fill)``."""
     step = F.get(F.filter(steps, lambda s: s["upto"] >= fill), 0)
+    opens = _let(step, lambda s: F.struct(s["bodies"].alias("bodies"), s["fill"].alias("fill")))
     return F.when(fill + total <= cap, F.struct(F.lit(0).cast("long").alias("bodies"), (fill + total).alias("fill"))
-                  ).otherwise(F.struct(step["bodies"].alias("bodies"), step["fill"].alias("fill")))
+                  ).otherwise(opens)
 
 
 def _then(one: Column, two: Column, cap: Column) -> Column:
@@ -70,17 +77,17 @@ def _then(one: Column, two: Column, cap: Column) -> Column:
         lambda s: s["upto"] >= 0)
 
     def on(s):
-        v = _value(two["total"], two["steps"], s["fill"], cap)
-        return F.struct(s["upto"].alias("upto"), (s["bodies"] + v["bodies"]).alias("bodies"), v["fill"].alias("fill"))
+        return _let(_value(two["total"], two["steps"], s["fill"], cap), lambda v: F.struct(
+            s["upto"].alias("upto"), (s["bodies"] + v["bodies"]).alias("bodies"), v["fill"].alias("fill")))
     steps = F.concat(later, F.transform(one["steps"], on))
-    return F.struct((one["total"] + two["total"]).alias("total"), _distinct_steps(steps).alias("steps"))
+    return F.struct((one["total"] + two["total"]).alias("total"), _let(steps, _distinct_steps).alias("steps"))
 
 
 def _distinct_steps(steps: Column) -> Column:
     """Neighbouring steps of one value become the highest of them."""
     def last(s, i):
-        after = F.get(steps, i + 1)
-        return after.isNull() | (after["bodies"] != s["bodies"]) | (after["fill"] != s["fill"])
+        return _let(F.get(steps, i + 1), lambda after: after.isNull() | (after["bodies"] != s["bodies"])
+                    | (after["fill"] != s["fill"]))
     return F.filter(steps, last)
 
 
@@ -119,10 +126,10 @@ def _opened(grouped: DataFrame, starts: DataFrame) -> DataFrame:
                      F.array().cast(kind).alias("out"))
 
     def step(acc, f):
-        v = _value(f["total"], f["steps"], acc["fill"], F.col("_cap"))
         seen = F.struct(f["_block"].alias("_block"), acc["bodies"].alias("bodies"), acc["fill"].alias("fill"))
-        return F.struct((acc["bodies"] + v["bodies"]).alias("bodies"), v["fill"].alias("fill"),
-                        F.concat(acc["out"], F.array(seen)).alias("out"))
+        return _let(_value(f["total"], f["steps"], acc["fill"], F.col("_cap")), lambda v: F.struct(
+            (acc["bodies"] + v["bodies"]).alias("bodies"), v["fill"].alias("fill"),
+            F.concat(acc["out"], F.array(seen)).alias("out")))
     out = F.aggregate(F.col("_fs"), begin, step, lambda acc: acc["out"])
     return rows.select(*[F.col(f"g.{c}") for c in PART], F.explode(out).alias("o")).select(
         *PART, F.col("o._block").alias("_block"), F.col("o.bodies").alias("_bodies"), F.col("o.fill").alias("_fill"))
