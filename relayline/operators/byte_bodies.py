@@ -4,14 +4,17 @@ Events of a (plataforma, bucket) come in the order of ``assign_batches``. An
 event joins the open body while the body's bytes stay within the limit, else it
 opens the next one, so where a body starts depends on all events before it.
 
-Events are cut into blocks of at most one limit of bytes. A block is then a
-function from the bytes of the body that is open before it to (bodies opened,
-bytes of the body open after it), which has few values: it depends on the first
-event that overflows only. Functions of FAN neighbouring blocks are composed
-into one, level by level; going down again, every block learns the body
-that is open before it, and its events their body by a projection. No task
-sees more than FAN functions, and equal neighbouring values are one step, so a
-function has at most as many steps as a body has events.
+Events are dealt out once, by batch, and a batch is cut into blocks of at most
+one limit of bytes. A block is then a function from the bytes of the body that
+is open before it to (bodies opened, bytes of the body open after it), which has
+few values: it depends on the first event that overflows only. The functions of
+a batch's blocks are composed into the batch's, those of FAN neighbouring
+batches into one, level by level; going down again, every batch and block learns
+the body that is open before it, and its events their body by a projection.
+Equal neighbouring values are one step, so a function has at most as many steps
+as a body has events. Levels are LEVELS at any size, so no job counts blocks
+first: above them the rest of a (plataforma, bucket), a function per
+FAN ** LEVELS batches, is composed in one task.
 """
 
 from __future__ import annotations
@@ -23,37 +26,19 @@ from pyspark.sql import functions as F
 from .envelopes import BUCKET_SPAN, EnvelopeConfig, request_body
 from .payloads import with_events
 
-FAN = 32            # neighbouring functions composed in one task
-BATCH_RUN = 1024    # batches whose bytes are added up in one window
+FAN_BITS, LEVELS = 8, 3     # FAN = 1 << FAN_BITS neighbouring functions are composed in one task
 PART = ["plataforma", "bucket"]
+BATCH = ["_n", "_p", "_b"]  # batch and (plataforma, bucket) without nulls: equal keys are dealt out alike to joins too
 
 
-def _same(left: str, right: str, names: list[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.col(f"{left}.{n}").eqNullSafe(F.col(f"{right}.{n}"))
-    return cond
-
-
-def _before(*order: str, within: list[str]):
-    return Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _offsets(sized: DataFrame) -> DataFrame:
-    """``_at``: bytes before the event in its (plataforma, bucket), added up
-    inside batches, runs of batches and runs apart."""
-    batches = sized.groupBy(*PART, "batch_id").agg(F.sum("_size").alias("_sum")).withColumn(
-        "_run", F.floor(F.col("batch_id") / BATCH_RUN))
-    runs = batches.groupBy(*PART, "_run").agg(F.sum("_sum").alias("_run_sum")).select(
-        *PART, "_run", F.coalesce(F.sum("_run_sum").over(_before("_run", within=PART)), F.lit(0)).alias("_run_at"))
-    inside = batches.select(*PART, "batch_id", "_run", F.coalesce(
-        F.sum("_sum").over(_before("batch_id", within=[*PART, "_run"])), F.lit(0)).alias("_batch_at"))
-    starts = inside.alias("i").join(runs.alias("r"), _same("i", "r", [*PART, "_run"])).select(
-        *[F.col(f"i.{c}") for c in [*PART, "batch_id"]], (F.col("_run_at") + F.col("_batch_at")).alias("_batch_at"))
-    here = F.coalesce(F.sum("_size").over(_before("position", within=[*PART, "batch_id"])), F.lit(0))
-    return sized.withColumn("_here", here).alias("e").join(
-        starts.alias("s"), _same("e", "s", [*PART, "batch_id"])).select(
-        "e.*", (F.col("s._batch_at") + F.col("e._here")).alias("_at"))
+def _dealt(sized: DataFrame) -> DataFrame:
+    """Rows dealt out by batch, with its key. What is made of them afterwards
+    reads this one shuffle: rows and functions need the same columns of it."""
+    absent = F.concat(*[F.when(F.col(c).isNull(), "-").otherwise("+") for c in PART])
+    return sized.select(
+        "*", F.coalesce(F.col("batch_id").cast("long"), F.lit(-(1 << 63))).alias("_n"),  # first, as a null is sorted
+        F.concat(absent, F.coalesce(F.col("plataforma").cast("string"), F.lit(""))).alias("_p"),
+        F.coalesce(F.col("bucket").cast("long"), F.lit(0).cast("long")).alias("_b")).repartition(*BATCH)
 
 
 def _let(value: Column, then) -> Column:
@@ -91,48 +76,52 @@ def _distinct_steps(steps: Column) -> Column:
     return F.filter(steps, last)
 
 
-def _leaves(events: DataFrame) -> DataFrame:
-    """One function per block. A block's events fit in one body, so the first
-    event that overflows opens the only new one, and all after it are in it."""
-    of = events.where("_size > 0").groupBy(*PART, "_cap", "_block").agg(
+def _blocks(events: DataFrame) -> DataFrame:
+    """One function per block, side by side in a batch. A block's events fit in
+    one body, so the first event that overflows opens the only new one, and all after it are in it."""
+    # the key's columns come along, so that nothing else is read of the shuffle than the rows' own plan reads
+    of = events.where("_size > 0").groupBy(*BATCH, *PART, "batch_id", "_cap", "_block").agg(
         F.min("_at").alias("_from"), F.max(F.col("_at") + F.col("_size")).alias("_to"),
         F.sort_array(F.collect_list("_at"), asc=False).alias("_starts"))
     total = F.col("_to") - F.col("_from")
     steps = F.transform("_starts", lambda at: F.struct(
         (F.col("_cap") - (at - F.col("_from"))).alias("upto"), F.lit(1).cast("long").alias("bodies"),
         (F.col("_to") - at).alias("fill")))
-    return of.select(*PART, "_cap", "_block", total.alias("total"), steps.alias("steps"), "_from")
+    leaf = F.struct(F.col("_block").alias("_id"), total.alias("total"), steps.alias("steps"), F.col("_from"))
+    return of.groupBy(*BATCH, "_cap").agg(F.sort_array(F.collect_list(leaf)).alias("_fs"))
 
 
-def _grouped(functions: DataFrame) -> DataFrame:
-    """FAN neighbours side by side, in order."""
-    return functions.groupBy(*PART, "_cap", F.floor(F.col("_block") / FAN).alias("_group")).agg(
-        F.sort_array(F.collect_list(F.struct("_block", "total", "steps"))).alias("_fs"))
+def _composed(grouped: DataFrame) -> DataFrame:
+    """The function of every group."""
+    one = lambda f: F.struct(f["total"].alias("total"), f["steps"].alias("steps"))
+    whole = F.aggregate(F.slice("_fs", F.lit(2), F.size("_fs")), one(F.get("_fs", F.lit(0))),
+                        lambda acc, f: _then(acc, f, F.col("_cap")))
+    return grouped.select(*BATCH, "_cap", whole.alias("_f"))
 
 
-def _composed(grouped: DataFrame) -> DataFrame:
-    first = F.struct(F.col("_fs")[0]["total"].alias("total"), F.col("_fs")[0]["steps"].alias("steps"))
-    rest = F.slice("_fs", F.lit(2), F.size("_fs"))
-    whole = F.aggregate(rest, first, lambda acc, f: _then(acc, f, F.col("_cap")))
-    return grouped.select(*PART, "_cap", F.col("_group").alias("_block"), whole.alias("_f")).select(
-        *PART, "_cap", "_block", "_f.total", "_f.steps")
+def _grouped(functions: DataFrame, above: Column) -> DataFrame:
+    """Neighbours side by side, in order, with the number of the group that ``above`` gives."""
+    leaf = F.struct(F.col("_n").alias("_id"), F.col("_f.total"), F.col("_f.steps"))
+    return functions.groupBy(above.alias("_n"), "_p", "_b", "_cap").agg(F.sort_array(F.collect_list(leaf)).alias("_fs"))
 
 
-def _opened(grouped: DataFrame, starts: DataFrame) -> DataFrame:
-    """What is open before every function, from what is open before its group."""
-    rows = grouped.alias("g").join(starts.alias("s"), _same("g", "s", PART) & (F.col("g._group") == F.col("s._block")))
-    kind = "array<struct<_block:bigint,bodies:bigint,fill:bigint>>"
-    begin = F.struct(F.col("s._bodies").alias("bodies"), F.col("s._fill").alias("fill"),
-                     F.array().cast(kind).alias("out"))
+def _opened(grouped: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """``_os``: what is open before every function of a group, from what is
+    open before the group (``starts``; nothing, if there are none)."""
+    zero = F.lit(0).cast("long")
+    if starts is None:
+        rows = grouped.withColumn("_bodies", zero).withColumn("_fill", zero)
+    else:
+        rows = grouped.join(starts, BATCH)
+    begin = F.struct(F.col("_bodies").alias("bodies"), F.col("_fill").alias("fill"),
+                     F.array().cast("array<struct<_id:bigint,bodies:bigint,fill:bigint>>").alias("out"))
 
     def step(acc, f):
-        seen = F.struct(f["_block"].alias("_block"), acc["bodies"].alias("bodies"), acc["fill"].alias("fill"))
+        seen = F.struct(f["_id"].alias("_id"), acc["bodies"].alias("bodies"), acc["fill"].alias("fill"))
         return _let(_value(f["total"], f["steps"], acc["fill"], F.col("_cap")), lambda v: F.struct(
             (acc["bodies"] + v["bodies"]).alias("bodies"), v["fill"].alias("fill"),
             F.concat(acc["out"], F.array(seen)).alias("out")))
-    out = F.aggregate(F.col("_fs"), begin, step, lambda acc: acc["out"])
-    return rows.select(*[F.col(f"g.{c}") for c in PART], F.explode(out).alias("o")).select(
-        *PART, F.col("o._block").alias("_block"), F.col("o.bodies").alias("_bodies"), F.col("o.fill").alias("_fill"))
+    return rows.withColumn("_os", F.aggregate(F.col("_fs"), begin, step, lambda acc: acc["out"]))
 
 
 def pack(batched: DataFrame, size: Column, cap: Column | int) -> DataFrame:
@@ -147,30 +136,34 @@ def pack(batched: DataFrame, size: Column, cap: Column | int) -> DataFrame:
     """
     cap = F.lit(cap) if isinstance(cap, int) else cap
     cols = batched.columns
-    sized = batched.withColumn("size", F.greatest(size.cast("long"), F.lit(1).cast("long"))).withColumn(
-        "_cap", cap.cast("long")).withColumn(
-        "_size", F.when(F.col("size") <= F.col("_cap"), F.col("size")).otherwise(F.lit(0).cast("long")))
+    dealt = _dealt(batched.withColumn("size", F.greatest(size.cast("long"), F.lit(1).cast("long"))).withColumn(
+        "_cap", cap.cast("long")))
+    before = Window.partitionBy(*BATCH).orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
     half = F.greatest(F.floor(F.col("_cap") / 2), F.lit(1))
     # An event of over half a limit is the last that starts in its half, and is a block of its own.
     big = F.when(F.col("_size") > half, 1).otherwise(0)
-    events = _offsets(sized).withColumn("_block", (F.floor(F.col("_at") / half) * 2 + big).cast("long"))
-    blocks = sized.groupBy(*PART).agg((F.sum("_size") / F.min(half)).alias("n")).agg(F.max("n")).first()[0]
-    leaves = _leaves(events)
-    levels = [_grouped(leaves)]
-    reach = FAN
-    while reach < 2 * (blocks or 0) + 2:
-        levels.append(_grouped(_composed(levels[-1])))
-        reach *= FAN
-    zero = F.lit(0).cast("long")
-    starts = levels[-1].select(*PART, F.col("_group").alias("_block"), zero.alias("_bodies"), zero.alias("_fill"))
+    events = dealt.withColumn(
+        "_size", F.when(F.col("size") <= F.col("_cap"), F.col("size")).otherwise(F.lit(0).cast("long"))).withColumn(
+        "_at", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long"))).withColumn(
+        "_block", (F.floor(F.col("_at") / half) * 2 + big).cast("long"))
+    blocks = _blocks(events)
+    levels, functions = [], _composed(blocks)
+    for level in range(1, LEVELS + 1):
+        levels.append(_grouped(functions, F.shiftright("_n", FAN_BITS)))
+        functions = _composed(levels[-1])
+    levels.append(_grouped(functions, F.lit(0).cast("long")))
+    starts = None
     for level in reversed(levels):
-        starts = _opened(level, starts)
-    opened = leaves.alias("l").join(starts.alias("s"), _same("l", "s", [*PART, "_block"])).select(
-        *[F.col(f"l.{c}") for c in [*PART, "_block", "_from"]], "_bodies", "_fill")
-    over = F.col("o._fill") + F.col("e._at") - F.col("o._from") + F.col("e._size") > F.col("e._cap")
-    body = F.when(F.col("e._size") > 0, F.col("o._bodies") + over.cast("long"))
-    return events.alias("e").join(opened.alias("o"), _same("e", "o", [*PART, "_block"]), "left").select(
-        *[F.col(f"e.{c}") for c in [*cols, "size"]], body.alias("corpo"))
+        starts = _opened(level, starts).select("_p", "_b", F.explode("_os").alias("_o")).select(
+            F.col("_o._id").alias("_n"), "_p", "_b", F.col("_o.bodies").alias("_bodies"), F.col("_o.fill").alias("_fill"))
+    # of every block: its number, the bodies before it, and the bytes that it finds in the open body less those before it in the batch
+    opened = _opened(blocks, starts).select(
+        *BATCH, F.col("_os._id").alias("_ids"), F.col("_os.bodies").alias("_opens"),
+        F.zip_with("_os", "_fs", lambda o, f: o["fill"] - f["_from"]).alias("_holds"))
+    here = F.array_position("_ids", F.col("_block")).cast("int") - 1
+    over = F.get("_holds", here) + F.col("_at") + F.col("_size") > F.col("_cap")
+    body = F.when(F.col("_size") > 0, F.get("_opens", here) + over.cast("long"))
+    return events.join(opened, BATCH, "left").select(*cols, "size", body.alias("corpo"))
 
 
 def limit_bytes(batched: DataFrame, max_bytes: int, cfg: EnvelopeConfig | None = None,
